@@ -121,8 +121,16 @@ def code_validity(col: Column, prefix: str, length: int) -> Column:
 def last_n_months(df: DataFrame, date: str, months: int, source: DataFrame | None = None) -> DataFrame:
     """Rows dated within ``months`` of the newest date, both ends included (13 months for 12).
 
-    The newest date is a scalar subquery over ``source`` (default: the table itself): one
-    max() whose value becomes a plain comparison in the scan.
+    The bound is a scalar subquery over ``source`` (default: the table itself) of the column's
+    own type, so it reaches the scan as a plain comparison.
     """
-    newest = (source if source is not None else df).agg(F.max(F.col(date).cast("date"))).scalar()
-    return df.filter(F.col(date).cast("date") >= F.add_months(newest, -months))
+    src = source if source is not None else df
+    bound = F.add_months(F.max(F.col(date)).cast("date"), -months).cast(df.schema[date].dataType)
+    return df.filter(F.col(date) >= src.agg(bound).scalar())
+
+
+def recent_month_rows(df: DataFrame, date: str, months: int) -> DataFrame:
+    """Raw rows of the newest month and the ``months`` before it, whole months."""
+    newest = F.trunc(F.max(F.col(date)).cast("date"), "month")
+    bound = F.add_months(newest, -months).cast(df.schema[date].dataType)
+    return df.filter(F.col(date) >= df.agg(bound).scalar())

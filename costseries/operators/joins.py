@@ -52,8 +52,12 @@ def cross_product(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def scalar_baseline(df: DataFrame, where: Column, value: str) -> Column:
-    """Value of one reference row as a scalar subquery usable in any expression over ``df``."""
-    return df.filter(where).agg(F.max(value)).scalar()
+    """Value of one reference row as a scalar subquery usable in any expression over ``df``.
+
+    The row is picked inside the aggregate, not by a filter, so that the subquery shares the
+    shuffles of ``df`` instead of planning its inputs a second time.
+    """
+    return df.agg(F.max(F.when(where, F.col(value)))).scalar()
 
 
 def band_lookup(
