@@ -417,5 +417,5 @@ def cost_panel(
     typed = long.withColumn("value", br_number(F.col("_text"))).drop("_text").filter("value IS NOT NULL")
     out = windows.mom_yoy(typed, [*ids, var], date, "value", pad=False).withColumn("regime", F.lit(regime))
     if share_of:
-        out = windows.share_of_total(out, share_of, "value")
+        out = windows.share_of_total(out, share_of, "value", period_table=True)
     return out
