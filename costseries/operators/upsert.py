@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import br_number, parse_date_multi
 from ..functions.keys import business_key
-from . import windows
+from . import ranks, windows
 
 
 def _row_tie(df: DataFrame) -> Column:
@@ -142,3 +144,83 @@ def set_diff_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     missing = e.join(f, key, "left_anti").withColumn("status", F.lit("missing"))
     extra = f.join(e, key, "left_anti").withColumn("status", F.lit("unexpected"))
     return missing.unionByName(extra)
+
+
+@dataclass(frozen=True)
+class CostSource:
+    """Where one source keeps the fields of the cost fact; ``regime=None`` reads it from the kind."""
+
+    df: DataFrame
+    value: str
+    source: str
+    date: str = "ref_date"
+    place: str | None = "place"
+    kind: str | None = "kind"
+    regime: str | None = None
+    default_kind: str = "R8-N"
+
+
+def _text_or(df: DataFrame, col: str | None, default: str) -> Column:
+    if col is None or col not in df.columns:
+        return F.lit(default)
+    return F.coalesce(F.nullif(F.trim(F.col(col)), F.lit("")), F.lit(default))
+
+
+def consolidate_cost(sources: Sequence[CostSource], numbered: bool = True) -> DataFrame:
+    """Several cost tables of text to one typed fact.
+
+    Dates and numerals are parsed, blanks get defaults, the later source wins on equal keys,
+    non-positive values are dropped, and rows are numbered in key order.
+    """
+    parts = []
+    for i, s in enumerate(sources):
+        kind = F.upper(_text_or(s.df, s.kind, s.default_kind))
+        regime = F.when(kind.contains("DES"), "DESONERADO").otherwise("ONEROSO") if s.regime is None else F.lit(s.regime)
+        parts.append(
+            s.df.select(
+                parse_date_multi(F.col(s.date)).alias("ref_date"),
+                _text_or(s.df, s.place, "BR").alias("place"),
+                kind.alias("kind"),
+                regime.alias("regime"),
+                br_number(F.col(s.value)).alias("value"),
+                F.lit(s.source).alias("source"),
+                F.lit(i).alias("_priority"),
+            )
+        )
+    keys = ["ref_date", "place", "kind", "regime"]
+    merged = dedup_keep(reduce(DataFrame.unionByName, parts), keys, "_priority").drop("_priority")
+    fact = merged.filter(F.col("value") > 0)
+    return ranks.surrogate_key(fact, keys) if numbered else fact
+
+
+@dataclass(frozen=True)
+class IndicatorSource:
+    """One indicator table of text: its name, unit and column names."""
+
+    df: DataFrame
+    indicator: str
+    unit: str
+    value: str = "value"
+    change: str | None = "change"
+    date: str = "ref_date"
+
+
+def consolidate_indicators(sources: Sequence[IndicatorSource], source: str, numbered: bool = True) -> DataFrame:
+    """Several indicator tables of text to one narrow fact; later rows win on (date, indicator)."""
+    parts = []
+    for i, s in enumerate(sources):
+        change = br_number(F.col(s.change)) if s.change in s.df.columns else F.lit(None).cast("double")
+        parts.append(
+            s.df.select(
+                parse_date_multi(F.col(s.date)).alias("ref_date"),
+                F.lit(s.indicator).alias("indicator"),
+                br_number(F.col(s.value)).alias("value"),
+                F.lit(s.unit).alias("unit"),
+                change.alias("change"),
+                F.lit(source).alias("source"),
+                F.lit(i).alias("_priority"),
+            ).filter("value IS NOT NULL")
+        )
+    keys = ["indicator", "ref_date"]
+    fact = dedup_keep(reduce(DataFrame.unionByName, parts), keys, "_priority").drop("_priority")
+    return ranks.surrogate_key(fact, keys) if numbered else fact

@@ -30,7 +30,7 @@ def read_delimited(
     )
 
 
-SERIES_PAYLOAD = "data string, valor string"
+SERIES_PAYLOAD = "series_id string, data string, valor string"
 
 
 def typed_points(df: DataFrame) -> DataFrame:
@@ -40,11 +40,16 @@ def typed_points(df: DataFrame) -> DataFrame:
     ).drop("data", "valor")
 
 
-def read_series_json(spark: SparkSession, path: str) -> DataFrame:
-    """Series payloads ``[{data, valor}]``, one file per series; the file name is the series id."""
-    raw = spark.read.schema(SERIES_PAYLOAD).option("multiLine", True).json(path)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
-    return typed_points(raw.withColumn("series_id", name))
+def named_by_file(df: DataFrame) -> DataFrame:
+    """Payloads without a series id take the name of their file."""
+    file_name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
+    return df.withColumn("series_id", F.coalesce("series_id", file_name))
+
+
+def read_series_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Series payloads ``[{data, valor}]``, one file per series, or JSON lines with a ``series_id``."""
+    raw = spark.read.schema(SERIES_PAYLOAD).option("multiLine", multi_line).json(path)
+    return typed_points(named_by_file(raw))
 
 
 def read_indexed_json(

@@ -14,17 +14,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators import filters, quality, upsert
-from ..sources.readers import SERIES_PAYLOAD, typed_points
+from ..sources.readers import SERIES_PAYLOAD, named_by_file, typed_points
 
 
-def stream_series(spark: SparkSession, path: str, as_of: dt.date | str, files_per_batch: int | None = None) -> DataFrame:
+def stream_series(
+    spark: SparkSession,
+    path: str,
+    as_of: dt.date | str,
+    files_per_batch: int | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """Landed payload files to typed points; unparseable, absurd and future points are dropped."""
-    reader = spark.readStream.schema(SERIES_PAYLOAD).option("multiLine", True)
+    reader = spark.readStream.schema(SERIES_PAYLOAD).option("multiLine", multi_line)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    raw = reader.json(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
-    points = typed_points(raw.select("*", name.alias("series_id")))
+    points = typed_points(named_by_file(reader.json(path)))
     return filters.valid_points(points, "value", "ref_date", as_of)
 
 
