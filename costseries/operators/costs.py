@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions import br_number, period_to_date, to_double
 from . import columns, filters, joins, stats, windows
@@ -171,25 +171,21 @@ def program_params(spark, kind: str | None = None, prefix: str | None = None) ->
     return df
 
 
-MAX_PROGRAMS = 1000
+MAX_PROGRAMS = 100
+PROGRAM_TERMS = ("program", "yearly_rate", "months", "financed_pct")
 
 
-def eligible_program(price: Column, income: Column, programs: DataFrame) -> Column:
-    """First programme by priority whose limits admit the application.
-
-    The programme table is a parameter list; as one sorted array it is tested inside the row,
-    so applications are neither shuffled nor multiplied. Its size is checked first.
-    """
-    ordered = programs.filter("priority IS NOT NULL")
-    if len(ordered.limit(MAX_PROGRAMS + 1).collect()) > MAX_PROGRAMS:
-        raise ValueError("programme table is not a parameter list; use loan_assignment_large")
-    fields = ["priority", *[c for c in programs.columns if c != "priority"]]
-    array = ordered.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
-    fits = lambda p: (
-        (p["income_limit"].isNull() | (income <= p["income_limit"]))
-        & (p["price_limit"].isNull() | (price <= p["price_limit"]))
-    )
-    return F.get(F.filter(array, fits), F.lit(0))
+def _first_fitting(price: Column, income: Column, ordered: Sequence[Row]) -> Column:
+    """Terms of the first programme whose limits admit the application."""
+    choices = []
+    for p in ordered:
+        fits = F.lit(True)
+        if p["income_limit"] is not None:
+            fits = fits & (income <= p["income_limit"])
+        if p["price_limit"] is not None:
+            fits = fits & (price <= p["price_limit"])
+        choices.append(F.when(fits, F.struct(*[F.lit(p[t]).alias(t) for t in PROGRAM_TERMS])))
+    return F.coalesce(*choices)
 
 
 def _loan_terms(df: DataFrame, price: str, income: str) -> DataFrame:
@@ -207,10 +203,22 @@ def _loan_terms(df: DataFrame, price: str, income: str) -> DataFrame:
     ).withColumn("approved", F.col("first_instalment") <= F.col("max_instalment"))
 
 
-def loan_assignment(applications: DataFrame, programs: DataFrame, price: str, income: str) -> DataFrame:
-    """Programme, amounts and the income test per application (constant amortisation)."""
-    chosen = applications.withColumn("_p", eligible_program(F.col(price), F.col(income), programs))
-    picked = [F.col(f"_p.{c}").alias(c) for c in ("program", "yearly_rate", "months", "financed_pct")]
+def loan_assignment(
+    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, width: float = 500.0
+) -> DataFrame:
+    """Programme, amounts and the income test per application (constant amortisation).
+
+    A programme table is normally a short parameter list: up to ``MAX_PROGRAMS`` rows are read
+    and become literal conditions, so applications are neither shuffled nor multiplied. A longer
+    table goes through ``loan_assignment_large``.
+    """
+    wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
+    rows = programs.filter("priority IS NOT NULL").select(*wanted).limit(MAX_PROGRAMS + 1).collect()
+    if not rows or len(rows) > MAX_PROGRAMS:
+        return loan_assignment_large(applications, programs, app_id, price, income, width)
+    ordered = sorted(rows, key=lambda p: p["priority"])
+    chosen = applications.withColumn("_p", _first_fitting(F.col(price), F.col(income), ordered))
+    picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     return _loan_terms(chosen.select(*applications.columns, *picked), price, income)
 
 
@@ -229,9 +237,8 @@ def loan_assignment_large(
     ok = (F.col("income_limit").isNull() | (F.col(income) <= F.col("income_limit"))) & (
         F.col("price_limit").isNull() | (F.col(price) <= F.col("price_limit"))
     )
-    terms = ("priority", "program", "yearly_rate", "months", "financed_pct")
-    best = pairs.groupBy(app_id).agg(F.min(F.when(ok, F.struct(*terms))).alias("_p"))
-    picked = [F.col(f"_p.{c}").alias(c) for c in terms[1:]]
+    best = pairs.groupBy(app_id).agg(F.min(F.when(ok, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
+    picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     out = applications.join(best, app_id, "left").select(*applications.columns, *picked)
     return _loan_terms(out, price, income)
 
