@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from .text import strip_accents
@@ -28,10 +30,19 @@ DATE_FORMATS = ("yyyy-M-d", "d/M/yyyy", "yyyy-M", "yyyy/M/d")
 EXCEL_EPOCH = "1899-12-30"
 
 
+def _shape(fmt: str) -> str:
+    """Regular expression of the texts a numeric date format accepts."""
+    digits = lambda m: "[0-9]{%s}" % (len(m[0]) if len(m[0]) > 1 else "1,2")
+    return "^" + re.sub(r"y+|M+|d+", digits, fmt) + "$"
+
+
 def parse_date_multi(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """First format that parses wins."""
+    """First format that parses wins.
+
+    Each parser only sees texts of its own shape: a failed parse costs an exception per row.
+    """
     text = F.trim(col)
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
 
 
 def _lookup(pairs: dict[str, int], key: Column) -> Column:
@@ -46,9 +57,9 @@ def month_name_to_num(col: Column) -> Column:
 
 def period_to_date(year: Column, month: Column | int = 1) -> Column:
     """First day of the month; NULL when either part is missing or out of range."""
-    month = F.lit(month) if isinstance(month, int) else month
-    text = F.concat_ws("-", year.cast("string"), month.cast("string"), F.lit("1"))
-    return F.when(year.isNotNull() & month.isNotNull(), F.try_to_date(text, "yyyy-M-d"))
+    y = year.try_cast("int")
+    m = F.lit(month) if isinstance(month, int) else month.try_cast("int")
+    return F.when(y.between(1, 9999) & m.between(1, 12), F.make_date(y, m, F.lit(1)))
 
 
 def parse_pt_month(col: Column) -> Column:
@@ -97,7 +108,7 @@ def _serial(col: Column) -> Column:
 def excel_serial_date(col: Column) -> Column:
     """Serial day number (> 1000) or ISO date text to DATE."""
     serial = F.date_add(F.lit(EXCEL_EPOCH).cast("date"), F.floor(_serial(col)).cast("int"))
-    return F.coalesce(serial, F.try_to_date(F.trim(col.cast("string")), "yyyy-MM-dd"))
+    return F.coalesce(serial, parse_date_multi(col.cast("string"), ("yyyy-MM-dd",)))
 
 
 def excel_serial_timestamp(col: Column) -> Column:

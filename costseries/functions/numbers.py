@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 # fixed values: cell texts that mean "missing"
 NULL_TOKENS = ("", "...", "-", "nan", "None", "N/D", "n/d", "(...)")
 
-DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DECIMAL_TEXT = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
 
 
 def null_tokens(col: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
@@ -17,30 +17,26 @@ def null_tokens(col: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
 
 
 def to_double(col: Column) -> Column:
-    """Plain decimal text to double; anything else (also ``NaN``, ``1d``) is NULL."""
-    text = F.trim(col.cast("string"))
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
+    """Plain decimal text to double; anything else (also ``NaN``, ``1d``, missing markers) is NULL."""
+    return F.regexp_extract(col.cast("string"), DECIMAL_TEXT, 1).try_cast("double")
 
 
 def br_number(col: Column, mode: str = "auto") -> Column:
-    """Brazilian numeral to double.
+    """Brazilian numeral to double; missing markers are NULL.
 
     ``auto`` treats dots as thousands marks only when a comma is present, ``strip_dots``
-    always does, ``comma_only`` just turns the comma into a decimal point.
+    always does, ``comma_only`` just turns the comma into a decimal point. The input is
+    referenced once, so it may be an expression of any size.
     """
-    text = null_tokens(col)
-    comma_to_dot = F.replace(text, F.lit(","), F.lit("."))
-    dots_removed = F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     if mode == "auto":
-        has_both = text.contains(",") & text.contains(".")
-        number = F.when(has_both, dots_removed).otherwise(comma_to_dot)
+        digits = F.regexp_replace(col, r"\.(?=.*,)", "")
     elif mode == "strip_dots":
-        number = dots_removed
+        digits = F.replace(col, F.lit("."), F.lit(""))
     elif mode == "comma_only":
-        number = comma_to_dot
+        digits = col
     else:
         raise ValueError(f"unknown numeral mode: {mode}")
-    return to_double(number)
+    return to_double(F.replace(digits, F.lit(","), F.lit(".")))
 
 
 def currency_number(col: Column) -> Column:

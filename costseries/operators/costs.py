@@ -204,7 +204,7 @@ def _loan_terms(df: DataFrame, price: str, income: str) -> DataFrame:
 
 
 def loan_assignment(
-    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, width: float = 500.0
+    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str
 ) -> DataFrame:
     """Programme, amounts and the income test per application (constant amortisation).
 
@@ -215,7 +215,7 @@ def loan_assignment(
     wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
     rows = programs.filter("priority IS NOT NULL").select(*wanted).limit(MAX_PROGRAMS + 1).collect()
     if not rows or len(rows) > MAX_PROGRAMS:
-        return loan_assignment_large(applications, programs, app_id, price, income, width)
+        return loan_assignment_large(applications, programs, app_id, price, income)
     ordered = sorted(rows, key=lambda p: p["priority"])
     chosen = applications.withColumn("_p", _first_fitting(F.col(price), F.col(income), ordered))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
@@ -223,21 +223,18 @@ def loan_assignment(
 
 
 def loan_assignment_large(
-    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, width: float
+    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str
 ) -> DataFrame:
     """Same result for a programme table of any size.
 
-    Applications meet programmes through income cells and keep the smallest priority per id.
+    Applications meet programmes through income bands and keep the smallest priority per id.
     """
-    below = programs.filter("priority IS NOT NULL").withColumns(
-        # limits are inclusive, bands are not: the exact test is repeated below
-        {"_high": F.col("income_limit") + F.lit(width), "_low": F.lit(None).cast("double")}
-    )
-    pairs = joins.band_lookup(applications, income, below, "_low", "_high", width)
-    ok = (F.col("income_limit").isNull() | (F.col(income) <= F.col("income_limit"))) & (
-        F.col("price_limit").isNull() | (F.col(price) <= F.col("price_limit"))
-    )
-    best = pairs.groupBy(app_id).agg(F.min(F.when(ok, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
+    wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
+    offered = programs.filter("priority IS NOT NULL").select(*wanted, F.lit(None).cast("double").alias("_floor"))
+    pairs = joins.band_lookup(applications, income, offered, "_floor", "income_limit", closed=True)
+    affordable = F.col("price_limit").isNull() | (F.col(price) <= F.col("price_limit"))
+    fits = F.col("program").isNotNull() & affordable
+    best = pairs.groupBy(app_id).agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     out = applications.join(best, app_id, "left").select(*applications.columns, *picked)
     return _loan_terms(out, price, income)

@@ -79,12 +79,8 @@ def lookup(df: DataFrame, col: str, key: str) -> DataFrame:
 
 
 def by_group(df: DataFrame, group: str, key: str) -> DataFrame:
-    """Sorted distinct keys of each group as one text."""
-    distinct = df.select(group, key).distinct()
-    return distinct.groupBy(group).agg(
-        F.array_join(F.sort_array(F.collect_list(F.col(key).cast("string"))), ",").alias("keys"),
-        F.count(F.lit(1)).alias("n_keys"),
-    )
+    """The distinct keys of each group as rows, with their number of occurrences."""
+    return df.groupBy(group, key).agg(F.count(F.lit(1)).alias("n"))
 
 
 # fixed values: days until the next run of each update frequency

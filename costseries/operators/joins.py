@@ -60,38 +60,42 @@ def scalar_baseline(df: DataFrame, where: Column, value: str) -> Column:
     return df.agg(F.max(F.when(where, F.col(value)))).scalar()
 
 
+CELLS = 1024
+
+
 def band_lookup(
-    df: DataFrame, value: str, bands: DataFrame, low: str, high: str, width: Column | float, how: str = "left"
+    df: DataFrame, value: str, bands: DataFrame, low: str, high: str, closed: bool = False, how: str = "left"
 ) -> DataFrame:
-    """Join rows to the bands with ``low <= value < high``; an open end is NULL.
+    """Join rows to the bands with ``low <= value < high`` (``closed``: ``<= high``); NULL is open.
 
-    A range condition alone would need every pair to be compared. Here each band is listed
-    under the fixed-width cells it touches inside the value span, rows look up their own cell,
-    and the exact bounds are checked on that equi-join. ``width`` sets the cell size.
+    A range condition alone would compare every pair. Here the value span is cut into equal
+    cells, each band is listed under the cells it touches, rows look up their own cell, and the
+    exact bounds are checked on that equi-join.
     """
-    width = F.lit(float(width)) if isinstance(width, (int, float)) else width
+    span = df.agg(F.struct(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))).scalar()
 
-    def cell(c: Column) -> Column:
-        return F.floor(c / width).cast("bigint")
+    def cell(c: Column, s: Column) -> Column:
+        width = F.when(s["hi"] > s["lo"], (s["hi"] - s["lo"]) / CELLS).otherwise(1.0)
+        return F.floor((c - s["lo"]) / width).cast("bigint")
 
-    span = df.agg(
-        F.struct(cell(F.min(F.col(value))).alias("first"), cell(F.max(F.col(value))).alias("last"))
-    )
-    spanned = bands.withColumn("_span", span.scalar())
-    first = F.greatest(F.coalesce(cell(F.col(low)), F.col("_span.first")), F.col("_span.first"))
-    last = F.least(F.coalesce(cell(F.col(high)), F.col("_span.last")), F.col("_span.last"))
+    s = F.col("_span")
+    first = F.greatest(F.coalesce(cell(F.col(low), s), F.lit(0)), F.lit(0))
+    last = F.least(F.coalesce(cell(F.col(high), s), F.lit(CELLS)), F.lit(CELLS))
     listed = (
-        spanned.withColumns({"_first": first, "_last": last})
-        .filter(F.col("_first") <= F.col("_last"))
+        bands.withColumn("_span", span)
+        .withColumns({"_first": first, "_last": last})
+        .filter(s.isNotNull() & (F.col("_first") <= F.col("_last")))
         .withColumn("_cell", F.explode(F.sequence("_first", "_last")))
         .drop("_span", "_first", "_last")
     )
+    under = F.col(value) <= F.col(high) if closed else F.col(value) < F.col(high)
     in_band = (
         (F.col("_at") == F.col("_cell"))
         & (F.col(low).isNull() | (F.col(value) >= F.col(low)))
-        & (F.col(high).isNull() | (F.col(value) < F.col(high)))
+        & (F.col(high).isNull() | under)
     )
-    return df.withColumn("_at", cell(F.col(value))).join(listed, in_band, how).drop("_at", "_cell")
+    placed = df.withColumn("_span", span).withColumn("_at", cell(F.col(value), s)).drop("_span")
+    return placed.join(listed, in_band, how).drop("_at", "_cell")
 
 
 def explode_list(df: DataFrame, col: str, name: str, sep: str = ",") -> DataFrame:

@@ -150,85 +150,66 @@ def quantiles_large(
 
     1. A sketch per key gives a narrow value range around each wanted rank.
     2. One aggregate counts the rows below each range and collapses the rows inside it to
-       distinct values with counts; only those are ordered, split by key and probability.
-    3. Where the sketch's range misses the rank (it may, being approximate) the whole key is
-       used for that probability, so the answer is exact in every case.
+       distinct values with counts; only those few are ordered, split by key and probability.
+    3. Where the sketch's range misses the rank (it may, being approximate) the distinct values
+       of that whole key are used instead, so the answer is exact in every case.
     """
+    names = list(probs)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     margin = 8.0 / accuracy
     marks = [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-margin, margin)]
     sketch = vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_marks"),
+        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
     )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("prob"),
-                F.lit(p).alias("p"),
-                F.get("_marks", F.lit(2 * i)).alias("lo"),
-                F.get("_marks", F.lit(2 * i + 1)).alias("hi"),
-            )
-            for i, (name, p) in enumerate(probs.items())
-        ]
+    flat = [F.get("_m", F.lit(i)).alias(f"_m{i}") for i in range(len(marks))]
+    ranges = sketch.select(*keys, "_n", *flat)
+    entries = []
+    for i in range(len(names)):
+        low, high = F.col(f"_m{2 * i}"), F.col(f"_m{2 * i + 1}")
+        inside = F.when(F.col("_v") >= low, F.col("_v"))
+        entry = F.struct(F.lit(i).alias("i"), inside.alias("v"))
+        entries.append(F.when(F.col("_v") <= high, entry))
+    counted = (
+        _inner_on(vals, ranges, keys)
+        .select(*keys, "_n", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
+        .groupBy(*keys, "_n", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranges = sketch.select(*keys, "_n", wanted.alias("_w"))
-
-    def joined(r: DataFrame) -> DataFrame:
-        right = r.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in r.columns if c not in keys])
-        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-        return vals.join(right, on).drop(*[f"_r_{k}" for k in keys])
-
-    counts = (
-        joined(ranges)
-        .groupBy(*keys)
-        .agg(
-            F.any_value("_n").alias("_n"),
-            F.any_value("_w").alias("_w"),
-            *[F.count_if(F.col("_v") < F.col("_w")[i]["lo"]).alias(f"_below{i}") for i in range(len(probs))],
-            *[F.count_if(F.col("_v") <= F.col("_w")[i]["hi"]).alias(f"_upto{i}") for i in range(len(probs))],
-        )
+    rank = F.element_at(F.array(*[F.lit(p) for p in probs.values()]), F.col("_i") + 1) * (F.col("_n") - 1)
+    per_range = counted.groupBy(*keys, "_n", "_i").agg(
+        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
+        F.sum("_c").alias("_upto"),
     )
-    bounds = []
-    for i in range(len(probs)):
-        w = F.col("_w")[i]
-        rank = w["p"] * (F.col("_n") - 1)
-        covered = (F.col(f"_below{i}") <= F.floor(rank)) & (F.ceil(rank) < F.col(f"_upto{i}"))
-        inf = F.lit(float("inf"))
-        bounds.append(
-            F.struct(
-                w["prob"].alias("prob"),
-                rank.alias("rank"),
-                F.when(covered, w["lo"]).otherwise(-inf).alias("lo"),
-                F.when(covered, w["hi"]).otherwise(inf).alias("hi"),
-                F.when(covered, F.col(f"_below{i}")).otherwise(F.lit(0)).alias("below"),
-            )
-        )
-    checked = counts.select(*keys, F.array(*bounds).alias("_b"))
-    inside = F.filter("_b", lambda b: (F.col("_v") >= b["lo"]) & (F.col("_v") <= b["hi"]))
-    slices = (
-        joined(checked)
-        .select(*keys, "_v", F.explode(inside).alias("b"))
-        .groupBy(*keys, "b.prob", "b.rank", "b.below", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+    covered = (F.col("_below") <= F.floor(rank)) & (F.ceil(rank) < F.col("_upto"))
+    missed = per_range.filter(~covered).select(*keys, "_n", "_i")
+    whole = (
+        _inner_on(vals, missed, keys).groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
     )
-    w = Window.partitionBy(*keys, "prob").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = slices.withColumn("_last", F.col("below") + F.sum("_c").over(w) - 1)
+    narrow = _inner_on(counted, per_range.filter(covered).select(*keys, "_i"), [*keys, "_i"])
+    w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
+    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = narrow.unionByName(whole).withColumns({"_last": upto - 1, "_rank": rank})
     first = F.col("_last") - F.col("_c") + 1
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= F.col("_last")), F.col("_v")))
+    def at(position: Column) -> Column:
+        return F.max(F.when((first <= position) & (position <= F.col("_last")), F.col("_v")))
 
-    low, high = F.floor("rank"), F.ceil("rank")
-    per_prob = ranked.groupBy(*keys, "prob").agg(
-        at(low).alias("_lo"), at(high).alias("_hi"), F.any_value(F.col("rank") - low).alias("_f")
-    )
-    value_at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
-    return (
-        per_prob.withColumn("_q", value_at)
-        .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("prob") == name, F.col("_q"))).alias(name) for name in probs])
+    per_prob = ranked.groupBy(*keys, "_i").agg(
+        at(F.floor("_rank")).alias("_lo"),
+        at(F.ceil("_rank")).alias("_hi"),
+        F.any_value(F.col("_rank") - F.floor("_rank")).alias("_f"),
     )
+    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
+    wide = [F.max(F.when(F.col("_i") == i, quantile)).alias(n) for i, n in enumerate(names)]
+    return per_prob.groupBy(*keys).agg(*wide)
+
+
+def _inner_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
 
 
 def quartile_fence(
@@ -265,12 +246,12 @@ def arg_extremes(df: DataFrame, order: str, label: str, keys: Sequence[str] = ()
 
 
 def dim_statistics(df: DataFrame, group: str, measure: str, label: str) -> DataFrame:
-    """Members, total, mean and the sorted distinct labels per group of a dimension."""
+    """Members, total, mean and number of distinct labels per group (their list: ``dims.by_group``)."""
     return df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(measure).alias("total"),
         F.avg(measure).alias("mean"),
-        F.array_join(F.sort_array(F.collect_set(label)), ",").alias("labels"),
+        F.count_distinct(label).alias("n_labels"),
     )
 
 

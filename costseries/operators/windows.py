@@ -148,24 +148,21 @@ def variations(
     return changed.withColumns({m: pick(m) for m in daily}).select(*df.columns, *daily)
 
 
+def month_index(date: str) -> Column:
+    return F.year(date) * 12 + F.month(date)
+
+
 def calendar_change(
     df: DataFrame, keys: Sequence[str], date: str, value: str, periods: Mapping[str, int]
 ) -> DataFrame:
-    """Change against the row dated exactly ``n`` months earlier (a gap gives NULL)."""
-    out = df
-    for name, months in periods.items():
-        base = df.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.add_months(date, months).alias("_at"),
-            F.col(value).alias("_base"),
-        )
-        on = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col(date) == F.col("_at")]
-        out = (
-            out.join(base, on, "left")
-            .withColumn(name, growth(F.col(value), F.col("_base")))
-            .drop("_at", "_base", *[f"_k_{k}" for k in keys])
-        )
-    return out
+    """Change against the row exactly ``n`` months earlier; a gap gives NULL (monthly period table).
+
+    A one-month range frame reads the base, so all periods share one sort and nothing is joined.
+    """
+    w = Window.partitionBy(*keys).orderBy(month_index(date))
+    return df.withColumns(
+        {m: growth(F.col(value), F.max(value).over(w.rangeBetween(-n, -n))) for m, n in periods.items()}
+    )
 
 
 def diff_days(
@@ -222,16 +219,15 @@ def zscore(
 
 
 def ytd_12m_change(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
-    """12-month change and change accumulated since the previous December (period table)."""
-    yearly = pct_change(df, keys, date, value, {"chg_12m": 12}, pad=False)
-    december = df.filter(F.month(date) == 12).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        (F.year(date) + 1).alias("_year"),
-        F.col(value).alias("_december"),
-    )
-    on = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.year(date) == F.col("_year")]
-    return (
-        yearly.join(december, on, "left")
-        .withColumn("chg_ytd", growth(F.col(value), F.col("_december")))
-        .select(*df.columns, "chg_12m", "chg_ytd")
+    """12-month change and change since the previous December (monthly period table).
+
+    The twelve months before a row hold exactly one December, which is the base of the year.
+    """
+    w = Window.partitionBy(*keys).orderBy(month_index(date))
+    december = F.max(F.when(F.month(date) == 12, F.col(value))).over(w.rangeBetween(-12, -1))
+    return df.withColumns(
+        {
+            "chg_12m": growth(F.col(value), F.lag(value, 12).over(w)),
+            "chg_ytd": growth(F.col(value), december),
+        }
     )

@@ -36,17 +36,20 @@ from .registry import query
 )
 def br_numbers(spark, d):
     c = cents("l_extendedprice")
-    grouped, plain = br_text(c, True), br_text(c)
-    dotted = F.replace(plain, F.lit(","), F.lit("."))
-    return table(spark, d, "lineitem").select(
+    text = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", br_text(c, True).alias("grouped"), br_text(c).alias("plain")
+    )
+    dotted = F.replace(F.col("plain"), F.lit(","), F.lit("."))
+    flag = F.col("l_returnflag")
+    return text.select(
         "l_orderkey",
         "l_linenumber",
-        F.coalesce(br_number(F.when(F.col("l_returnflag") == "A", dotted).otherwise(grouped))).alias("auto"),
-        br_number(grouped, "strip_dots").alias("strip_dots"),
-        br_number(plain, "comma_only").alias("comma_only"),
-        currency_number(F.concat(F.lit("R$ "), grouped)).alias("currency"),
+        br_number(F.when(flag == "A", dotted).otherwise(F.col("grouped"))).alias("auto"),
+        br_number(F.col("grouped"), "strip_dots").alias("strip_dots"),
+        br_number(F.col("plain"), "comma_only").alias("comma_only"),
+        currency_number(F.concat(F.lit("R$ "), F.col("grouped"))).alias("currency"),
         br_number(dotted, "strip_dots").alias("misread"),
-        br_number(F.when(F.col("l_returnflag") == "N", F.lit(" N/D ")).otherwise(plain)).alias("marked"),
+        br_number(F.when(flag == "N", F.lit(" N/D ")).otherwise(F.col("plain"))).alias("marked"),
     )
 
 

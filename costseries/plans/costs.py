@@ -27,7 +27,7 @@ SELECT *, CASE band WHEN 'low' THEN 1.0 WHEN 'mid' THEN 1.1 WHEN 'high' THEN 1.2
 )
 def band_lookup(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    out = joins.band_lookup(orders, "o_totalprice", bands(spark), "band_min", "band_max", 10000.0)
+    out = joins.band_lookup(orders, "o_totalprice", bands(spark), "band_min", "band_max")
     adjusted = F.round(F.col("o_totalprice") * F.col("multiplier"), 6)
     return out.withColumn("adjusted", adjusted).drop("band_min", "band_max")
 
@@ -116,11 +116,10 @@ a AS (SELECT o_orderkey, o_totalprice AS price, c_acctbal AS income,
 t AS (SELECT *, CASE program WHEN 'MCMV_FAIXA_1' THEN 4.00 WHEN 'MCMV_FAIXA_2' THEN 4.75 WHEN 'MCMV_FAIXA_3' THEN 7.66
                   WHEN 'PRO_COTISTA_FGTS' THEN 8.66 ELSE 10.49 END::DOUBLE AS rate, 420 AS months,
         price * CASE program WHEN 'MCMV_FAIXA_1' THEN 100 WHEN 'MCMV_FAIXA_2' THEN 90 ELSE 80 END::DOUBLE / 100 AS fin FROM a),
-l AS (SELECT o_orderkey, program, rate AS yearly_rate, months, round(fin, 6) AS financed, round(price - fin, 6) AS down_payment,
-        fin / months + fin * (rate / 100 / 12) AS first, round(fin / months + fin / months * (rate / 100 / 12), 6) AS last_instalment,
-        income * 0.3::DOUBLE AS cap FROM t),
-loans AS (SELECT o_orderkey, program, yearly_rate, months, financed, down_payment, round(first, 6) AS first_instalment,
-        last_instalment, round(cap, 6) AS max_instalment, first <= cap AS approved FROM l)"""
+l AS (SELECT o_orderkey, program, rate AS yearly_rate, months, fin AS financed, price - fin AS down_payment,
+        fin / months + fin * (rate / 100 / 12) AS first_instalment,
+        fin / months + fin / months * (rate / 100 / 12) AS last_instalment, income * 0.3::DOUBLE AS max_instalment FROM t),
+loans AS (SELECT *, first_instalment <= max_instalment AS approved FROM l)"""
 
 
 def applications(spark, d):
@@ -130,8 +129,8 @@ def applications(spark, d):
 
 
 def _loan_view(df):
-    money = ("financed", "down_payment", "first_instalment", "last_instalment", "max_instalment")
-    return df.select("o_orderkey", "program", "yearly_rate", "months", *[F.round(c, 6).alias(c) for c in money], "approved")
+    terms = ("program", "yearly_rate", "months", "financed", "down_payment")
+    return df.select("o_orderkey", *terms, "first_instalment", "last_instalment", "max_instalment", "approved")
 
 
 @query("q42_loan_assignment", f"WITH {LOAN_SQL} SELECT * FROM loans")
@@ -142,7 +141,7 @@ def loan_assignment(spark, d):
 @query("q116_loan_assignment_large", f"WITH {LOAN_SQL} SELECT * FROM loans")
 def loan_assignment_large(spark, d):
     programs = costs.program_params(spark)
-    return _loan_view(costs.loan_assignment_large(applications(spark, d), programs, "o_orderkey", "price", "income", 500.0))
+    return _loan_view(costs.loan_assignment_large(applications(spark, d), programs, "o_orderkey", "price", "income"))
 
 
 @query(

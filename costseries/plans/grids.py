@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import MONTHS
 from ..operators import grid, upsert
-from ..session import table
+from ..session import landed, table
 from .common import CUSTOMER_ORDERS_SQL, br_text, cents, cents_sql, customer_orders
 from .registry import query
 
@@ -60,7 +60,7 @@ def melt(spark, d):
 def region_sheets(spark, d) -> DataFrame:
     """One sheet per market segment: a region heading, its year rows, then a source note."""
     keys = ["c_mktsegment", "r_regionkey", "r_name"]
-    rows = year_rows(customer_orders(spark, d), *keys)
+    rows = landed(year_rows(customer_orders(spark, d), *keys), "region-years")
     base = F.col("r_regionkey") * 1000
     body = rows.select(
         F.col("c_mktsegment").alias("sheet"), (base + F.col("year") - 1980).cast("bigint").alias("row_idx"), "cells"
@@ -78,7 +78,7 @@ def region_sheets(spark, d) -> DataFrame:
         text_row("Fonte: Banco de Dados", "").alias("cells"),
     )
     both = body.unionByName(heading).unionByName(note)
-    return both.select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells")
+    return landed(both.select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells"), "region-sheets")
 
 
 @query(
@@ -111,7 +111,7 @@ def index_sheets(spark, d) -> DataFrame:
     title = rows.select("source", "sheet").distinct().select(
         "*", F.lit(0).cast("bigint").alias("row_idx"), text_row("Variações Percentuais", "MÊS", "ÍNDICE").alias("cells")
     )
-    return rows.unionByName(title)
+    return landed(rows.unionByName(title), "index-sheets")
 
 
 @query(
@@ -145,7 +145,8 @@ def tidy_annual(spark, d):
     header = rows.select("source", "sheet").distinct().select(
         "*", F.lit(0).cast("bigint").alias("row_idx"), text_row("ANO", "TOTAL", "N").alias("cells")
     )
-    return grid.tidy_annual(rows.unionByName(header), {"total": 1, "n": 2}).drop("source")
+    sheets = landed(rows.unionByName(header), "annual-sheets")
+    return grid.tidy_annual(sheets, {"total": 1, "n": 2}).drop("source")
 
 
 @query(
@@ -174,7 +175,7 @@ def mixed_period(spark, d):
         (F.col("year") * 100 + F.col("pos")).cast("bigint").alias("row_idx"),
         F.array(year, F.col("label"), br_text(F.col("c"))).alias("cells"),
     )
-    return grid.tidy_mixed_period(rows, low=1990).drop("source")
+    return grid.tidy_mixed_period(landed(rows, "mixed-sheets"), low=1990).drop("source")
 
 
 def text_grid(spark, d) -> DataFrame:
@@ -225,7 +226,7 @@ def place_sheets(spark, d) -> DataFrame:
     extra = [sheets.select("sheet", F.lit(i).cast("bigint").alias("row_idx"), c.alias("cells")) for i, c in fixed.items()]
     for part in extra:
         rows = rows.unionByName(part)
-    return rows.select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells")
+    return landed(rows.select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells"), "place-sheets")
 
 
 @query(
@@ -244,7 +245,7 @@ STATE_BY_REGION = {0: "MATO GROSSO DO SUL", 1: "MATO GROSSO", 2: "PARÁ", 3: "PA
 def state_sheets(spark, d) -> DataFrame:
     """One sheet per market segment; headings name a state and, for some, a standard."""
     keys = ["c_mktsegment", "r_regionkey", "o_orderstatus"]
-    rows = year_rows(customer_orders(spark, d), *keys)
+    rows = landed(year_rows(customer_orders(spark, d), *keys), "state-years")
     names = F.get(F.array(*[F.lit(STATE_BY_REGION[i]) for i in range(5)]), F.col("r_regionkey"))
     standard = F.when(F.col("o_orderstatus") == "F", " (PADRÃO - R1-B)").when(F.col("o_orderstatus") == "O", " (padrão - r8-n )")
     base = F.col("r_regionkey") * 10000 + F.ascii("o_orderstatus") * 100
@@ -256,16 +257,19 @@ def state_sheets(spark, d) -> DataFrame:
         base.cast("bigint").alias("row_idx"),
         F.array(F.concat(names, F.coalesce(standard, F.lit(" (PADRÃO - CAL-8)")))).alias("cells"),
     )
-    return body.unionByName(heading).select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells")
+    both = body.unionByName(heading)
+    return landed(both.select(F.lit("orders").alias("source"), "sheet", "row_idx", "cells"), "state-sheets")
 
 
 @query(
     "q113_tidy_state_standard",
-    f"""WITH {CUSTOMER_ORDERS_SQL}
+    f"""WITH {CUSTOMER_ORDERS_SQL}, f AS (
 SELECT c_mktsegment AS sheet, ['MS', 'MT', 'PA', 'PR', 'PB'][r_regionkey + 1] AS state,
        CASE o_orderstatus WHEN 'F' THEN 'R1-B' WHEN 'O' THEN 'R8-N' ELSE 'CAL-8' END AS standard,
        CAST(date_trunc('month', o_orderdate) AS DATE) AS ref_date,
-       CAST(sum({cents_sql('o_totalprice')}) AS DOUBLE) / 100 AS value FROM co GROUP BY ALL""",
+       CAST(sum({cents_sql('o_totalprice')}) AS DOUBLE) / 100 AS value FROM co GROUP BY ALL)
+-- a year row with a single month is more than 80 % empty, hence noise
+SELECT * FROM f QUALIFY count(*) OVER (PARTITION BY sheet, state, standard, year(ref_date)) > 1""",
 )
 def tidy_state_standard(spark, d):
     return grid.tidy_state_standard(state_sheets(spark, d)).drop("source")

@@ -49,6 +49,13 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to a fresh folder and read it back: computed once, however often it is used."""
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut lineage on reliable storage; partition numbers of the result are stable on re-reads."""
     spark = df.sparkSession

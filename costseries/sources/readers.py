@@ -101,18 +101,29 @@ CATALOG_ENTRY = (
 
 def flatten_catalog(df: DataFrame, document: str, entry: str = CATALOG_ENTRY) -> DataFrame:
     """Catalogue documents to one row per series: the ``series`` sub-tree and, prefixed
-    ``focus_``, the endpoints of the ``expectations`` sub-tree."""
-    schema = f"struct<series:map<string,{entry}>, expectations:struct<endpoints:map<string,{entry}>>>"
+    ``focus_``, the endpoints of the ``expectations`` sub-tree. Each document is parsed once."""
+    tree = f"map<string,{entry}>"
+    schema = f"struct<series:{tree}, expectations:struct<endpoints:{tree}>>"
     ids = [c for c in df.columns if c != document]
-    parsed = df.select(*ids, F.from_json(document, schema).alias("_d"))
 
-    def rows(tree: Column, kind: str, prefix: str) -> DataFrame:
-        pairs = parsed.select(*ids, F.explode(tree).alias("_id", "_e"))
-        return pairs.select(
-            *ids, F.concat(F.lit(prefix), F.col("_id")).alias("series_id"), "_e.*", F.lit(kind).alias("source_kind")
+    def listed(entries: Column, kind: str, prefix: str) -> Column:
+        tagged = F.transform(
+            F.map_entries(entries),
+            lambda e: F.struct(
+                F.concat(F.lit(prefix), e["key"]).alias("series_id"),
+                e["value"].alias("entry"),
+                F.lit(kind).alias("source_kind"),
+            ),
         )
+        return F.coalesce(tagged, F.array())
 
-    focus = rows(F.col("_d.expectations.endpoints"), "expectation", "focus_")
-    if "category" in focus.columns:
-        focus = focus.withColumn("category", F.lit("expectations"))
-    return rows(F.col("_d.series"), "series", "").unionByName(focus)
+    parsed = df.select(*ids, F.from_json(document, schema).alias("_d"))
+    both = F.concat(
+        listed(F.col("_d.series"), "series", ""),
+        listed(F.col("_d.expectations.endpoints"), "expectation", "focus_"),
+    )
+    out = parsed.select(*ids, F.explode(both).alias("_s")).select(
+        *ids, "_s.series_id", "_s.entry.*", "_s.source_kind"
+    )
+    category = F.when(F.col("source_kind") == "expectation", "expectations").otherwise(F.col("category"))
+    return out.withColumn("category", category)
