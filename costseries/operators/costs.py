@@ -366,7 +366,7 @@ SERVICE_TAX_PATTERNS = [
 
 def extract_rate(text: Column, patterns: Sequence[str]) -> Column:
     """Percent announced by the first pattern that matches anywhere in the text (case-blind)."""
-    matches = [F.nullif(F.regexp_extract(text, f"(?i){p}", 1), F.lit("")) for p in patterns]
+    matches = [F.nullif(F.regexp_extract(text, f"(?iu){p}", 1), F.lit("")) for p in patterns]
     return to_double(F.replace(F.coalesce(*matches), F.lit(","), F.lit(".")))
 
 

@@ -19,6 +19,7 @@ from ..functions import (
     strip_accents,
 )
 from ..functions.dates import MONTHS
+from ..functions.text import ACCENTED, PLAIN
 from . import upsert, windows
 
 SHEET = ("source", "sheet")
@@ -220,13 +221,12 @@ def tidy_region_matrix(
 
 
 def state_code(text: Column) -> Column:
-    """Code of the state named in a heading; the longest matching name wins."""
-    plain = strip_accents(F.upper(text))
-    by_length = sorted(STATES.items(), key=lambda kv: (-len(kv[0]), kv[0]))
-    out = F.lit(None).cast("string")
-    for name, code in reversed(by_length):
-        out = F.when(plain.contains(strip_accents(F.lit(name))), code).otherwise(out)
-    return out
+    """Code of the state named in a heading; of names that start alike the longest wins."""
+    codes = {name.translate(str.maketrans(ACCENTED, PLAIN)): code for name, code in STATES.items()}
+    named = "|".join(sorted(codes, key=lambda n: (-len(n), n)))
+    name = F.regexp_extract(strip_accents(F.upper(text)), f"({named})", 1)
+    entries = [F.lit(x) for pair in codes.items() for x in pair]
+    return F.try_element_at(F.create_map(*entries), name)
 
 
 def tidy_state_standard(

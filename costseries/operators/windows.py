@@ -5,8 +5,9 @@ Two shapes of input are told apart:
 * *period tables*: one row per key and period. A key then has at most as many rows as the
   calendar has periods, so a plain window per key is small, however skewed the raw data was.
 * *raw tables*: a key may hold any number of rows. Ordered operators then take ``chunk``, a
-  non-decreasing function of the order column. Each (key, chunk) is windowed on its own and
-  the values that cross a chunk border travel through a table with one row per chunk.
+  non-decreasing function of the order column. Each (key, chunk) is windowed on its own; what it
+  needs from earlier chunks is put in front of it as a few extra rows, found with one row (or
+  ``n`` rows, for a lag of n) per chunk. The table itself is shuffled once.
   Partition-wide statistics are aggregated map-side and joined back, never windowed.
 """
 
@@ -16,7 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CHUNK = "_chunk"
+CHUNK, EXTRA = "_chunk", "_extra"
 
 
 def fill_forward(
@@ -30,16 +31,20 @@ def fill_forward(
 
     chunked = df.withColumn(CHUNK, chunk)
     ends = chunked.groupBy(*keys, CHUNK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_end_{c}") for c in cols]
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in cols]
     )
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        *keys, CHUNK, *[F.last(f"_end_{c}", ignorenulls=True).over(before).alias(f"_in_{c}") for c in cols]
-    )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(order).rowsBetween(*to_here)
-    joined = _join_on(chunked, carry, [*keys, CHUNK])
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_in_{c}")) for c in cols}
-    return joined.withColumns(filled).select(*df.columns)
+    carried = ends.select(*keys, CHUNK, *[F.last(c, ignorenulls=True).over(before).alias(c) for c in cols])
+    rows = _in_front(chunked, carried)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(F.col(EXTRA).desc(), order).rowsBetween(*to_here)
+    filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols})
+    return filled.filter(~F.col(EXTRA)).select(*df.columns)
+
+
+def _in_front(chunked: DataFrame, extra: DataFrame) -> DataFrame:
+    """Add rows that only serve the window of their chunk, marked to sort first and be dropped."""
+    marked = extra.withColumn(EXTRA, F.lit(True))
+    return chunked.withColumn(EXTRA, F.lit(False)).unionByName(marked, allowMissingColumns=True)
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,29 +67,26 @@ def with_lags(
         return df.withColumns({name: F.lag(c, n).over(w) for name, (c, n) in lags.items()})
 
     depth = max(n for _, n in lags.values())
-    sources = sorted({c for c, _ in lags.values()})
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    chunked = df.withColumn(CHUNK, chunk).withColumn("_pos", F.row_number().over(inside))
-    sizes = chunked.groupBy(*keys, CHUNK).agg(F.max("_pos").alias("_size"))
+    sources = sorted({c for c, _ in lags.values()} - {order})
+    chunked = df.withColumn(CHUNK, chunk)
+    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(order))
     tails = (
-        _join_on(chunked, sizes, [*keys, CHUNK])
-        .filter(F.col("_pos") > F.col("_size") - depth)
+        chunked.select(*keys, CHUNK, order, *sources)
+        .withColumn("_rn", F.row_number().over(newest))
+        .filter(F.col("_rn") <= depth)
         .groupBy(*keys, CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", *sources))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct(order, *sources))).alias("_tail"))
     )
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-depth, -1)
-    carry = tails.select(*keys, CHUNK, F.flatten(F.collect_list("_tail").over(earlier)).alias("_prev"))
-
-    joined = _join_on(chunked, carry, [*keys, CHUNK])
-
-    def value(name: str, n: int) -> Column:
-        from_prev = F.try_element_at(F.col("_prev"), (F.col("_pos") - 1 - n).cast("int"))[name]
-        return F.when(F.col("_pos") > n, F.lag(name, n).over(inside)).otherwise(
-            F.when(F.col("_pos") <= n, from_prev)
-        )
-
-    out = joined.withColumns({name: value(c, n) for name, (c, n) in lags.items()})
-    return out.select(*df.columns, *lags)
+    previous = F.flatten(F.collect_list("_tail").over(earlier))
+    carried = (
+        tails.withColumn("_previous", previous)
+        .select(*keys, CHUNK, F.explode(F.slice(F.reverse("_previous"), 1, depth)).alias("_p"))
+        .select(*keys, CHUNK, f"_p.{order}", *[f"_p.{c}" for c in sources])
+    )
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
+    lagged = _in_front(chunked, carried).withColumns({m: F.lag(c, n).over(inside) for m, (c, n) in lags.items()})
+    return lagged.filter(~F.col(EXTRA)).select(*df.columns, *lags)
 
 
 def growth(current: Column, previous: Column, scale: float = 100.0) -> Column:
