@@ -85,7 +85,7 @@ def quality_flags(
             F.col("_z") > ZSCORE_LIMIT,
             OUTLIER,
             grade(F.col("_z") > ZSCORE_HIGH),
-            F.format_string("z-score: %.2f, mean: %.2f", "_z", "_avg"),
+            F.format_string("z-score: %.2f, mean: %.2f", "_z", F.col("_avg").cast("double")),
         ),
         HIGH_MOM: flag(
             _mom_flagged(F.col("_v"), F.col("_prev"), F.col("_mom"), MOM_LIMIT),
@@ -93,7 +93,12 @@ def quality_flags(
             grade((F.abs("_mom") > MOM_HIGH) | F.col("_mom").isNull()),
             F.coalesce(F.format_string("change: %.2f%%", F.col("_mom") * 100), F.lit("change from zero")),
         ),
-        NEGATIVE: flag(F.col(value) < 0, NEGATIVE, F.lit("high"), F.format_string("negative value: %.2f", value)),
+        NEGATIVE: flag(
+            F.col(value) < 0,
+            NEGATIVE,
+            F.lit("high"),
+            F.format_string("negative value: %.2f", F.col(value).cast("double")),
+        ),
     }
     found = base.withColumn("_f", F.explode(F.array_compact(F.array(*[flags[c] for c in checks]))))
     return found.select(

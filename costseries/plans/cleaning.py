@@ -62,25 +62,28 @@ def br_numbers(spark, d):
        CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(month(o_orderdate) AS INT) END AS month_no FROM orders""",
 )
 def parse_dates(spark, d):
-    day = F.col("o_orderdate").cast("date")
-    status = F.col("o_orderstatus")
-    text = (
+    day, status = F.col("o_orderdate").cast("date"), F.col("o_orderstatus")
+    label = month_label(F.month(day))
+    text = table(spark, d, "orders").select(
+        "o_orderkey",
+        day.alias("d"),
         F.when(status == "F", F.date_format(day, "yyyy-MM-dd"))
         .when(status == "P", F.date_format(day, "dd/MM/yyyy"))
         .otherwise(F.date_format(day, "yyyy-MM"))
+        .alias("dated"),
+        F.when(status == "F", F.concat(F.lower(label), F.date_format(day, "/yy")))
+        .otherwise(F.date_format(day, "MM/yyyy"))
+        .alias("named"),
+        F.when(status == "F", F.lit("XXX")).otherwise(F.concat(F.lit(" "), label)).alias("label"),
     )
-    label = month_label(F.month(day))
-    named = F.when(status == "F", F.concat(F.lower(label), F.date_format(day, "/yy"))).otherwise(
-        F.date_format(day, "MM/yyyy")
-    )
-    quarter = F.concat(F.lit("Q"), F.quarter(day).cast("string"))
-    return table(spark, d, "orders").select(
+    quarter = F.concat(F.lit("Q"), F.quarter("d").cast("string"))
+    return text.select(
         "o_orderkey",
-        parse_date_multi(text).alias("day"),
-        parse_pt_month(named).alias("month_named"),
-        period_to_date(F.year(day), F.month(day)).alias("month_joined"),
-        period_to_date(F.year(day), quarter_to_month(quarter)).alias("quarter_start"),
-        month_name_to_num(F.when(status == "F", F.lit("XXX")).otherwise(F.concat(F.lit(" "), label))).alias("month_no"),
+        parse_date_multi(F.col("dated")).alias("day"),
+        parse_pt_month(F.col("named")).alias("month_named"),
+        period_to_date(F.year("d"), F.month("d")).alias("month_joined"),
+        period_to_date(F.year("d"), quarter_to_month(quarter)).alias("quarter_start"),
+        month_name_to_num(F.col("label")).alias("month_no"),
     )
 
 
@@ -92,10 +95,16 @@ FROM orders""",
 def excel_serial(spark, d):
     day = F.col("o_orderdate").cast("date")
     serial = F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string")
-    raw = F.when(F.col("o_orderstatus") == "P", F.date_format(day, "yyyy-MM-dd")).otherwise(serial)
-    created = excel_serial_timestamp(F.concat(serial, F.lit(".25")))
-    return table(spark, d, "orders").select(
-        "o_orderkey", excel_serial_date(raw).alias("day"), F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created")
+    text = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.date_format(day, "yyyy-MM-dd")).otherwise(serial).alias("day"),
+        F.concat(serial, F.lit(".25")).alias("created"),
+    )
+    created = excel_serial_timestamp(F.col("created"))
+    return text.select(
+        "o_orderkey",
+        excel_serial_date(F.col("day")).alias("day"),
+        F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created"),
     )
 
 

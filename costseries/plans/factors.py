@@ -33,7 +33,7 @@ def ordered_months(spark: SparkSession, d: str) -> DataFrame:
 
 def factors(spark: SparkSession, d: str) -> DataFrame:
     fact = ordered_months(spark, d)
-    out = costs.empirical_factors(fact, "region", "ref_date", "value", BASELINE, months=None, digits=4)
+    out = costs.empirical_factors(fact, "region", "ref_date", "value", BASELINE, months=None, digits=6)
     return out.withColumn("std_value", F.round("std_value", 2))
 
 
@@ -44,7 +44,7 @@ fact AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
 means AS (
-  SELECT region, round(avg(value), 4) AS avg_value, count(*) AS n, round(stddev_samp(value), 4) AS sd,
+  SELECT region, round(avg(value), 6) AS avg_value, count(*) AS n, round(stddev_samp(value), 6) AS sd,
          min(ref_date) AS first_date, max(ref_date) AS last_date
   FROM fact WHERE ref_date >= (SELECT max(ref_date) FROM fact) - INTERVAL 12 MONTH GROUP BY region),
 emp AS (

@@ -21,7 +21,7 @@ from ..sources import (
     write_overwrite,
     write_upsert,
 )
-from ..streaming import merged_view, run_available, stream_dedup, stream_quality, stream_series, stream_upsert
+from ..streaming import merged_view, run_available, stream_changes, stream_dedup, stream_quality, stream_series, stream_upsert
 from .common import br_text, cents, cents_sql, money_sql, month, nation_months, nation_months_sql
 from .registry import query
 
@@ -411,3 +411,23 @@ def streamed_series(spark, d):
             F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("total_cents"), F.max("ref_date").alias("last_date")
         )
     )
+
+
+@query(
+    "q121_stream_changes",
+    f"""WITH e AS (SELECT event_type, ts, max({cents_sql('value')}) AS c FROM events GROUP BY ALL),
+g AS (SELECT *, c::DOUBLE / nullif(lag(c) OVER (PARTITION BY event_type ORDER BY ts), 0) - 1 AS mom,
+             lag(c) OVER (PARTITION BY event_type ORDER BY ts) AS p FROM e)
+SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, c, round(mom, 6) AS mom FROM g
+WHERE abs(mom) > 0.5 OR (p = 0 AND c <> 0)""",
+)
+def streamed_changes(spark, d):
+    base = workspace(spark, "stream-changes")
+    points = event_stream(spark, d).select("event_type", "ts", cents("value").alias("c"))
+    writer = stream_changes(
+        points, f"{base}/store", f"{base}/flags", f"{base}/progress", "event_type", "ts", "c", 0.5, F.col("ts").cast("date")
+    )
+    run_available(writer)
+    return spark.read.parquet(f"{base}/flags").select(
+        "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", F.round("mom", 6).alias("mom")
+    )

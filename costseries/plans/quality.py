@@ -11,12 +11,14 @@ from .common import (
     MONTH_SQL,
     cents,
     cents_sql,
+    event_days,
     nation_months,
     nation_months_sql,
     supplied_lines,
     month,
 )
 from .registry import query
+from .series import event_chunk, event_points
 
 
 @query(
@@ -209,8 +211,6 @@ SELECT *, n / span_days::DOUBLE AS density, CASE WHEN n / span_days::DOUBLE > 0.
 FROM g""",
 )
 def daily_profile(spark, d):
-    from .common import event_days
-
     out = stats.series_profile(event_days(spark, d), ["event_type"], "ref_date", "value")
     return out.withColumn("mean_value", F.round("mean_value", 4))
 
@@ -286,3 +286,22 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(sum(n - 1) AS
 )
 def dedup_counts(spark, d):
     return upsert.dedup_counts(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "q120_raw_quality_flags",
+    f"""WITH e AS (SELECT event_type, ts, {cents_sql('value')} AS v FROM events),
+s AS (SELECT *, avg(v) OVER r AS m, stddev_pop(v) OVER r AS sp, lag(v) OVER (PARTITION BY event_type ORDER BY ts) AS p
+      FROM e WINDOW r AS (PARTITION BY event_type)),
+z AS (SELECT *, abs((v - m) / sp) AS z, v::DOUBLE / nullif(p, 0) - 1 AS mom FROM s)
+SELECT event_type AS series_id, 'outlier_zscore' AS flag, CASE WHEN z > 4 THEN 'high' ELSE 'medium' END AS severity,
+       count(*) AS n, CAST(max(v) AS BIGINT) AS largest FROM z WHERE z > 3 GROUP BY ALL
+UNION ALL SELECT event_type, 'high_mom_variation', CASE WHEN abs(mom) > 0.25 OR mom IS NULL THEN 'high' ELSE 'medium' END,
+       count(*), CAST(max(v) AS BIGINT) FROM z WHERE abs(mom) > 0.10 OR (p = 0 AND v <> 0) GROUP BY ALL""",
+)
+def raw_quality_flags(spark, d):
+    points = event_points(spark, d)
+    flags = quality.quality_flags(points, "event_type", "ts", "c", period_table=False, chunk=event_chunk())
+    return flags.groupBy("series_id", "flag", "severity").agg(
+        F.count(F.lit(1)).alias("n"), F.max("observed").alias("largest")
+    )

@@ -387,3 +387,28 @@ def calendar(spark, d):
     return spine.join(counts, "ref_date", "left").fillna(0, ["n_orders"])
 
 
+
+
+def event_points(spark, d):
+    """Raw events as points: one series per event type, any number of rows each."""
+    return table(spark, d, "events").select("event_type", "ts", cents("value").alias("c"))
+
+
+def event_chunk():
+    return F.col("ts").cast("date")
+
+
+@query(
+    "q119_raw_changes",
+    f"""WITH e AS (SELECT event_type, ts, {cents_sql('value')} AS c FROM events)
+SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, c, round((c::DOUBLE / lag(c) OVER w - 1) * 100, 4) AS chg_1,
+       round((c::DOUBLE / lag(c, 12) OVER w - 1) * 100, 4) AS chg_12,
+       CAST(CAST(ts AS DATE) - CAST(lag(ts) OVER w AS DATE) AS INT) AS gap_days
+FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts)""",
+)
+def raw_changes(spark, d):
+    points = windows.diff_days(event_points(spark, d), ["event_type"], "ts", chunk=event_chunk())
+    out = windows.pct_change(points, ["event_type"], "ts", "c", {"chg_1": 1, "chg_12": 12}, chunk=event_chunk())
+    return rounded(out, "chg_1", "chg_12").select(
+        "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", "chg_1", "chg_12", "gap_days"
+    )

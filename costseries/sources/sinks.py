@@ -37,13 +37,12 @@ def write_overwrite(
 ) -> None:
     """Replace a table with fixed column order, sorted inside each file.
 
-    With ``partition_by`` rows meet by partition value first, salted by the sort columns so
-    that one large partition is still written by many tasks.
+    With ``partition_by`` rows meet by partition value; the rebalance hint lets AQE split a
+    large partition value over many writers and merge small ones.
     """
     out = df.select(*cols)
     if partition_by:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in sort]), F.lit(16))
-        out = out.repartition(*[F.col(c) for c in partition_by], salt)
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     out = out.sortWithinPartitions(*partition_by, *sort)
     writer = out.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
