@@ -5,7 +5,7 @@ Two shapes of input are told apart:
 * *period tables*: one row per key and period. A key then has at most as many rows as the
   calendar has periods, so a plain window per key is small, however skewed the raw data was.
 * *raw tables*: a key may hold any number of rows. Ordered operators then take ``chunk``, a
-  non-decreasing function of the order column. Each (key, chunk) is windowed on its own; what it
+  non-decreasing function of the order column (``even_chunk`` makes one). Each (key, chunk) is windowed on its own; what it
   needs from earlier chunks is put in front of it as a few extra rows, found with one row (or
   ``n`` rows, for a lag of n) per chunk. The table itself is shuffled once.
   Partition-wide statistics are aggregated map-side and joined back, never windowed.
@@ -16,10 +16,34 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 CHUNK, EXTRA = "_chunk", "_extra"
 
 
+ROWS_PER_CHUNK = 500_000
+
+
+def even_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK) -> Column:
+    """Chunk number that cuts the span of ``order`` into equal parts of about ``rows`` rows.
+
+    Count and span are one scalar subquery over the single column.
+    """
+    kind = df.schema[order].dataType
+
+    def number(c: Column) -> Column:
+        if isinstance(kind, T.DateType):
+            return F.unix_date(c).cast("double")
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return c.cast("timestamp").cast("double")
+        return c.cast("double")
+
+    low, high = number(F.min(order)), number(F.max(order))
+    span = df.agg(F.struct(low.alias("low"), (high - low).alias("width"), F.count(order).alias("n"))).scalar()
+    position = F.try_divide(number(F.col(order)) - span["low"], span["width"])
+    return F.coalesce(F.floor(position * F.ceil(span["n"] / rows)), F.lit(0))
+
+
 def fill_forward(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: str, chunk: Column | None = None
 ) -> DataFrame:

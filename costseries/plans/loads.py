@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import business_key, row_checksum
 from ..operators import dims, joins, upsert
 from ..operators.columns import changed_rows
-from ..session import table, workspace
+from ..session import stream_table, table, workspace
 from ..sources import (
     dry_run,
     read_delimited,
@@ -340,8 +340,7 @@ def source_roundtrip(spark, d):
 
 
 def event_stream(spark, d):
-    schema = table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    return stream_table(spark, d, "events")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import quality, stats, upsert
+from ..operators import quality, stats, upsert, windows
 from ..session import table
 from .common import (
     EVENT_DAYS_SQL,
@@ -18,7 +18,7 @@ from .common import (
     month,
 )
 from .registry import query
-from .series import event_chunk, event_points
+from .series import event_points
 
 
 @query(
@@ -301,7 +301,8 @@ UNION ALL SELECT event_type, 'high_mom_variation', CASE WHEN abs(mom) > 0.25 OR
 )
 def raw_quality_flags(spark, d):
     points = event_points(spark, d)
-    flags = quality.quality_flags(points, "event_type", "ts", "c", period_table=False, chunk=event_chunk())
+    chunk = windows.even_chunk(points, "ts")
+    flags = quality.quality_flags(points, "event_type", "ts", "c", period_table=False, chunk=chunk)
     return flags.groupBy("series_id", "flag", "severity").agg(
         F.count(F.lit(1)).alias("n"), F.max("observed").alias("largest")
     )

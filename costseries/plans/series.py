@@ -394,10 +394,6 @@ def event_points(spark, d):
     return table(spark, d, "events").select("event_type", "ts", cents("value").alias("c"))
 
 
-def event_chunk():
-    return F.col("ts").cast("date")
-
-
 @query(
     "q119_raw_changes",
     f"""WITH e AS (SELECT event_type, ts, {cents_sql('value')} AS c FROM events)
@@ -407,8 +403,10 @@ SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, c, round((c::DOUB
 FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts)""",
 )
 def raw_changes(spark, d):
-    points = windows.diff_days(event_points(spark, d), ["event_type"], "ts", chunk=event_chunk())
-    out = windows.pct_change(points, ["event_type"], "ts", "c", {"chg_1": 1, "chg_12": 12}, chunk=event_chunk())
+    points = event_points(spark, d)
+    chunk = windows.even_chunk(points, "ts")
+    gaps = windows.diff_days(points, ["event_type"], "ts", chunk=chunk)
+    out = windows.pct_change(gaps, ["event_type"], "ts", "c", {"chg_1": 1, "chg_12": 12}, chunk=chunk)
     return rounded(out, "chg_1", "chg_12").select(
         "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", "chg_1", "chg_12", "gap_days"
     )

@@ -32,15 +32,32 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """Path and its file system, for folder listings."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stream_table(spark: SparkSession, directory: str, name: str, files_per_batch: int = 1000) -> DataFrame:
+    """Stream over a landed table, be it a folder of files or one file."""
+    path = f"{directory}/{name}.parquet"
+    p, fs = hadoop_path(spark, path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch)
+    if fs.getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(directory)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, else a temp folder in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach: the session's checkpoint folder, else a temp folder in local mode."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="costseries-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
     return folder
 
 

@@ -9,22 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import dedup_counts, insert_ignore, upsert, upsert_counts
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+from ..session import hadoop_path
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
+    p, fs = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Complete versions of a table, oldest first (a listing of folder names, no data)."""
-    p, fs = _hadoop_path(spark, path)
+    p, fs = hadoop_path(spark, path)
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]

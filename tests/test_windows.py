@@ -115,3 +115,14 @@ def test_zscore_needs_three_points_and_variation(spark):
 def test_lag_growth_sql(spark):
     out = windows.lag_growth(series(spark, [10.0, 15.0, 0.0, 4.0]), "k", "t", "v")
     assert ordered(out, "growth") == [None, 50.0, -100.0, None]
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "timestamp_ntz"])
+def test_even_chunks_are_ordered_and_balanced(spark, kind):
+    expr = {"int": "id", "date": "date_add(date'2024-01-01', cast(id as int))", "timestamp_ntz": "timestampadd(MINUTE, id, timestamp_ntz'2024-01-01 00:00:00')"}
+    df = spark.range(100).selectExpr(f"cast({expr[kind]} as {kind}) as t", "id")
+    out = df.withColumn("c", windows.even_chunk(df, "t", rows=10)).orderBy("id").collect()
+    chunks = [r["c"] for r in out]
+    assert chunks == sorted(chunks) and len(set(chunks)) == 11 and max(chunks.count(c) for c in chunks) == 10
+    one = df.limit(1)
+    assert one.withColumn("c", windows.even_chunk(one, "t")).collect()[0]["c"] == 0
