@@ -11,7 +11,9 @@ from ..session import stream_table, table, workspace
 from ..sources import (
     dry_run,
     read_delimited,
+    read_indexed_json,
     read_latest,
+    read_nested_observations,
     read_series_json,
     sanitize_for_sink,
     snapshot_versions,
@@ -339,6 +341,46 @@ def source_roundtrip(spark, d):
     )
 
 
+@query(
+    "q122_indexed_json",
+    """SELECT lpad(c_custkey::VARCHAR, 7, '0') AS place_code, c_name AS place, c_mktsegment AS variable, c_acctbal AS value
+FROM customer WHERE c_mktsegment = 'BUILDING'""",
+)
+def indexed_json(spark, d):
+    path = f"{workspace(spark, 'indexed')}/table"
+    records = table(spark, d, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 7, "0").alias("D1C"),
+        F.col("c_name").alias("D1N"),
+        F.col("c_mktsegment").alias("D2C"),
+        F.lit("balance").alias("D2N"),
+        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("V"),
+    )
+    labels = spark.range(1).select(
+        *[F.lit(text).alias(c) for c, text in (("D1C", "Code"), ("D1N", "Place"), ("D2C", "Variable"), ("D2N", "x"), ("V", "Value"))]
+    )
+    labels.unionByName(records).write.json(path)
+    return read_indexed_json(spark, path, variable="BUILDING", multi_line=False)
+
+
+@query(
+    "q123_nested_json",
+    f"""WITH m AS (SELECT o_custkey, strftime(o_orderdate, '%Y%m') AS period, {money_sql('o_totalprice')} AS value
+           FROM orders GROUP BY ALL)
+SELECT o_custkey::VARCHAR AS place, max(period) AS period, arg_max(value, period) AS value FROM m GROUP BY ALL""",
+)
+def nested_json(spark, d):
+    path = f"{workspace(spark, 'nested')}/observations"
+    monthly = (
+        table(spark, d, "orders")
+        .groupBy("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("periodo"))
+        .agg((F.sum(cents("o_totalprice")) / 100).cast("decimal(18,2)").cast("string").alias("valor"))
+    )
+    missing = F.struct(F.lit("999912").alias("periodo"), F.lit(None).cast("string").alias("valor"))
+    record = F.array(F.struct("periodo", "valor"), missing).alias("res")
+    monthly.select(F.col("o_custkey").cast("string").alias("localidade"), record).write.json(path)
+    return read_nested_observations(spark, path, multi_line=False)
+
+
 def event_stream(spark, d):
     return stream_table(spark, d, "events")
 

@@ -58,12 +58,12 @@ def read_indexed_json(
     variable: str | None = None,
     prefix: str = "",
     code_length: int = 7,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Statistics table whose first record holds the labels: keep real records of one variable
     whose place code has the wanted length and prefix."""
-    raw = spark.read.schema("D1C string, D1N string, D2C string, D2N string, V string").option(
-        "multiLine", True
-    ).json(path)
+    schema = "D1C string, D1N string, D2C string, D2N string, V string"
+    raw = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     body = raw.filter(F.col("D1C").rlike(f"^{prefix}[0-9]{{{code_length - len(prefix)}}}$"))
     if variable is not None:
         body = body.filter(F.col("D2C") == variable)
@@ -87,10 +87,10 @@ def newest_observation(df: DataFrame) -> DataFrame:
     )
 
 
-def read_nested_observations(spark: SparkSession, path: str) -> DataFrame:
+def read_nested_observations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``[{localidade, res: [{periodo, valor}]}]`` files, newest observation per place."""
     schema = "localidade string, res array<struct<periodo:string, valor:string>>"
-    return newest_observation(spark.read.schema(schema).option("multiLine", True).json(path))
+    return newest_observation(spark.read.schema(schema).option("multiLine", multi_line).json(path))
 
 
 CATALOG_ENTRY = (
