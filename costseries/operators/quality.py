@@ -39,8 +39,7 @@ def mom_violations(
     chunk: Column | None = None,
 ) -> DataFrame:
     """Rows that moved more than the limit against the row before (any move from zero counts)."""
-    padded = windows.fill_forward(df.withColumn("_v", F.col(value)), ["_v"], keys, order, chunk)
-    lagged = windows.with_lags(padded, {"_prev": ("_v", 1)}, keys, order, chunk)
+    lagged = windows.padded_lags(df, value, {"_prev": 1}, keys, order, chunk=chunk)
     out = lagged.withColumn("mom", windows.growth(F.col("_v"), F.col("_prev"), 1.0))
     flagged = _mom_flagged(F.col("_v"), F.col("_prev"), F.col("mom"), limit)
     return out.filter(flagged).withColumn("mom_abs", F.abs("mom")).drop("_v", "_prev")
@@ -69,9 +68,8 @@ def quality_flags(
         "series_std": F.stddev_samp(value),
         "_n": F.count(value),
     }
-    base = windows.group_stats_back(df, [series], stat, period_table).withColumn("_v", F.col(value))
-    base = windows.fill_forward(base, ["_v"], [series], date, chunk)
-    base = windows.with_lags(base, {"_prev": ("_v", 1)}, [series], date, chunk)
+    base = windows.padded_lags(df, value, {"_prev": 1}, [series], date, chunk=chunk)
+    base = windows.group_stats_back(base, [series], stat, period_table)
     z = F.when((F.col("_n") >= 3) & (F.col("_pop") > 0), F.abs((F.col(value) - F.col("_avg")) / F.col("_pop")))
     base = base.withColumns({"_z": z, "_mom": windows.growth(F.col("_v"), F.col("_prev"), 1.0)})
 

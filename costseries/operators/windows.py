@@ -93,26 +93,68 @@ def with_lags(
     depth = max(n for _, n in lags.values())
     sources = sorted({c for c, _ in lags.values()} - {order})
     chunked = df.withColumn(CHUNK, chunk)
-    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(order))
-    tails = (
-        chunked.select(*keys, CHUNK, order, *sources)
-        .withColumn("_rn", F.row_number().over(newest))
-        .filter(F.col("_rn") <= depth)
-        .groupBy(*keys, CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct(order, *sources))).alias("_tail"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-depth, -1)
-    previous = F.flatten(F.collect_list("_tail").over(earlier))
-    carried = (
-        tails.withColumn("_previous", previous)
-        .select(*keys, CHUNK, F.explode(F.slice(F.reverse("_previous"), 1, depth)).alias("_p"))
-        .select(*keys, CHUNK, f"_p.{order}", *[f"_p.{c}" for c in sources])
-    )
+    rows = _in_front(chunked, _lead_in(chunked, keys, order, sources, depth))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    lagged = _in_front(chunked, carried).withColumns({m: F.lag(c, n).over(inside) for m, (c, n) in lags.items()})
+    lagged = rows.withColumns({name: F.lag(c, n).over(inside) for name, (c, n) in lags.items()})
     return lagged.filter(~F.col(EXTRA)).select(*df.columns, *lags)
 
 
+def _lead_in(
+    chunked: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], depth: int, pad: bool = False
+) -> DataFrame:
+    """For every chunk, the ``depth`` rows of the key before it (``pad``: their one value filled).
+
+    Each task keeps the last rows per chunk before the shuffle, so only a few rows per chunk move.
+    """
+    slim = chunked.select(*keys, CHUNK, order, *cols)
+    newest = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(order))
+
+    def last_rows(df: DataFrame, n: int) -> DataFrame:
+        return df.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
+
+    tails = last_rows(slim, depth)
+    if pad:
+        # of depth + 1 known values at least one is older than all tail rows, if there is any
+        (value,) = cols
+        known = last_rows(slim.filter(F.col(value).isNotNull()), depth + 1)
+        both = tails.withColumn("_tail", F.lit(True)).unionByName(known.withColumn("_tail", F.lit(False)))
+        unique = both.groupBy(*keys, CHUNK, order, value).agg(F.max("_tail").alias("_tail"))
+        to_here = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        filled = unique.withColumn(value, F.last(value, ignorenulls=True).over(to_here))
+        tails = filled.filter("_tail").drop("_tail")
+    per_chunk = tails.groupBy(*keys, CHUNK).agg(F.sort_array(F.collect_list(F.struct(order, *cols))).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-depth, -1)
+    listed = per_chunk.withColumn("_before", F.flatten(F.collect_list("_rows").over(earlier)))
+    nearest = F.explode(F.slice(F.reverse("_before"), 1, depth)).alias("_p")
+    return listed.select(*keys, CHUNK, nearest).select(*keys, CHUNK, f"_p.{order}", *[f"_p.{c}" for c in cols])
+
+
+def padded_lags(
+    df: DataFrame,
+    value: str,
+    lags: Mapping[str, int],
+    keys: Sequence[str],
+    order: str,
+    pad: bool = True,
+    chunk: Column | None = None,
+    name: str = "_v",
+) -> DataFrame:
+    """Add the value with gaps filled forward (``name``) and its lags; one shuffle and one sort."""
+    rows = df.withColumn(name, F.col(value))
+    by = list(keys)
+    if chunk is not None:
+        chunked = rows.withColumn(CHUNK, chunk)
+        rows = _in_front(chunked, _lead_in(chunked, keys, order, [name], max(lags.values()), pad))
+        by = [*keys, CHUNK]
+    w = Window.partitionBy(*by).orderBy(order)
+    if pad:
+        rows = rows.withColumn(name, F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumns({m: F.lag(name, n).over(w) for m, n in lags.items()})
+    if chunk is not None:
+        rows = rows.filter(~F.col(EXTRA))
+    return rows.select(*df.columns, name, *lags)
+
+
 def growth(current: Column, previous: Column, scale: float = 100.0) -> Column:
     """``(current / previous - 1) * scale``; NULL when the base is NULL or zero."""
     return (F.try_divide(current, previous) - 1) * scale
@@ -132,10 +174,7 @@ def pct_change(
 
     ``pad`` carries the last known value over missing ones first, so a gap reads as no change.
     """
-    base = df.withColumn("_v", F.col(value))
-    if pad:
-        base = fill_forward(base, ["_v"], keys, order, chunk)
-    lagged = with_lags(base, {f"_lag_{m}": ("_v", n) for m, n in periods.items()}, keys, order, chunk)
+    lagged = padded_lags(df, value, {f"_lag_{m}": n for m, n in periods.items()}, keys, order, pad, chunk)
     changes = {m: growth(F.col("_v"), F.col(f"_lag_{m}"), scale) for m in periods}
     return lagged.withColumns(changes).select(*df.columns, *periods)
 
