@@ -188,12 +188,12 @@ def _first_fitting(price: Column, income: Column, ordered: Sequence[Row]) -> Col
     return F.coalesce(*choices)
 
 
-def _loan_terms(df: DataFrame, price: str, income: str) -> DataFrame:
+def _loan_terms(df: DataFrame, price: str, income: str, digits: int | None) -> DataFrame:
     financed = F.col(price) * F.col("financed_pct") / 100
     monthly = F.col("yearly_rate") / 100 / 12
     part = F.col("financed") / F.col("months")
     out = df.withColumn("financed", financed)
-    return out.withColumns(
+    out = out.withColumns(
         {
             "down_payment": F.col(price) - F.col("financed"),
             "first_instalment": part + F.col("financed") * monthly,
@@ -201,10 +201,14 @@ def _loan_terms(df: DataFrame, price: str, income: str) -> DataFrame:
             "max_instalment": F.col(income) * INCOME_SHARE,
         }
     ).withColumn("approved", F.col("first_instalment") <= F.col("max_instalment"))
+    if digits is None:
+        return out
+    money = ("financed", "down_payment", "first_instalment", "last_instalment", "max_instalment")
+    return out.withColumns({c: F.round(c, digits) for c in money})
 
 
 def loan_assignment(
-    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str
+    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, digits: int | None = 2
 ) -> DataFrame:
     """Programme, amounts and the income test per application (constant amortisation).
 
@@ -215,15 +219,15 @@ def loan_assignment(
     wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
     rows = programs.filter("priority IS NOT NULL").select(*wanted).limit(MAX_PROGRAMS + 1).collect()
     if not rows or len(rows) > MAX_PROGRAMS:
-        return loan_assignment_large(applications, programs, app_id, price, income)
+        return loan_assignment_large(applications, programs, app_id, price, income, digits)
     ordered = sorted(rows, key=lambda p: p["priority"])
     chosen = applications.withColumn("_p", _first_fitting(F.col(price), F.col(income), ordered))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
-    return _loan_terms(chosen.select(*applications.columns, *picked), price, income)
+    return _loan_terms(chosen.select(*applications.columns, *picked), price, income, digits)
 
 
 def loan_assignment_large(
-    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str
+    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, digits: int | None = 2
 ) -> DataFrame:
     """Same result for a programme table of any size.
 
@@ -237,7 +241,7 @@ def loan_assignment_large(
     best = pairs.groupBy(app_id).agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     out = applications.join(best, app_id, "left").select(*applications.columns, *picked)
-    return _loan_terms(out, price, income)
+    return _loan_terms(out, price, income, digits)
 
 
 def derived_factor(base: DataFrame, extras: DataFrame, key: str, base_cost: str, extra_cost: str) -> DataFrame:
@@ -281,15 +285,18 @@ EMPLOYMENT_SYNONYMS = {
 }
 
 
-def employment_fact(df: DataFrame, states: DataFrame | None = None) -> DataFrame:
-    """Movements of the construction sector summed by state and month."""
+def employment_fact(df: DataFrame, states: DataFrame | None = None, digits: int | None = 2) -> DataFrame:
+    """Movements of the construction sector summed by state and month, with the mean wage."""
     named = filters.sector_filter(columns.synonym_columns(df, EMPLOYMENT_SYNONYMS))
     if "state" not in named.columns and states is not None:
         named = joins.parent_code_lookup(named, "municipality", states, "state_code")
     period = F.col("period").cast("string")
     dated = named.withColumn("ref_date", period_to_date(F.substring(period, 1, 4), F.substring(period, 5, 2)))
     spec = {"admitted": "sum", "dismissed": "sum", "balance": "sum", "mean_wage": "mean"}
-    return stats.multi_measure(dated, ["state", "ref_date"], spec)
+    out = stats.multi_measure(dated, ["state", "ref_date"], spec)
+    if digits is None or "mean_wage" not in out.columns:
+        return out
+    return out.withColumn("mean_wage", F.round("mean_wage", digits))
 
 
 MATERIAL_SYNONYMS = {

@@ -135,13 +135,13 @@ def _loan_view(df):
 
 @query("q42_loan_assignment", f"WITH {LOAN_SQL} SELECT * FROM loans")
 def loan_assignment(spark, d):
-    return _loan_view(costs.loan_assignment(applications(spark, d), costs.program_params(spark), "o_orderkey", "price", "income"))
+    return _loan_view(costs.loan_assignment(applications(spark, d), costs.program_params(spark), "o_orderkey", "price", "income", None))
 
 
 @query("q116_loan_assignment_large", f"WITH {LOAN_SQL} SELECT * FROM loans")
 def loan_assignment_large(spark, d):
     programs = costs.program_params(spark)
-    return _loan_view(costs.loan_assignment_large(applications(spark, d), programs, "o_orderkey", "price", "income"))
+    return _loan_view(costs.loan_assignment_large(applications(spark, d), programs, "o_orderkey", "price", "income", None))
 
 
 @query(
@@ -150,7 +150,7 @@ def loan_assignment_large(spark, d):
 WHERE program LIKE 'MCMV%' GROUP BY ALL""",
 )
 def program_uptake(spark, d):
-    loans = costs.loan_assignment(applications(spark, d), costs.program_params(spark), "o_orderkey", "price", "income")
+    loans = costs.loan_assignment(applications(spark, d), costs.program_params(spark), "o_orderkey", "price", "income", None)
     subsidised = costs.program_params(spark, kind="SUBSIDIADO", prefix="MCMV").select("program")
     counts = loans.groupBy("program").agg(F.count(F.lit(1)).alias("n"), F.count_if("approved").alias("n_approved"))
     return counts.join(subsidised, "program")
@@ -225,7 +225,7 @@ def employment_fact(spark, d):
         (k - v).alias("saldo"),
         cents("value").alias("salario_medio"),
     )
-    return costs.employment_fact(raw)
+    return costs.employment_fact(raw, digits=None)
 
 
 @query(
