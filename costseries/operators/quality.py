@@ -207,28 +207,36 @@ def clean_report(
 @dataclass(frozen=True)
 class Rule:
     """A named check. ``failing`` is a row predicate; ``metric``/``passes`` is a table-level one
-    given as aggregate and SQL condition on ``metric``."""
+    given as aggregate and SQL condition on ``metric``. ``distinct`` marks metrics that count
+    distinct values."""
 
     name: str
     severity: str = "error"
     failing: Column | None = None
     metric: Column | None = None
     passes: str | None = None
+    distinct: bool = False
 
 
 def contract(df: DataFrame, rules: Sequence[Rule], sample_key: str | None = None) -> DataFrame:
     """One row per rule: measured figure, status, and the smallest failing key as evidence.
 
-    All rules are evaluated in one aggregate over one scan.
+    All plain rules are evaluated in one aggregate over one scan. A distinct count shuffles one
+    row per value, which would drag every other counter along, so those run on their own column.
     """
-    exprs: list[Column] = []
+    plain: list[Column] = [F.count(F.lit(1)).alias("_all")]
+    own: dict[str, Column] = {}
     for i, r in enumerate(rules):
-        figure = F.count_if(F.coalesce(r.failing, F.lit(True))) if r.failing is not None else r.metric
-        exprs.append(figure.cast("double").alias(f"_m{i}"))
-        key = F.col(sample_key).cast("string") if sample_key and r.failing is not None else F.lit(None).cast("string")
-        sample = F.min(F.when(F.coalesce(r.failing, F.lit(True)), key)) if r.failing is not None else F.max(key)
-        exprs.append(sample.alias(f"_s{i}"))
-    measured = df.agg(*exprs)
+        if r.distinct:
+            own[f"_m{i}"] = df.agg(r.metric.cast("double")).scalar()
+            plain.append(F.lit(None).cast("string").alias(f"_s{i}"))
+        elif r.failing is None:
+            plain += [r.metric.cast("double").alias(f"_m{i}"), F.lit(None).cast("string").alias(f"_s{i}")]
+        else:
+            fails = F.coalesce(r.failing, F.lit(True))
+            key = F.col(sample_key).cast("string") if sample_key else F.lit(None).cast("string")
+            plain += [F.count_if(fails).cast("double").alias(f"_m{i}"), F.min(F.when(fails, key)).alias(f"_s{i}")]
+    measured = df.agg(*plain).withColumns(own)
     rows = []
     for i, r in enumerate(rules):
         ok = F.col(f"_m{i}") == 0 if r.failing is not None else F.expr(r.passes.replace("metric", f"_m{i}"))
@@ -271,7 +279,7 @@ def row_count(expected: int, severity: str = "error") -> Rule:
 
 def unique_key(key: str, severity: str = "error") -> Rule:
     extra = F.count(F.col(key)) - F.count_distinct(key)
-    return Rule(f"{key} unique", severity, metric=extra, passes="metric = 0")
+    return Rule(f"{key} unique", severity, metric=extra, passes="metric = 0", distinct=True)
 
 
 def readiness(
@@ -289,9 +297,21 @@ def readiness(
     has = lambda c: F.lit(1.0 if c in df.columns else 0.0)
     rules = [
         Rule("enough rows", "critical", metric=F.count(F.lit(1)), passes=f"metric > {min_rows}"),
-        Rule("enough series", "critical", metric=F.count_distinct(series), passes=f"metric >= {min_series}"),
+        Rule(
+            "enough series",
+            "critical",
+            metric=F.count_distinct(series),
+            passes=f"metric >= {min_series}",
+            distinct=True,
+        ),
         Rule("names present", "critical", metric=F.max(has(name)), passes="metric = 1"),
-        Rule("no duplicates", "critical", metric=F.count(key) - F.count_distinct(key), passes="metric = 0"),
+        Rule(
+            "no duplicates",
+            "critical",
+            metric=F.count(key) - F.count_distinct(key),
+            passes="metric = 0",
+            distinct=True,
+        ),
         Rule("no missing values", "critical", metric=F.count_if(F.col(value).isNull()), passes="metric = 0"),
         Rule(
             "no future dates",

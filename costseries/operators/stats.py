@@ -36,8 +36,16 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[fn(F.col(c)).alias(f"n_{c}") for c in cols])
+    """Distinct values per column.
+
+    Several distinct counts in one aggregate would copy every row once per column, so each column
+    is scanned and shuffled on its own.
+    """
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(f"n_{c}") for c in cols])
+    first, *rest = cols
+    out = df.agg(F.count_distinct(first).alias(f"n_{first}"))
+    return out.withColumns({f"n_{c}": df.agg(F.count_distinct(c)).scalar() for c in rest})
 
 
 def series_profile(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
@@ -329,14 +337,15 @@ def coverage(df: DataFrame, name: str, status: str, prefixes: Mapping[str, str],
 
 def route_profile(df: DataFrame, route: str, key: str, date: str, value: str) -> DataFrame:
     """Rows, distinct keys, period, value range and share of all rows per route."""
-    out = df.groupBy(route).agg(
+    figures = df.groupBy(route).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct(key).alias("n_keys"),
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
         F.avg(value).alias("avg_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )
-    total = out.agg(F.sum("n")).scalar()
-    return out.withColumn("share_pct", F.col("n") / total * 100)
+    # apart from the figures, whose counters would otherwise travel with every distinct key
+    keys = df.groupBy(route).agg(F.count_distinct(key).alias("n_keys"))
+    total = figures.agg(F.sum("n")).scalar()
+    return figures.join(keys, route).withColumn("share_pct", F.col("n") / total * 100)
