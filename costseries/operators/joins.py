@@ -4,10 +4,19 @@ below the threshold and otherwise shuffle it, splitting skewed partitions."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join that matches NULL keys with each other, as grouping and dedup do (inner, left, semi or anti)."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    out = left.join(renamed, on, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
+
+
 def inner_equi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys), "inner")
 

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import filters, stats, upsert, windows
+from .joins import null_safe_join
 
 # fixed values: thresholds and flag names
 ZSCORE_LIMIT, ZSCORE_HIGH = 3.0, 4.0
@@ -187,7 +188,7 @@ def clean_report(
     missing = F.col(value).isNull()
     usable = df.filter(~future & ~missing)
     fences = stats.quartile_fence(usable, [series], value, k).select(series, "lower", "upper")
-    judged = usable.join(fences, series)
+    judged = null_safe_join(usable, fences, [series])
     inside = F.col(value).between(F.col("lower"), F.col("upper"))
     per_key = judged.groupBy(*keys).agg(F.count_if(inside).alias("_in"), F.count_if(~inside).alias("_out"))
     steps = per_key.agg(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from .joins import null_safe_join
+
 
 def group_stats(
     df: DataFrame, keys: Sequence[str], value: str, date: str, digits: int = 2, even: bool = False
@@ -179,7 +180,7 @@ def quantiles_large(
         entry = F.struct(F.lit(i).alias("i"), inside.alias("v"))
         entries.append(F.when(F.col("_v") <= high, entry))
     counted = (
-        _inner_on(vals, ranges, keys)
+        null_safe_join(vals, ranges, keys)
         .select(*keys, "_n", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
         .groupBy(*keys, "_n", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
@@ -192,9 +193,9 @@ def quantiles_large(
     covered = (F.col("_below") <= F.floor(rank)) & (F.ceil(rank) < F.col("_upto"))
     missed = per_range.filter(~covered).select(*keys, "_n", "_i")
     whole = (
-        _inner_on(vals, missed, keys).groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        null_safe_join(vals, missed, keys).groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
     )
-    narrow = _inner_on(counted, per_range.filter(covered).select(*keys, "_i"), [*keys, "_i"])
+    narrow = null_safe_join(counted, per_range.filter(covered).select(*keys, "_i"), [*keys, "_i"])
     w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
     upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ranked = narrow.unionByName(whole).withColumns({"_last": upto - 1, "_rank": rank})
@@ -213,13 +214,6 @@ def quantiles_large(
     return per_prob.groupBy(*keys).agg(*wide)
 
 
-def _inner_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on keys that may be NULL."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
-
-
 def quartile_fence(
     df: DataFrame, keys: Sequence[str], value: str, k: float = 10.0, period_table: bool = False
 ) -> DataFrame:
@@ -235,7 +229,7 @@ def within_fence(
 ) -> DataFrame:
     """Drop values outside the quartile fence of their key."""
     fences = quartile_fence(df, keys, value, k, period_table).select(*keys, "lower", "upper")
-    kept = df.join(fences, list(keys)).filter(F.col(value).between(F.col("lower"), F.col("upper")))
+    kept = null_safe_join(df, fences, keys).filter(F.col(value).between(F.col("lower"), F.col("upper")))
     return kept.select(*df.columns)
 
 
@@ -348,4 +342,4 @@ def route_profile(df: DataFrame, route: str, key: str, date: str, value: str) ->
     # apart from the figures, whose counters would otherwise travel with every distinct key
     keys = df.groupBy(route).agg(F.count_distinct(key).alias("n_keys"))
     total = figures.agg(F.sum("n")).scalar()
-    return figures.join(keys, route).withColumn("share_pct", F.col("n") / total * 100)
+    return null_safe_join(figures, keys, [route]).withColumn("share_pct", F.col("n") / total * 100)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import br_number, parse_date_multi
 from ..functions.keys import business_key
 from . import ranks, windows
+from .joins import null_safe_join
 
 
 def _row_tie(df: DataFrame) -> Column:
@@ -54,7 +55,7 @@ def dedup_full_rows(df: DataFrame) -> DataFrame:
 def find_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of the keys that occur more than once, with the group size."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_copies")).filter("n_copies > 1")
-    return df.join(repeated, list(keys))
+    return null_safe_join(df, repeated, keys)
 
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
@@ -71,7 +72,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     """
     require_columns(batch, target.columns)
     incoming = dedup_latest(batch.select(*target.columns), keys, order)
-    kept = target.join(batch.select(*keys), list(keys), "left_anti").select(*target.columns)
+    kept = null_safe_join(target, batch.select(*keys), keys, "left_anti")
     return kept.unionByName(incoming)
 
 
@@ -91,7 +92,7 @@ def upsert_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows with a new key, one per key."""
-    fresh = batch.join(target.select(*keys), list(keys), "left_anti")
+    fresh = null_safe_join(batch, target.select(*keys), keys, "left_anti")
     return dedup_latest(fresh, keys)
 
 

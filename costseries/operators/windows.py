@@ -18,6 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from .joins import null_safe_join
+
 CHUNK, EXTRA = "_chunk", "_extra"
 
 
@@ -71,13 +73,6 @@ def _in_front(chunked: DataFrame, extra: DataFrame) -> DataFrame:
     return chunked.withColumn(EXTRA, F.lit(False)).unionByName(marked, allowMissingColumns=True)
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be NULL."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(r, on, "left").drop(*[f"_r_{k}" for k in keys])
-
-
 def with_lags(
     df: DataFrame,
     lags: Mapping[str, tuple[str, int]],
@@ -260,7 +255,7 @@ def group_stats_back(
         w = Window.partitionBy(*keys)
         return df.withColumns({n: e.over(w) for n, e in exprs.items()})
     stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in exprs.items()])
-    return _join_on(df, stats, keys)
+    return null_safe_join(df, stats, keys, "left")
 
 
 def share_of_total(
