@@ -99,24 +99,34 @@ def stream_changes(
 ) -> DataStreamWriter:
     """Flag moves against the previous observation, which may lie in an earlier micro-batch.
 
-    The store keeps all points as deltas. Each batch looks up, per series, the newest stored
-    point before its own first date; that single row anchors the change of the batch's rows.
+    The store keeps the points of each batch and, apart, its newest point per series. One earlier
+    point per series anchors the change of the batch's rows: the newest one, found among those
+    few, or, for a series that received late data, looked up among all its stored points.
     """
 
+    def anchors(spark: SparkSession, points: DataFrame, batch_id: int) -> DataFrame:
+        before = F.col("batch_id") < batch_id
+        newest_point = F.max(F.struct(date, value)).alias("_a")
+        first = points.groupBy(series).agg(F.min(date).alias("_first"))
+        heads = spark.read.parquet(f"{store}/heads").filter(before).groupBy(series).agg(newest_point)
+        known = first.join(heads, series)
+        timely = known.filter(F.col(f"_a.{date}") < F.col("_first")).select(series, "_a")
+        late = known.filter(F.col(f"_a.{date}") >= F.col("_first")).select(series, "_first")
+        stored = spark.read.parquet(f"{store}/points").filter(before).select(series, date, value)
+        older = stored.join(late, series).filter(F.col(date) < F.col("_first")).groupBy(series).agg(newest_point)
+        return timely.unionByName(older).select(series, f"_a.{date}", f"_a.{value}")
+
     def check(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         points = upsert.dedup_latest(batch.select(series, date, value), [series, date], [value])
         rows = points.withColumn("_new", F.lit(True))
         if batch_id > 0:
-            first = points.groupBy(series).agg(F.min(date).alias("_first"))
-            stored = spark.read.parquet(store).filter(F.col("batch_id") < batch_id)
-            older = stored.join(first, series).filter(F.col(date) < F.col("_first"))
-            anchor = older.groupBy(series).agg(F.max(F.struct(date, value)).alias("_a"))
-            anchors = anchor.select(series, f"_a.{date}", f"_a.{value}", F.lit(False).alias("_new"))
-            rows = rows.unionByName(anchors)
+            earlier = anchors(batch.sparkSession, points, batch_id)
+            rows = rows.unionByName(earlier.withColumn("_new", F.lit(False)))
         moved = quality.mom_violations(rows, [series], date, value, limit, chunk).filter("_new")
         moved.drop("_new").write.mode("overwrite").parquet(f"{flags}/batch_id={batch_id}")
-        points.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        heads = points.groupBy(series).agg(F.max(F.struct(date, value)).alias("_a"))
+        heads = heads.select(series, f"_a.{date}", f"_a.{value}")
+        heads.write.mode("overwrite").parquet(f"{store}/heads/batch_id={batch_id}")
+        points.write.mode("overwrite").parquet(f"{store}/points/batch_id={batch_id}")
 
     return stream.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint)
-

@@ -72,8 +72,11 @@ def test_window_counts_match_the_batch_form(spark, rows):
 
 def test_changes_see_earlier_batches(spark, rows):
     base = workspace(spark, "t-changes")
-    land(spark, f"{base}/in", [[("a", 1, 100.0), ("b", 1, 100.0)], [("a", 2, 105.0), ("b", 2, 150.0)], [("a", 4, 130.0)]])
+    batches = [[("a", 1, 100.0), ("b", 1, 100.0)], [("a", 2, 105.0), ("b", 2, 150.0)], [("a", 6, 130.0)]]
+    # late: the third day of b follows its second, not its first, and precedes nothing stored
+    batches += [[("b", 9, 151.0)], [("b", 3, 149.0), ("c", 1, 1.0)], [("a", 4, 104.0)]]
+    land(spark, f"{base}/in", batches)
     writer = stream_changes(reader(spark, f"{base}/in"), f"{base}/s", f"{base}/f", f"{base}/c", "k", "ts", "v")
     run_available(writer)
     flags = spark.read.parquet(f"{base}/f").withColumn("d", F.dayofmonth("ts"))
-    assert rows(flags, "k", "d") == [("a", 4), ("b", 2)]
+    assert rows(flags, "k", "d") == [("a", 6), ("b", 2)]
