@@ -397,8 +397,8 @@ def event_points(spark, d):
 @query(
     "q119_raw_changes",
     f"""WITH e AS (SELECT event_type, ts, {cents_sql('value')} AS c FROM events)
-SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, c, round((c::DOUBLE / lag(c) OVER w - 1) * 100, 4) AS chg_1,
-       round((c::DOUBLE / lag(c, 12) OVER w - 1) * 100, 4) AS chg_12,
+SELECT event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, c, round((c::DOUBLE / nullif(lag(c) OVER w, 0) - 1) * 100, 4) AS chg_1,
+       round((c::DOUBLE / nullif(lag(c, 12) OVER w, 0) - 1) * 100, 4) AS chg_12,
        CAST(CAST(ts AS DATE) - CAST(lag(ts) OVER w AS DATE) AS INT) AS gap_days
 FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts)""",
 )
