@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costseries.llm import bpe, langid, pii, sharding, simhash
+from costseries.llm import bpe, langid, pii, quality, sharding, simhash
 from costseries.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +17,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rate(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
@@ -44,5 +48,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_language_id, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op5_language_id, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
+SQL: dict[str, str] = {"op2_quality_rules": quality.sql()}
