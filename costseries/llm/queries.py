@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costseries.llm import bpe, decontamination, langid, pii, quality, sharding, simhash, toxicity
+from costseries.llm import bpe, decontamination, html, langid, pii, quality, sharding, simhash, toxicity
 from costseries.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate(table(spark, folder, "documents"))
 
 
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -56,5 +60,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_html, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
 SQL: dict[str, str] = {"op2_quality_rules": quality.sql()}
