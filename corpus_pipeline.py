@@ -1,13 +1,58 @@
-"""The corpus pipeline: documents pass the stages one after the other."""
+"""The corpus pipeline: documents pass five stages, each written as Parquet before the next one reads it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costseries.llm import queries
+from costseries.llm import bpe, decontamination, linededup, quality, queries, simhash
+from costseries.llm.common import table
+from costseries.session import workspace
 
-STAGES: list = []
-ORACLE_SQL = None
 
-QUERIES = dict(queries.QUERIES)
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that match an earlier one; ``n_chars`` counts the new text."""
+    return linededup.dedup(docs).select("row.*").withColumn("n_chars", queries.n_chars("text"))
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with their digests."""
+    return bpe.encode(docs, queries.vocabulary_path())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_tokens", bpe_tokens),
+]
+
+ORACLE_SQL = None  # byte-pair merges are no SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents after all stages. Every stage is landed in the shared folder, so a lost executor repeats one stage at most."""
+    folder, docs = workspace(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
+
+
+QUERIES = {**queries.QUERIES, "pipeline": run}
 SQL = dict(queries.SQL)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costseries.llm import bpe, decontamination, html, langid, pii, quality, sharding, simhash, toxicity
+from costseries.llm import bpe, decontamination, html, langid, linededup, pii, quality, sharding, simhash, toxicity
 from costseries.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +17,16 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def n_chars(text: str) -> Column:
+    """Code points of a text, as the documents table counts them; null for a null text."""
+    return F.length(text).cast("long")
+
+
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "row.text", "n_lines", "n_removed")
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate(table(spark, folder, "documents"))
 
@@ -60,5 +70,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_html, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
-SQL: dict[str, str] = {"op2_quality_rules": quality.sql()}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op3_html, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash, op10_sharding)}
+SQL: dict[str, str] = {"op1_line_dedup": linededup.sql(), "op2_quality_rules": quality.sql()}
