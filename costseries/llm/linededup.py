@@ -6,6 +6,8 @@ that meet there must also agree in length, have enough words left behind the mee
 filter) and differ in few enough bits of a word bitmap, before their whole sets are compared.
 
 All bounds are whole numbers: sets of n and m words with overlap o are similar if 9 o >= 4 (n + m).
+Texts are not shuffled as such: lines travel as hashes and prefix words, and only lines that occur
+again, lines that meet another one, and documents that may lose a line are moved as text.
 """
 
 from __future__ import annotations
@@ -13,18 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costseries.llm.common import let, words
+from costseries.llm.common import GAP, let, words
 from costseries.session import landed
 
 BUCKETS = 1 << 17  # of the rarity table, whose size doesn't depend on the corpus
+MARKS = 1 << 23  # bits of a table that marks line hashes; a full one costs time, never a line
 RANK_BIT = 53  # the key of a word has its rarity class from this bit on and its hash below
 
-LINE = ["id", "h", "pos"]  # a line by its first occurrence: document id, text hash, position
-SAME_DOCUMENT = "a.id <=> b.id AND a.h = b.h"
-SAME_LINE = f"{SAME_DOCUMENT} AND a.pos = b.pos"
-EARLIER = "struct(b.id, b.h, b.pos) < struct(a.id, a.h, a.pos)"
+WORD = r"[^\x20\x09-\x0D]"
+LINE = ["l1", "l2"]  # two independent hashes of a line
+PLACE = ["id", "h", "pos"]  # a document by id and text hash, and the position of the line in it
 NEED = "((4 * (a.n + b.n) + 8) div 9)"
-NEAR = f"""a.tok = b.tok AND a.n * 4 <= b.n * 5 AND b.n * 4 <= a.n * 5
+NEAR = f"""a.tok = b.tok AND a.l1 <> b.l1 AND a.n * 4 <= b.n * 5 AND b.n * 4 <= a.n * 5
     AND least(a.n - a.i, b.n - b.i) >= {NEED} AND bit_count(a.bm ^ b.bm) <= a.n + b.n - 2 * {NEED}"""
 
 
@@ -32,18 +34,28 @@ def join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
     return a.alias("a").join(b.alias("b"), F.expr(on), how)
 
 
-def keyed(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """Documents are told apart by id and a hash of the text; rows equal in both are one document."""
-    body = F.coalesce(docs[text], F.lit(""))
-    return docs.select(docs[doc].alias("id"), F.hash(body).alias("h"), body.alias("text"))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """All lines with a word: place, both hashes and the line itself. Rows equal in id and text are one document."""
+    lines = docs.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.where(F.col("line").rlike(WORD))
+    return lines.select(*PLACE, "line", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(1), "line").alias("l2"))
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
-    """(id, h, pos) of the first occurrence of every distinct line with a word."""
-    lines = docs.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    equal = lines.groupBy(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(1), "line").alias("two"))
-    return equal.agg(F.min(F.struct(*LINE)).alias("first")).select("first.*")
+def marks(hashes: DataFrame) -> Column:
+    """A constant table of ``MARKS`` bits with those of the given ``l1`` set: 64 of them in each of its numbers."""
+    at = F.col("l1").bitwiseAND(F.lit(MARKS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    cells = ["0"] * (MARKS // 64)
+    for r in hashes.groupBy(F.shiftright(at, 6).cast("int").alias("cell")).agg(F.bit_or(bit).alias("bits")).collect():
+        cells[r["cell"]] = str(r["bits"])
+    return F.split(F.lit(",".join(cells)), ",").cast("array<bigint>")
+
+
+def marked(l1: Column, table: Column) -> Column:
+    """False only if the hash is surely not in the table."""
+    at = l1.bitwiseAND(F.lit(MARKS - 1))
+    cell = F.get(table, F.shiftright(at, 6).cast("int"))
+    return F.call_function("shiftright", cell, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def bucket(word_hash: Column) -> Column:
@@ -56,7 +68,7 @@ def rarity(docs: DataFrame) -> Column:
     Class 0 means a single occurrence. Rare words that share a bucket with frequent ones sort later than
     they could; any fixed order gives the same result.
     """
-    found = docs.select(F.explode(words(F.col("text"))).alias("word"))
+    found = docs.select(F.explode_outer(F.split("text", GAP)).alias("word")).where("word <> ''")
     counted = found.groupBy(bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     classes = ["0"] * BUCKETS
     for r in counted.where("n > 1").select("bucket", F.floor(8 * F.log2("n")).alias("c")).collect():
@@ -74,17 +86,6 @@ def keys(line: Column, classes: Column) -> Column:
     return F.sort_array(F.transform(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))), key))
 
 
-def lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of wanted lines. ``wanted`` has a row per document: id, h and ``at``, an array of structs with ``pos``."""
-    own = join(docs, wanted, SAME_DOCUMENT).select("a.id", "a.h", "a.text", "b.at")
-    picked = let(F.split("text", "\n"), lambda ls: F.transform("at", lambda p: F.struct(p.alias("p"), F.get(ls, p["pos"]).alias("line"))))
-    return own.select("id", "h", F.explode(picked).alias("e")).select("id", "h", "e.p.*", "e.line")
-
-
-def by_document(lines: DataFrame, *columns: str) -> DataFrame:
-    return lines.groupBy("id", "h").agg(F.collect_list(F.struct(*columns)).alias("at"))
-
-
 def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
     """A row per line and prefix word: ``tok``, its place ``i``, the set size ``n`` and the bitmap ``bm`` of the line.
 
@@ -93,44 +94,45 @@ def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
 
     def described(k: Column) -> Column:
         def flip(a: Column, x: Column) -> Column:
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-            return a.bitwiseXOR(bit)
+            return a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))
 
         n = F.size(k)
         prefix = F.slice(k, 1, n - F.ceil(n * 4 / 5).cast("int") + 1)
         return F.struct(n.alias("n"), F.aggregate(k, F.lit(0).cast("long"), flip).alias("bm"), prefix.alias("prefix"))
 
-    known = lines.select(*LINE, let(keys(F.col("line"), classes), described).alias("s"))
-    rows = known.select(*LINE, "s.n", "s.bm", F.posexplode("s.prefix").alias("i", "key"))
-    return rows.where(F.shiftright("key", RANK_BIT) > 0).select(*LINE, "n", "bm", "i", F.hash("key").alias("tok"))
+    known = lines.select("l1", let(keys(F.col("line"), classes), described).alias("s"))
+    rows = known.select("l1", "s.n", "s.bm", F.posexplode_outer("s.prefix").alias("i", "key"))
+    return rows.where(F.shiftright("key", RANK_BIT) > 0).select("l1", "n", "bm", "i", F.hash("key").alias("tok"))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The left lines of those pairs whose whole sets are similar."""
-    left = join(pairs, lines, "a.id <=> b.id AND a.h = b.h AND a.pos = b.pos").select("a.*", "b.n", F.col("b.keys").alias("own"))
-    both = join(left, lines, "a.id_ <=> b.id AND a.h_ = b.h AND a.pos_ = b.pos")
-    return both.where("9 * size(array_intersect(a.own, b.keys)) >= 4 * (a.n + b.n)").select("a.id", "a.h", "a.pos").distinct()
+    """The left lines of those pairs whose whole sets of words are similar."""
+    left = join(pairs, lines, "a.l1 = b.l1 AND a.l2 = b.l2").select("a.*", "b.line")
+    both = join(left, lines, "a.m1 = b.l1 AND a.m2 = b.l2").select("a.l1", "a.l2", F.col("a.line").alias("x"), F.col("b.line").alias("y"))
+    sets = both.select(*LINE, F.array_distinct(words(F.col("x"))).alias("x"), F.array_distinct(words(F.col("y"))).alias("y"))
+    return sets.where("9 * size(array_intersect(x, y)) >= 4 * (size(x) + size(y))").select(*LINE).distinct()
 
 
-def later_matches(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(id, h, pos) of the distinct lines that are similar to an earlier one.
+def later_matches(lines: DataFrame, again: Column, classes: Column) -> DataFrame:
+    """(l1, l2) of the distinct lines that are similar to an earlier one.
 
     Only meetings that pass all filters are kept, as rows per line and word, never as pairs. Most lines of a
     large group then fall to the first line of some shared word; only those left are compared with all.
     """
-    classes = rarity(docs)
-    rows = prefixes(lines_at(docs, by_document(firsts, "pos")), classes)
-    met = join(rows, rows, f"{NEAR} AND NOT ({SAME_LINE})", "left_semi")
-    grouped = met.groupBy(*LINE, "n", "bm").agg(F.collect_list(F.struct("tok", "i")).alias("toks"))
-    lines = lines_at(docs, by_document(grouped, "pos", "n", "bm", "toks"))
-    lines = landed(lines.select(*LINE, "n", "bm", "toks", keys(F.col("line"), classes).alias("keys")), "lines")
-    rows = lines.select(*LINE, "n", "bm", F.inline("toks"))
-    pair = [f"a.{c}" for c in LINE] + [F.col(f"b.{c}").alias(f"{c}_") for c in LINE]
-    heads = rows.groupBy("tok").agg(F.min(F.struct(*LINE, "n", "bm", "i")).alias("head")).select("tok", "head.*")
-    found = landed(similar(join(rows, heads, f"{NEAR} AND {EARLIER}").select(*pair).distinct(), lines), "later")
-    left = join(rows, found, SAME_LINE, "left_anti")
-    rest = similar(join(left, rows, f"{NEAR} AND {EARLIER}").select(*pair).distinct(), lines)
-    return found.unionAll(rest)
+    often = marked(F.col("l1"), again)
+    once = lines.where(~often).select("l1", "line").unionAll(lines.where(often).groupBy("l1", "line").agg(F.lit(1).alias("x")).select("l1", "line"))
+    rows = prefixes(once, classes)
+    met = landed(join(rows, rows, NEAR, "left_semi").select("l1", "n", "bm", "i", "tok").distinct(), "met")
+    near = marks(met.select("l1"))
+    own = lines.where(marked(F.col("l1"), near)).groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
+    own = landed(join(own, met.select("l1").distinct(), "a.l1 = b.l1", "left_semi"), "lines")
+    placed = landed(join(met, own.select(*LINE, "first"), "a.l1 = b.l1").select("a.*", "b.l2", "b.first"), "placed")
+    pair = ["a.l1", "a.l2", F.col("b.l1").alias("m1"), F.col("b.l2").alias("m2")]
+    earlier = f"{NEAR} AND b.first < a.first"
+    heads = placed.groupBy("tok").agg(F.min(F.struct("first", *LINE, "n", "bm", "i")).alias("head")).select("tok", "head.*")
+    found = landed(similar(join(placed, heads, earlier).select(*pair).distinct(), own), "later")
+    left = join(placed, found, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti")
+    return found.unionAll(similar(join(left, placed, earlier).select(*pair).distinct(), own))
 
 
 def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,23 +143,39 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     A null text stays null, an empty one empty. Rows equal in id and text are one document and get the
     same result. Columns of the table can't clash: see ``row``, which holds them with the new text.
     """
-    own = keyed(docs, doc, text)
-    firsts = landed(first_lines(own), "first_lines")
-    kept = join(firsts, landed(later_matches(own, firsts), "removed"), SAME_LINE, "left_anti")
-    kept = by_document(kept, "pos")
     body = F.coalesce(docs[text], F.lit(""))
+    lines = lines_of(docs.select(docs[doc].alias("id"), F.hash(body).alias("h"), body.alias("text")))
+    firsts = landed(lines.groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    again = marks(firsts.where("n > 1"))
+    removed = landed(later_matches(lines, again, rarity(docs.select(body.alias("text")))), "removed")
+    gone = marks(removed)
+
+    def touched(l1: Column) -> Column:
+        return marked(l1, again) | marked(l1, gone)
+
+    kept = join(firsts.where(touched(F.col("l1"))), removed, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti").select("a.first.*")
+    kept = kept.groupBy("id", "h").agg(F.collect_list("pos").alias("at"))
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc].alias("id"), F.hash(body).alias("h"))
-    found = join(whole, kept, SAME_DOCUMENT, "left").select("a.row", F.coalesce("b.at", F.array().cast("array<struct<pos:int>>")).alias("at"))
 
-    def cleaned(lines: Column) -> Column:
-        blank = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda k: ~F.get(lines, k).rlike(r"[^\x20\x09-\x0D]"))
-        stay = F.sort_array(F.concat(blank, F.transform("at", lambda p: p["pos"])))
-        new = F.array_join(F.transform(stay, lambda k: F.get(lines, k)), "\n")
-        return F.struct(new.alias("text"), F.size(lines).cast("long").alias("n"), (F.size(lines) - F.size(stay)).cast("long").alias("gone"))
+    def split(row: Column) -> Column:
+        return F.split(F.coalesce(row[text], F.lit("")), "\n")
+
+    def in_question(line: Column) -> Column:
+        return touched(F.xxhash64(line)) & line.rlike(WORD)
+
+    def cleaned(found: Column) -> Column:
+        sure = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda k: ~in_question(F.get(found, k)))
+        stay = F.sort_array(F.concat(sure, F.coalesce(F.col("at"), F.array().cast("array<int>"))))
+        new = F.array_join(F.transform(stay, lambda k: F.get(found, k)), "\n")
+        return F.struct(new.alias("text"), F.size(found).cast("long").alias("n"), (F.size(found) - F.size(stay)).cast("long").alias("gone"))
 
-    done = found.withColumn("new", let(F.split(F.coalesce(F.col("row")[text], F.lit("")), "\n"), cleaned))
+    doubtful = F.exists(split(F.col("row")), in_question)
+    safe = whole.where(~doubtful).select("row", F.size(split(F.col("row"))).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    found = join(whole.where(doubtful), kept, "a.id <=> b.id AND a.h = b.h", "left").select("a.row", "b.at")
+    done = found.select("row", let(split(F.col("row")), cleaned).alias("new"))
     changed = F.when(F.col("row")[text].isNotNull(), F.col("new.text"))
-    return done.select(F.col("row").withField(text, changed).alias("row"), F.col("new.n").alias("n_lines"), F.col("new.gone").alias("n_removed"))
+    done = done.select(F.col("row").withField(text, changed).alias("row"), F.col("new.n").alias("n_lines"), F.col("new.gone").alias("n_removed"))
+    return safe.unionAll(done)
 
 
 def sql() -> str:
