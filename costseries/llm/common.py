@@ -12,7 +12,7 @@ GAP = r"[\x20\x09-\x0D]+"
 
 def words(text: Column) -> Column:
     """Words of a text in order; none for a null or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
 def let(value: Column, body) -> Column:

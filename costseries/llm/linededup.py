@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from costseries.llm.common import GAP, let, words
 from costseries.session import landed
 
-BUCKETS = 1 << 17  # of the rarity table, whose size doesn't depend on the corpus
-MARKS = 1 << 23  # bits of a table that marks line hashes; a full one costs time, never a line
+BUCKETS = 1 << 15  # of the rarity table, whose size doesn't depend on the corpus
+MARKS = 1 << 23  # bits of a broadcast table that marks hashes (at most 131,072 rows); a full one costs time, never a line
 RANK_BIT = 53  # the key of a word has its rarity class from this bit on and its hash below
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -41,21 +41,24 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.select(*PLACE, "line", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(1), "line").alias("l2"))
 
 
-def marks(hashes: DataFrame) -> Column:
-    """A constant table of ``MARKS`` bits with those of the given ``l1`` set: 64 of them in each of its numbers."""
-    at = F.col("l1").bitwiseAND(F.lit(MARKS - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
-    cells = ["0"] * (MARKS // 64)
-    for r in hashes.groupBy(F.shiftright(at, 6).cast("int").alias("cell")).agg(F.bit_or(bit).alias("bits")).collect():
-        cells[r["cell"]] = str(r["bits"])
-    return F.split(F.lit(",".join(cells)), ",").cast("array<bigint>")
+def _cell(h: str) -> Column:
+    return F.shiftright(F.col(h).bitwiseAND(F.lit(MARKS - 1)), 6).cast("int")
 
 
-def marked(l1: Column, table: Column) -> Column:
-    """False only if the hash is surely not in the table."""
-    at = l1.bitwiseAND(F.lit(MARKS - 1))
-    cell = F.get(table, F.shiftright(at, 6).cast("int"))
-    return F.call_function("shiftright", cell, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+def _bit(h: str) -> Column:
+    at = F.col(h).bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
+
+
+def marks(rows: DataFrame, h: str = "l1") -> DataFrame:
+    """Bit table of the hashes in column ``h``: a number of 64 bits per cell, ``MARKS`` / 64 cells at most."""
+    return landed(rows.groupBy(_cell(h).alias("cell")).agg(F.bit_or(_bit(h)).alias("bits")), "marks")
+
+
+def with_mark(rows: DataFrame, table: DataFrame, h: str = "l1") -> DataFrame:
+    """Add ``mark``: false only if the hash is surely not in the table."""
+    known = rows.join(F.broadcast(table), _cell(h) == F.col("cell"), "left")
+    return known.withColumn("mark", F.coalesce(F.col("bits").bitwiseAND(_bit(h)) != 0, F.lit(False))).drop("cell", "bits")
 
 
 def bucket(word_hash: Column) -> Column:
@@ -92,16 +95,14 @@ def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
     Words that occur once in the corpus can't meet another line and are left out.
     """
 
-    def described(k: Column) -> Column:
-        def flip(a: Column, x: Column) -> Column:
-            return a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))
+    def flip(bits: Column, key: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int")))
 
-        n = F.size(k)
-        prefix = F.slice(k, 1, n - F.ceil(n * 4 / 5).cast("int") + 1)
-        return F.struct(n.alias("n"), F.aggregate(k, F.lit(0).cast("long"), flip).alias("bm"), prefix.alias("prefix"))
-
-    known = lines.select("l1", let(keys(F.col("line"), classes), described).alias("s"))
-    rows = known.select("l1", "s.n", "s.bm", F.posexplode_outer("s.prefix").alias("i", "key"))
+    known = lines.select("l1", keys(F.col("line"), classes).alias("keys"))
+    n = F.size("keys")
+    prefix = F.slice("keys", 1, n - F.ceil(n * 4 / 5).cast("int") + 1)
+    known = known.select("l1", n.alias("n"), F.aggregate("keys", F.lit(0).cast("long"), flip).alias("bm"), prefix.alias("prefix"))
+    rows = known.select("l1", "n", "bm", F.posexplode_outer("prefix").alias("i", "key"))
     return rows.where(F.shiftright("key", RANK_BIT) > 0).select("l1", "n", "bm", "i", F.hash("key").alias("tok"))
 
 
@@ -113,18 +114,17 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return sets.where("9 * size(array_intersect(x, y)) >= 4 * (size(x) + size(y))").select(*LINE).distinct()
 
 
-def later_matches(lines: DataFrame, again: Column, classes: Column) -> DataFrame:
+def later_matches(lines: DataFrame, again: DataFrame, classes: Column) -> DataFrame:
     """(l1, l2) of the distinct lines that are similar to an earlier one.
 
     Only meetings that pass all filters are kept, as rows per line and word, never as pairs. Most lines of a
     large group then fall to the first line of some shared word; only those left are compared with all.
     """
-    often = marked(F.col("l1"), again)
-    once = lines.where(~often).select("l1", "line").unionAll(lines.where(often).groupBy("l1", "line").agg(F.lit(1).alias("x")).select("l1", "line"))
-    rows = prefixes(once, classes)
+    told = with_mark(lines, again)
+    often = told.where("mark").groupBy("l1", "line").agg(F.lit(1).alias("x"))
+    rows = prefixes(told.where("not mark").select("l1", "line").unionAll(often.select("l1", "line")), classes)
     met = landed(join(rows, rows, NEAR, "left_semi").select("l1", "n", "bm", "i", "tok").distinct(), "met")
-    near = marks(met.select("l1"))
-    own = lines.where(marked(F.col("l1"), near)).groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
+    own = with_mark(lines, marks(met)).where("mark").groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
     own = landed(join(own, met.select("l1").distinct(), "a.l1 = b.l1", "left_semi"), "lines")
     placed = landed(join(met, own.select(*LINE, "first"), "a.l1 = b.l1").select("a.*", "b.l2", "b.first"), "placed")
     pair = ["a.l1", "a.l2", F.col("b.l1").alias("m1"), F.col("b.l2").alias("m2")]
@@ -148,30 +148,26 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     firsts = landed(lines.groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
     again = marks(firsts.where("n > 1"))
     removed = landed(later_matches(lines, again, rarity(docs.select(body.alias("text")))), "removed")
-    gone = marks(removed)
-
-    def touched(l1: Column) -> Column:
-        return marked(l1, again) | marked(l1, gone)
 
-    kept = join(firsts.where(touched(F.col("l1"))), removed, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti").select("a.first.*")
-    kept = kept.groupBy("id", "h").agg(F.collect_list("pos").alias("at"))
+    # Only documents with a line that occurs again or goes can lose one.
+    losing = with_mark(lines, marks(firsts.where("n > 1").select("l1").unionAll(removed.select("l1")))).where("mark")
+    losing = marks(losing.select("h"), "h")
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc].alias("id"), F.hash(body).alias("h"))
+    whole = with_mark(whole, losing, "h")
+    kept = join(firsts, removed, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti").select("a.first.*")
+    kept = with_mark(kept, losing, "h").where("mark").groupBy("id", "h").agg(F.collect_list("pos").alias("at"))
 
     def split(row: Column) -> Column:
         return F.split(F.coalesce(row[text], F.lit("")), "\n")
 
-    def in_question(line: Column) -> Column:
-        return touched(F.xxhash64(line)) & line.rlike(WORD)
-
     def cleaned(found: Column) -> Column:
-        sure = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda k: ~in_question(F.get(found, k)))
-        stay = F.sort_array(F.concat(sure, F.coalesce(F.col("at"), F.array().cast("array<int>"))))
+        blank = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda k: ~F.get(found, k).rlike(WORD))
+        stay = F.sort_array(F.concat(blank, F.coalesce(F.col("at"), F.array().cast("array<int>"))))
         new = F.array_join(F.transform(stay, lambda k: F.get(found, k)), "\n")
         return F.struct(new.alias("text"), F.size(found).cast("long").alias("n"), (F.size(found) - F.size(stay)).cast("long").alias("gone"))
 
-    doubtful = F.exists(split(F.col("row")), in_question)
-    safe = whole.where(~doubtful).select("row", F.size(split(F.col("row"))).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
-    found = join(whole.where(doubtful), kept, "a.id <=> b.id AND a.h = b.h", "left").select("a.row", "b.at")
+    safe = whole.where("not mark").select("row", F.size(split(F.col("row"))).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    found = join(whole.where("mark"), kept, "a.id <=> b.id AND a.h = b.h", "left").select("a.row", "b.at")
     done = found.select("row", let(split(F.col("row")), cleaned).alias("new"))
     changed = F.when(F.col("row")[text].isNotNull(), F.col("new.text"))
     done = done.select(F.col("row").withField(text, changed).alias("row"), F.col("new.n").alias("n_lines"), F.col("new.gone").alias("n_removed"))
