@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costseries.llm.common import GAP, let, words
+from costseries.llm.common import let, words
 from costseries.session import landed
 
 BUCKETS = 1 << 15  # of the rarity table, whose size doesn't depend on the corpus
@@ -25,9 +25,12 @@ RANK_BIT = 53  # the key of a word has its rarity class from this bit on and its
 WORD = r"[^\x20\x09-\x0D]"
 LINE = ["l1", "l2"]  # two independent hashes of a line
 PLACE = ["id", "h", "pos"]  # a document by id and text hash, and the position of the line in it
+LONG = 90  # words from which on a line has two bitmap halves; together they fold into the single one of a shorter line
 NEED = "((4 * (a.n + b.n) + 8) div 9)"
 NEAR = f"""a.tok = b.tok AND a.l1 <> b.l1 AND a.n * 4 <= b.n * 5 AND b.n * 4 <= a.n * 5
-    AND least(a.n - a.i, b.n - b.i) >= {NEED} AND bit_count(a.bm ^ b.bm) <= a.n + b.n - 2 * {NEED}"""
+    AND least(a.n - a.i, b.n - b.i) >= {NEED} AND a.n + b.n - 2 * {NEED} >=
+    CASE WHEN a.n >= {LONG} AND b.n >= {LONG} THEN bit_count(a.bm ^ b.bm) + bit_count(a.bm2 ^ b.bm2)
+    ELSE bit_count(a.bm ^ a.bm2 ^ b.bm ^ b.bm2) END"""
 
 
 def join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -71,7 +74,7 @@ def rarity(docs: DataFrame) -> Column:
     Class 0 means a single occurrence. Rare words that share a bucket with frequent ones sort later than
     they could; any fixed order gives the same result.
     """
-    found = docs.select(F.explode_outer(F.split("text", GAP)).alias("word")).where("word <> ''")
+    found = docs.select(F.explode_outer(words(F.col("text"))).alias("word")).where("word is not null")
     counted = found.groupBy(bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     classes = ["0"] * BUCKETS
     for r in counted.where("n > 1").select("bucket", F.floor(8 * F.log2("n")).alias("c")).collect():
@@ -90,7 +93,7 @@ def keys(line: Column, classes: Column) -> Column:
 
 
 def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
-    """A row per line and prefix word: ``tok``, its place ``i``, the set size ``n`` and the bitmap ``bm`` of the line.
+    """A row per line and prefix word: ``tok``, its place ``i``, the set size ``n`` and the bitmap halves ``bm`` and ``bm2`` of the line.
 
     Words that occur once in the corpus can't meet another line and are left out.
     """
@@ -98,12 +101,17 @@ def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
     def flip(bits: Column, key: Column) -> Column:
         return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int")))
 
+    def bitmap(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0).cast("long"), flip)
+
     known = lines.select("l1", keys(F.col("line"), classes).alias("keys"))
     n = F.size("keys")
+    high = F.when(n >= LONG, bitmap(F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) != 0))).otherwise(F.lit(0).cast("long"))
     prefix = F.slice("keys", 1, n - F.ceil(n * 4 / 5).cast("int") + 1)
-    known = known.select("l1", n.alias("n"), F.aggregate("keys", F.lit(0).cast("long"), flip).alias("bm"), prefix.alias("prefix"))
-    rows = known.select("l1", "n", "bm", F.posexplode_outer("prefix").alias("i", "key"))
-    return rows.where(F.shiftright("key", RANK_BIT) > 0).select("l1", "n", "bm", "i", F.hash("key").alias("tok"))
+    known = known.select("l1", n.alias("n"), bitmap(F.col("keys")).alias("bm"), high.alias("bm2"), prefix.alias("prefix"))
+    known = known.withColumn("bm", F.col("bm").bitwiseXOR(F.col("bm2")))
+    rows = known.select("l1", "n", "bm", "bm2", F.posexplode_outer("prefix").alias("i", "key"))
+    return rows.where(F.shiftright("key", RANK_BIT) > 0).select("l1", "n", "bm", "bm2", "i", F.hash("key").alias("tok"))
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -123,13 +131,13 @@ def later_matches(lines: DataFrame, again: DataFrame, classes: Column) -> DataFr
     told = with_mark(lines, again)
     often = told.where("mark").groupBy("l1", "line").agg(F.lit(1).alias("x"))
     rows = prefixes(told.where("not mark").select("l1", "line").unionAll(often.select("l1", "line")), classes)
-    met = landed(join(rows, rows, NEAR, "left_semi").select("l1", "n", "bm", "i", "tok").distinct(), "met")
+    met = landed(join(rows, rows, NEAR, "left_semi").select("l1", "n", "bm", "bm2", "i", "tok").distinct(), "met")
     own = with_mark(lines, marks(met)).where("mark").groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
     own = landed(join(own, met.select("l1").distinct(), "a.l1 = b.l1", "left_semi"), "lines")
     placed = landed(join(met, own.select(*LINE, "first"), "a.l1 = b.l1").select("a.*", "b.l2", "b.first"), "placed")
     pair = ["a.l1", "a.l2", F.col("b.l1").alias("m1"), F.col("b.l2").alias("m2")]
     earlier = f"{NEAR} AND b.first < a.first"
-    heads = placed.groupBy("tok").agg(F.min(F.struct("first", *LINE, "n", "bm", "i")).alias("head")).select("tok", "head.*")
+    heads = placed.groupBy("tok").agg(F.min(F.struct("first", *LINE, "n", "bm", "bm2", "i")).alias("head")).select("tok", "head.*")
     found = landed(similar(join(placed, heads, earlier).select(*pair).distinct(), own), "later")
     left = join(placed, found, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti")
     return found.unionAll(similar(join(left, placed, earlier).select(*pair).distinct(), own))
