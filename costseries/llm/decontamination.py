@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -19,6 +20,7 @@ SIMILARITY = 0.8
 RADIUS = 15  # differing bits of a window that is still verified
 SEGMENTS = 4  # of 16 bits: of 15 differing bits at most 3 lie in some segment
 BLOCK_WORDS = 1_000_000  # words of benchmark items that one pass holds
+TABLE = 20  # bits of the table that tells texts without any shingle of an item
 PART = 1 << 15  # windows fingerprinted at a time
 WORD = re.compile(r"\w+")
 
@@ -50,15 +52,18 @@ def _letters(shingle: tuple[str, ...]) -> int:
 class Shingled:
     """Hashes and weights of the shingles of a text, in order."""
 
-    def __init__(self, found: list[str], known: dict[str, int], size: int):
-        codes = np.fromiter((known[w] for w in found), np.uint64, len(found))
-        sizes = np.cumsum([0, *map(len, found)])
+    def __init__(self, found: list[str], codes: np.ndarray, size: int):
+        self.found, self.size = found, size
         n = max(0, len(found) - size + 1)
         self.hashes = np.zeros(n, np.uint64)
         for k in range(size):
             self.hashes = (self.hashes ^ codes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
             self.hashes ^= self.hashes >> np.uint64(29)
-        self.weights = (sizes[size : size + n] - sizes[:n]).astype(np.int64)
+
+    @cached_property
+    def weights(self) -> np.ndarray:
+        sizes = np.cumsum([0, *map(len, self.found)], dtype=np.int64)
+        return sizes[self.size : self.size + len(self.hashes)] - sizes[: len(self.hashes)]
 
     def fingerprints(self, first: int, last: int, width: int) -> np.ndarray:
         """Weighted SimHash of the windows of ``width`` shingles that start at first..last - 1."""
@@ -79,13 +84,16 @@ class _Words(dict):
         self[word] = got = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return got
 
+    def codes(self, found: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
 
 class Length:
     """The items of one length with a multi-index over their fingerprints."""
 
-    def __init__(self, items: list[Item], size: int, known: dict[str, int]):
+    def __init__(self, items: list[Item], size: int, known: _Words):
         self.items, self.size = items, size
-        shingled = [Shingled(w, known, size) for _, w in items]
+        shingled = [Shingled(w, known.codes(w), size) for _, w in items]
         self.width = len(shingled[0].hashes)
         self.prints = np.concatenate([s.fingerprints(0, 1, self.width) for s in shingled])
         self.own = np.unique(np.concatenate([s.hashes for s in shingled]))
@@ -131,17 +139,19 @@ class Matcher:
             if item[1]:
                 lengths[len(item[1])].append(item)
         self.lengths = [Length(own, min(SHINGLE, n), self.known) for n, own in sorted(lengths.items())]
-        self.all = {s: np.unique(np.concatenate([x.own for x in self.lengths if x.size == s])) for s in {x.size for x in self.lengths}}
+        self.seen = {s: np.zeros(1 << TABLE, bool) for s in {x.size for x in self.lengths}}  # shingle hashes of items, by their first bits
+        for x in self.lengths:
+            self.seen[x.size][(x.own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
 
     def leaks(self, text: str | None) -> list[tuple[object, float, int]]:
         """(item, similarity, first word) of every item that a window of its own size resembles, at its best window."""
         found = tokens(text)
         best: dict[tuple[int, int], tuple[float, int]] = {}
-        shingled = {}
-        for size, own in self.all.items():
-            text_ = Shingled(found, self.known, size)
-            if len(text_.hashes) and np.isin(text_.hashes, own, assume_unique=False).any():
-                shingled[size] = text_
+        codes, shingled = self.known.codes(found), {}
+        for size, seen in self.seen.items():
+            one = Shingled(found, codes, size)
+            if seen[(one.hashes >> np.uint64(64 - TABLE)).astype(np.int64)].any():
+                shingled[size] = one
         for k, length in enumerate(self.lengths):
             if length.size in shingled:
                 for start, i in length.candidates(shingled[length.size]):

@@ -121,8 +121,9 @@ def learn(docs: DataFrame, doc: str, text: str, lang: str, sample: int = SAMPLE)
                 part = batch.slice(at, 256)
                 texts = part.column(1).to_pylist()
                 keep = [k for k, t in enumerate(texts) if has_letter(t)]
+                those = pa.array(keep, pa.int64())
                 vectors = [grams(texts[k]).tobytes() for k in keep]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(keep), pa.array(vectors, pa.binary()), part.column(2).take(keep)], names=["lang", "v", "h"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(those), pa.array(vectors, pa.binary()), part.column(2).take(those)], names=["lang", "v", "h"])
 
     rows = chosen.select("lang", "text", F.xxhash64("id", "text").alias("h")).mapInArrow(run, fields("lang string, v binary, h long"))
     got = sorted(rows.limit(2 * sample * len(sizes)).collect(), key=lambda r: (r["lang"], r["h"]))

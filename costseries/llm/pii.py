@@ -49,8 +49,10 @@ AT = r"\s{0,3}[\[({<]\s{0,3}(?:at|arroba|à)\s{0,3}[\])}>]\s{0,3}"
 DOT = r"\s{0,3}[\[({<]\s{0,3}(?:dot|punkt|punto|point)\s{0,3}[\])}>]\s{0,3}"
 BRACKETED = re.compile(rf"(?P<at>{AT})|(?P<dot>{DOT})", re.I)
 _WORD = r"[A-Za-z0-9-]+"
+# Common top-level domains; a spoken address must end in one, for "at" and "dot" are words too.
+_TOP = "com|net|org|edu|gov|mil|int|info|biz|name|io|co|app|dev|ai|me|tv|eu|de|fr|es|it|uk|us|ca|ch|nl|be|br|mx|ar|pt|ru|cn|jp|in|au|se|no|dk|fi|pl"
 SAID = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<a>\x20(?:at|arroba)\x20|@){_WORD}(?:(?:\x20(?:dot|punkt|punto|point)\x20|\.){_WORD})*\x20(?:dot|punkt|punto|point)\x20{_WORD}", re.I
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<a>\x20(?:at|arroba)\x20|@){_WORD}(?:(?:\x20(?:dot|punkt|punto|point)\x20|\.){_WORD})*\x20(?:dot|punkt|punto|point)\x20(?:{_TOP})(?!\w)", re.I
 )
 SAID_PART = re.compile(r"\x20(at|arroba|dot|punkt|punto|point)\x20", re.I)
 HINT = re.compile(r"@|\x20(?:dot|punkt|punto|point)\x20", re.I)

@@ -90,31 +90,26 @@ def predict_chain(models: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     return data[:, x.shape[1] :]
 
 
-def select(rows: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Features that tell the classes apart best, by the z-score of their document shares."""
-    positive, total = {}, {}
-    for found, t in zip(rows, toxic):
-        for f in found:
-            total[f] = total.get(f, 0) + 1
-            if t:
-                positive[f] = positive.get(f, 0) + 1
-    n, n1 = len(rows), max(1, int(toxic.sum()))
-    share = n1 / max(n, 1)
-    names = [f for f, c in total.items() if c > 1]
-    if not names:
-        return []
-    count = np.array([total[f] for f in names], float)
-    hits = np.array([positive.get(f, 0) for f in names], float)
+def select(rows: list[np.ndarray], names: list[str], toxic: np.ndarray) -> list[int]:
+    """Numbers of the features that tell the classes apart best, by the z-score of their document shares."""
+    count, hits = np.zeros(len(names)), np.zeros(len(names))
+    for own, t in zip(rows, toxic):
+        count[own] += 1
+        if t:
+            hits[own] += 1
+    share = toxic.sum() / max(len(rows), 1)
     score = np.abs(hits - count * share) / np.sqrt(count * share * (1 - share) + 1)
-    order = sorted(range(len(names)), key=lambda k: (-score[k], names[k]))[:FEATURES]
-    return [names[k] for k in order if score[k] >= 2]
+    able = np.flatnonzero((count > 1) & (score >= 2)).tolist()
+    return sorted(able, key=lambda k: (-score[k], names[k]))[:FEATURES]
 
 
-def matrix(rows: list[set[str]], names: list[str]) -> np.ndarray:
-    at = {f: k for k, f in enumerate(names)}
-    x = np.zeros((len(rows), len(names)), np.float32)
-    for r, found in enumerate(rows):
-        x[r, [at[f] for f in found if f in at]] = 1
+def matrix(rows: list[np.ndarray], chosen: list[int], total: int) -> np.ndarray:
+    at = np.full(total, -1)
+    at[chosen] = np.arange(len(chosen))
+    x = np.zeros((len(rows), len(chosen)), np.float32)
+    for r, own in enumerate(rows):
+        got = at[own]
+        x[r, got[got >= 0]] = 1
     return x
 
 
@@ -139,24 +134,26 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str) -
 
     kind = docs.schema[doc].dataType.simpleString()
     got = pairs.mapInArrow(run, fields(f"id {kind}, toxic int, found array<string>")).toLocalIterator()
-    rows, toxic, folds, seen = [], [], [], set()
+    number: dict[str, int] = {}
+    rows, y, seen = [], [], set()
     for r in got:
         if r["id"] not in seen:  # of repeated ids one row counts
             seen.add(r["id"])
-            rows.append(set(r["found"]))
-            toxic.append(r["toxic"])
-            folds.append(zlib.crc32(str(r["id"]).encode()) % FOLDS)
-    toxic = np.array(toxic, int)
-    names = select(rows, toxic) if len(set(toxic.tolist())) == 2 else []
-    if not names:  # nothing to tell apart: every document gets the share of toxic labels
+            rows.append((r["id"], np.array([number.setdefault(f, len(number)) for f in r["found"]], np.int32)))
+            y.append(targets(set(r["found"]), r["toxic"]))
+    order = sorted(range(len(rows)), key=lambda k: str(rows[k][0]))
+    found, names = [rows[k][1] for k in order], list(number)
+    folds = np.array([zlib.crc32(str(rows[k][0]).encode()) % FOLDS for k in order])
+    y = np.array([y[k] for k in order], np.float32).reshape(-1, len(CHAIN))
+    toxic = y[:, -1].astype(int)
+    chosen = select(found, names, toxic) if 0 < toxic.sum() < len(toxic) else []
+    if not chosen:  # nothing to tell apart: every document gets the share of toxic labels
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         return [], [np.append(np.zeros(k), bias).astype(np.float32) for k in range(len(CHAIN))]
-    order = sorted(range(len(rows)), key=lambda k: (folds[k], sorted(rows[k])[:3], len(rows[k])))
-    rows, toxic, folds = [rows[k] for k in order], toxic[order], np.array(folds)[order]
-    y = np.array([targets(f, t) for f, t in zip(rows, toxic)], np.float32)
     weight = np.where(toxic == 1, sizes.get(1, 0) / max(1, toxic.sum()), sizes.get(0, 0) / max(1, (1 - toxic).sum()))
-    return names, fit_chain(matrix(rows, names), y, weight.astype(np.float32), folds)
+    models = fit_chain(matrix(found, chosen, len(names)), y, weight.astype(np.float32), folds)
+    return [names[k] for k in chosen], models
 
 
 def score(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = 0.5) -> DataFrame:
