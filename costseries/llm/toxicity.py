@@ -49,7 +49,12 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Weights and bias of a regularised logistic regression on weighted rows, by accelerated gradient descent."""
     x = np.concatenate((x, np.ones((len(x), 1), x.dtype)), 1)
     w = w / max(w.sum(), 1e-9)
-    rate = 4 / max(1e-9, float((w * (x * x).sum(1)).sum()))
+    top = np.ones(x.shape[1], x.dtype)  # power iteration: the largest curvature sets the step
+    for _ in range(15):
+        top = x.T @ (w * (x @ top))
+        size = float(np.linalg.norm(top))
+        top /= max(size, 1e-12)
+    rate = 4 / max(1.1 * size, 1e-9)
     beta = np.zeros(x.shape[1], x.dtype)
     ahead, t = beta.copy(), 1.0
     for _ in range(STEPS):
@@ -98,7 +103,7 @@ def select(rows: list[np.ndarray], names: list[str], toxic: np.ndarray) -> list[
         if t:
             hits[own] += 1
     share = toxic.sum() / max(len(rows), 1)
-    score = np.abs(hits - count * share) / np.sqrt(count * share * (1 - share) + 1)
+    score = np.abs(hits - count * share) / np.sqrt(count * share * (1 - share) + 0.5)
     able = np.flatnonzero((count > 1) & (score >= 2)).tolist()
     return sorted(able, key=lambda k: (-score[k], names[k]))[:FEATURES]
 
