@@ -28,6 +28,7 @@ MONTH_NAMES = (
 DATE_FORMATS = ("yyyy-M-d", "d/M/yyyy", "yyyy-M", "yyyy/M/d")
 
 EXCEL_EPOCH = "1899-12-30"
+LAST_SERIAL = 2958466  # fixed value: the day after 9999-12-31
 
 
 def _shape(fmt: str) -> str:
@@ -102,7 +103,7 @@ def quarter_to_month(col: Column) -> Column:
 
 def _serial(col: Column) -> Column:
     number = F.trim(col.cast("string")).try_cast("double")
-    return F.when(number > 1000, number)
+    return F.when((number > 1000) & (number < LAST_SERIAL), number)
 
 
 def excel_serial_date(col: Column) -> Column:

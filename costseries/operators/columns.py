@@ -31,9 +31,16 @@ def snake_columns(df: DataFrame) -> DataFrame:
 
 
 def synonym_columns(df: DataFrame, synonyms: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rename header variants to the canonical name (case and padding ignored)."""
-    canonical = {v.strip().lower(): name for name, variants in synonyms.items() for v in variants}
-    renames = {c: canonical[c.strip().lower()] for c in df.columns if c.strip().lower() in canonical}
+    """Rename header variants to the canonical name (case and all blanks ignored)."""
+    def plain(header: str) -> str:
+        return "".join(header.lower().split())
+
+    canonical = {plain(v): name for name, variants in synonyms.items() for v in variants}
+    renames: dict[str, str] = {}
+    for c in df.columns:  # the first of several variants takes the name
+        name = canonical.get(plain(c))
+        if name and name not in renames.values() and (name == c or name not in df.columns):
+            renames[c] = name
     return df.withColumnsRenamed(renames)
 
 
@@ -43,7 +50,10 @@ def promote_header(df: DataFrame, order: str, first: str = "label") -> DataFrame
     Reads one row to the driver, since names are metadata.
     """
     cols = [c for c in df.columns if c != order]
-    head = df.orderBy(order).limit(1).collect()[0]
+    found = df.orderBy(order).limit(1).collect()
+    if not found:
+        return df.toDF(*unique_names([order, first, *[snake(c) if "unnamed" not in c.lower() else f"value_{i}" for i, c in enumerate(cols[1:], 1)]])) if df.columns[0] == order else df
+    head = found[0]
     names = [first]
     for i, c in enumerate(cols[1:], 1):
         text = str(head[c]).strip() if head[c] is not None else ""
@@ -100,14 +110,19 @@ def stamp_lineage(
 
 def changed_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Compare two snapshots by row fingerprint: added, removed or changed keys."""
-    def prints(df: DataFrame, name: str) -> DataFrame:
+    def prints(df: DataFrame, is_new: bool) -> DataFrame:
         rest = [F.col(c) for c in sorted(df.columns) if c not in keys]
-        return df.select(*keys, row_checksum(*rest).alias(name))
+        return df.select(*keys, F.lit(is_new).alias("_new"), F.xxhash64(row_checksum(*rest)).cast("decimal(38,0)").alias("_print"))
 
-    both = prints(old, "_old").join(prints(new, "_new"), list(keys), "full")
+    def total(is_new: bool) -> Column:
+        own = F.col("_new") == is_new
+        return F.struct(F.count_if(own).alias("n"), F.sum(F.when(own, F.col("_print"))).alias("s"))
+
+    both = prints(old, False).unionByName(prints(new, True)).groupBy(*keys)  # NULL keys meet
+    both = both.agg(total(False).alias("_before"), total(True).alias("_after"))
     status = (
-        F.when(F.col("_old").isNull(), "added")
-        .when(F.col("_new").isNull(), "removed")
-        .when(F.col("_old") != F.col("_new"), "changed")
+        F.when(F.col("_before.n") == 0, "added")
+        .when(F.col("_after.n") == 0, "removed")
+        .when(F.col("_before") != F.col("_after"), "changed")
     )
-    return both.withColumn("status", status).filter("status IS NOT NULL").drop("_old", "_new")
+    return both.withColumn("status", status).filter("status IS NOT NULL").drop("_before", "_after")

@@ -231,16 +231,20 @@ def loan_assignment_large(
 ) -> DataFrame:
     """Same result for a programme table of any size.
 
-    Applications meet programmes through income bands and keep the smallest priority per id.
+    The programme depends on price and income alone, so each pair of them is looked up once, through
+    income bands, and keeps the smallest priority. An unknown income fits programmes without an income limit.
     """
     wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
     offered = programs.filter("priority IS NOT NULL").select(*wanted, F.lit(None).cast("double").alias("_floor"))
-    pairs = joins.band_lookup(applications, income, offered, "_floor", "income_limit", closed=True)
-    affordable = F.col("price_limit").isNull() | (F.col(price) <= F.col("price_limit"))
+    asked = applications.select(F.col(price).alias("_price"), F.col(income).alias("_income")).distinct()
+    asked = asked.withColumn("_earned", F.coalesce(F.col("_income").cast("double"), F.lit(float("inf"))))
+    pairs = joins.band_lookup(asked, "_earned", offered, "_floor", "income_limit", closed=True)
+    affordable = F.col("price_limit").isNull() | (F.col("_price") <= F.col("price_limit"))
     fits = F.col("program").isNotNull() & affordable
-    best = pairs.groupBy(app_id).agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
+    best = pairs.groupBy("_price", "_income").agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
-    out = applications.join(best, app_id, "left").select(*applications.columns, *picked)
+    on = F.col(price).eqNullSafe(F.col("_price")) & F.col(income).eqNullSafe(F.col("_income"))
+    out = applications.join(best, on, "left").select(*applications.columns, *picked)
     return _loan_terms(out, price, income, digits)
 
 
@@ -272,16 +276,17 @@ def project_cost(
     return out.withColumn("total_cost", product)
 
 
+# fixed values: headers of the published files
 EMPLOYMENT_SYNONYMS = {
-    "period": ["competencia", "competência", "competenciamov", "period"],
-    "state": ["uf", "state"],
-    "municipality": ["municipio", "município", "municipality"],
+    "period": ["competencia", "competência", "competenciamov", "competênciamov", "competenciadec", "competênciadec", "period"],
+    "state": ["uf", "sigla_uf", "state"],
+    "municipality": ["municipio", "município", "codigomunicipio", "municipality"],
     "section": ["secao_cnae", "seção", "secao", "section"],
-    "code": ["subclasse_cnae", "subclasse", "code"],
-    "admitted": ["admitidos", "admissoes", "admitted"],
+    "code": ["subclasse_cnae", "subclasse", "cnaes20subclasse", "cnae20subclasse", "cnae2.0subclasse", "code"],
+    "admitted": ["admitidos", "admissoes", "admissões", "admitted"],
     "dismissed": ["desligados", "desligamentos", "dismissed"],
     "balance": ["saldo", "saldomovimentacao", "saldomovimentação", "balance"],
-    "mean_wage": ["salario_medio", "salario", "salário", "mean_wage"],
+    "mean_wage": ["salario_medio", "salariomedio", "saláriomédio", "salario", "salário", "valorsalariofixo", "valorsaláriofixo", "mean_wage"],
 }
 
 
@@ -299,11 +304,12 @@ def employment_fact(df: DataFrame, states: DataFrame | None = None, digits: int
     return out.withColumn("mean_wage", F.round("mean_wage", digits))
 
 
+# fixed values: headers of the published files
 MATERIAL_SYNONYMS = {
-    "code": ["codigo", "código", "codigo do insumo", "code"],
-    "description": ["descricao", "descrição", "descricao do insumo", "description"],
+    "code": ["codigo", "código", "codigo do insumo", "código do insumo", "codigo_sinapi", "código_sinapi", "code"],
+    "description": ["descricao", "descrição", "descricao do insumo", "descrição do insumo", "description"],
     "unit": ["unidade", "unidade de medida", "un", "unit"],
-    "price": ["preco", "preço", "preco mediano r$", "preco unitario", "price"],
+    "price": ["preco", "preço", "preco mediano r$", "preço mediano r$", "preco mediano", "preço mediano", "preco unitario", "preço unitário", "valor", "price"],
     "kind": ["tipo_insumo", "tipo", "kind"],
     "category": ["classe", "category"],
 }
@@ -322,6 +328,7 @@ def materials_fact(df: DataFrame, region: str = "BR", month: str = "2024-01") ->
     )
 
 
+# fixed values: headers of the published files
 CLIMATE_SYNONYMS = {
     "station": ["CD_ESTACAO"],
     "station_name": ["DC_NOME"],

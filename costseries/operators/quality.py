@@ -451,9 +451,9 @@ def enrich_and_compare(
 def post_write_check(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Header and keys after a write: same columns in order, no key lost or added."""
     same_header = expected.columns == actual.columns
-    e = expected.groupBy(*keys).agg(F.count(F.lit(1)).alias("_e"))
-    a = actual.groupBy(*keys).agg(F.count(F.lit(1)).alias("_a"))
-    both = e.join(a, list(keys), "full").fillna(0, ["_e", "_a"])
+    e = expected.select(*keys, F.lit(1).alias("_e"), F.lit(0).alias("_a"))
+    a = actual.select(*keys, F.lit(0).alias("_e"), F.lit(1).alias("_a"))
+    both = e.unionByName(a).groupBy(*keys).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))  # NULL keys meet
     return both.agg(
         F.coalesce(F.sum("_e"), F.lit(0)).alias("n_expected"),
         F.coalesce(F.sum("_a"), F.lit(0)).alias("n_actual"),

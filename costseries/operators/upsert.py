@@ -78,10 +78,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
 
 def upsert_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing, new, updated and final row counts of an upsert (also its dry run)."""
-    t = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("_t"))
-    b = batch.select(*keys).distinct().withColumn("_b", F.lit(1))
-    both = t.join(b, list(keys), "full")
-    in_t, in_b = F.col("_t").isNotNull(), F.col("_b").isNotNull()
+    t = target.select(*keys, F.lit(1).alias("_t"), F.lit(0).alias("_b"))
+    b = batch.select(*keys, F.lit(0).alias("_t"), F.lit(1).alias("_b"))
+    both = t.unionByName(b).groupBy(*keys).agg(F.sum("_t").alias("_t"), F.sum("_b").alias("_b"))  # NULL keys meet
+    in_t, in_b = F.col("_t") > 0, F.col("_b") > 0
     return both.agg(
         F.coalesce(F.sum("_t"), F.lit(0)).alias("n_existing"),
         F.count_if(in_b & ~in_t).alias("n_new"),
@@ -141,10 +141,10 @@ def union_tagged(parts: Mapping[str, DataFrame], tag: str) -> DataFrame:
 
 def set_diff_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Keys missing from or unexpected in ``found``."""
-    e, f = expected.select(key).distinct(), found.select(key).distinct()
-    missing = e.join(f, key, "left_anti").withColumn("status", F.lit("missing"))
-    extra = f.join(e, key, "left_anti").withColumn("status", F.lit("unexpected"))
-    return missing.unionByName(extra)
+    sides = expected.select(key, F.lit(1).alias("_side")).unionByName(found.select(key, F.lit(2).alias("_side")))
+    sides = sides.groupBy(key).agg(F.min("_side").alias("_lo"), F.max("_side").alias("_hi"))  # NULL keys meet
+    status = F.when(F.col("_hi") == 1, "missing").when(F.col("_lo") == 2, "unexpected")
+    return sides.select(key, status.alias("status")).filter("status IS NOT NULL")
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@ version folder, and readers take the newest complete version (the one with ``_SU
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,6 +33,9 @@ def write_overwrite(
 ) -> None:
     """Replace a table with fixed column order, sorted inside each file.
 
+    The new contents are written beside the table and take its place only when complete, so the
+    input may read the table itself, and a write that fails leaves the old contents.
+
     With ``partition_by`` rows meet by partition value; the rebalance hint lets AQE split a
     large partition value over many writers and merge small ones.
     """
@@ -39,8 +43,17 @@ def write_overwrite(
     if partition_by:
         out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     out = out.sortWithinPartitions(*partition_by, *sort)
-    writer = out.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    staged, replaced = f"{path.rstrip('/')}__new_{mark}", f"{path.rstrip('/')}__old_{mark}"
+    (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(staged)
+    target, fs = hadoop_path(spark, path)
+    old = hadoop_path(spark, replaced)[0]
+    if fs.exists(target):
+        fs.rename(target, old)
+    if not fs.rename(hadoop_path(spark, staged)[0], target):
+        raise OSError(f"{staged} could not take the place of {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def write_append(df: DataFrame, path: str) -> None:

@@ -32,10 +32,12 @@ def stream_series(
     return filters.valid_points(points, "value", "ref_date", as_of)
 
 
-def run_available(writer: DataStreamWriter, timeout: int = 600) -> None:
-    """Process everything that is there, then stop; a failure is raised."""
+def run_available(writer: DataStreamWriter, timeout: int | None = None) -> None:
+    """Process everything that is there, however long it takes unless a timeout is set; a failure is raised."""
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError("stream did not finish in time")
 
@@ -99,9 +101,10 @@ def stream_changes(
 ) -> DataStreamWriter:
     """Flag moves against the previous observation, which may lie in an earlier micro-batch.
 
-    The store keeps the points of each batch and, apart, its newest point per series. One earlier
-    point per series anchors the change of the batch's rows: the newest one, found among those
-    few, or, for a series that received late data, looked up among all its stored points.
+    The store keeps the points of each batch and, apart, its newest point per series. For a series
+    whose batch is wholly newer than that, this one point anchors the change. A series that
+    received late or revised data is compared with all its stored points, so that every row of the
+    batch meets its own predecessor.
     """
 
     def anchors(spark: SparkSession, points: DataFrame, batch_id: int) -> DataFrame:
@@ -111,17 +114,19 @@ def stream_changes(
         heads = spark.read.parquet(f"{store}/heads").filter(before).groupBy(series).agg(newest_point)
         known = first.join(heads, series)
         timely = known.filter(F.col(f"_a.{date}") < F.col("_first")).select(series, "_a")
-        late = known.filter(F.col(f"_a.{date}") >= F.col("_first")).select(series, "_first")
-        stored = spark.read.parquet(f"{store}/points").filter(before).select(series, date, value)
-        older = stored.join(late, series).filter(F.col(date) < F.col("_first")).groupBy(series).agg(newest_point)
-        return timely.unionByName(older).select(series, f"_a.{date}", f"_a.{value}")
+        late = known.filter(F.col(f"_a.{date}") >= F.col("_first")).select(series)
+        stored = spark.read.parquet(f"{store}/points").filter(before)
+        older = upsert.dedup_latest(stored.join(late, series), [series, date], ["batch_id"]).select(series, date, value)
+        return timely.select(series, f"_a.{date}", f"_a.{value}").unionByName(older)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         points = upsert.dedup_latest(batch.select(series, date, value), [series, date], [value])
         rows = points.withColumn("_new", F.lit(True))
         if batch_id > 0:
             earlier = anchors(batch.sparkSession, points, batch_id)
-            rows = rows.unionByName(earlier.withColumn("_new", F.lit(False)))
+            revised = points.select(series, date)
+            kept = earlier.join(revised, [series, date], "left_anti")  # a batch's own value replaces a stored one
+            rows = rows.unionByName(kept.withColumn("_new", F.lit(False)))
         moved = quality.mom_violations(rows, [series], date, value, limit, chunk).filter("_new")
         moved.drop("_new").write.mode("overwrite").parquet(f"{flags}/batch_id={batch_id}")
         heads = points.groupBy(series).agg(F.max(F.struct(date, value)).alias("_a"))
