@@ -88,6 +88,11 @@ class _Words(dict):
         return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
 
+def among(hashes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which hashes occur in an ordered array."""
+    return ordered[np.minimum(np.searchsorted(ordered, hashes), len(ordered) - 1)] == hashes
+
+
 class Length:
     """The items of one length with a multi-index over their fingerprints."""
 
@@ -103,19 +108,20 @@ class Length:
             values = (self.prints >> np.uint64(16 * k)) & np.uint64(0xFFFF)
             self.near[k][(values[:, None] ^ masks).ravel().astype(np.int64)] = True
 
-    def candidates(self, text: Shingled) -> Iterator[tuple[int, int]]:
+    def candidates(self, text: Shingled, shared: np.ndarray) -> Iterator[tuple[int, int]]:
         """(start, item) of all windows within the radius that share a shingle with an item of this length.
 
-        A window without a common shingle has similarity zero, so it needs no fingerprint.
+        ``shared`` has the places of shingles that any item has. A window without a common shingle has
+        similarity zero, so it needs no fingerprint.
         """
         n = len(text.hashes) - self.width + 1
-        if n <= 0:
-            return
-        at = np.searchsorted(self.own, text.hashes)
-        shared = np.concatenate(([0], (self.own[np.minimum(at, len(self.own) - 1)] == text.hashes).cumsum()))
-        open_ = np.flatnonzero(shared[self.width :] - shared[: -self.width])
-        if not len(open_):
+        own = shared[among(text.hashes[shared], self.own)]
+        if n <= 0 or not len(own):
             return
+        change = np.zeros(n + 1, np.int64)
+        np.add.at(change, np.minimum(np.maximum(own - self.width + 1, 0), n), 1)
+        np.add.at(change, np.minimum(own + 1, n), -1)
+        open_ = np.flatnonzero(change[:-1].cumsum())
         runs = np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1)
         for run in runs:
             for first in range(int(run[0]), int(run[-1]) + 1, PART):
@@ -139,22 +145,26 @@ class Matcher:
             if item[1]:
                 lengths[len(item[1])].append(item)
         self.lengths = [Length(own, min(SHINGLE, n), self.known) for n, own in sorted(lengths.items())]
-        self.seen = {s: np.zeros(1 << TABLE, bool) for s in {x.size for x in self.lengths}}  # shingle hashes of items, by their first bits
-        for x in self.lengths:
-            self.seen[x.size][(x.own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
+        sizes = {x.size for x in self.lengths}
+        self.all = {s: np.unique(np.concatenate([x.own for x in self.lengths if x.size == s])) for s in sizes}
+        self.first = {s: np.zeros(1 << TABLE, bool) for s in sizes}  # the same by their first bits, for a quick look
+        for s, own in self.all.items():
+            self.first[s][(own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
 
     def leaks(self, text: str | None) -> list[tuple[object, float, int]]:
         """(item, similarity, first word) of every item that a window of its own size resembles, at its best window."""
         found = tokens(text)
         best: dict[tuple[int, int], tuple[float, int]] = {}
         codes, shingled = self.known.codes(found), {}
-        for size, seen in self.seen.items():
+        for size, first in self.first.items():
             one = Shingled(found, codes, size)
-            if seen[(one.hashes >> np.uint64(64 - TABLE)).astype(np.int64)].any():
-                shingled[size] = one
+            at = np.flatnonzero(first[(one.hashes >> np.uint64(64 - TABLE)).astype(np.int64)])
+            at = at[among(one.hashes[at], self.all[size])]
+            if len(at):
+                shingled[size] = one, at
         for k, length in enumerate(self.lengths):
             if length.size in shingled:
-                for start, i in length.candidates(shingled[length.size]):
+                for start, i in length.candidates(*shingled[length.size]):
                     words = length.items[i][1]
                     got = similarity(found[start : start + len(words)], words)
                     if got >= SIMILARITY and got > best.get((k, i), (0.0, 0))[0]:
