@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality, stats
 from ..session import table, workspace
 from ..sources import write_overwrite
-from .common import cents
+from .common import cents, cents_sql
 from .registry import query
 
 NUMBER, DATED = r"^\s*[+-]?[0-9]+([.,][0-9]+)?\s*$", r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
@@ -29,27 +29,30 @@ def profile_sql(name: str, text_cols: list[str], other_cols: list[str]) -> str:
 
 @query(
     "q49_table_profile",
-    profile_sql("orders", ["o_orderstatus", "o_orderpriority"], ["o_orderkey", "o_custkey", "o_orderdate"]),
+    profile_sql("orders", ["o_orderstatus", "o_orderpriority"], ["o_orderkey", "o_custkey", "o_orderdate", "cents"]).replace(
+        "FROM orders", f"FROM (SELECT *, {cents_sql('o_totalprice')} AS cents FROM orders)"
+    ),
 )
 def table_profile(spark, d):
-    cols = ["o_orderstatus", "o_orderpriority", "o_orderkey", "o_custkey", "o_orderdate"]
-    return stats.table_profile(table(spark, d, "orders").select(*cols))
+    orders = table(spark, d, "orders")  # all columns; the price as whole cents, whose text is the same everywhere
+    return stats.table_profile(orders.withColumn("cents", cents("o_totalprice")).drop("o_totalprice"))
 
 
 @query(
     "q104_duplicate_rows",
-    """SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem))
-       AS n_duplicates FROM lineitem""",
+    "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_duplicates FROM lineitem",
 )
 def duplicate_rows(spark, d):
-    return stats.duplicate_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    return stats.duplicate_rows(table(spark, d, "lineitem"))
 
 
 GATE_TABLES = {
     "region": "r_regionkey, r_name",
     "nation": "n_nationkey, n_name, n_regionkey",
-    "supplier": "s_suppkey, s_name, s_nationkey",
-    "customer": "c_custkey, c_name, c_nationkey, c_mktsegment",
+    "supplier": "s_suppkey, s_name, s_nationkey, s_acctbal",
+    "customer": "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment",
+    "part": "p_partkey, p_name, p_brand, p_type, p_size, p_retailprice",
+    "orders": "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
     "lineitem": "l_orderkey, l_linenumber, l_returnflag",
 }
 GATE_EXPECTED = {"region": 5, "nation": 27, "supplier": 5}
@@ -193,13 +196,23 @@ def redundancy(spark, d):
 
 @query(
     "q82_post_write_check",
-    "SELECT count(*) AS n_expected, count(*) AS n_actual, 0::BIGINT AS n_lost, 0::BIGINT AS n_added, true AS ok FROM orders",
+    """WITH e AS (SELECT nullif(o_orderkey, 1) AS k FROM orders),
+a AS (SELECT CASE WHEN k % 10 = 3 THEN -k ELSE k END AS k FROM e WHERE k IS NULL OR k % 7 <> 0),
+n AS (SELECT coalesce(e.c, 0) AS e, coalesce(a.c, 0) AS a FROM (SELECT k, count(*) AS c FROM e GROUP BY k) e
+      FULL JOIN (SELECT k, count(*) AS c FROM a GROUP BY k) a ON e.k IS NOT DISTINCT FROM a.k)
+SELECT CAST(sum(e) AS BIGINT) AS n_expected, CAST(sum(a) AS BIGINT) AS n_actual, count(*) FILTER (WHERE a = 0) AS n_lost,
+       count(*) FILTER (WHERE e = 0) AS n_added, count(*) FILTER (WHERE a = 0 OR e = 0) = 0 AS ok FROM n""",
 )
 def post_write_check(spark, d):
+    """A table replaced by a copy of itself that lost some keys and changed others; one key is missing."""
     orders = table(spark, d, "orders").withColumn("amount", cents("o_totalprice"))
+    orders = orders.withColumn("o_orderkey", F.nullif(F.col("o_orderkey"), F.lit(1).cast("bigint")))
     cols = ["o_orderkey", "o_custkey", "o_orderdate", "amount"]
     path = workspace(spark, "post-write")
     write_overwrite(orders, path, cols, ["o_orderkey"])
+    key = F.col("o_orderkey")
+    broken = spark.read.parquet(path).filter(key.isNull() | (key % 7 != 0))
+    write_overwrite(broken.withColumn("o_orderkey", F.when(key % 10 == 3, -key).otherwise(key)), path, cols, ["o_orderkey"])
     return quality.post_write_check(orders.select(*cols), spark.read.parquet(path), ["o_orderkey"])
 
 

@@ -206,7 +206,6 @@ def consolidate_cost(spark, d):
            FROM events GROUP BY ALL),
 o AS (SELECT CAST(o_orderdate AS DATE) AS ref_date, {money_sql('o_totalprice')} AS value FROM orders GROUP BY ALL),
 u AS (SELECT ref_date, upper(event_type) AS indicator, value, '% a.m.' AS unit, n::DOUBLE AS change FROM e
-        WHERE event_type IN ('click', 'view')
       UNION ALL SELECT ref_date, 'ORDERS', value, 'R$', NULL FROM o)
 SELECT row_number() OVER (ORDER BY indicator, ref_date) AS id, ref_date, indicator, value, unit, change, 'SGS' AS source FROM u""",
 )
@@ -227,7 +226,8 @@ def consolidate_indicators(spark, d):
         .select(F.date_format("day", "yyyy-MM-dd").alias("ref_date"), br_text(F.col("c"), True).alias("amount"))
     )
     sources = [
-        upsert.IndicatorSource(events.filter(F.col("event_type") == t), t.upper(), "% a.m.") for t in ("click", "view")
+        upsert.IndicatorSource(events.filter(F.col("event_type") == t), t.upper(), "% a.m.")
+        for t in ("click", "view", "signup", "purchase", "error")
     ]
     sources.append(upsert.IndicatorSource(orders, "ORDERS", "R$", value="amount", change=None))
     return upsert.consolidate_indicators(sources, "SGS")

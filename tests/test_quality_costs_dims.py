@@ -104,6 +104,8 @@ def test_redundancy_and_post_write(spark):
     assert row["redundant_by_count"] and not row["redundant_by_content"] and row["only_in_whole"] == 1
     assert quality.post_write_check(a, a, ["k"]).collect()[0]["ok"]
     assert not quality.post_write_check(a, b, ["k"]).collect()[0]["ok"]
+    gap = spark.createDataFrame([(None,), (3,)], "k int")
+    assert quality.post_write_check(gap, gap, ["k"]).collect()[0]["ok"]
 
 
 def panel(spark):
@@ -164,6 +166,9 @@ def test_loans_both_ways(spark, rows):
     ]
     large = costs.loan_assignment_large(df, programs, "i", "price", "income")
     assert rows(large, *out.columns) == rows(out)
+    odd = spark.createDataFrame([(1, 1e5, None), (1, 5e6, 2e3), (1, 1e5, 2e3), (None, None, 3e3), (1, 1e5, 2e3)], "i int, price double, income double")
+    both = [rows(f(odd, programs, "i", "price", "income")) for f in (costs.loan_assignment, costs.loan_assignment_large)]
+    assert both[0] == both[1] and len(both[0]) == 5
     first = {r["i"]: r for r in out.collect()}[1]
     assert first["first_instalment"] == round(170000 / 420 + 170000 * 0.04 / 12, 2) and not first["approved"]
 

@@ -80,3 +80,11 @@ def test_changes_see_earlier_batches(spark, rows):
     run_available(writer)
     flags = spark.read.parquet(f"{base}/f").withColumn("d", F.dayofmonth("ts"))
     assert rows(flags, "k", "d") == [("a", 6), ("b", 2)]
+
+
+def test_late_and_timely_rows_of_one_batch_meet_their_own_predecessors(spark, rows):
+    base = workspace(spark, "t-late")
+    land(spark, f"{base}/in", [[("a", 1, 100.0), ("a", 10, 200.0)], [("a", 5, 101.0), ("a", 11, 202.0)]])
+    run_available(stream_changes(reader(spark, f"{base}/in"), f"{base}/s", f"{base}/f", f"{base}/c", "k", "ts", "v"))
+    flags = spark.read.parquet(f"{base}/f").withColumn("d", F.dayofmonth("ts"))
+    assert rows(flags, "k", "d") == [("a", 10)]

@@ -135,6 +135,27 @@ def test_overwrite_is_partitioned_and_ordered(spark):
     assert back.filter("p = 1").count() == 10
 
 
+def test_overwrite_from_itself_and_failing_write(spark, rows):
+    path = workspace(spark, "test-replace")
+    sources.write_overwrite(spark.createDataFrame([(i, "x") for i in range(6)], "i int, z string"), path, ["i", "z"], ["i"])
+    sources.write_overwrite(spark.read.parquet(path).filter("i < 3"), path, ["i", "z"], ["i"])
+    assert rows(spark.read.parquet(path), "i") == [(0,), (1,), (2,)]
+    broken = spark.read.parquet(path).withColumn("z", F.when(F.col("i") < 2, F.col("z")).otherwise(F.raise_error(F.lit("stop"))))
+    with pytest.raises(Exception, match="stop"):
+        sources.write_overwrite(broken, path, ["i", "z"], ["i"])
+    assert rows(spark.read.parquet(path), "i") == [(0,), (1,), (2,)]
+
+
+def test_missing_keys_meet_in_all_comparisons(spark, rows):
+    t = spark.createDataFrame([(None, 1), (2, 2)], "k int, v int")
+    b = spark.createDataFrame([(None, 9), (3, 3)], "k int, v int")
+    assert upsert.upsert(t, b, ["k"]).count() == 3
+    assert tuple(upsert.upsert_counts(t, b, ["k"]).collect()[0]) == (2, 1, 1, 3)
+    assert rows(upsert.set_diff_keys(t, b, "k")) == [(2, "missing"), (3, "unexpected")]
+    assert rows(columns.changed_rows(t, t, ["k"])) == []
+    assert {r["k"]: r["status"] for r in columns.changed_rows(t, b, ["k"]).collect()} == {None: "changed", 2: "removed", 3: "added"}
+
+
 def test_sanitize(spark):
     df = spark.createDataFrame([(float("nan"), D(2024, 1, 2)), (float("inf"), None), (1.5, None)], "v double, d date")
     got = [tuple(r) for r in sources.sanitize_for_sink(df, ["d", "v"]).collect()]
