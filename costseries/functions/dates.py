@@ -46,14 +46,16 @@ def parse_date_multi(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Co
     return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
 
 
-def _lookup(pairs: dict[str, int], key: Column) -> Column:
-    entries = [F.lit(x) for pair in pairs.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+def _month_number(name: Column, names: tuple[str, ...]) -> Column:
+    """Number of a month by its first three letters; NULL unless the whole name is one of ``names``."""
+    labels = "".join(n[:3] for n in names[:12])
+    place = F.instr(F.lit(labels), F.substring(name, 1, 3))
+    return F.when(name.isin(*names), F.floor((place + 2) / 3).cast("int"))
 
 
 def month_name_to_num(col: Column) -> Column:
     """``JAN``..``DEZ`` (any case, padded) to 1..12."""
-    return _lookup({m: i for i, m in enumerate(MONTHS, 1)}, F.upper(F.trim(col)))
+    return _month_number(F.upper(F.trim(col)), MONTHS)
 
 
 def period_to_date(year: Column, month: Column | int = 1) -> Column:
@@ -65,26 +67,18 @@ def period_to_date(year: Column, month: Column | int = 1) -> Column:
 
 def parse_pt_month(col: Column) -> Column:
     """``jan/24``, ``janeiro/2024``, ``01/2024`` or ``2024-01`` to the month start (pivot year 50)."""
-    text = strip_accents(F.lower(F.trim(col)))
-    names = {m.lower(): i for i, m in enumerate(MONTHS, 1)}
-    names |= {m: i for i, m in enumerate(MONTH_NAMES, 1)}
-    named = r"^([a-z]+)[/-]([0-9]{4}|[0-9]{2})"
-    month_first = r"^([0-9]{1,2})[/-]([0-9]{4})"
-    year_first = r"^([0-9]{4})[/-]([0-9]{1,2})"
-
-    def part(pattern: str, group: int) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
-
-    short = part(named, 2).try_cast("int")
-    year = (
-        F.when(F.length(part(named, 2)) == 4, short)
-        .when(short < 50, short + 2000)
-        .otherwise(short + 1900)
-    )
-    return F.coalesce(
-        period_to_date(year, _lookup(names, part(named, 1))),
-        period_to_date(part(month_first, 2), part(month_first, 1)),
-        period_to_date(part(year_first, 1), part(year_first, 2)),
+    raw = F.lower(F.trim(col))
+    text = F.when(F.substring(raw, 1, 1).between("0", "9"), raw).otherwise(strip_accents(raw))
+    parts = r"^([a-z]+|[0-9]{1,4})[/-]([0-9]{1,4})"
+    first, second = (F.regexp_extract(text, parts, i) for i in (1, 2))
+    month = _month_number(first, (*[m.lower() for m in MONTHS], *MONTH_NAMES))
+    short = F.substring(second, 1, 2).try_cast("int")
+    century = F.when(short < 50, short + 2000).otherwise(short + 1900)
+    year = F.when(F.length(second) == 4, second.try_cast("int")).when(F.length(second) >= 2, century)
+    return (
+        F.when(first >= "a", period_to_date(year, month))
+        .when(F.length(first) == 4, period_to_date(first, F.substring(second, 1, 2)))
+        .when((F.length(first) <= 2) & (F.length(second) == 4), period_to_date(second, first))
     )
 
 

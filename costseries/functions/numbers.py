@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 # fixed values: cell texts that mean "missing"
 NULL_TOKENS = ("", "...", "-", "nan", "None", "N/D", "n/d", "(...)")
 
-DECIMAL_TEXT = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+# Characters of a decimal numeral; the cast rejects what is no numeral, this what only the cast would read (``NaN``, ``1d``).
+DECIMAL_CHARS = r"^[ \t\n\x0B\f\r0-9.eE+-]++$"
+CURRENCY_MARKS = ("R", "$", "%", " ", "\t", "\n", "\x0b", "\f", "\r")
 
 
 def null_tokens(col: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
@@ -18,18 +22,18 @@ def null_tokens(col: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
 
 def to_double(col: Column) -> Column:
     """Plain decimal text to double; anything else (also ``NaN``, ``1d``, missing markers) is NULL."""
-    return F.regexp_extract(col.cast("string"), DECIMAL_TEXT, 1).try_cast("double")
+    text = col.cast("string")
+    return F.when(text.rlike(DECIMAL_CHARS), text.try_cast("double"))
 
 
 def br_number(col: Column, mode: str = "auto") -> Column:
     """Brazilian numeral to double; missing markers are NULL.
 
     ``auto`` treats dots as thousands marks only when a comma is present, ``strip_dots``
-    always does, ``comma_only`` just turns the comma into a decimal point. The input is
-    referenced once, so it may be an expression of any size.
+    always does, ``comma_only`` just turns the comma into a decimal point.
     """
     if mode == "auto":
-        digits = F.regexp_replace(col, r"\.(?=.*,)", "")
+        digits = F.when(F.contains(col, F.lit(",")), F.replace(col, F.lit("."), F.lit(""))).otherwise(col)
     elif mode == "strip_dots":
         digits = F.replace(col, F.lit("."), F.lit(""))
     elif mode == "comma_only":
@@ -41,7 +45,7 @@ def br_number(col: Column, mode: str = "auto") -> Column:
 
 def currency_number(col: Column) -> Column:
     """``R$ 1.234,56`` or ``12,5 %`` to double."""
-    return br_number(F.regexp_replace(col, r"[R$%\s]", ""), mode="strip_dots")
+    return br_number(reduce(lambda c, mark: F.replace(c, F.lit(mark), F.lit("")), CURRENCY_MARKS, col), mode="strip_dots")
 
 
 def sentinel_to_null(col: Column, value: float = -100.0) -> Column:

@@ -94,9 +94,11 @@ def align_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, obj
 
 
 def stamp_lineage(
-    df: DataFrame, exec_id: str, as_of: str, source: str, version: str = "1.0.0", freq: str = "monthly"
+    df: DataFrame, exec_id: str, as_of: str, source: str, version: str = "1.0.0", freq: str = "monthly",
+    method: str | None = None, status: str | None = None, url: str | None = None, note: str | None = None,
 ) -> DataFrame:
-    """Run id, load time, source, pipeline version and frequency; all are arguments, so reruns agree."""
+    """Run id, load time, source, pipeline version and frequency, and how, from where and with what outcome the
+    rows were collected; all are arguments, so reruns agree."""
     return df.withColumns(
         {
             "exec_id": F.lit(exec_id),
@@ -104,6 +106,10 @@ def stamp_lineage(
             "source": F.lit(source),
             "pipeline_version": F.lit(version),
             "freq": F.lit(freq),
+            "collection_method": F.lit(method).cast("string"),
+            "collection_status": F.lit(status).cast("string"),
+            "source_url": F.lit(url).cast("string"),
+            "note": F.lit(note).cast("string"),
         }
     )
 

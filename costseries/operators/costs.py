@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions import br_number, period_to_date, to_double
 from . import columns, filters, joins, stats, windows
+from .ranks import surrogate_key
 
 # fixed values: factor differences that separate the recommendations
 KEEP_LIMIT, LIGHT_LIMIT = 0.02, 0.05
@@ -87,12 +88,12 @@ def expand_regional(
     methods: DataFrame, places: DataFrame, specific: DataFrame, region_factors: DataFrame,
     method_key: str, place_key: str, region: str, cost_base: str, time_base: str,
 ) -> DataFrame:
-    """Methods by places with the resolved factor: the place's own, else its region's plus jitter."""
+    """Methods by places with the resolved factor: the place's own, else its region's plus jitter; ``id`` counts them in key order."""
     resolved = places.join(specific, place_key, "left").join(region_factors, region, "left")
     regional = F.round(F.col("region_factor") + stable_jitter(F.col(place_key)), 3)
     resolved = resolved.withColumn("place_factor", F.coalesce(F.col("specific_factor"), regional))
     grid = joins.cross_product(methods, resolved.drop("specific_factor", "region_factor"))
-    return grid.withColumns(
+    return surrogate_key(grid, [method_key, place_key]).withColumns(
         {
             "cost_factor": F.round(F.col("place_factor") * F.col(cost_base), 2),
             "time_factor": F.round(F.col("place_factor") * F.col(time_base), 3),
@@ -379,8 +380,12 @@ SERVICE_TAX_PATTERNS = [
 
 
 def extract_rate(text: Column, patterns: Sequence[str]) -> Column:
-    """Percent announced by the first pattern that matches anywhere in the text (case-blind)."""
-    matches = [F.nullif(F.regexp_extract(text, f"(?iu){p}", 1), F.lit("")) for p in patterns]
+    """Percent announced by the first pattern that matches anywhere in the text (case-blind).
+
+    Where every pattern names the percent sign, texts without one are not searched.
+    """
+    announced = F.when(F.contains(text, F.lit("%")), text) if all("%" in p for p in patterns) else text
+    matches = [F.nullif(F.regexp_extract(announced, f"(?iu){p}", 1), F.lit("")) for p in patterns]
     return to_double(F.replace(F.coalesce(*matches), F.lit(","), F.lit(".")))
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import reliable
 
 
-def order_by_abs(df: DataFrame, col: str, key: str) -> DataFrame:
-    return df.orderBy(F.abs(F.col(col)).desc_nulls_last(), key)
+def order_by_abs(df: DataFrame, col: str, key: str, position: str | None = None) -> DataFrame:
+    """Rows by magnitude, largest first, missing values last; ``position`` adds the place of each row, from 1."""
+    order = [F.abs(F.col(col)).desc_nulls_last(), F.col(key)]
+    return surrogate_key(df, order, position) if position else df.orderBy(*order)
 
 
 def top_k(df: DataFrame, col: str, k: int, tie: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import quality, stats
+from ..operators import quality, ranks, stats
 from ..session import table, workspace
 from ..sources import write_overwrite
 from .common import cents, cents_sql
@@ -216,3 +216,9 @@ def post_write_check(spark, d):
     return quality.post_write_check(orders.select(*cols), spark.read.parquet(path), ["o_orderkey"])
 
 
+@query(
+    "q124_order_by_magnitude",
+    """SELECT row_number() OVER (ORDER BY abs(c_acctbal) DESC NULLS LAST, c_custkey) AS position, c_custkey, c_acctbal FROM customer""",
+)
+def order_by_magnitude(spark, d):
+    return ranks.order_by_abs(table(spark, d, "customer").select("c_custkey", "c_acctbal"), "c_acctbal", "c_custkey", "position")

@@ -132,7 +132,8 @@ def recode_null_tokens(spark, d):
     """SELECT 'PART_' || p_partkey || '_2024-01' AS fact_id, p_partkey AS id, p_name AS name,
        CAST(CASE WHEN p_size > 40 THEN 0 ELSE p_size END AS INT) AS size, p_retailprice AS price, 'UN' AS unit,
        NULL::DATE AS valid_from, 'run-1' AS exec_id, '2024-01-31 00:00:00' AS loaded_at, 'parts' AS source,
-       '1.0.0' AS pipeline_version, 'monthly' AS freq FROM part""",
+       '1.0.0' AS pipeline_version, 'monthly' AS freq, 'file' AS collection_method, 'ok' AS collection_status,
+       'file:part' AS source_url, NULL::VARCHAR AS note FROM part""",
 )
 def contract_projection(spark, d):
     size = F.when(F.col("p_size") > 40, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
@@ -147,7 +148,9 @@ def contract_projection(spark, d):
     tidy = columns.coerce_numeric(columns.drop_empty(tidy), pattern="price")
     schema = T.StructType.fromDDL("id bigint, name string, size int, price double, unit string, valid_from date")
     typed = columns.align_schema(tidy, schema, {"size": 0, "unit": "UN"})
-    stamped = columns.stamp_lineage(typed, "run-1", "2024-01-31 00:00:00", "parts")
+    stamped = columns.stamp_lineage(
+        typed, "run-1", "2024-01-31 00:00:00", "parts", method="file", status="ok", url="file:part"
+    )
     return stamped.withColumns(
         {
             "fact_id": business_key("PART", F.col("id"), "2024-01"),

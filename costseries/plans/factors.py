@@ -137,7 +137,7 @@ places AS (
                          + (CAST('0x' || substr(md5(n_name), 1, 8) AS BIGINT) % 1995 - 997)
                            * (0.02::DOUBLE / 997), 3) END AS place_factor
   FROM nation JOIN region ON n_regionkey = r_regionkey)
-SELECT method, cost_base, time_base, place, world_region, place_factor,
+SELECT row_number() OVER (ORDER BY method, place) AS id, method, cost_base, time_base, place, world_region, place_factor,
        round(place_factor * cost_base, 6) AS cost_factor, round(place_factor * time_base, 6) AS time_factor
 FROM methods CROSS JOIN places""",
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import business_key, row_checksum
 from ..operators import dims, joins, upsert
 from ..operators.columns import changed_rows
-from ..session import stream_table, table, workspace
+from ..session import table, workspace
 from ..sources import (
     dry_run,
     read_delimited,
@@ -381,8 +381,26 @@ def nested_json(spark, d):
     return read_nested_observations(spark, path, multi_line=False)
 
 
-def event_stream(spark, d):
-    return stream_table(spark, d, "events")
+SLICES = 3
+
+
+def run_in_slices(spark, d, base, start, close=False):
+    """Land ``events`` in slices of time, one after the other, and resume the stream ``start(rows)`` after each.
+
+    ``close``: the last landing also holds a mark far behind the newest event, which closes all windows.
+    """
+    events = table(spark, d, "events")
+    edges = events.agg(F.struct(F.min("ts").alias("low"), F.max("ts").alias("high"))).scalar()
+    seconds = lambda c: c.cast("timestamp").cast("double")
+    place = F.try_divide(seconds(F.col("ts")) - seconds(edges["low"]), seconds(edges["high"]) - seconds(edges["low"]))
+    cut = events.withColumn("_slice", F.least(F.coalesce(F.floor(place * SLICES), F.lit(0)), F.lit(SLICES - 1)))
+    mark = events.agg((F.max("ts") + F.expr("INTERVAL 60 DAYS")).alias("ts"))
+    for i in range(SLICES):
+        part = cut.filter(F.col("_slice") == i).drop("_slice")
+        if close and i == SLICES - 1:
+            part = part.unionByName(mark, allowMissingColumns=True)
+        part.write.mode("append").parquet(f"{base}/landing")
+        run_available(start(spark.readStream.schema(events.schema).parquet(f"{base}/landing")))
 
 
 @query(
@@ -393,37 +411,48 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
 def streamed_upsert(spark, d):
     base = workspace(spark, "stream-upsert")
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
-    rows = event_stream(spark, d).select(*keys, *order, "value")
-    run_available(stream_upsert(rows, f"{base}/target", f"{base}/progress", keys, order))
+
+    def start(events):
+        rows = events.select(*keys, *order, "value")
+        return stream_upsert(rows, f"{base}/target", f"{base}/progress", keys, order)
+
+    run_in_slices(spark, d, base, start)
     return merged_view(spark, f"{base}/target", keys, order).drop("ts")
 
 
 @query("q68_stream_dedup", "SELECT DISTINCT event_id, user_id, event_type, value FROM events")
 def streamed_dedup(spark, d):
     base = workspace(spark, "stream-dedup")
-    rows = event_stream(spark, d).select("event_id", "ts", "user_id", "event_type", "value")
-    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
-    twice = rows.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
-    unique = stream_dedup(twice, ["event_id"], "ts", "40 days")
-    writer = unique.writeStream.format("parquet").option("path", f"{base}/out")
-    run_available(writer.option("checkpointLocation", f"{base}/progress"))
+
+    def start(events):
+        rows = events.select("event_id", "ts", "user_id", "event_type", "value")
+        rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+        twice = rows.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
+        unique = stream_dedup(twice, ["event_id"], "ts", "40 days")
+        writer = unique.writeStream.format("parquet").option("path", f"{base}/out")
+        return writer.option("checkpointLocation", f"{base}/progress")
+
+    run_in_slices(spark, d, base, start)
     return spark.read.parquet(f"{base}/out").drop("ts")
 
 
 @query(
     "q69_stream_quality",
-    """WITH w AS (SELECT CAST(ts AS DATE) AS day, event_type, value FROM events),
-edge AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+    """WITH w AS (SELECT CAST(ts AS DATE) AS day, event_type, value FROM events)
 SELECT CAST(day AS DATE) AS window_start, event_type, count(*) AS n, count(*) FILTER (WHERE value < 0) AS n_negative,
        count(*) FILTER (WHERE value = 0) AS n_zero, count(*) FILTER (WHERE abs(value) > 250) AS n_absurd
-FROM w WHERE day + INTERVAL 1 DAY <= (SELECT mark FROM edge) GROUP BY ALL""",
+FROM w GROUP BY ALL""",
 )
 def streamed_quality(spark, d):
     base = workspace(spark, "stream-quality")
-    rows = event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = stream_quality(rows, "event_type", "ts", "value", "1 day", "1 hour", limit=250.0)
-    writer = counts.writeStream.format("parquet").option("path", f"{base}/out")
-    run_available(writer.option("checkpointLocation", f"{base}/progress"))
+
+    def start(events):
+        rows = events.withColumn("ts", F.col("ts").cast("timestamp"))
+        counts = stream_quality(rows, "event_type", "ts", "value", "1 day", "1 hour", limit=250.0)
+        writer = counts.writeStream.format("parquet").option("path", f"{base}/out")
+        return writer.option("checkpointLocation", f"{base}/progress")
+
+    run_in_slices(spark, d, base, start, close=True)
     out = spark.read.parquet(f"{base}/out")
     return out.withColumn("window_start", F.col("window_start").cast("date"))
 
@@ -464,11 +493,13 @@ WHERE abs(mom) > 0.5 OR (p = 0 AND c <> 0)""",
 )
 def streamed_changes(spark, d):
     base = workspace(spark, "stream-changes")
-    points = event_stream(spark, d).select("event_type", "ts", cents("value").alias("c"))
-    writer = stream_changes(
-        points, f"{base}/store", f"{base}/flags", f"{base}/progress", "event_type", "ts", "c", 0.5, F.col("ts").cast("date")
-    )
-    run_available(writer)
+
+    def start(events):
+        points = events.select("event_type", "ts", cents("value").alias("c"))
+        by_day = F.col("ts").cast("date")
+        return stream_changes(points, f"{base}/store", f"{base}/flags", f"{base}/progress", "event_type", "ts", "c", 0.5, by_day)
+
+    run_in_slices(spark, d, base, start)
     return spark.read.parquet(f"{base}/flags").select(
         "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", F.round("mom", 6).alias("mom")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +40,6 @@ def hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def stream_table(spark: SparkSession, directory: str, name: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream over a landed table, be it a folder of files or one file."""
-    path = f"{directory}/{name}.parquet"
-    p, fs = hadoop_path(spark, path)
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch)
-    if fs.getFileStatus(p).isDirectory():
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(directory)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder, else a temp folder in local mode."""
     context = spark.sparkContext
@@ -66,6 +58,21 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_workspaces(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete the working folders of earlier runs in the shared folder and return their number.
+
+    Results of queries read from these folders, so choose an age that no running job or unread result
+    exceeds. Only folders named as ``workspace`` names them are touched.
+    """
+    root, fs = hadoop_path(spark, shared_dir(spark))
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [
+        s.getPath() for s in fs.listStatus(root)
+        if s.isDirectory() and s.getModificationTime() < limit and re.search("-[0-9a-f]{32}$", s.getPath().getName())
+    ]
+    return sum(fs.delete(path, True) for path in old)
+
+
 def landed(df: DataFrame, label: str) -> DataFrame:
     """Write a table to a fresh folder and read it back: computed once, however often it is used."""
     path = workspace(df.sparkSession, label)

@@ -80,3 +80,17 @@ def test_keys(spark):
     assert apply(spark, ["x", None], lambda c: fn.business_key("K", c, "2024")) == ["K_x_2024", None]
     prints = apply(spark, ["", None, "a"], lambda c: fn.row_checksum(c, F.lit(1)))
     assert len(set(prints)) == 3 and all(len(p) == 64 for p in prints)
+
+
+def test_numerals_that_only_a_cast_would_read_are_missing(spark):
+    texts = ["NaN", "1d", "0x1p3", "Infinity", "1e", ".", "+-1", " 12 ", "1e3", "-.5", "1.234,5", "1.2.3", None]
+    want = [None] * 7 + [12.0, 1000.0, -0.5, 1234.5, None, None]
+    assert apply(spark, texts, fn.br_number) == want
+    assert apply(spark, ["R$\t1.234,56", "12,5 %", "R$", None], fn.currency_number) == [1234.56, 12.5, None, None]
+
+
+def test_month_labels_with_more_text_or_too_few_digits(spark):
+    texts = ["jan/2024x", "dez-245", "jan/2", "jano/24", "2024-1", "123/2024", "1/202", "13/2024", "MARÇO/49", "março/50", "", None]
+    day = D
+    want = [day(2024, 1, 1), day(2024, 12, 1), None, None, day(2024, 1, 1), None, None, None, day(2049, 3, 1), day(1950, 3, 1), None, None]
+    assert apply(spark, texts, fn.parse_pt_month) == want

@@ -1,11 +1,14 @@
 import datetime as dt
 import json
+import os
+import time
+import uuid
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from costseries import sources
+from costseries import session, sources
 from costseries.operators import columns, upsert
 from costseries.session import workspace
 
@@ -207,3 +210,15 @@ def test_columns(spark):
     assert columns.drop_empty(df.drop("i")).count() == 1
     changed = columns.changed_rows(df.select("i", "a"), df.filter("i < 3").select("i", F.lit("x").alias("a")), ["i"])
     assert {r["i"]: r["status"] for r in changed.collect()} == {1: "changed", 3: "removed"}
+
+
+def test_clear_workspaces_removes_only_old_working_folders(spark, tmp_path, monkeypatch):
+    folders = [f"run-{uuid.uuid4().hex}", f"run-{uuid.uuid4().hex}", "table"]
+    for name in folders:
+        (tmp_path / name).mkdir()
+    past = time.time() - 7200
+    for name in folders[1:]:
+        os.utime(tmp_path / name, (past, past))
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    assert session.clear_workspaces(spark, 1) == 1
+    assert sorted(os.listdir(tmp_path)) == sorted([folders[0], "table"])
