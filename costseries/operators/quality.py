@@ -183,7 +183,7 @@ def clean_series(
 def clean_report(
     df: DataFrame, series: str, date: str, value: str, keys: Sequence[str], as_of: dt.date | str, k: float = 10.0
 ) -> DataFrame:
-    """Rows removed by each cleaning step, without writing."""
+    """Rows removed by each cleaning step, without writing; the steps add up to ``n_start``. ``n_null`` counts rows without a date or a value."""
     future = F.col(date) > F.lit(str(as_of)).cast("date")
     missing = F.col(value).isNull()
     usable = df.filter(~future & ~missing)
@@ -199,7 +199,7 @@ def clean_report(
     first = df.agg(
         F.count(F.lit(1)).alias("n_start"),
         F.count_if(future).alias("n_future"),
-        F.count_if(~F.coalesce(future, F.lit(False)) & missing).alias("n_null"),
+        F.count_if(F.col(date).isNull() | (~future & missing)).alias("n_null"),
     )
     both = first.withColumn("_s", F.lit(1)).join(steps.withColumn("_s", F.lit(1)), "_s")
     return both.drop("_s")

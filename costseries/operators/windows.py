@@ -5,7 +5,7 @@ Two shapes of input are told apart:
 * *period tables*: one row per key and period. A key then has at most as many rows as the
   calendar has periods, so a plain window per key is small, however skewed the raw data was.
 * *raw tables*: a key may hold any number of rows. Ordered operators then take ``chunk``, a
-  non-decreasing function of the order column (``even_chunk`` makes one). Each (key, chunk) is windowed on its own; what it
+  non-decreasing function of the order column (``row_chunk`` and ``even_chunk`` make one). Each (key, chunk) is windowed on its own; what it
   needs from earlier chunks is put in front of it as a few extra rows, found with one row (or
   ``n`` rows, for a lag of n) per chunk. The table itself is shuffled once.
   Partition-wide statistics are aggregated map-side and joined back, never windowed.
@@ -26,26 +26,56 @@ CHUNK, EXTRA = "_chunk", "_extra"
 ROWS_PER_CHUNK = 500_000
 
 
+def _number(df: DataFrame, order: str, c: Column) -> Column:
+    """Position of an order value on the number line."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return c.cast("timestamp").cast("double")
+    return c.cast("double")
+
+
 def even_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK) -> Column:
     """Chunk number that cuts the span of ``order`` into equal parts of about ``rows`` rows.
 
     Count and span are one scalar subquery over the single column.
     """
-    kind = df.schema[order].dataType
-
-    def number(c: Column) -> Column:
-        if isinstance(kind, T.DateType):
-            return F.unix_date(c).cast("double")
-        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            return c.cast("timestamp").cast("double")
-        return c.cast("double")
-
-    low, high = number(F.min(order)), number(F.max(order))
+    low, high = _number(df, order, F.min(order)), _number(df, order, F.max(order))
     span = df.agg(F.struct(low.alias("low"), (high - low).alias("width"), F.count(order).alias("n"))).scalar()
-    position = F.try_divide(number(F.col(order)) - span["low"], span["width"])
+    position = F.try_divide(_number(df, order, F.col(order)) - span["low"], span["width"])
     return F.coalesce(F.floor(position * F.ceil(span["n"] / rows)), F.lit(0))
 
 
+CELLS, STRIDE = 1024, 32
+
+
+def row_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK, keys: Sequence[str] = ()) -> Column:
+    """Chunk number that cuts ``order`` into parts of about ``rows`` rows of the largest key.
+
+    The cuts follow approximate quantiles of the order column, so late outliers or busy days don't fill
+    one chunk; rows of the same instant stay together. Without ``keys`` all rows count as one key; with
+    them, keys that all have few rows get a single chunk. Counts and cuts are scalar subqueries.
+    """
+    marks = F.array(*[F.lit(i / CELLS) for i in range(CELLS + 1)])
+    fine = df.agg(F.percentile_approx(_number(df, order, F.col(order)), marks, F.lit(10 * CELLS)).alias("fine"))
+    coarse = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1), F.lit(STRIDE)), lambda i: F.get("fine", i))
+    cuts = fine.select(F.struct("fine", coarse.alias("coarse"))).scalar()
+    largest = df.groupBy(*keys).agg(F.count(order).alias("n")).agg(F.max("n")).scalar()
+    x = _number(df, order, F.col(order))
+
+    def below(borders: Column) -> Column:
+        """Index of the last border below ``x``, at least 0; a few borders are sorted with ``x`` among them."""
+        return F.greatest(F.array_position(F.sort_array(F.array_append(borders, x)), x) - 2, F.lit(0)).cast("int")
+
+    start = below(cuts["coarse"]) * STRIDE
+    cell = start + below(F.slice(cuts["fine"], start + 1, F.lit(STRIDE + 1)))
+    low, high = F.get(cuts["fine"], cell), F.get(cuts["fine"], cell + 1)
+    inside = F.coalesce(F.least(F.try_divide(x - low, high - low), F.lit(1.0)), F.lit(0.0))
+    wanted = F.ceil(largest / F.lit(rows))
+    return F.coalesce(F.least(F.floor((cell + inside) / CELLS * wanted), wanted - 1), F.lit(0))
+
+
 def fill_forward(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: str, chunk: Column | None = None
 ) -> DataFrame:
@@ -133,8 +163,12 @@ def padded_lags(
     pad: bool = True,
     chunk: Column | None = None,
     name: str = "_v",
+    previous: str | None = None,
 ) -> DataFrame:
-    """Add the value with gaps filled forward (``name``) and its lags; one shuffle and one sort."""
+    """Add the value with gaps filled forward (``name``) and its lags; one shuffle and one sort.
+
+    ``previous`` adds the order value of the row before, in the same pass.
+    """
     rows = df.withColumn(name, F.col(value))
     by = list(keys)
     if chunk is not None:
@@ -145,9 +179,12 @@ def padded_lags(
     if pad:
         rows = rows.withColumn(name, F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumns({m: F.lag(name, n).over(w) for m, n in lags.items()})
+    added = [name, *lags]
+    if previous:
+        rows, added = rows.withColumn(previous, F.lag(order).over(w)), [*added, previous]
     if chunk is not None:
         rows = rows.filter(~F.col(EXTRA))
-    return rows.select(*df.columns, name, *lags)
+    return rows.select(*df.columns, *added)
 
 
 def growth(current: Column, previous: Column, scale: float = 100.0) -> Column:
@@ -164,14 +201,20 @@ def pct_change(
     pad: bool = True,
     scale: float = 100.0,
     chunk: Column | None = None,
+    gap_days: str | None = None,
 ) -> DataFrame:
     """Positional change against ``n`` rows earlier for each ``name: n``.
 
     ``pad`` carries the last known value over missing ones first, so a gap reads as no change.
+    ``gap_days`` names a column for the days since the row before.
     """
-    lagged = padded_lags(df, value, {f"_lag_{m}": n for m, n in periods.items()}, keys, order, pad, chunk)
+    lagged = padded_lags(
+        df, value, {f"_lag_{m}": n for m, n in periods.items()}, keys, order, pad, chunk, previous="_previous" if gap_days else None
+    )
     changes = {m: growth(F.col("_v"), F.col(f"_lag_{m}"), scale) for m in periods}
-    return lagged.withColumns(changes).select(*df.columns, *periods)
+    if gap_days:
+        changes[gap_days] = F.datediff(order, "_previous")
+    return lagged.withColumns(changes).select(*df.columns, *changes)
 
 
 def mom_yoy(df: DataFrame, keys: Sequence[str], order: str, value: str, **options) -> DataFrame:

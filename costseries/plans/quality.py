@@ -301,7 +301,7 @@ UNION ALL SELECT event_type, 'high_mom_variation', CASE WHEN abs(mom) > 0.25 OR
 )
 def raw_quality_flags(spark, d):
     points = event_points(spark, d)
-    chunk = windows.even_chunk(points, "ts")
+    chunk = windows.row_chunk(points, "ts", keys=["event_type"])
     flags = quality.quality_flags(points, "event_type", "ts", "c", period_table=False, chunk=chunk)
     return flags.groupBy("series_id", "flag", "severity").agg(
         F.count(F.lit(1)).alias("n"), F.max("observed").alias("largest")

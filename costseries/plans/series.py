@@ -404,9 +404,8 @@ FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts)""",
 )
 def raw_changes(spark, d):
     points = event_points(spark, d)
-    chunk = windows.even_chunk(points, "ts")
-    gaps = windows.diff_days(points, ["event_type"], "ts", chunk=chunk)
-    out = windows.pct_change(gaps, ["event_type"], "ts", "c", {"chg_1": 1, "chg_12": 12}, chunk=chunk)
+    chunk = windows.row_chunk(points, "ts", keys=["event_type"])
+    out = windows.pct_change(points, ["event_type"], "ts", "c", {"chg_1": 1, "chg_12": 12}, chunk=chunk, gap_days="gap_days")
     return rounded(out, "chg_1", "chg_12").select(
         "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", "chg_1", "chg_12", "gap_days"
     )

@@ -126,3 +126,13 @@ def test_even_chunks_are_ordered_and_balanced(spark, kind):
     assert chunks == sorted(chunks) and len(set(chunks)) == 11 and max(chunks.count(c) for c in chunks) == 10
     one = df.limit(1)
     assert one.withColumn("c", windows.even_chunk(one, "t")).collect()[0]["c"] == 0
+
+
+def test_chunks_follow_rows_not_the_span(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") < 19_990, F.col("id") % 5_000).otherwise(F.col("id") * 1_000_000).alias("t"))
+    sizes = [r["count"] for r in df.groupBy(windows.row_chunk(df, "t", rows=100).alias("c")).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 150 and max(sizes) <= 200
+    rising = df.withColumn("c", windows.row_chunk(df, "t", rows=100)).groupBy("c").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("c").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(rising, rising[1:]))
+    many = df.withColumn("k", F.col("t") % 500)
+    assert many.select(windows.row_chunk(many, "t", rows=100, keys=["k"]).alias("c")).distinct().count() == 1
