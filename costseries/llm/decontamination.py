@@ -102,6 +102,7 @@ class Length:
         self.width = len(shingled[0].hashes)
         self.prints = np.concatenate([s.fingerprints(0, 1, self.width) for s in shingled])
         self.own = np.unique(np.concatenate([s.hashes for s in shingled]))
+        self.weight = np.array([s.weights.sum() for s in shingled])
         masks = np.array([sum(1 << b for b in c) for r in range(RADIUS // SEGMENTS + 1) for c in combinations(range(16), r)], np.uint64)
         self.near = np.zeros((SEGMENTS, 1 << 16), bool)  # per segment, the values in the balls around all items
         for k in range(SEGMENTS):
@@ -112,11 +113,17 @@ class Length:
         """(start, item) of all windows within the radius that share a shingle with an item of this length.
 
         ``shared`` has the places of shingles that any item has. A window without a common shingle has
-        similarity zero, so it needs no fingerprint.
+        similarity zero, so it needs no fingerprint. A text shorter than the items is one window; an item that
+        outweighs it too much to be similar is left out.
         """
         n = len(text.hashes) - self.width + 1
         own = shared[among(text.hashes[shared], self.own)]
-        if n <= 0 or not len(own):
+        if not len(own):
+            return
+        if n <= 0:
+            near = np.bitwise_count(self.prints ^ text.fingerprints(0, 1, len(text.hashes))[0]) <= RADIUS
+            for i in np.flatnonzero(near & (self.weight * SIMILARITY <= text.weights.sum())):
+                yield 0, int(i)
             return
         change = np.zeros(n + 1, np.int64)
         np.add.at(change, np.minimum(np.maximum(own - self.width + 1, 0), n), 1)
@@ -152,7 +159,7 @@ class Matcher:
             self.first[s][(own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
 
     def leaks(self, text: str | None) -> list[tuple[object, float, int]]:
-        """(item, similarity, first word) of every item that a window of its own size resembles, at its best window."""
+        """(item, similarity, first word) of every item that a window of its own size, or the whole of a shorter text, resembles, at its best window."""
         found = tokens(text)
         best: dict[tuple[int, int], tuple[float, int]] = {}
         codes, shingled = self.known.codes(found), {}
@@ -189,7 +196,7 @@ def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[Item]]:
 def find(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and leaked item: both ids, the similarity and the first word of the best window.
 
-    All windows of all texts are searched for all items. Null or empty texts and items without a word leak
+    All windows of all texts are searched for all items; a text shorter than an item is one window. Null or empty texts and items without a word leak
     nothing; an item of fewer than five words is one shingle and must occur word by word. Repeated documents
     and items give a row each; empty tables give an empty result; other columns are not carried.
     """

@@ -43,6 +43,26 @@ def test_near_and_exact_passages_equal_brute_force(spark, docs):
     assert clean == {i for i, _ in rows} - {i for i, _ in found}
 
 
+def whole(docs, items):
+    """Similarity of the pairs whose text is shorter than the item."""
+    pairs = {(i, k): (d.tokens(text), d.tokens(item)) for i, text in docs for k, item in items}
+    scores = {p: round(d.similarity(a, b), 9) for p, (a, b) in pairs.items() if len(a) < len(b)}
+    return {p: s for p, s in scores.items() if s >= d.SIMILARITY}
+
+
+def test_texts_shorter_than_the_item(spark, docs):
+    rng = random.Random(5)
+    draw = lambda n: ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(n)]
+    items = [(k, " ".join(draw(n))) for k, n in enumerate((3, 4, 5, 6, 15, 30, 45, 60))]
+    rows = [(100 * k + 10 * cut + at, " ".join(w[at : len(w) - cut + at])) for k, t in items for w in [t.split()] for cut in range(1, 9) for at in (0, cut // 2, cut)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in d.find(docs(*rows), benchmark).collect()}
+    expected = whole(rows, items)
+    assert found.items() <= expected.items() and (750, 7) in found  # 60 words less the last 5
+    assert {p for p, s in expected.items() if s > 0.9} <= found.keys()
+    assert {r.doc_id for r in d.keep_clean(docs(*rows), benchmark).collect()} == {i for i, _ in rows} - {i for i, _ in found}
+
+
 def test_all_exact_passages_of_the_samples(table):
     documents, benchmark = table("documents"), table("benchmark")
     items = [(r.item_id, f" {' '.join(d.tokens(r.text))} ") for r in benchmark.collect()]
