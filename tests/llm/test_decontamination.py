@@ -63,6 +63,26 @@ def test_texts_shorter_than_the_item(spark, docs):
     assert {r.doc_id for r in d.keep_clean(docs(*rows), benchmark).collect()} == {i for i, _ in rows} - {i for i, _ in found}
 
 
+def test_near_copies_at_the_threshold_are_all_found():
+    """Items with up to three words changed, dropped or added, in other text or alone; some repeat their own words."""
+    rng = random.Random(6)
+    draw = lambda n, few=600: [f"{'abcdefghij'[k % 10] * (k % 7 + 1)}{k}" for k in rng.choices(range(few), k=n)]
+    items = [(k, draw(rng.randint(11, 60), rng.choice((3, 600, 600)))) for k in range(60)]
+    matcher, expected, found = d.Matcher(items), {}, {}
+    for i in range(1200):
+        k, passage = rng.choice(items)
+        words = list(passage)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.choice((0, len(words) - 1, rng.randrange(len(words))))
+            words[at : at + rng.randint(0, 1)] = ["changed"][: rng.randint(0, 1)]
+        around = rng.choice((0, 0, 3, 20))
+        row, item = (i, " ".join(draw(around) + words * rng.choice((1, 1, 2)) + draw(around))), (k, " ".join(passage))
+        expected |= {**slow([row], [item]), **whole([row], [item])}
+        found |= {(i, j): round(s, 9) for j, s, _ in matcher.leaks(row[1]) if j == k}
+    assert found == expected
+    assert sum(s < 0.84 for s in expected.values()) > 80
+
+
 def test_all_exact_passages_of_the_samples(table):
     documents, benchmark = table("documents"), table("benchmark")
     items = [(r.item_id, f" {' '.join(d.tokens(r.text))} ") for r in benchmark.collect()]
