@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from costseries.session import workspace
+from costseries.session import landed, workspace
 
 BLOCKS = 1024  # blocks per old shard: the unit that moves
+PIECES = 32  # pieces per new shard that a block of equal rows is cut into
 FILE = 128 << 20  # bytes of text per output file, about
 
 
@@ -120,6 +122,30 @@ def transfers(blocks: list[Block], room: list[int], cost: list[list[int]] | None
     return placed
 
 
+def split_heavy(rows: DataFrame, sizes: list[Row], shards: int) -> tuple[DataFrame, list[Row]]:
+    """Rows and block sizes with every block of over a ``PIECES``-th of a fair shard cut into blocks of its own.
+
+    Such a block holds rows equal in id and text hash, so its rows are told apart by a row number, which is landed
+    with them: all later reads and retries see the same pieces. Their numbers start at BLOCKS. There are at most
+    2 * PIECES * shards pieces, and none is asked to be smaller than the largest row.
+    """
+    limit = max(sum(r["size"] for r in sizes) // shards // PIECES, max((r["most"] for r in sizes), default=0))
+    heavy = sorted((r["old"], r["block"], -(-r["size"] // limit)) for r in sizes if r["n"] > 1 and r["size"] > limit)
+    if not heavy:
+        return rows, sizes
+    starts = accumulate((n for _, _, n in heavy), initial=BLOCKS)
+    cuts = F.broadcast(rows.sparkSession.createDataFrame([(*h, at) for h, at in zip(heavy, starts)], "old int, block int, pieces int, start int"))
+    piece = F.col("start") + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("pieces"))
+    cut = landed(rows.join(cuts, ["old", "block"]).withColumn("block", piece.cast("int")).select(rows.columns), "pieces")
+    whole = {(old, block) for old, block, _ in heavy}
+    kept = [r for r in sizes if (r["old"], r["block"]) not in whole]
+    return rows.join(cuts, ["old", "block"], "left_anti").unionByName(cut), kept + block_sizes(cut)
+
+
+def block_sizes(rows: DataFrame) -> list[Row]:
+    return rows.groupBy("old", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.max("size").alias("most")).collect()
+
+
 def reshard(
     docs: DataFrame, old: Column, olds: int, target: str | None = None, shards: int = 24, doc: str = "doc_id",
     text: str = "text", room: list[int] | None = None,
@@ -127,8 +153,8 @@ def reshard(
     """Rewrite a table into ``shards`` folders of near-equal bytes and return it as it was written.
 
     ``old`` is the old shard of a row (0 to olds - 1, not null). Every old shard falls into blocks by a
-    hash of id and text; only their sizes (olds * BLOCKS rows at most) reach the driver, where the flow is
-    solved. Each shard becomes a folder ``shard=K`` below ``target`` (a fresh folder in the shared one by default).
+    hash of id and text; only their sizes (olds * BLOCKS rows at most, and those of cut blocks) reach the driver, where the
+    flow is solved. A block that many equal rows make too large is cut (``split_heavy``). Each shard becomes a folder ``shard=K`` below ``target`` (a fresh folder in the shared one by default).
     Result: all columns of the table as ``row``, ``size``, ``old``, ``block``, ``shard`` and ``slot``, the
     position in the shard, without gaps from 0: the blocks of a shard follow each other, rows of a
     block are ordered by id and text hash.
@@ -141,7 +167,7 @@ def reshard(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc].alias("id"), row_size(docs[text]).alias("size"),
         old.cast("int").alias("old"), F.xxhash64(docs[text]).alias("h"),
     ).withColumn("block", F.pmod(F.xxhash64("id", "h"), F.lit(BLOCKS)).cast("int"))
-    found = rows.groupBy("old", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    rows, found = split_heavy(rows, block_sizes(rows), shards)
     blocks = [Block(r["old"], r["block"], r["size"], r["n"]) for r in found]
     total = sum(b.size for b in blocks)
     placed = transfers(blocks, room or capacities(total, shards))

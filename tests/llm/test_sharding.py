@@ -68,5 +68,18 @@ def test_files_hold_all_columns(spark, odd, tmp_path):
         assert slots == list(range(len(slots)))
 
 
+def test_rows_equal_in_id_and_text_keep_the_law(docs):
+    rng = random.Random(2)
+    rows = [(None, "a copy without an id")] * 1200 + [(7, "repeated")] * 300 + [(100 + k, "x" * rng.randint(5, 60)) for k in range(1500)]
+    got = sharding.reshard(docs(*rows), F.lit(0), 1, shards=8).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r["row"].doc_id, r["row"].text) for r in got), key=order) == sorted(rows, key=order)
+    sizes = [sum(r["size"] for r in got if r.shard == k) for k in range(8)]
+    assert max(sizes) - sum(sizes) / 8 <= max(0.05 * sum(sizes) / 8, 68)
+    for shard in range(8):
+        own = sorted(r.slot for r in got if r.shard == shard)
+        assert own == list(range(len(own)))
+
+
 def test_empty_table(no_docs):
     assert sharding.reshard(no_docs, F.lit(0), 1).count() == 0
