@@ -176,6 +176,12 @@ MAX_PROGRAMS = 100
 PROGRAM_TERMS = ("program", "yearly_rate", "months", "financed_pct")
 
 
+def _rank(program: Row) -> list[tuple]:
+    """Order of the programmes: as Spark orders a struct of priority and terms, missing values first, NaN last."""
+    values = [program[c] for c in ("priority", *PROGRAM_TERMS)]
+    return [(v is not None, v != v, 0 if v is None or v != v else v) for v in values]
+
+
 def _first_fitting(price: Column, income: Column, ordered: Sequence[Row]) -> Column:
     """Terms of the first programme whose limits admit the application."""
     choices = []
@@ -215,13 +221,13 @@ def loan_assignment(
 
     A programme table is normally a short parameter list: up to ``MAX_PROGRAMS`` rows are read
     and become literal conditions, so applications are neither shuffled nor multiplied. A longer
-    table goes through ``loan_assignment_large``.
+    table goes through ``loan_assignment_large``. Equal priorities are decided by the terms on both ways.
     """
     wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
     rows = programs.filter("priority IS NOT NULL").select(*wanted).limit(MAX_PROGRAMS + 1).collect()
     if not rows or len(rows) > MAX_PROGRAMS:
         return loan_assignment_large(applications, programs, app_id, price, income, digits)
-    ordered = sorted(rows, key=lambda p: p["priority"])
+    ordered = sorted(rows, key=_rank)
     chosen = applications.withColumn("_p", _first_fitting(F.col(price), F.col(income), ordered))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     return _loan_terms(chosen.select(*applications.columns, *picked), price, income, digits)
@@ -241,7 +247,7 @@ def loan_assignment_large(
     asked = asked.withColumn("_earned", F.coalesce(F.col("_income").cast("double"), F.lit(float("inf"))))
     pairs = joins.band_lookup(asked, "_earned", offered, "_floor", "income_limit", closed=True)
     affordable = F.col("price_limit").isNull() | (F.col("_price") <= F.col("price_limit"))
-    fits = F.col("program").isNotNull() & affordable
+    fits = F.col("priority").isNotNull() & affordable
     best = pairs.groupBy("_price", "_income").agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     on = F.col(price).eqNullSafe(F.col("_price")) & F.col(income).eqNullSafe(F.col("_income"))

@@ -173,6 +173,19 @@ def test_loans_both_ways(spark, rows):
     assert first["first_instalment"] == round(170000 / 420 + 170000 * 0.04 / 12, 2) and not first["approved"]
 
 
+def test_tied_programs_do_not_depend_on_the_table_length(spark, rows):
+    schema = "priority int, program string, yearly_rate double, months int, financed_pct double, income_limit double, price_limit double"
+    tied = [(1, "z", 5.0, 360, 80.0, 3e3, None), (1, "b", 6.0, 360, 80.0, 3e3, None), (1, "b", 4.0, 360, 80.0, None, 2e5), (2, None, 4.0, 360, 70.0, None, None), (2, "c", 4.0, 360, 70.0, None, None)]
+    unfit = [(0, f"u{k}", 1.0, 12, 10.0, -1.0, None) for k in range(costs.MAX_PROGRAMS)]
+    df = spark.createDataFrame([(1, 1e5, 2e3), (2, 3e5, 2e3), (3, 1e5, 4e3), (4, 3e5, 4e3), (5, 1e5, None), (6, None, None)], "i int, price double, income double")
+    got = [
+        rows(costs.loan_assignment(df, spark.createDataFrame(table, schema), "i", "price", "income"), "i", "program", "yearly_rate", "financed_pct")
+        for table in (tied, tied[::-1], tied + unfit, unfit + tied[::-1])
+    ]
+    assert got[0] == [(1, "b", 4.0, 80.0), (2, "b", 6.0, 80.0), (3, "b", 4.0, 80.0), (4, None, 4.0, 70.0), (5, "b", 4.0, 80.0), (6, None, 4.0, 70.0)]
+    assert got[1:] == got[:1] * 3
+
+
 def test_program_filters(spark):
     assert costs.program_params(spark, kind="FGTS").count() == 1
     assert costs.program_params(spark, prefix="MCMV").count() == 3
