@@ -239,16 +239,24 @@ def loan_assignment_large(
     """Same result for a programme table of any size.
 
     The programme depends on price and income alone, so each pair of them is looked up once, through
-    income bands, and keeps the smallest priority. An unknown income fits programmes without an income limit.
+    income bands, and keeps the smallest priority. An unknown income fits programmes without an income limit;
+    these are reduced to the best one per price limit and looked up by price.
     """
     wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
     offered = programs.filter("priority IS NOT NULL").select(*wanted, F.lit(None).cast("double").alias("_floor"))
     asked = applications.select(F.col(price).alias("_price"), F.col(income).alias("_income")).distinct()
-    asked = asked.withColumn("_earned", F.coalesce(F.col("_income").cast("double"), F.lit(float("inf"))))
-    pairs = joins.band_lookup(asked, "_earned", offered, "_floor", "income_limit", closed=True)
+    known = asked.filter("_income IS NOT NULL").withColumn("_earned", F.col("_income").cast("double"))
+    pairs = joins.band_lookup(known, "_earned", offered, "_floor", "income_limit", closed=True)
     affordable = F.col("price_limit").isNull() | (F.col("_price") <= F.col("price_limit"))
     fits = F.col("priority").isNotNull() & affordable
     best = pairs.groupBy("_price", "_income").agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
+    terms = F.min(F.struct("priority", *PROGRAM_TERMS))
+    open_ = offered.filter("income_limit IS NULL")
+    capped = open_.filter("price_limit IS NOT NULL").groupBy("_floor", "price_limit").agg(terms.alias("_t"))
+    unknown = joins.band_lookup(asked.filter("_income IS NULL"), "_price", capped, "_floor", "price_limit", closed=True)
+    uncapped = open_.filter("price_limit IS NULL").agg(terms).scalar()
+    best_open = unknown.groupBy("_price", "_income").agg(F.min("_t").alias("_p")).withColumn("_p", F.least("_p", uncapped))
+    best = best.unionByName(best_open)
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
     on = F.col(price).eqNullSafe(F.col("_price")) & F.col(income).eqNullSafe(F.col("_income"))
     out = applications.join(best, on, "left").select(*applications.columns, *picked)

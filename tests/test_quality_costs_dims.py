@@ -186,6 +186,24 @@ def test_tied_programs_do_not_depend_on_the_table_length(spark, rows):
     assert got[1:] == got[:1] * 3
 
 
+def test_unknown_incomes_leave_the_income_cells_finite(spark, rows, monkeypatch):
+    lookup, highest = costs.joins.band_lookup, []
+
+    def spy(df, value, *args, **kwargs):
+        highest.append(df.agg(F.max(value)).first()[0])
+        return lookup(df, value, *args, **kwargs)
+
+    monkeypatch.setattr(costs.joins, "band_lookup", spy)
+    apps = [(k, p, e) for k, (p, e) in enumerate((p, e) for p in (1e5, 2e5, 2e5 + 1, 5e6, None) for e in (2e3, 4400.0, 1e5, None))]
+    df = spark.createDataFrame(apps, "i int, price double, income double")
+    schema = "priority int, program string, yearly_rate double, months int, financed_pct double, income_limit double, price_limit double"
+    more = [(0, "open_2", 3.0, 360, 80.0, None, 2e5), (0, "open_1", 3.0, 360, 80.0, None, 1e5), (1, "low", 3.0, 360, 80.0, 4400.0, 2e5)]
+    for programs in (costs.program_params(spark), spark.createDataFrame(more, schema)):
+        both = [rows(f(df, programs, "i", "price", "income")) for f in (costs.loan_assignment, costs.loan_assignment_large)]
+        assert both[0] == both[1] and len(both[0]) == len(apps)
+    assert highest and max(highest) <= 5e6  # no infinite value widens the cells
+
+
 def test_program_filters(spark):
     assert costs.program_params(spark, kind="FGTS").count() == 1
     assert costs.program_params(spark, prefix="MCMV").count() == 3
