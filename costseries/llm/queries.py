@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costseries.llm import bpe, decontamination, fim, html, langid, linededup, pii, quality, sharding, simhash, toxicity
+from costseries.llm import bpe, decontamination, fim, html, langid, linededup, negatives, pii, quality, sharding, simhash, toxicity
 from costseries.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -70,6 +70,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     rows = fim.restore(fim.transform(table(spark, folder, "documents")))
     digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
@@ -80,7 +84,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_quality_rules, op3_html, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash,
-        op10_sharding, op13_fill_in_middle,
+        op10_sharding, op12_hard_negatives, op13_fill_in_middle,
     )
 }
-SQL: dict[str, str] = {"op1_line_dedup": linededup.sql(), "op2_quality_rules": quality.sql(), "op13_fill_in_middle": fim.sql()}
+SQL: dict[str, str] = {
+    "op1_line_dedup": linededup.sql(), "op2_quality_rules": quality.sql(), "op12_hard_negatives": negatives.sql(), "op13_fill_in_middle": fim.sql(),
+}
