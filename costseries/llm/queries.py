@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costseries.llm import bpe, decontamination, fim, html, langid, linededup, negatives, pii, quality, sharding, simhash, toxicity
+from costseries.llm import bpe, decontamination, fim, html, langid, linededup, negatives, ngramjoin, pii, quality, sharding, simhash, toxicity
 from costseries.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -70,6 +70,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngramjoin.join(table(spark, folder, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine(table(spark, folder, "embeddings"))
 
@@ -84,9 +88,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_quality_rules, op3_html, op4_decontamination, op5_language_id, op6_toxicity, op7_pii, op8_bpe, op9_simhash,
-        op10_sharding, op12_hard_negatives, op13_fill_in_middle,
+        op10_sharding, op11_ngram_join, op12_hard_negatives, op13_fill_in_middle,
     )
 }
 SQL: dict[str, str] = {
-    "op1_line_dedup": linededup.sql(), "op2_quality_rules": quality.sql(), "op12_hard_negatives": negatives.sql(), "op13_fill_in_middle": fim.sql(),
+    "op1_line_dedup": linededup.sql(), "op2_quality_rules": quality.sql(), "op11_ngram_join": ngramjoin.sql(), "op12_hard_negatives": negatives.sql(), "op13_fill_in_middle": fim.sql(),
 }
