@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -280,51 +281,70 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[order][new], number
 
 
-def _lists(entries: np.ndarray) -> np.ndarray:
-    """Entries of the index lists that hold more than one set; copies that several tasks have sent are one entry."""
-    order = np.lexsort((entries["owner"], entries["cell"], entries["token"]))
-    token, cell, owner = (entries[c][order] for c in ("token", "cell", "owner"))
-    other_list = np.r_[True, (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])]
-    new = other_list | np.r_[True, owner[1:] != owner[:-1]]
-    order, other_list = order[new], other_list[new]
-    starts = np.flatnonzero(other_list)
-    lengths = np.diff(np.r_[starts, len(order)])
-    return entries[order[np.repeat(lengths > 1, lengths)]]
-
-
-def _listed(entries: np.ndarray, size: np.ndarray, percent: int) -> Iterator[np.ndarray]:
-    """Candidate pairs ``(smaller << 32 | larger)`` of numbered owners that share an index list and pass its filters."""
-    if not len(entries):
-        return
-    entries = entries[np.lexsort((entries["pos"], size[entries["owner"]], entries["cell"], entries["token"]))]
-    owner, salt, pos = entries["owner"].astype(np.int64), entries["salt"], entries["pos"].astype(np.int64)
-    n, change = size[owner], (entries["token"][1:] != entries["token"][:-1]) | (entries["cell"][1:] != entries["cell"][:-1])
-    starts = np.flatnonzero(np.r_[True, change])
-    lengths = np.diff(np.r_[starts, len(owner)])
-    mixed = np.minimum.reduceat(salt, starts) != np.maximum.reduceat(salt, starts)
-    two_salts = np.repeat(mixed, lengths)  # a cell off the diagonal: sets of one salt meet elsewhere
-
-    def passed(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        far = np.minimum(n[one] - pos[one], n[two] - pos[two]) >= needed(n[one], n[two], percent)
-        some = far & (owner[one] != owner[two]) & ((salt[one] != salt[two]) | ~two_salts[one])
-        a, b = owner[one[some]].astype(np.uint64), owner[two[some]].astype(np.uint64)
-        return np.unique(np.minimum(a, b) << np.uint64(32) | np.maximum(a, b))
-
-    short = lengths <= SHORT
-    for one, two in _pairs_of_short_lists(starts[short], lengths[short]):
-        yield passed(one, two)
-    for k in np.flatnonzero(~short):
-        for one, two in _pairs_of_list(n, pos, starts[k], starts[k] + lengths[k], percent):
+class Lists:
+    """Index lists with more than one set, each ordered by (size, position).
+
+    ``entries`` are those of numbered owners; ``size`` is by owner. Copies that several tasks have sent are one entry.
+    """
+
+    def __init__(self, entries: np.ndarray, size: np.ndarray, percent: int):
+        order = np.lexsort((entries["owner"], entries["cell"], entries["token"]))
+        token, cell, owner = (entries[c][order] for c in ("token", "cell", "owner"))
+        other = np.r_[True, (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])][: len(order)]
+        new = other | np.r_[True, owner[1:] != owner[:-1]][: len(order)]
+        order, other = order[new], other[new]
+        lengths = np.diff(np.r_[np.flatnonzero(other), len(order)])
+        lists, lengths = np.repeat(np.arange(len(lengths)), lengths), np.repeat(lengths, lengths)
+        order, lists = order[lengths > 1], lists[lengths > 1]
+        pos, n = entries["pos"][order], size[entries["owner"][order]]
+        self.entries = entries[order[np.lexsort((pos, n, lists))]]
+        self.starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]][: len(lists)])
+        self.lengths = np.diff(np.r_[self.starts, len(lists)])
+        self.owner, self.percent = self.entries["owner"].astype(np.int64), percent
+        self.n, self.pos = size[self.owner], self.entries["pos"].astype(np.int64)
+
+    def pairs(self, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of all two sets of one of the ``wanted`` lists that length and position leave together, a bounded number at a time."""
+        if not len(self.starts):
+            return
+        n, pos, owner, salt = self.n, self.pos, self.owner, self.entries["salt"]
+        mixed = np.minimum.reduceat(salt, self.starts) != np.maximum.reduceat(salt, self.starts)
+        two_salts = np.repeat(mixed, self.lengths)  # a cell off the diagonal: sets of one salt meet elsewhere
+        wanted = np.ones(len(self.starts), bool) if wanted is None else wanted
+
+        def passed(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            far = np.minimum(n[one] - pos[one], n[two] - pos[two]) >= needed(n[one], n[two], self.percent)
+            some = far & (owner[one] != owner[two]) & ((salt[one] != salt[two]) | ~two_salts[one])
+            return one[some], two[some]
+
+        short = wanted & (self.lengths <= SHORT)
+        for one, two in _pairs_of_short_lists(self.starts[short], self.lengths[short]):
             yield passed(one, two)
+        for k in np.flatnonzero(wanted & (self.lengths > SHORT)):
+            for one, two in _pairs_of_list(n, pos, self.starts[k], self.starts[k] + self.lengths[k], self.percent):
+                yield passed(one, two)
+
+
+def _binary(keys: np.ndarray) -> pa.Array:
+    """Keys (two halves each) as a column."""
+    return pa.Array.from_buffers(pa.binary(16), len(keys), [None, pa.py_buffer(keys.astype(">u8").tobytes())]).cast(pa.binary())
+
 
+def _halves(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(-1, 2)
 
-def candidates(docs: DataFrame, counts: DataFrame, n_shingles: int, text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Distinct pairs ``(u, v)``, u < v, of set keys that no filter tells apart; every linked pair of different sets is among them."""
+
+def index(docs: DataFrame, counts: DataFrame, n_shingles: int, text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``(token, cell, salt, pos, n, s, least)``: the entries of index lists that have a candidate partner in their list.
+
+    ``least`` is the smallest key among these partners. Pairs are looked at inside the tasks only; what leaves them is one row per entry.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_most_frequent(counts))
     code_bits, bits = _bits(n_shingles, SPREAD), _bits(n_shingles, SPREAD * 2)
     kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    schema = fields("token long, cell long, salt long, pos long, n long, s binary, least binary")
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, sizes, entries in _entries(batches, Order(*shared.value, code_bits), size, percent):
             bucket = _bucket(entries, bits)
             order = np.argsort(bucket, kind="stable")
@@ -335,7 +355,7 @@ def candidates(docs: DataFrame, counts: DataFrame, n_shingles: int, text: str =
                 rows.append((int(bucket[order[a]]), b"".join(keys[k] for k in owners), np.array([sizes[k] for k in owners], "<u4").tobytes(), _packed(part)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["bucket", "keys", "sizes", "entries"])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sizes, parts, at = [], [], [], 0
         for batch in batches:
             for _, k, n, raw in zip(*[c.to_pylist() for c in batch.columns]):
@@ -351,26 +371,61 @@ def candidates(docs: DataFrame, counts: DataFrame, n_shingles: int, text: str =
         entries = np.concatenate(parts)
         parts.clear(), keys.clear()
         entries["owner"] = number[entries["owner"]]
-        held, some = 0, []
-        for found in _listed(_lists(entries), n, percent):
-            some.append(found)
-            held += len(found)
-            if held > 1 << 22:
-                some = [np.unique(np.concatenate(some))]
-                held = len(some[0])
-                if held > 1 << 21:
-                    yield named(distinct, some[0])
-                    held, some = 0, []
-        if some:
-            yield named(distinct, np.unique(np.concatenate(some)))
+        lists = Lists(entries, n, percent)
+        least = np.full(len(lists.owner), len(distinct))
+        for one, two in lists.pairs():  # keys ascend with their numbers
+            np.minimum.at(least, one, lists.owner[two])
+            np.minimum.at(least, two, lists.owner[one])
+        kept = np.flatnonzero(least < len(distinct))
+        for part in np.split(kept, range(HELD, len(kept), HELD)):
+            rows = lists.entries[part]
+            numbers = [pa.array(rows[c].astype("<u8").view(np.int64)) for c in ("token", "cell", "salt", "pos")]
+            yield pa.RecordBatch.from_arrays([*numbers, pa.array(lists.n[part]), _binary(distinct[lists.owner[part]]), _binary(distinct[least[part]])], names=schema.names)
 
-    def named(distinct: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
-        sides = (distinct[pairs >> np.uint64(32)], distinct[pairs & np.uint64(0xFFFFFFFF)])  # keys ascend with their numbers
-        arrays = [pa.Array.from_buffers(pa.binary(16), len(pairs), [None, pa.py_buffer(x.astype(">u8").tobytes())]).cast(pa.binary()) for x in sides]
-        return pa.RecordBatch.from_arrays(arrays, names=["u", "v"])
+    rows = docs.select(docs[text].alias("text")).mapInArrow(deal, "bucket long, keys binary, sizes binary, entries binary")
+    return rows.repartition(1 << bits, "bucket").mapInArrow(meet, schema)
 
-    rows = docs.select(docs[text].alias("text")).mapInArrow(index, "bucket long, keys binary, sizes binary, entries binary")
-    return rows.repartition(1 << bits, "bucket").mapInArrow(join, "u binary, v binary").distinct()
+
+def meetings(placed: DataFrame, tasks: int, percent: int = PERCENT) -> DataFrame:
+    """``(g, right, s)``: the groups in which a set meets its candidates, one for every two pieces with a candidate pair between them.
+
+    ``placed`` is the index with the ``piece`` of every set. A set gets one row per piece it may have a partner in.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        distinct, number = _numbered(_halves(rows.column("s")))
+        names = sorted(pc.unique(rows.column("piece")).to_pylist())
+        piece = np.zeros(len(distinct), np.int64)
+        piece[number] = pc.index_in(rows.column("piece"), pa.array(names)).to_numpy()
+        n = np.zeros(len(distinct), np.int64)
+        n[number] = rows.column("n").to_numpy()
+        entries = np.zeros(len(number), ENTRY)
+        entries["owner"] = number
+        for c in ("token", "cell", "salt", "pos"):
+            entries[c] = rows.column(c).to_numpy().view(np.uint64)
+        lists = Lists(entries, n, percent)
+        at = piece[lists.owner]
+        # In a list of one piece every entry has its partner there; other lists are looked at pair by pair.
+        alone = np.minimum.reduceat(at, lists.starts) == np.maximum.reduceat(at, lists.starts) if len(at) else np.zeros(0, bool)
+        inside = np.repeat(alone, lists.lengths)
+        found, held = [lists.owner[inside] * len(names) + at[inside]], 0
+        for one, two in lists.pairs(~alone):
+            found += [np.unique(lists.owner[one] * len(names) + at[two]), np.unique(lists.owner[two] * len(names) + at[one])]
+            held += len(one)
+            if held > 1 << 22:
+                found, held = [np.unique(np.concatenate(found))], 0
+        codes = np.unique(np.concatenate(found))
+        for part in np.split(codes, range(HELD, len(codes), HELD)):
+            owner, other = part // len(names), part % len(names)
+            mine = piece[owner]
+            groups = [f"{names[a]}|{names[b]}" for a, b in zip(np.minimum(mine, other), np.maximum(mine, other))]
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(mine > other), _binary(distinct[owner])], names=["g", "right", "s"])
+
+    return placed.repartition(tasks, "token", "cell").mapInArrow(run, "g string, right boolean, s binary").distinct()
 
 
 def _packed(entries: np.ndarray) -> bytes:
@@ -423,24 +478,41 @@ class Verifier:
         return self.overlaps
 
 
-def _verified(left: list[tuple[bytes, np.ndarray]], right: list[tuple[bytes, np.ndarray]] | None, percent: int) -> list[tuple[bytes, bytes]]:
-    """Linked pairs of a group: of ``left`` with ``right``, or inside ``left``. Sets that look alike follow each other."""
+def _verified(left: list[tuple], right: list[tuple] | None, percent: int) -> list[tuple]:
+    """Links of a group, ``left`` with ``right`` or inside ``left``, as rows ``(u, v, null)`` that connect what is connected
+    and rows ``(u, null, documents)`` with the linked documents of every set. Sets are ``(key, shingles, copies)``.
+    """
     block = left if right is None else right
     if not left or not block:
         return []
-    names, sizes, verifier, out = [k for k, _ in block], np.array([len(b) for _, b in block]), Verifier([b for _, b in block]), []
-    for key, found in sorted(left, key=lambda r: r[1][:8].tobytes()):
-        overlap = verifier.of(found)
-        for j in np.flatnonzero(overlap >= needed(len(found), sizes, percent)):
-            if right is not None or key < names[j]:
-                out.append((min(key, names[j]), max(key, names[j])))
+    keys, copies, sizes = [k for k, _, _ in block], np.array([c for _, _, c in block]), np.array([len(b) for _, b, _ in block])
+    verifier, linked, out = Verifier([b for _, b, _ in block]), np.zeros(len(block), np.int64), []
+    label, own = np.arange(len(block) + len(left)), len(block)
+    number = {k: j for j, k in enumerate(keys)}
+    for key, found, weight in sorted(left, key=lambda r: r[1][:8].tobytes()):  # sets that look alike follow each other
+        near = verifier.of(found) >= needed(len(found), sizes, percent)
+        me = number.get(key, own)
+        if me < len(block):
+            near[me] = False
+        else:
+            own += 1
+        if not near.any():
+            continue
+        out.append((key, None, int(copies[near].sum())))
+        linked[near] += weight
+        places = np.flatnonzero(near)
+        for j in places[np.unique(label[places], return_index=True)[1]]:
+            if label[j] != label[me]:
+                out.append((key, keys[j], None))
+                label[label == label[j]] = label[me]
+    if right is not None:
+        out += [(keys[j], None, int(linked[j])) for j in np.flatnonzero(linked)]
     return out
 
 
-def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+def _texts(docs: DataFrame, placed: DataFrame, text: str) -> DataFrame:
     """Texts that hold the sets with candidates. Their hashes are broadcast if they are few, else texts are shuffled."""
-    keys = pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct()
-    wanted = landed(sets.join(keys, "s", "left_semi").select("t").distinct(), "wanted")
+    wanted = landed(placed.select("t").distinct(), "wanted")
     few = wanted.count() <= WANTED
     return docs.select(docs[text].alias("text"), F.xxhash64(docs[text]).alias("t")).join(F.broadcast(wanted) if few else wanted, "t", "left_semi").select("text")
 
@@ -452,52 +524,49 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """All pairs ``(u, v)``, u < v, of keys of different sets with ``100 * intersection >= percent * union``.
+    """The links between different sets, ``100 * intersection >= percent * union``, without a row per link.
 
-    ``sets`` is the landed table of ``classes``. Candidate sets gather around the least of their neighbours; sets of one
-    neighbourhood are cut into pieces of about ``PIECE`` shingles, and two pieces with a candidate pair between them are verified
-    together. So a set travels once per piece it may have a partner in, not once per pair.
+    Rows ``(u, v, null)`` are links that connect all that links connect; rows ``(u, null, w)`` add up to the documents that
+    link with those of set u. ``sets`` is the landed table of ``classes``. Candidate sets gather around the least of
+    their neighbours; sets of one neighbourhood are cut into pieces of about ``PIECE`` shingles, and two pieces with a candidate
+    pair between them are verified together. So a set travels once per piece it may have a partner in.
     """
     n_shingles = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = landed(frequencies(docs, n_shingles, text, size), "frequencies")
-    pairs = landed(candidates(docs, counts, n_shingles, text, size, percent), "candidates")
+    entries = landed(index(docs, counts, n_shingles, text, size, percent), "index")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, found in _new_sets(batches, size):
             yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([found.tobytes()])], names=["s", "tokens"])
 
-    full = _texts(docs, sets, pairs, text).mapInArrow(tokens, "s binary, tokens binary").dropDuplicates(["s"])
-    both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = both.groupBy(F.col("u").alias("s")).agg(F.min("v").alias("least"))
-    homes = near.join(sets.select("s", "n"), "s").select("s", "n", F.least("s", "least").alias("home"))
+    near = entries.groupBy("s").agg(F.min("least").alias("least"))
+    homes = landed(near.join(sets, "s").select("s", "n", "t", "copies", F.least(near.s, near.least).alias("home")), "homes")
     parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / F.lit(PIECE)).alias("parts"))
     piece = F.concat_ws("-", F.hex("home"), F.pmod(F.xxhash64("s"), F.col("parts")).cast("string"))
-    placed = landed(homes.join(parts, "home").select("s", piece.alias("piece")), "pieces")
-    one, two = placed.select(F.col("s").alias("u"), F.col("piece").alias("a")), placed.select(F.col("s").alias("v"), F.col("piece").alias("b"))
-    met = pairs.join(one, "u").join(two, "v")
-    group = F.concat_ws("|", F.least("a", "b"), F.greatest("a", "b")).alias("g")
-    sides = [F.struct(F.col(s).alias("s"), (F.col(mine) > F.col(other)).alias("right")) for s, mine, other in (("u", "a", "b"), ("v", "b", "a"))]
-    dealt = met.select(group, F.inline(F.array(*sides))).distinct().join(full, "s").select("g", "right", "s", "tokens")
+    placed = landed(homes.join(parts, "home").select("s", "t", "copies", piece.alias("piece")), "pieces")
+    tasks = 1 << _bits(n_shingles, SPREAD)
+    met = meetings(entries.drop("least").join(placed.select("s", "piece"), "s"), tasks, percent)
+    full = _texts(docs, placed, text).mapInArrow(tokens, "s binary, tokens binary").dropDuplicates(["s"])
+    dealt = met.join(full.join(placed.select("s", "copies"), "s"), "s").select("g", "right", "s", "tokens", "copies")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(group: str, left: list, right: list) -> pa.RecordBatch:
             a, b = group.split("|")
-            found = _verified(left, None if a == b else right, percent)
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["u", "v"])
+            rows = _verified(left, None if a == b else right, percent)
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))], names=["u", "v", "w"])
 
         group, sides = None, ([], [])
         for batch in batches:
-            for g, right, key, raw in zip(*[c.to_pylist() for c in batch.columns]):
+            for g, right, key, raw, copies in zip(*[c.to_pylist() for c in batch.columns]):
                 if g != group:
                     if group is not None:
                         yield done(group, *sides)
                     group, sides = g, ([], [])
-                sides[right].append((key, np.frombuffer(raw, np.uint64)))
+                sides[right].append((key, np.frombuffer(raw, np.uint64), copies))
         if group is not None:
             yield done(group, *sides)
 
-    tasks = 1 << _bits(n_shingles, SPREAD)
-    return dealt.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(verify, "u binary, v binary")
+    return dealt.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(verify, "u binary, v binary, w long")
 
 
 def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -512,9 +581,8 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = W
     rows = landed(members(docs, doc, text, size), "members")
     sets = landed(classes(rows), "sets")
     found = landed(links(docs, sets, text, size, percent), "links")
-    both = found.unionAll(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    partners = both.join(sets.select(F.col("s").alias("v"), "copies"), "v").groupBy("u").agg(F.sum("copies").alias("partners"))
-    roots = graph.components(found)
+    partners = found.where("w IS NOT NULL").groupBy("u").agg(F.sum("w").alias("partners"))
+    roots = graph.components(found.where("v IS NOT NULL").select("u", "v"))
     rooted = sets.join(roots, sets.s == roots.node, "left").join(partners, sets.s == partners.u, "left")
     rooted = rooted.select("s", "least", F.coalesce("root", "s").alias("root"), (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
     reach = rooted.groupBy("root").agg(F.min("least").alias("component"))
