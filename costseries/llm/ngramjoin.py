@@ -27,7 +27,7 @@ HELD = 1 << 20  # shingles a task holds before it passes them on
 CELL = 1 << 14  # sets of one index list handled together; longer lists are dealt to a grid of cells
 SHORT = 64  # sets of an index list up to which its pairs are simply tried
 PIECE = 1 << 18  # shingles of the sets verified together on either side
-SPREAD = 1 << 22  # shingles counted, or a quarter of them joined, by one task
+SPREAD = 1 << 20  # shingles counted by one task; indexes and groups take a few times as many
 WANTED = 1 << 18  # texts fetched by a broadcast list of hashes; more are fetched by a shuffle
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -544,7 +544,7 @@ def links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int = WORD
     parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / F.lit(PIECE)).alias("parts"))
     piece = F.concat_ws("-", F.hex("home"), F.pmod(F.xxhash64("s"), F.col("parts")).cast("string"))
     placed = landed(homes.join(parts, "home").select("s", "t", "copies", piece.alias("piece")), "pieces")
-    tasks = 1 << _bits(n_shingles, SPREAD)
+    tasks = 1 << _bits(n_shingles, SPREAD * 4)
     met = meetings(entries.drop("least").join(placed.select("s", "piece"), "s"), tasks, percent)
     full = _texts(docs, placed, text).mapInArrow(tokens, "s binary, tokens binary").dropDuplicates(["s"])
     dealt = met.join(full.join(placed.select("s", "copies"), "s"), "s").select("g", "right", "s", "tokens", "copies")
