@@ -24,7 +24,8 @@ RANK_BIT = 53  # the key of a word has its rarity class from this bit on and its
 
 WORD = r"[^\x20\x09-\x0D]"
 LINE = ["l1", "l2"]  # two independent hashes of a line
-PLACE = ["id", "h", "pos"]  # a document by id and text hash, and the position of the line in it
+DOC = ["id", "h", "g"]  # a document: its id and two independent hashes of its text
+PLACE = [*DOC, "pos"]  # and the position of a line in it
 LONG = 90  # words from which on a line has two bitmap halves; together they fold into the single one of a shorter line
 NEED = "((4 * (a.n + b.n) + 8) div 9)"
 NEAR = f"""a.tok = b.tok AND a.l1 <> b.l1 AND a.n * 4 <= b.n * 5 AND b.n * 4 <= a.n * 5
@@ -39,11 +40,16 @@ def join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """All lines with a word: place, both hashes and the line itself. Rows equal in id and text are one document."""
-    lines = docs.select("id", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = docs.select(*DOC, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.where(F.col("line").rlike(WORD))
     return lines.select(*PLACE, "line", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(1), "line").alias("l2"))
 
 
+def text_hashes(body: Column) -> list[Column]:
+    """128 bits that tell the texts of equal or missing ids apart."""
+    return [F.xxhash64(body).alias("h"), F.xxhash64(F.lit(1), body).alias("g")]
+
+
 def _cell(h: str) -> Column:
     return F.shiftright(F.col(h).bitwiseAND(F.lit(MARKS - 1)), 6).cast("int")
 
@@ -152,7 +158,7 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     same result. Columns of the table can't clash: see ``row``, which holds them with the new text.
     """
     body = F.coalesce(docs[text], F.lit(""))
-    lines = lines_of(docs.select(docs[doc].alias("id"), F.hash(body).alias("h"), body.alias("text")))
+    lines = lines_of(docs.select(docs[doc].alias("id"), *text_hashes(body), body.alias("text")))
     firsts = landed(lines.groupBy(*LINE).agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
     again = marks(firsts.where("n > 1"))
     removed = landed(later_matches(lines, again, rarity(docs.select(body.alias("text")))), "removed")
@@ -160,10 +166,10 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     # Only documents with a line that occurs again or goes can lose one.
     losing = with_mark(lines, marks(firsts.where("n > 1").select("l1").unionAll(removed.select("l1")))).where("mark")
     losing = marks(losing.select("h"), "h")
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc].alias("id"), F.hash(body).alias("h"))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc].alias("id"), *text_hashes(body))
     whole = with_mark(whole, losing, "h")
     kept = join(firsts, removed, "a.l1 = b.l1 AND a.l2 = b.l2", "left_anti").select("a.first.*")
-    kept = with_mark(kept, losing, "h").where("mark").groupBy("id", "h").agg(F.collect_list("pos").alias("at"))
+    kept = with_mark(kept, losing, "h").where("mark").groupBy(*DOC).agg(F.collect_list("pos").alias("at"))
 
     def split(row: Column) -> Column:
         return F.split(F.coalesce(row[text], F.lit("")), "\n")
@@ -175,7 +181,7 @@ def dedup(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
         return F.struct(new.alias("text"), F.size(found).cast("long").alias("n"), (F.size(found) - F.size(stay)).cast("long").alias("gone"))
 
     safe = whole.where("not mark").select("row", F.size(split(F.col("row"))).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
-    found = join(whole.where("mark"), kept, "a.id <=> b.id AND a.h = b.h", "left").select("a.row", "b.at")
+    found = join(whole.where("mark"), kept, "a.id <=> b.id AND a.h = b.h AND a.g = b.g", "left").select("a.row", "b.at")
     done = found.select("row", let(split(F.col("row")), cleaned).alias("new"))
     changed = F.when(F.col("row")[text].isNotNull(), F.col("new.text"))
     done = done.select(F.col("row").withField(text, changed).alias("row"), F.col("new.n").alias("n_lines"), F.col("new.gone").alias("n_removed"))

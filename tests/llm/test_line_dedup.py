@@ -70,3 +70,18 @@ def test_odd_rows(odd, no_docs):
     assert by_id[6]["row"]["text"] == "" and by_id[5]["n_removed"] == 0
     assert [r["row"]["text"] for r in got if r["row"]["doc_id"] == 4].count("a") == 2  # equal rows are one document
     assert linededup.dedup(no_docs).count() == 0
+
+
+def test_texts_of_null_and_repeated_ids_that_share_a_hash(docs, monkeypatch):
+    """All texts meet in the first hash; documents of equal or missing ids still keep their own lines."""
+    from pyspark.sql import functions as F
+
+    both = linededup.text_hashes
+    monkeypatch.setattr(linededup, "text_hashes", lambda body: [F.lit(7).cast("long").alias("h"), both(body)[1]])
+    rows = [(None, "one two three\nfour five six"), (None, "seven eight\none two three\nnine ten"), (3, "a b c\nd e f"), (3, "g h i\na b c"), (3, "x\ny")]
+    got = linededup.dedup(docs(*rows)).collect()
+    assert len(got) == 5 and all(r["n_removed"] >= 0 for r in got)
+    found = sorted((r["row"]["doc_id"] is not None, r["row"]["text"]) for r in got)
+    lines = [line for _, text in found for line in text.split("\n") if line]
+    assert sorted(lines) == sorted({line for _, text in rows for line in text.split("\n")})
+    assert sum(r["n_removed"] for r in got) == 2
