@@ -1,4 +1,4 @@
-"""Benchmark decontamination: item-sized windows by the weight of shared shingles, then exact weighted-shingle similarity."""
+"""Benchmark decontamination: fingerprints of item-sized windows, then exact weighted-shingle similarity."""
 
 from __future__ import annotations
 
@@ -6,19 +6,23 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from costseries.llm.common import fields
 
 SHINGLE = 5  # words
 SIMILARITY = 0.8
-SLACK = 1e-3  # for rounding; weights are whole numbers
+RADIUS = 19  # differing bits of a window that is still verified
+SEGMENTS = 4  # of 16 bits: of 19 differing bits at most 4 lie in some segment
 BLOCK_WORDS = 1_000_000  # words of benchmark items that one pass holds
 TABLE = 20  # bits of the table that tells texts without any shingle of an item
+PART = 1 << 15  # windows fingerprinted at a time
 WORD = re.compile(r"\w+")
 
 Item = tuple[object, list[str]]
@@ -62,10 +66,14 @@ class Shingled:
         sizes = np.cumsum([0, *map(len, self.found)], dtype=np.int64)
         return sizes[self.size : self.size + len(self.hashes)] - sizes[: len(self.hashes)]
 
-    @cached_property
-    def sums(self) -> np.ndarray:
-        """Weight of all shingles before each place."""
-        return np.concatenate(([0], self.weights.cumsum()))
+    def fingerprints(self, first: int, last: int, width: int) -> np.ndarray:
+        """Weighted SimHash of the windows of ``width`` shingles that start at first..last - 1."""
+        h = self.hashes[first : last + width - 1]
+        bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int64)
+        signed = (2 * bits - 1) * self.weights[first : last + width - 1, None]
+        sums = np.concatenate((np.zeros((1, 64), np.int64), signed.cumsum(0)))
+        packed = np.packbits(sums[width:] - sums[:-width] > 0, axis=1)
+        return packed.view(">u8").reshape(-1).astype(np.uint64)
 
 
 class _Words(dict):
@@ -86,61 +94,53 @@ def among(hashes: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, hashes), len(ordered) - 1)] == hashes
 
 
-def ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """first, first + 1, ... of every run, one run after the other."""
-    return np.arange(counts.sum()) + np.repeat(first - counts.cumsum() + counts, counts)
-
-
-class Index:
-    """The items with shingles of one size, and which of them hold a shingle."""
+class Length:
+    """The items of one length with a multi-index over their fingerprints."""
 
     def __init__(self, items: list[Item], size: int, known: _Words):
         self.items, self.size = items, size
         shingled = [Shingled(w, known.codes(w), size) for _, w in items]
-        self.width = [len(s.hashes) for s in shingled]
-        self.weight = np.array([s.sums[-1] for s in shingled])
-        parts = [np.unique(s.hashes, return_index=True, return_counts=True) for s in shingled]
-        self.hashes = [hashes for hashes, _, _ in parts]
-        every = np.concatenate(self.hashes)
-        order = np.argsort(every, kind="stable")
-        self.own, self.at = np.unique(every[order], return_index=True)
-        self.holders = np.diff(np.append(self.at, len(every)))
-        self.item = np.repeat(np.arange(len(items)), [len(h) for h in self.hashes])[order]
-        self.times = np.concatenate([times for _, _, times in parts])[order]
-        self.letters = np.concatenate([s.weights[at] for s, (_, at, _) in zip(shingled, parts)])[order]
-        self.first = np.zeros(1 << TABLE, bool)  # the shingles by their first bits, for a quick look
-        self.first[(self.own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
-
-    def candidates(self, text: Shingled) -> Iterator[tuple[int, int]]:
-        """(item, start) of all windows that can be similar, by item and start; no other window is.
-
-        Two similar sequences share shingles of ``SIMILARITY`` of either weight at least. First the shingles that
-        the whole text shares with an item must weigh that much, then those in a window: there every occurrence
-        of a shingle of the item counts, so the shared weight is never put too low. A text shorter than an item
-        is one window.
+        self.width = len(shingled[0].hashes)
+        self.prints = np.concatenate([s.fingerprints(0, 1, self.width) for s in shingled])
+        self.own = np.unique(np.concatenate([s.hashes for s in shingled]))
+        self.weight = np.array([s.weights.sum() for s in shingled])
+        masks = np.array([sum(1 << b for b in c) for r in range(RADIUS // SEGMENTS + 1) for c in combinations(range(16), r)], np.uint64)
+        self.near = np.zeros((SEGMENTS, 1 << 16), bool)  # per segment, the values in the balls around all items
+        for k in range(SEGMENTS):
+            values = (self.prints >> np.uint64(16 * k)) & np.uint64(0xFFFF)
+            self.near[k][(values[:, None] ^ masks).ravel().astype(np.int64)] = True
+
+    def candidates(self, text: Shingled, shared: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(start, item) of all windows within the radius that share a shingle with an item of this length.
+
+        ``shared`` has the places of shingles that any item has. A window without a common shingle has
+        similarity zero, so it needs no fingerprint. A text shorter than the items is one window; an item that
+        outweighs it too much to be similar is left out.
         """
-        places = np.flatnonzero(self.first[(text.hashes >> np.uint64(64 - TABLE)).astype(np.int64)])
-        places = places[among(text.hashes[places], self.own)]
-        if not len(places):
+        n = len(text.hashes) - self.width + 1
+        own = shared[among(text.hashes[shared], self.own)]
+        if not len(own):
             return
-        places = places[np.argsort(text.hashes[places], kind="stable")]
-        hits, at, counts = np.unique(text.hashes[places], return_index=True, return_counts=True)
-        slot = np.searchsorted(self.own, hits)
-        held = ranges(self.at[slot], self.holders[slot])
-        times = np.minimum(self.times[held], np.repeat(counts, self.holders[slot]))
-        shared = np.bincount(self.item[held], times * self.letters[held], len(self.items))
-        for i in np.flatnonzero(shared >= SIMILARITY * self.weight - SLACK):
-            k = np.searchsorted(hits, own := self.hashes[i][among(self.hashes[i], hits)])
-            where = np.sort(places[ranges(at[k], counts[k])]) if len(own) else places[:0]
-            width = min(self.width[i], len(text.hashes))
-            low = np.maximum(where - width + 1, np.concatenate(([0], where[:-1] + 1)))
-            high = np.minimum(where, len(text.hashes) - width)
-            starts = ranges(low, np.maximum(high - low + 1, 0))  # of the windows with a shingle of the item
-            sums = np.concatenate(([0], text.weights[where].cumsum()))
-            both = sums[np.searchsorted(where, starts + width)] - sums[np.searchsorted(where, starts)]
-            total = text.sums[starts + width] - text.sums[starts] + self.weight[i]
-            for start in starts[both * (1 + SIMILARITY) >= SIMILARITY * total - SLACK]:
-                yield int(i), int(start)
+        if n <= 0:
+            near = np.bitwise_count(self.prints ^ text.fingerprints(0, 1, len(text.hashes))[0]) <= RADIUS
+            for i in np.flatnonzero(near & (self.weight * SIMILARITY <= text.weights.sum())):
+                yield 0, int(i)
+            return
+        change = np.zeros(n + 1, np.int64)
+        np.add.at(change, np.minimum(np.maximum(own - self.width + 1, 0), n), 1)
+        np.add.at(change, np.minimum(own + 1, n), -1)
+        open_ = np.flatnonzero(change[:-1].cumsum())
+        runs = np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1)
+        for run in runs:
+            for first in range(int(run[0]), int(run[-1]) + 1, PART):
+                last = min(first + PART, int(run[-1]) + 1)
+                prints = text.fingerprints(first, last, self.width)
+                hit = np.zeros(len(prints), bool)
+                for k in range(SEGMENTS):
+                    hit |= self.near[k][((prints >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)]
+                for w in np.flatnonzero(hit):
+                    for i in np.flatnonzero(np.bitwise_count(self.prints ^ prints[w]) <= RADIUS):
+                        yield first + int(w), int(i)
 
 
 class Matcher:
@@ -148,26 +148,36 @@ class Matcher:
 
     def __init__(self, items: list[Item]):
         self.known = _Words()
-        sizes: dict[int, list[Item]] = defaultdict(list)
-        for item in sorted(items, key=lambda item: len(item[1])):
+        lengths: dict[int, list[Item]] = defaultdict(list)
+        for item in items:
             if item[1]:
-                sizes[min(SHINGLE, len(item[1]))].append(item)
-        self.indexes = [Index(own, size, self.known) for size, own in sizes.items()]
+                lengths[len(item[1])].append(item)
+        self.lengths = [Length(own, min(SHINGLE, n), self.known) for n, own in sorted(lengths.items())]
+        sizes = {x.size for x in self.lengths}
+        self.all = {s: np.unique(np.concatenate([x.own for x in self.lengths if x.size == s])) for s in sizes}
+        self.first = {s: np.zeros(1 << TABLE, bool) for s in sizes}  # the same by their first bits, for a quick look
+        for s, own in self.all.items():
+            self.first[s][(own >> np.uint64(64 - TABLE)).astype(np.int64)] = True
 
     def leaks(self, text: str | None) -> list[tuple[object, float, int]]:
         """(item, similarity, first word) of every item that a window of its own size, or the whole of a shorter text, resembles, at its best window."""
         found = tokens(text)
-        out, codes = [], self.known.codes(found)
-        for index in self.indexes:
-            best: dict[int, tuple[float, int]] = {}
-            for i, start in index.candidates(Shingled(found, codes, index.size)):
-                if best.get(i, (0.0, 0))[0] < 1:
-                    words = index.items[i][1]
+        best: dict[tuple[int, int], tuple[float, int]] = {}
+        codes, shingled = self.known.codes(found), {}
+        for size, first in self.first.items():
+            one = Shingled(found, codes, size)
+            at = np.flatnonzero(first[(one.hashes >> np.uint64(64 - TABLE)).astype(np.int64)])
+            at = at[among(one.hashes[at], self.all[size])]
+            if len(at):
+                shingled[size] = one, at
+        for k, length in enumerate(self.lengths):
+            if length.size in shingled:
+                for start, i in length.candidates(*shingled[length.size]):
+                    words = length.items[i][1]
                     got = similarity(found[start : start + len(words)], words)
-                    if got >= SIMILARITY and got > best.get(i, (0.0, 0))[0]:
-                        best[i] = got, start
-            out += [(index.items[i][0], s, at) for i, (s, at) in best.items()]
-        return out
+                    if got >= SIMILARITY and got > best.get((k, i), (0.0, 0))[0]:
+                        best[k, i] = got, start
+        return [(self.lengths[k].items[i][0], s, at) for (k, i), (s, at) in sorted(best.items())]
 
 
 def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[Item]]:
@@ -195,7 +205,7 @@ def find(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str =
     schema = fields(f"doc {kinds[0]}, item {kinds[1]}, similarity double, first_word long")
     rows = docs.select(docs[doc].alias("doc"), docs[text].alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
-    item_type = pa.array([], pa.int64()).type if kinds[1] == "bigint" else None
+    item_type = to_arrow_type(benchmark.schema[item].dataType)
 
     for block in blocks(benchmark, item, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)
@@ -216,7 +226,11 @@ def find(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str =
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents without a leaked item, with all their columns; no shuffle."""
+    """The documents without a leaked item, with all their columns; no shuffle.
+
+    Null and empty texts, and all documents if the benchmark is empty, stay; repeated rows stay or go together. An
+    empty table gives an empty result. What counts as leaked says ``find``.
+    """
     at, schema = docs.columns.index(text), docs.schema
     for block in blocks(benchmark, item, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(block)

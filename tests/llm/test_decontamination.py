@@ -108,3 +108,30 @@ def test_odd_rows(spark, odd, no_docs):
     kept = d.keep_clean(odd, benchmark)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
     assert d.find(no_docs, benchmark).count() == 0 and d.find(odd, benchmark.where("false")).count() == 0
+
+
+def test_ids_of_any_kind(spark, docs):
+    frame = docs((1, "well the cat sat on the mat today ok"))
+    for kind in ("int", "smallint", "bigint", "string", "decimal(10,0)"):
+        benchmark = spark.sql(f"SELECT CAST(7 AS {kind}) AS item_id, 'the cat sat on the mat today' AS text")
+        out = d.find(frame, benchmark)
+        assert dict(out.dtypes)["item_id"] == kind and [str(r.item_id) for r in out.collect()] == ["7"]
+
+
+def test_radius_finds_nearly_all_similar_windows():
+    """Of windows of similarity 0.8 or more at most one in a hundred may lie beyond the radius."""
+    rng = random.Random(8)
+    draw = lambda n: ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(n)]
+    near, found = 0, 0
+    for n in range(15, 75):
+        items = [(k, draw(n)) for k in range(12)]
+        matcher = d.Matcher(items)
+        for k, words in items * 8:
+            passage = list(words)
+            for _ in range(rng.randint(1, 4)):
+                passage[rng.randrange(n)] = draw(1)[0]
+            score = d.similarity(passage, words)
+            if 0.8 <= score < 0.9:
+                near += 1
+                found += any(j == k for j, _, _ in matcher.leaks(" ".join(passage)))
+    assert near > 600 and found >= 0.99 * near
