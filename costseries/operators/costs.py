@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import br_number, period_to_date, to_double
+from ..functions.search import count_upto
 from . import columns, filters, joins, stats, windows
 from .ranks import surrogate_key
 
@@ -172,27 +174,64 @@ def program_params(spark, kind: str | None = None, prefix: str | None = None) ->
     return df
 
 
-MAX_PROGRAMS = 100
 PROGRAM_TERMS = ("program", "yearly_rate", "months", "financed_pct")
-
-
-def _rank(program: Row) -> list[tuple]:
-    """Order of the programmes: as Spark orders a struct of priority and terms, missing values first, NaN last."""
-    values = [program[c] for c in ("priority", *PROGRAM_TERMS)]
-    return [(v is not None, v != v, 0 if v is None or v != v else v) for v in values]
-
-
-def _first_fitting(price: Column, income: Column, ordered: Sequence[Row]) -> Column:
-    """Terms of the first programme whose limits admit the application."""
-    choices = []
-    for p in ordered:
-        fits = F.lit(True)
-        if p["income_limit"] is not None:
-            fits = fits & (income <= p["income_limit"])
-        if p["price_limit"] is not None:
-            fits = fits & (price <= p["price_limit"])
-        choices.append(F.when(fits, F.struct(*[F.lit(p[t]).alias(t) for t in PROGRAM_TERMS])))
-    return F.coalesce(*choices)
+LIMIT_CELLS = 1024
+NODE = 1 << 40  # nodes of one level of the tree over the places of limits
+
+
+@dataclass(frozen=True)
+class LimitLine:
+    """The distinct limits of one kind in order: their number, quantiles of them as borders of cells and, where the borders are not all of
+    them, runs of the limits by cell with the place of the first."""
+
+    n: int
+    borders: list[float]
+    runs: DataFrame | None
+
+    def place(self, df: DataFrame, col: str, name: str) -> DataFrame:
+        """Add how many limits lie below the value: its place on the line, behind all limits if it is missing."""
+        x, edges = F.col(col).cast("double"), F.lit(self.borders).cast("array<double>")
+        cell = F.when(x.isNotNull(), count_upto(edges, x, len(self.borders), below=True))
+        if self.runs is None:
+            return df.withColumn(name, F.coalesce(cell, F.lit(self.n)).cast("bigint"))
+        beside = df.withColumn("_at", cell).join(self.runs, F.col("_at") == F.col("_cell"), "left")
+        place = F.col("_before") + count_upto(F.col("_limits"), x, 1 << 20, below=True)
+        return beside.withColumn(name, F.coalesce(place, F.lit(self.n)).cast("bigint")).select(*df.columns, name)
+
+
+def limit_lines(programs: DataFrame, limits: Sequence[str]) -> list[LimitLine]:
+    marks = F.array(*[F.lit(i / LIMIT_CELLS) for i in range(LIMIT_CELLS + 1)])
+    known = [programs.select(F.lit(k).alias("_k"), F.col(c).cast("double").alias("_limit")) for k, c in enumerate(limits)]
+    distinct = reduce(DataFrame.unionAll, known).filter("_limit IS NOT NULL").distinct()
+    quantiles = F.percentile_approx("_limit", marks, F.lit(10 * LIMIT_CELLS))
+    found = {r["_k"]: r for r in distinct.groupBy("_k").agg(quantiles.alias("q"), F.count(F.lit(1)).alias("n")).collect()}
+    lines = []
+    for k in range(len(limits)):
+        borders = sorted(set(found[k]["q"])) if k in found else []
+        n, runs = found[k]["n"] if k in found else 0, None
+        if n > len(borders):
+            own = distinct.filter(F.col("_k") == k)
+            cell = count_upto(F.lit(borders), F.col("_limit"), len(borders), below=True)
+            runs = own.groupBy(cell.alias("_cell")).agg(F.sort_array(F.collect_list("_limit")).alias("_limits"))
+            # one row per cell, hence the unpartitioned window
+            upto = F.sum(F.size("_limits")).over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+            runs = runs.withColumn("_before", upto - F.size("_limits"))
+        lines.append(LimitLine(n, borders, runs))
+    return lines
+
+
+def _own_nodes(place: Column, n: int) -> Column:
+    """The nodes over a place: one per level of a binary tree."""
+    return F.array(*[F.shiftright(place, level) + F.lit(level * NODE) for level in range(max(1, n.bit_length()))])
+
+
+def _nodes_from(place: Column, n: int) -> Column:
+    """The few nodes that together cover this place and all behind it."""
+    behind = [
+        F.when(F.shiftright(place, level).bitwiseAND(F.lit(1)) == 0, F.shiftright(place, level) + F.lit(level * NODE + 1))
+        for level in range(max(1, n.bit_length()))
+    ]
+    return F.array_compact(F.array(place, *behind))
 
 
 def _loan_terms(df: DataFrame, price: str, income: str, digits: int | None) -> DataFrame:
@@ -219,47 +258,27 @@ def loan_assignment(
 ) -> DataFrame:
     """Programme, amounts and the income test per application (constant amortisation).
 
-    A programme table is normally a short parameter list: up to ``MAX_PROGRAMS`` rows are read
-    and become literal conditions, so applications are neither shuffled nor multiplied. A longer
-    table goes through ``loan_assignment_large``. Equal priorities are decided by the terms on both ways.
-    """
-    wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
-    rows = programs.filter("priority IS NOT NULL").select(*wanted).limit(MAX_PROGRAMS + 1).collect()
-    if not rows or len(rows) > MAX_PROGRAMS:
-        return loan_assignment_large(applications, programs, app_id, price, income, digits)
-    ordered = sorted(rows, key=_rank)
-    chosen = applications.withColumn("_p", _first_fitting(F.col(price), F.col(income), ordered))
-    picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
-    return _loan_terms(chosen.select(*applications.columns, *picked), price, income, digits)
-
-
-def loan_assignment_large(
-    applications: DataFrame, programs: DataFrame, app_id: str, price: str, income: str, digits: int | None = 2
-) -> DataFrame:
-    """Same result for a programme table of any size.
-
-    The programme depends on price and income alone, so each pair of them is looked up once, through
-    income bands, and keeps the smallest priority. An unknown income fits programmes without an income limit;
-    these are reduced to the best one per price limit and looked up by price.
+    The first programme by priority, equal ones by their terms, whose limits admit the application; an unknown price or income
+    fits programmes without that limit only. Programmes may be of any number: prices and incomes become
+    places on the lines of limits, and the best programme at or behind two places is a minimum over the nodes of a binary tree
+    on either line. Programmes and pairs of places are listed under some log(n) x log(n) nodes, never beside each other.
     """
-    wanted = ("priority", *PROGRAM_TERMS, "income_limit", "price_limit")
-    offered = programs.filter("priority IS NOT NULL").select(*wanted, F.lit(None).cast("double").alias("_floor"))
-    asked = applications.select(F.col(price).alias("_price"), F.col(income).alias("_income")).distinct()
-    known = asked.filter("_income IS NOT NULL").withColumn("_earned", F.col("_income").cast("double"))
-    pairs = joins.band_lookup(known, "_earned", offered, "_floor", "income_limit", closed=True)
-    affordable = F.col("price_limit").isNull() | (F.col("_price") <= F.col("price_limit"))
-    fits = F.col("priority").isNotNull() & affordable
-    best = pairs.groupBy("_price", "_income").agg(F.min(F.when(fits, F.struct("priority", *PROGRAM_TERMS))).alias("_p"))
-    terms = F.min(F.struct("priority", *PROGRAM_TERMS))
-    open_ = offered.filter("income_limit IS NULL")
-    capped = open_.filter("price_limit IS NOT NULL").groupBy("_floor", "price_limit").agg(terms.alias("_t"))
-    unknown = joins.band_lookup(asked.filter("_income IS NULL"), "_price", capped, "_floor", "price_limit", closed=True)
-    uncapped = open_.filter("price_limit IS NULL").agg(terms).scalar()
-    best_open = unknown.groupBy("_price", "_income").agg(F.min("_t").alias("_p")).withColumn("_p", F.least("_p", uncapped))
-    best = best.unionByName(best_open)
+    offered = programs.filter("priority IS NOT NULL").select(F.struct("priority", *PROGRAM_TERMS).alias("_p"), "income_limit", "price_limit")
+    # A programme without limits hides all that come after it.
+    unlimited = F.col("income_limit").isNull() & F.col("price_limit").isNull()
+    offered = offered.filter(F.coalesce(F.col("_p") <= offered.agg(F.min(F.when(unlimited, F.col("_p")))).scalar(), F.lit(True)))
+    earned, paid = limit_lines(offered, ("income_limit", "price_limit"))
+    ranked = paid.place(earned.place(offered, "income_limit", "_i"), "price_limit", "_c")
+    nodes = ranked.select("_p", "_i", F.explode(_own_nodes(F.col("_c"), paid.n)).alias("_cn"))
+    nodes = nodes.select("_p", "_cn", F.explode(_own_nodes(F.col("_i"), earned.n)).alias("_in"))
+    best = nodes.groupBy("_in", "_cn").agg(F.min("_p").alias("_p"))
+    asked = paid.place(earned.place(applications, income, "_i"), price, "_c")
+    places = asked.select("_i", "_c").distinct()
+    open_ = places.withColumn("_in", F.explode(_nodes_from(F.col("_i"), earned.n)))
+    open_ = open_.withColumn("_cn", F.explode(_nodes_from(F.col("_c"), paid.n)))
+    chosen = open_.join(best, ["_in", "_cn"]).groupBy("_i", "_c").agg(F.min("_p").alias("_p"))
     picked = [F.col(f"_p.{t}").alias(t) for t in PROGRAM_TERMS]
-    on = F.col(price).eqNullSafe(F.col("_price")) & F.col(income).eqNullSafe(F.col("_income"))
-    out = applications.join(best, on, "left").select(*applications.columns, *picked)
+    out = asked.join(chosen, ["_i", "_c"], "left").select(*applications.columns, *picked)
     return _loan_terms(out, price, income, digits)
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.search import count_upto
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join that matches NULL keys with each other, as grouping and dedup do (inner, left, semi or anti)."""
@@ -69,7 +71,45 @@ def scalar_baseline(df: DataFrame, where: Column, value: str) -> Column:
     return df.agg(F.max(F.when(where, F.col(value)))).scalar()
 
 
-CELLS = 1024
+CELLS = 512  # between quantiles of either side
+
+
+def cell_borders(df: DataFrame, value: str, bands: DataFrame, low: str, high: str) -> list[float]:
+    """Ascending borders at approximate quantiles of the values and of the bounds, some 1,000 numbers.
+
+    A value that many rows share is the quantile of many marks and so appears as often among the borders.
+    """
+    marks = F.array(*[F.lit(i / CELLS) for i in range(CELLS + 1)])
+    sides = [df.select(F.col(value), F.lit(True))] + [bands.select(F.col(c), F.lit(False)) for c in (low, high)]
+    both = reduce(DataFrame.unionAll, [s.toDF("x", "row") for s in sides]).withColumn("x", F.col("x").cast("double"))
+    found = both.agg(*[F.percentile_approx(F.when(side, F.col("x")), marks, F.lit(10 * CELLS)) for side in (F.col("row"), ~F.col("row"))]).first()
+    return sorted(x for side in found for x in side or () if x == x)
+
+
+def _spread(df: DataFrame) -> Column:
+    """A number of each row that depends on its contents alone."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
+def band_cells(
+    df: DataFrame, value: str, bands: DataFrame, low: str, high: str, borders: list[float]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with the cell ``_at`` of their value, bands once per ``_cell`` that they touch.
+
+    Values that equal a border may go to any cell that touches it: a value shared by a third of the rows has a third of
+    the borders, its rows are dealt over the empty cells between those, and the bands around it are listed under all of them.
+    Rows without a value get cells that no band has.
+    """
+    edges, size = F.lit(borders).cast("array<double>"), len(borders)
+    x, salt = F.col(value).cast("double"), _spread(df)
+    first, last = count_upto(edges, x, size, below=True), count_upto(edges, x, size)
+    cell = F.when(x.isNull(), -1 - F.pmod(salt, F.lit(CELLS))).otherwise(first + F.pmod(salt, last - first + 1))
+    placed = df.withColumn("_at", cell.cast("bigint"))
+    begin = F.coalesce(count_upto(edges, F.col(low).cast("double"), size, below=True), F.lit(0))
+    end = F.when(F.col(high).isNull(), F.lit(size)).otherwise(count_upto(edges, F.col(high).cast("double"), size))
+    listed = bands.withColumns({"_first": begin, "_last": end}).filter("_first <= _last")
+    listed = listed.withColumn("_cell", F.explode(F.sequence(F.col("_first").cast("bigint"), F.col("_last").cast("bigint"))))
+    return placed, listed.drop("_first", "_last")
 
 
 def band_lookup(
@@ -77,33 +117,17 @@ def band_lookup(
 ) -> DataFrame:
     """Join rows to the bands with ``low <= value < high`` (``closed``: ``<= high``); NULL is open.
 
-    A range condition alone would compare every pair. Here the value span is cut into equal
-    cells, each band is listed under the cells it touches, rows look up their own cell, and the
-    exact bounds are checked on that equi-join.
+    A range condition alone would compare every pair. Here the number line is cut at quantiles of both sides
+    (``cell_borders``, read at once), rows look up their own cell, bands are listed under the cells they touch, and
+    the exact bounds are checked on that equi-join. Outliers and repeated values don't fill a cell.
     """
-    span = df.agg(F.struct(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))).scalar()
-
-    def cell(c: Column, s: Column) -> Column:
-        width = F.when(s["hi"] > s["lo"], (s["hi"] - s["lo"]) / CELLS).otherwise(1.0)
-        return F.floor((c - s["lo"]) / width).cast("bigint")
-
-    s = F.col("_span")
-    first = F.greatest(F.coalesce(cell(F.col(low), s), F.lit(0)), F.lit(0))
-    last = F.least(F.coalesce(cell(F.col(high), s), F.lit(CELLS)), F.lit(CELLS))
-    listed = (
-        bands.withColumn("_span", span)
-        .withColumns({"_first": first, "_last": last})
-        .filter(s.isNotNull() & (F.col("_first") <= F.col("_last")))
-        .withColumn("_cell", F.explode(F.sequence("_first", "_last")))
-        .drop("_span", "_first", "_last")
-    )
+    placed, listed = band_cells(df, value, bands, low, high, cell_borders(df, value, bands, low, high))
     under = F.col(value) <= F.col(high) if closed else F.col(value) < F.col(high)
     in_band = (
         (F.col("_at") == F.col("_cell"))
         & (F.col(low).isNull() | (F.col(value) >= F.col(low)))
         & (F.col(high).isNull() | under)
     )
-    placed = df.withColumn("_span", span).withColumn("_at", cell(F.col(value), s)).drop("_span")
     return placed.join(listed, in_band, how).drop("_at", "_cell")
 
 

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ..session import landed
 from . import filters, stats, upsert, windows
 from .joins import null_safe_join
 
@@ -163,6 +164,23 @@ def corruption_stats(
     )
 
 
+class CleaningCounts:
+    """Counters that ride along in the pass that cleans; known once that pass has been written.
+
+    Spark adds up what tasks report. A task repeated after the loss of an executor may report twice, so the counters
+    are a report, not a gate.
+    """
+
+    def __init__(self) -> None:
+        self.start, self.fenced, self.final = Observation(), Observation(), Observation()
+
+    def row(self) -> dict[str, int]:
+        """Rows at the start, removed by every step and left; the steps add up."""
+        first, inside, final = self.start.get, self.fenced.get["n"], self.final.get["n"]
+        usable = first["n_start"] - first["n_future"] - first["n_null"]
+        return {**first, "n_outlier": usable - inside, "n_duplicate": inside - final, "n_final": final}
+
+
 def clean_series(
     df: DataFrame,
     series: str,
@@ -173,36 +191,39 @@ def clean_series(
     as_of: dt.date | str,
     k: float = 10.0,
     period_table: bool = False,
+    counts: CleaningCounts | None = None,
 ) -> DataFrame:
-    """Drop future and missing points, then values outside the quartile fence, then old copies."""
-    usable = df.filter((F.col(date) <= F.lit(str(as_of)).cast("date")) & F.col(value).isNotNull())
-    fenced = stats.within_fence(usable, [series], value, k, period_table)
-    return upsert.dedup_latest(fenced, keys, order)
-
+    """Drop future and missing points, then values outside the quartile fence, then old copies.
 
-def clean_report(
-    df: DataFrame, series: str, date: str, value: str, keys: Sequence[str], as_of: dt.date | str, k: float = 10.0
-) -> DataFrame:
-    """Rows removed by each cleaning step, without writing; the steps add up to ``n_start``. ``n_null`` counts rows without a date or a value."""
+    ``counts`` are filled by the action that runs the result.
+    """
     future = F.col(date) > F.lit(str(as_of)).cast("date")
     missing = F.col(value).isNull()
     usable = df.filter(~future & ~missing)
-    fences = stats.quartile_fence(usable, [series], value, k).select(series, "lower", "upper")
-    judged = null_safe_join(usable, fences, [series])
+    fences = stats.quartile_fence(usable, [series], value, k, period_table).select(series, "lower", "upper")
+    if counts:
+        undated = F.col(date).isNull() | (~future & missing)
+        steps = {"n_start": F.lit(True), "n_future": future, "n_null": undated}
+        usable = df.observe(counts.start, *[F.count_if(c).alias(n) for n, c in steps.items()]).filter(~future & ~missing)
     inside = F.col(value).between(F.col("lower"), F.col("upper"))
-    per_key = judged.groupBy(*keys).agg(F.count_if(inside).alias("_in"), F.count_if(~inside).alias("_out"))
-    steps = per_key.agg(
-        F.sum("_out").alias("n_outlier"),
-        F.sum(F.greatest(F.col("_in") - 1, F.lit(0))).alias("n_duplicate"),
-        F.count_if(F.col("_in") > 0).alias("n_final"),
-    )
-    first = df.agg(
-        F.count(F.lit(1)).alias("n_start"),
-        F.count_if(future).alias("n_future"),
-        F.count_if(F.col(date).isNull() | (~future & missing)).alias("n_null"),
-    )
-    both = first.withColumn("_s", F.lit(1)).join(steps.withColumn("_s", F.lit(1)), "_s")
-    return both.drop("_s")
+    fenced = null_safe_join(usable, fences, [series]).filter(inside).select(*df.columns)
+    if counts:
+        fenced = fenced.observe(counts.fenced, F.count(F.lit(1)).alias("n"))
+    newest = upsert.dedup_latest(fenced, keys, order)
+    return newest.observe(counts.final, F.count(F.lit(1)).alias("n")) if counts else newest
+
+
+def clean_report(
+    df: DataFrame, series: str, date: str, value: str, keys: Sequence[str], as_of: dt.date | str, k: float = 10.0
+) -> DataFrame:
+    """Rows removed by each cleaning step; the steps add up to ``n_start``. ``n_null`` counts rows without a date or a value.
+
+    The cleaned rows are written to a fresh working folder, and the counters of that one pass are the report.
+    """
+    counts = CleaningCounts()
+    landed(clean_series(df, series, date, value, keys, (), as_of, k, counts=counts), "cleaned")
+    row = counts.row()
+    return df.sparkSession.createDataFrame([tuple(row.values())], ", ".join(f"{n} long" for n in row))
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from . import selection
 from .joins import null_safe_join
 
 
@@ -152,66 +153,9 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str
     return df.groupBy(*keys).agg(*exprs)
 
 
-def quantiles_large(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = 10000
-) -> DataFrame:
-    """Exact linear-interpolation quantiles for groups of any size.
-
-    1. A sketch per key gives a narrow value range around each wanted rank.
-    2. One aggregate counts the rows below each range and collapses the rows inside it to
-       distinct values with counts; only those few are ordered, split by key and probability.
-    3. Where the sketch's range misses the rank (it may, being approximate) the distinct values
-       of that whole key are used instead, so the answer is exact in every case.
-    """
-    names = list(probs)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    margin = 8.0 / accuracy
-    marks = [min(max(p + s, 0.0), 1.0) for p in probs.values() for s in (-margin, margin)]
-    sketch = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias("_m"),
-    )
-    flat = [F.get("_m", F.lit(i)).alias(f"_m{i}") for i in range(len(marks))]
-    ranges = sketch.select(*keys, "_n", *flat)
-    entries = []
-    for i in range(len(names)):
-        low, high = F.col(f"_m{2 * i}"), F.col(f"_m{2 * i + 1}")
-        inside = F.when(F.col("_v") >= low, F.col("_v"))
-        entry = F.struct(F.lit(i).alias("i"), inside.alias("v"))
-        entries.append(F.when(F.col("_v") <= high, entry))
-    counted = (
-        null_safe_join(vals, ranges, keys)
-        .select(*keys, "_n", F.explode(F.array_compact(F.array(*entries))).alias("_e"))
-        .groupBy(*keys, "_n", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    rank = F.element_at(F.array(*[F.lit(p) for p in probs.values()]), F.col("_i") + 1) * (F.col("_n") - 1)
-    per_range = counted.groupBy(*keys, "_n", "_i").agg(
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
-        F.sum("_c").alias("_upto"),
-    )
-    covered = (F.col("_below") <= F.floor(rank)) & (F.ceil(rank) < F.col("_upto"))
-    missed = per_range.filter(~covered).select(*keys, "_n", "_i")
-    whole = (
-        null_safe_join(vals, missed, keys).groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    narrow = null_safe_join(counted, per_range.filter(covered).select(*keys, "_i"), [*keys, "_i"])
-    w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
-    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = narrow.unionByName(whole).withColumns({"_last": upto - 1, "_rank": rank})
-    first = F.col("_last") - F.col("_c") + 1
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position <= F.col("_last")), F.col("_v")))
-
-    per_prob = ranked.groupBy(*keys, "_i").agg(
-        at(F.floor("_rank")).alias("_lo"),
-        at(F.ceil("_rank")).alias("_hi"),
-        F.any_value(F.col("_rank") - F.floor("_rank")).alias("_f"),
-    )
-    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
-    wide = [F.max(F.when(F.col("_i") == i, quantile)).alias(n) for i, n in enumerate(names)]
-    return per_prob.groupBy(*keys).agg(*wide)
+def quantiles_large(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+    """Exact linear-interpolation quantiles for groups of any size, by counting instead of ordering (``selection``)."""
+    return selection.quantiles_exact(df, keys, value, probs)
 
 
 def quartile_fence(

@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from ..functions.search import count_upto
 from .joins import null_safe_join
 
 CHUNK, EXTRA = "_chunk", "_extra"
@@ -47,7 +48,7 @@ def even_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK) -> Column:
     return F.coalesce(F.floor(position * F.ceil(span["n"] / rows)), F.lit(0))
 
 
-CELLS, STRIDE = 1024, 32
+CELLS = 1024
 
 
 def row_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK, keys: Sequence[str] = ()) -> Column:
@@ -55,25 +56,21 @@ def row_chunk(df: DataFrame, order: str, rows: int = ROWS_PER_CHUNK, keys: Seque
 
     The cuts follow approximate quantiles of the order column, so late outliers or busy days don't fill
     one chunk; rows of the same instant stay together. Without ``keys`` all rows count as one key; with
-    them, keys that all have few rows get a single chunk. Counts and cuts are scalar subqueries.
+    them, keys that all have few rows get a single chunk. The cuts, some 1,000 numbers, and the largest count are read
+    at once and become constants, so the table is not read again wherever the chunk is used.
     """
     marks = F.array(*[F.lit(i / CELLS) for i in range(CELLS + 1)])
-    fine = df.agg(F.percentile_approx(_number(df, order, F.col(order)), marks, F.lit(10 * CELLS)).alias("fine"))
-    coarse = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1), F.lit(STRIDE)), lambda i: F.get("fine", i))
-    cuts = fine.select(F.struct("fine", coarse.alias("coarse"))).scalar()
-    largest = df.groupBy(*keys).agg(F.count(order).alias("n")).agg(F.max("n")).scalar()
-    x = _number(df, order, F.col(order))
-
-    def below(borders: Column) -> Column:
-        """Index of the last border below ``x``, at least 0; a few borders are sorted with ``x`` among them."""
-        return F.greatest(F.array_position(F.sort_array(F.array_append(borders, x)), x) - 2, F.lit(0)).cast("int")
-
-    start = below(cuts["coarse"]) * STRIDE
-    cell = start + below(F.slice(cuts["fine"], start + 1, F.lit(STRIDE + 1)))
-    low, high = F.get(cuts["fine"], cell), F.get(cuts["fine"], cell + 1)
+    cuts = F.percentile_approx(_number(df, order, F.col(order)), marks, F.lit(10 * CELLS))
+    borders = df.agg(cuts).first()[0]
+    largest = df.groupBy(*keys).agg(F.count(order).alias("n")).agg(F.max("n")).first()[0] or 0
+    wanted = -(-largest // rows)
+    if borders is None or wanted <= 1:
+        return F.lit(0).cast("bigint")
+    edges, x = F.lit(borders), _number(df, order, F.col(order))
+    cell = F.greatest(count_upto(edges, x, len(borders), below=True) - 1, F.lit(0))
+    low, high = F.get(edges, cell), F.get(edges, cell + 1)
     inside = F.coalesce(F.least(F.try_divide(x - low, high - low), F.lit(1.0)), F.lit(0.0))
-    wanted = F.ceil(largest / F.lit(rows))
-    return F.coalesce(F.least(F.floor((cell + inside) / CELLS * wanted), wanted - 1), F.lit(0))
+    return F.coalesce(F.least(F.floor((cell + inside) / CELLS * wanted), F.lit(wanted - 1)), F.lit(0)).cast("bigint")
 
 
 def fill_forward(

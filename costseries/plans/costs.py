@@ -140,8 +140,19 @@ def loan_assignment(spark, d):
 
 @query("q116_loan_assignment_large", f"WITH {LOAN_SQL} SELECT * FROM loans")
 def loan_assignment_large(spark, d):
-    programs = costs.program_params(spark)
-    return _loan_view(costs.loan_assignment_large(applications(spark, d), programs, "o_orderkey", "price", "income", None))
+    """The offered programmes among one never open one per customer, which stands behind all of them."""
+    offered = costs.program_params(spark)
+    extra = table(spark, d, "customer").select(
+        F.concat(F.lit("EXTRA_"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("program"),
+        F.lit(1.0).alias("yearly_rate"),
+        F.lit(12).alias("months"),
+        F.lit(10.0).alias("financed_pct"),
+        F.col("c_acctbal").cast("double").alias("income_limit"),
+        (F.col("c_acctbal") * 40).cast("double").alias("price_limit"),
+        F.lit(100).cast("bigint").alias("priority"),
+    )
+    programs = offered.unionByName(extra, allowMissingColumns=True)
+    return _loan_view(costs.loan_assignment(applications(spark, d), programs, "o_orderkey", "price", "income", None))
 
 
 @query(

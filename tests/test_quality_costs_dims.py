@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,20 @@ def test_clean_series_and_report(spark):
     assert report == {"n_start": 8, "n_future": 1, "n_null": 1, "n_outlier": 1, "n_duplicate": 1, "n_final": 4}
 
 
+def test_cleaning_counts_come_from_the_pass_that_cleans(spark, tmp_path):
+    rows = [("a", D(2024, 1, 1 + i % 28), float(i % 50), f"k{i % 90}", i) for i in range(100)]
+    rows += [("a", None, 1.0, "n", 1), ("a", D(2030, 1, 1), None, "f", 1), (None, D(2024, 1, 1), 7.0, "x", 1), ("b", D(2024, 1, 1), 1e9, "y", 1)]
+    df = spark.createDataFrame(rows, "s string, d date, v double, k string, o int").repartition(4)
+    counts = quality.CleaningCounts()
+    quality.clean_series(df, "s", "d", "v", ["k"], ["o"], "2024-06-01", counts=counts).write.parquet(str(tmp_path / "clean"))
+    row = counts.row()
+    assert row["n_start"] == 104 == sum(n for k, n in row.items() if k != "n_start")
+    assert row["n_future"] == 1 and row["n_null"] == 1 and row["n_duplicate"] == 10
+    assert row["n_final"] == spark.read.parquet(str(tmp_path / "clean")).count()
+    plain = quality.clean_series(df, "s", "d", "v", ["k"], ["o"], "2024-06-01")
+    assert plain.exceptAll(spark.read.parquet(str(tmp_path / "clean"))).count() == 0
+
+
 def test_contract_and_scaffold(spark):
     df = spark.createDataFrame([("M1", "SP", 1.0, 0.6, 0.4), ("M2", "SP", 1.2, 0.6, 0.1), ("M1", "RJ", 1.1, 0.5, 0.5), ("M2", "RJ", None, 0.5, 0.5)], "m string, u string, f double, a double, b double")
     rules = [quality.row_count(4), quality.not_null("f"), quality.in_range("f", 0.7, 1.1), quality.in_set("u", ["SP"]), quality.sums_to_one(["a", "b"])]
@@ -156,7 +171,30 @@ def test_taxes(spark):
     assert out["?"]["total"] is None and out["?"]["error"] == "no rates for ?"
 
 
-def test_loans_both_ways(spark, rows):
+PROGRAM_COLUMNS = "priority int, program string, yearly_rate double, months int, financed_pct double, income_limit double, price_limit double"
+
+
+def first_program(table, price, income):
+    """Terms of the first programme that admits an application, by looking at all of them; missing priorities never."""
+
+    def fits(limit, x):
+        return limit is None or (x is not None and x <= limit)
+
+    def rank(row):
+        return [(v is not None, v) for v in row[:5]]
+
+    open_ = [p for p in table if p[0] is not None and fits(p[5], income) and fits(p[6], price)]
+    return min(open_, key=rank)[1:5] if open_ else (None,) * 4
+
+
+def check_loans(spark, table, apps):
+    df = spark.createDataFrame([(k, p, e) for k, (p, e) in enumerate(apps)], "i int, price double, income double")
+    out = costs.loan_assignment(df, spark.createDataFrame(table, PROGRAM_COLUMNS), "i", "price", "income", None)
+    got = {r["i"]: (r["program"], r["yearly_rate"], r["months"], r["financed_pct"]) for r in out.collect()}
+    assert got == {k: first_program(table, *a) for k, a in enumerate(apps)}
+
+
+def test_loans(spark, rows):
     apps = [(1, 170000.0, 2640.0), (2, 170000.01, 2640.0), (3, 350000.0, 8000.0), (4, 200000.0, 9000.0), (5, 2e6, 1e5), (6, 264000.0, 4400.0)]
     df = spark.createDataFrame(apps, "i int, price double, income double")
     programs = costs.program_params(spark)
@@ -164,44 +202,37 @@ def test_loans_both_ways(spark, rows):
     assert rows(out, "i", "program") == [
         (1, "MCMV_FAIXA_1"), (2, "MCMV_FAIXA_2"), (3, "MCMV_FAIXA_3"), (4, "PRO_COTISTA_FGTS"), (5, "SBPE_TAXA_REFERENCIAL"), (6, "MCMV_FAIXA_2"),
     ]
-    large = costs.loan_assignment_large(df, programs, "i", "price", "income")
-    assert rows(large, *out.columns) == rows(out)
     odd = spark.createDataFrame([(1, 1e5, None), (1, 5e6, 2e3), (1, 1e5, 2e3), (None, None, 3e3), (1, 1e5, 2e3)], "i int, price double, income double")
-    both = [rows(f(odd, programs, "i", "price", "income")) for f in (costs.loan_assignment, costs.loan_assignment_large)]
-    assert both[0] == both[1] and len(both[0]) == 5
+    got = rows(costs.loan_assignment(odd, programs, "i", "price", "income"), "i", "price", "program")
+    assert got == [
+        (None, None, "SBPE_TAXA_REFERENCIAL"), (1, 1e5, "MCMV_FAIXA_1"), (1, 1e5, "MCMV_FAIXA_1"), (1, 1e5, "PRO_COTISTA_FGTS"), (1, 5e6, "SBPE_TAXA_REFERENCIAL"),
+    ]
     first = {r["i"]: r for r in out.collect()}[1]
     assert first["first_instalment"] == round(170000 / 420 + 170000 * 0.04 / 12, 2) and not first["approved"]
+    none = costs.loan_assignment(df, programs.where("false"), "i", "price", "income")
+    assert none.count() == 6 and none.where("program IS NOT NULL").count() == 0
+    assert costs.loan_assignment(df.where("false"), programs, "i", "price", "income").count() == 0
 
 
-def test_tied_programs_do_not_depend_on_the_table_length(spark, rows):
-    schema = "priority int, program string, yearly_rate double, months int, financed_pct double, income_limit double, price_limit double"
-    tied = [(1, "z", 5.0, 360, 80.0, 3e3, None), (1, "b", 6.0, 360, 80.0, 3e3, None), (1, "b", 4.0, 360, 80.0, None, 2e5), (2, None, 4.0, 360, 70.0, None, None), (2, "c", 4.0, 360, 70.0, None, None)]
-    unfit = [(0, f"u{k}", 1.0, 12, 10.0, -1.0, None) for k in range(costs.MAX_PROGRAMS)]
-    df = spark.createDataFrame([(1, 1e5, 2e3), (2, 3e5, 2e3), (3, 1e5, 4e3), (4, 3e5, 4e3), (5, 1e5, None), (6, None, None)], "i int, price double, income double")
-    got = [
-        rows(costs.loan_assignment(df, spark.createDataFrame(table, schema), "i", "price", "income"), "i", "program", "yearly_rate", "financed_pct")
-        for table in (tied, tied[::-1], tied + unfit, unfit + tied[::-1])
+def test_loans_with_ties_and_missing_values(spark):
+    tied = [
+        (1, "z", 5.0, 360, 80.0, 3e3, None), (1, "b", 6.0, 360, 80.0, 3e3, None), (1, "b", 4.0, 360, 80.0, None, 2e5), (2, None, 4.0, 360, 70.0, None, None),
+        (2, "c", 4.0, 360, 70.0, None, None), (None, "a", 1.0, 1, 1.0, None, None), (0, "open_1", 3.0, 360, 80.0, None, 1e4), (0, "low", 3.0, 360, 80.0, 440.0, 2e5),
     ]
-    assert got[0] == [(1, "b", 4.0, 80.0), (2, "b", 6.0, 80.0), (3, "b", 4.0, 80.0), (4, None, 4.0, 70.0), (5, "b", 4.0, 80.0), (6, None, 4.0, 70.0)]
-    assert got[1:] == got[:1] * 3
-
-
-def test_unknown_incomes_leave_the_income_cells_finite(spark, rows, monkeypatch):
-    lookup, highest = costs.joins.band_lookup, []
-
-    def spy(df, value, *args, **kwargs):
-        highest.append(df.agg(F.max(value)).first()[0])
-        return lookup(df, value, *args, **kwargs)
-
-    monkeypatch.setattr(costs.joins, "band_lookup", spy)
-    apps = [(k, p, e) for k, (p, e) in enumerate((p, e) for p in (1e5, 2e5, 2e5 + 1, 5e6, None) for e in (2e3, 4400.0, 1e5, None))]
-    df = spark.createDataFrame(apps, "i int, price double, income double")
-    schema = "priority int, program string, yearly_rate double, months int, financed_pct double, income_limit double, price_limit double"
-    more = [(0, "open_2", 3.0, 360, 80.0, None, 2e5), (0, "open_1", 3.0, 360, 80.0, None, 1e5), (1, "low", 3.0, 360, 80.0, 4400.0, 2e5)]
-    for programs in (costs.program_params(spark), spark.createDataFrame(more, schema)):
-        both = [rows(f(df, programs, "i", "price", "income")) for f in (costs.loan_assignment, costs.loan_assignment_large)]
-        assert both[0] == both[1] and len(both[0]) == len(apps)
-    assert highest and max(highest) <= 5e6  # no infinite value widens the cells
+    apps = [(p, e) for p in (1e4, 1e5, 2e5, 2e5 + 1, 5e6, None) for e in (440.0, 441.0, 3e3, 4e3, None)]
+    for table in (tied, tied[::-1], tied[:3], tied[5:6]):
+        check_loans(spark, table, apps)
+
+
+@pytest.mark.parametrize("n, values", [(10_000, 10**6), (3_000, 25)])
+def test_loans_among_many_programs(spark, n, values):
+    """Thousands of programmes, few or many distinct limits, none of them open."""
+    rng = random.Random(n)
+    limit = lambda: None if rng.random() < 0.005 else float(rng.randrange(values))
+    table = [(rng.randrange(n), f"p{k % 500}", float(k % 7), 360, 80.0, limit(), limit()) for k in range(n)]
+    table = [p for p in table if p[5] is not None or p[6] is not None]
+    pick = lambda: None if rng.random() < 0.05 else float(rng.randrange(-1, values + 2))
+    check_loans(spark, table, [(pick(), pick()) for _ in range(300)])
 
 
 def test_program_filters(spark):

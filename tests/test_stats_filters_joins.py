@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from costseries.operators import filters, joins, ranks, stats
+from costseries.functions.search import count_upto
+from costseries.operators import filters, joins, ranks, selection, stats
 
 D = dt.date
 
@@ -17,20 +18,55 @@ def test_large_quantiles_are_exact(spark, seed):
     data[None] = [float(i) for i in range(101)]
     df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs + [None]], "k string, v double")
     probs = {"q1": 0.25, "med": 0.5, "p99": 0.99}
-    got = {r["k"]: r for r in stats.quantiles_large(df, ["k"], "v", probs, accuracy=100).collect()}
+    got = {r["k"]: r for r in stats.quantiles_large(df, ["k"], "v", probs).collect()}
     assert set(got) == set(data)
     for k, vs in data.items():
         for name, p in probs.items():
             assert got[k][name] == pytest.approx(float(np.quantile(vs, p)), rel=1e-12), (k, name)
 
 
-def test_large_quantiles_when_the_sketch_misses(spark, monkeypatch):
-    """A sketch that points at the wrong values must not change the answer."""
-    real = F.percentile_approx
-    monkeypatch.setattr(F, "percentile_approx", lambda c, p, a: F.transform(real(c, p, a), lambda x: x * 0 + 3.0))
-    df = spark.createDataFrame([("a", float(i)) for i in range(11)], "k string, v double")
-    row = stats.quantiles_large(df, ["k"], "v", {"q1": 0.25, "q3": 0.75}).collect()[0]
-    assert (row["q1"], row["q3"]) == (2.5, 7.5)
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_selection_of_hard_values(spark, monkeypatch, few):
+    """Neighbouring doubles, both signs, infinities, NaN, tiny and huge values; the table joined by broadcast or by key."""
+    monkeypatch.setattr(selection, "FEW", few)
+    rng = random.Random(5)
+    near = [1.0 + k * 2.0**-52 for k in range(300)]  # all in one cell of the first two reads
+    data = {
+        "near": near + [-x for x in near] + [1e308, -1e308],
+        "span": [rng.choice((-1, 1)) * 10.0 ** rng.uniform(-300, 300) for _ in range(500)],
+        "edge": [float("-inf"), 5e-324, -5e-324, 0.0, -0.0, 1.0, float("inf"), float("inf")],
+        None: [0.1 * k for k in range(1000)],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double")
+    ranks = {f"r{i}": F.floor(F.lit(i / 7) * (F.col("_n") - 1)) for i in range(8)}
+    got = {r["k"]: r for r in selection.select_ranks(df, ["k"], "v", ranks).collect()}
+    for k, vs in data.items():
+        assert got[k]["_n"] == len(vs)
+        assert [got[k][f"r{i}"] for i in range(8)] == [sorted(vs)[int(i / 7 * (len(vs) - 1))] for i in range(8)], k
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    last = selection.select_ranks(nan, [], "v", {"top": F.col("_n") - 1, "first": F.lit(0)}).first()
+    assert last["_n"] == 2 and last["first"] == 1.0 and last["top"] != last["top"]
+    assert selection.quantiles_exact(df.where("false"), ["k"], "v", {"q": 0.5}).count() == 0
+
+
+def test_selection_spreads_one_key_over_all_tasks(spark, monkeypatch):
+    """A key with all rows: tasks send histograms, and nothing that is ordered or listed grows with the rows."""
+    seen, real = [], selection._runs
+
+    def spy(rows, groups, run, cell):
+        per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+        runs = real(rows, groups, run, cell)
+        seen.append(([r["count"] for r in per_task], runs.count(), runs.agg(F.max(F.size("_cells"))).first()[0]))
+        return runs
+
+    monkeypatch.setattr(selection, "_runs", spy)
+    df = spark.range(0, 200_000, numPartitions=8).select(F.lit("all").alias("k"), F.exp(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e8).alias("v"))
+    values = sorted(r["v"] for r in df.collect())
+    row = selection.quantiles_exact(df, ["k"], "v", {"q": 0.3}).first()
+    assert row["q"] == pytest.approx(values[int(0.3 * 199_999)], rel=1e-3)
+    tasks, runs, longest = seen[0]
+    assert len(tasks) == 8 and max(tasks) == 25_000
+    assert runs < 30 and longest <= selection.STEPS and all(n < 100 for _, n, _ in seen[1:])
 
 
 def test_fence(spark):
@@ -150,6 +186,40 @@ def test_band_lookup_matches_brute_force(spark, rows, seed):
         assert got == sorted(want, key=lambda r: (r[0], r[1] is not None, r[1] or 0)) or sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_band_cells_stay_even(spark):
+    """One outlier leaves the cells as they were; a value shared by a third of the rows is dealt over many cells."""
+    bands = spark.createDataFrame([(k, float(k), float(k + 1)) for k in range(100)], "b int, lo double, hi double")
+    values = spark.range(30_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(10_000)) / 100).alias("v"))
+
+    def largest(df):
+        borders = joins.cell_borders(df, "v", bands, "lo", "hi")
+        placed, listed = joins.band_cells(df, "v", bands, "lo", "hi", borders)
+        sizes = [r["count"] for r in placed.groupBy("_at").count().collect()]
+        return max(sizes) / (df.count() / joins.CELLS), listed.count()
+
+    even = largest(values)
+    assert even[0] <= 2
+    assert largest(values.unionByName(spark.createDataFrame([(-1, 1e300)], "id long, v double")))[0] <= 2
+    third = values.withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(50.5)).otherwise(F.col("v")))
+    assert largest(third)[0] <= 2
+    missing = values.withColumn("v", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("v")))
+    assert largest(missing)[0] <= 2
+    joined = joins.band_lookup(third, "v", bands, "lo", "hi")
+    assert joined.count() == 30_000 and joined.where("b = floor(v)").count() == 30_000
+
+
+def test_count_upto(spark):
+    rng = random.Random(2)
+    for n in (0, 1, 2, 3, 7, 8, 9, 100):
+        borders = sorted(rng.randrange(20) / 2 for _ in range(n))
+        df = spark.createDataFrame([(k / 4,) for k in range(-3, 45)] + [(None,)], "x double")
+        edges = F.lit(borders).cast("array<double>")
+        got = df.select("x", count_upto(edges, F.col("x"), n).alias("a"), count_upto(edges, F.col("x"), n, below=True).alias("b")).collect()
+        for r in got:
+            x = float("-inf") if r["x"] is None else r["x"]
+            assert (r["a"], r["b"]) == (sum(e <= x for e in borders), sum(e < x for e in borders))
+
+
 def test_fill_missing_from(spark):
     df = spark.createDataFrame([("a", None), ("b", 0.0), ("c", 5.0), ("d", None), ("e", 0.0)], "k string, v double")
     ref = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0), ("e", 0.0)], "k string, v double")
