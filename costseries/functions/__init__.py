@@ -7,7 +7,7 @@ from .dates import (
     period_to_date,
     quarter_to_month,
 )
-from .keys import business_key, row_checksum
+from .keys import business_key, row_checksum, row_hashes
 from .numbers import br_number, currency_number, null_tokens, sentinel_to_null, to_double
 from .text import recode, strip_accents, truth
 
@@ -25,6 +25,7 @@ __all__ = [
     "quarter_to_month",
     "recode",
     "row_checksum",
+    "row_hashes",
     "sentinel_to_null",
     "strip_accents",
     "to_double",

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ..functions.keys import row_hashes
 from ..session import landed
 from . import filters, stats, upsert, windows
 from .joins import null_safe_join
@@ -355,27 +356,74 @@ def readiness(
     return checked.unionByName(ready)
 
 
-def table_gate(tables: Mapping[str, DataFrame], expected: Mapping[str, int], tolerance: float = 0.95) -> DataFrame:
-    """Rows, duplicates and NULL cells per table against expectations, and the overall verdict."""
+@dataclass(frozen=True)
+class Cardinality:
+    """Rows that a table must have, all or those ``where`` an SQL condition holds: from ``low`` to ``high`` (NULL: open).
+
+    A broken ``WARNING`` warns; a broken ``NOTE`` is counted only.
+    """
+
+    low: int | None = None
+    high: int | None = None
+    where: str = "true"
+    severity: str = "WARNING"
+
+
+def table_gate(
+    tables: Mapping[str, DataFrame | None],
+    expected: Mapping[str, int],
+    tolerance: float = 0.95,
+    required: Mapping[str, Sequence[Cardinality]] | None = None,
+) -> DataFrame:
+    """Rows, duplicates, NULL cells and broken cardinalities per table against expectations, and the resulting status.
+
+    Duplicates are told by two 64-bit hashes of the row, taken where it is read, so wide rows are not shuffled. A table that is
+    not there (``None``) or has no rows fails.
+    """
     parts = []
     for name, df in tables.items():
-        per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
-        parts.append(
-            per_row.agg(
+        rules = (required or {}).get(name, ())
+        if df is None:
+            figures = None
+        else:
+            nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in df.columns])
+            holds = [F.expr(r.where).cast("int").alias(f"_holds{i}") for i, r in enumerate(rules)]
+            rows = df.select(*row_hashes(df.schema), nulls.alias("_nulls"), *holds).groupBy("_h1", "_h2")
+            per_row = rows.agg(F.count(F.lit(1)).alias("_n"), F.max("_nulls").alias("_nulls"), *[F.max(f"_holds{i}").alias(f"_holds{i}") for i in range(len(rules))])
+            figures = per_row.agg(
                 F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
                 F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"),
-                F.coalesce(F.sum(nulls * F.col("_n")), F.lit(0)).alias("n_null_cells"),
-            ).select(F.lit(name).alias("table_name"), F.lit(expected.get(name)).cast("bigint").alias("n_expected"), "*")
+                F.coalesce(F.sum(F.col("_nulls") * F.col("_n")), F.lit(0)).alias("n_null_cells"),
+                *[F.coalesce(F.sum(F.col(f"_holds{i}") * F.col("_n")), F.lit(0)).alias(f"_held{i}") for i in range(len(rules))],
+            )
+        if figures is None:
+            spark = next(t for t in tables.values() if t is not None).sparkSession
+            figures = spark.range(1).select(*[F.lit(None).cast("bigint").alias(c) for c in ("n_rows", "n_duplicates", "n_null_cells")])
+            broken = warned = F.lit(0)
+        else:
+            outside = [
+                (F.col(f"_held{i}") < (r.low if r.low is not None else 0)) | (F.col(f"_held{i}") > F.lit(r.high)) if r.high is not None
+                else F.col(f"_held{i}") < (r.low or 0)
+                for i, r in enumerate(rules)
+            ]
+            broken, warned = (
+                reduce(lambda a, b: a + b, [o.cast("int") for o, r in zip(outside, rules) if r.severity in kinds], F.lit(0))
+                for kinds in (("WARNING", "NOTE"), ("WARNING",))
+            )
+        parts.append(
+            figures.select(
+                F.lit(name).alias("table_name"), F.lit(expected.get(name)).cast("bigint").alias("n_expected"),
+                "n_rows", "n_duplicates", "n_null_cells", broken.cast("int").alias("n_broken"), (warned > 0).alias("_warned"),
+            )
         )
     out = reduce(DataFrame.unionByName, parts)
     short = F.coalesce(F.col("n_rows") < F.col("n_expected") * tolerance, F.lit(False))
     status = (
-        F.when(F.col("n_rows") == 0, "FAILED")
-        .when(short | (F.col("n_duplicates") > 0), "WARNING")
+        F.when(F.coalesce(F.col("n_rows"), F.lit(0)) == 0, "FAILED")
+        .when(short | (F.col("n_duplicates") > 0) | F.col("_warned"), "WARNING")
         .otherwise("PASSED")
     )
-    return out.withColumn("status", status)
+    return out.withColumn("status", status).drop("_warned")
 
 
 def verdict(gate: DataFrame) -> DataFrame:
@@ -389,12 +437,11 @@ def verdict(gate: DataFrame) -> DataFrame:
 
 
 def redundancy(whole: DataFrame, parts: Sequence[DataFrame], tolerance: int = 10) -> DataFrame:
-    """Is a table just the union of others? Row counts within a tolerance, and exact contents."""
+    """Is a table just the union of others? Row counts within a tolerance, and contents by two 64-bit hashes of every row."""
     stacked = reduce(DataFrame.unionByName, [p.select(*whole.columns) for p in parts])
     tagged = whole.withColumn("_d", F.lit(1)).unionByName(stacked.withColumn("_d", F.lit(-1)))
-    per_row = tagged.groupBy(*whole.columns).agg(
-        F.count_if(F.col("_d") == 1).alias("_w"), F.count_if(F.col("_d") == -1).alias("_p")
-    )
+    hashed = tagged.select("_d", *row_hashes(tagged.drop("_d").schema)).groupBy("_h1", "_h2")
+    per_row = hashed.agg(F.count_if(F.col("_d") == 1).alias("_w"), F.count_if(F.col("_d") == -1).alias("_p"))
     out = per_row.agg(
         F.sum("_w").alias("n_whole"),
         F.sum("_p").alias("n_parts"),

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from ..functions.keys import row_hashes
+from ..session import landed
 from . import selection
 from .joins import null_safe_join
 
@@ -37,17 +39,27 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), *keys)
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Distinct values per column.
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False, together: int = 8) -> DataFrame:
+    """Distinct values per column; NULL does not count.
 
-    Several distinct counts in one aggregate would copy every row once per column, so each column
-    is scanned and shuffled on its own.
+    Every cell becomes its column's number and two 64-bit hashes, so one scan and one shuffle count up to ``together``
+    columns, and each task drops its own repeats first. More columns are counted in groups.
     """
     if approx:
         return df.agg(*[F.approx_count_distinct(c).alias(f"n_{c}") for c in cols])
-    first, *rest = cols
-    out = df.agg(F.count_distinct(first).alias(f"n_{first}"))
-    return out.withColumns({f"n_{c}": df.agg(F.count_distinct(c)).scalar() for c in rest})
+    groups = [cols[k : k + together] for k in range(0, len(cols), together)]
+    counted = []
+    for own in groups:
+        cells = []
+        for i, c in enumerate(own):
+            one, two = row_hashes(df.select(c).schema)
+            cells.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("i"), one, two)))
+        distinct = df.select(F.inline(F.array_compact(F.array(*cells)))).distinct()
+        counted.append(distinct.agg(*[F.count_if(F.col("i") == i).alias(f"n_{c}") for i, c in enumerate(own)]))
+    first, *rest = counted
+    for k, more in enumerate(rest, 1):
+        first = first.withColumns({f"n_{c}": more.select(f"n_{c}").scalar() for c in groups[k]})
+    return first
 
 
 def series_profile(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
@@ -116,8 +128,8 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, name: str = "n_duplicates") -> DataFrame:
-    """How many rows repeat an earlier identical row."""
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """How many rows repeat an earlier identical row, told by two 64-bit hashes of every row."""
+    per_row = df.select(*row_hashes(df.schema)).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
     return per_row.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias(name))
 
 
@@ -226,34 +238,28 @@ def regional_rollup(
 
 
 def metric_feed(df: DataFrame, group: str, diff: str, flag: str, label: str, top: int = 5) -> DataFrame:
-    """Dashboard rows (metric, value, category): overall counts, per-group figures, largest gaps."""
+    """Dashboard rows (metric, value, category): overall counts, per-group figures, largest gaps.
+
+    The four columns needed are written to the shared folder, so the input runs once; overall and group figures are grouping
+    sets of one pass.
+    """
     from .ranks import top_k
 
-    overall = df.agg(
-        F.count(F.lit(1)).cast("double").alias("rows"), F.count_if(F.col(flag)).cast("double").alias("flagged")
-    ).select(F.explode(F.create_map(F.lit("rows"), "rows", F.lit("flagged"), "flagged")).alias("metric", "value"))
-    grouped = (
-        df.groupBy(group)
-        .agg(
-            F.round(F.avg(diff), 3).alias("mean_diff"),
-            F.count_if(F.col(flag)).cast("double").alias("flagged"),
-        )
-        .select(
-            group,
-            F.explode(
-                F.create_map(F.lit("mean diff"), "mean_diff", F.lit("flagged"), "flagged")
-            ).alias("m", "value"),
-        )
-        .select(F.concat_ws(" - ", group, "m").alias("metric"), "value")
+    rows = landed(df.select(F.col(group).alias("g"), F.col(diff).alias("d"), F.col(flag).alias("f"), F.col(label).alias("l")), "feed")
+    figures = rows.groupingSets([[], ["g"]], "g").agg(
+        F.grouping("g").alias("whole"), F.count(F.lit(1)).cast("double").alias("n"), F.round(F.avg("d"), 3).alias("mean"), F.count_if("f").cast("double").alias("flagged")
     )
-    largest = top_k(df.withColumn("_abs", F.abs(diff)), "_abs", top, tie=label).select(
-        F.concat(F.lit("gap - "), F.col(label)).alias("metric"), F.round(diff, 3).alias("value")
+
+    def row(metric: Column, value: str, category: str) -> Column:
+        return F.struct(metric.alias("metric"), F.col(value).alias("value"), F.lit(category).alias("category"))
+
+    overall = F.array(row(F.lit("rows"), "n", "overall"), row(F.lit("flagged"), "flagged", "overall"))
+    grouped = F.array(*[row(F.concat_ws(" - ", "g", F.lit(m)), v, "group") for m, v in (("mean diff", "mean"), ("flagged", "flagged"))])
+    told = figures.select(F.inline(F.when(F.col("whole") == 1, overall).otherwise(grouped)))
+    largest = top_k(rows.withColumn("_abs", F.abs("d")), "_abs", top, tie="l").select(
+        F.concat(F.lit("gap - "), F.col("l")).alias("metric"), F.round("d", 3).alias("value"), F.lit("top").alias("category")
     )
-    tagged = [
-        part.withColumn("category", F.lit(name))
-        for part, name in ((overall, "overall"), (grouped, "group"), (largest, "top"))
-    ]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    return told.unionByName(largest)
 
 
 def coverage(df: DataFrame, name: str, status: str, prefixes: Mapping[str, str], rest: str = "other") -> DataFrame:

@@ -196,11 +196,11 @@ def consolidate_cost(sources: Sequence[CostSource], numbered: bool = True) -> Da
 
 @dataclass(frozen=True)
 class IndicatorSource:
-    """One indicator table of text: its name, unit and column names."""
+    """One table of text: its indicator and unit, as names or as expressions over its rows, and its column names."""
 
     df: DataFrame
-    indicator: str
-    unit: str
+    indicator: str | Column
+    unit: str | Column
     value: str = "value"
     change: str | None = "change"
     date: str = "ref_date"
@@ -214,9 +214,9 @@ def consolidate_indicators(sources: Sequence[IndicatorSource], source: str, numb
         parts.append(
             s.df.select(
                 parse_date_multi(F.col(s.date)).alias("ref_date"),
-                F.lit(s.indicator).alias("indicator"),
+                (F.lit(s.indicator) if isinstance(s.indicator, str) else s.indicator).alias("indicator"),
                 br_number(F.col(s.value)).alias("value"),
-                F.lit(s.unit).alias("unit"),
+                (F.lit(s.unit) if isinstance(s.unit, str) else s.unit).alias("unit"),
                 change.alias("change"),
                 F.lit(source).alias("source"),
                 F.lit(i).alias("_priority"),

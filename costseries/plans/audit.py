@@ -64,6 +64,18 @@ GATE_TABLES = {
     "conversations": "conv_id, turn, role, text",
 }
 GATE_EXPECTED = {"region": 5, "nation": 27, "supplier": 5}
+GATE_REQUIRED = {
+    "region": [quality.Cardinality(5, 5)],
+    "nation": [quality.Cardinality(27, 27, severity="NOTE"), quality.Cardinality(5, where="n_regionkey = 1")],
+    "customer": [quality.Cardinality(1, where="c_mktsegment = 'BUILDING'"), quality.Cardinality(high=0, where="c_acctbal > 9000")],
+    "part": [quality.Cardinality(10**9, where="p_size > 40", severity="NOTE")],
+}
+
+
+def broken_sql(rule) -> str:
+    held = f"count(*) FILTER (WHERE {rule.where})"
+    bounds = [f"{held} < {rule.low}"] * (rule.low is not None) + [f"{held} > {rule.high}"] * (rule.high is not None)
+    return f"CAST({' OR '.join(bounds)} AS INT)"
 
 
 def gate_sql() -> str:
@@ -71,20 +83,24 @@ def gate_sql() -> str:
     for t, cols in GATE_TABLES.items():
         expected = f"{GATE_EXPECTED[t]}::BIGINT" if t in GATE_EXPECTED else "NULL::BIGINT"
         nulls = " + ".join(f"CAST({c.strip()} IS NULL AS INT)" for c in cols.split(","))
+        rules = GATE_REQUIRED.get(t, [])
+        broken, warned = (
+            " + ".join([broken_sql(r) for r in rules if r.severity in kinds] or ["0"]) for kinds in (("NOTE", "WARNING"), ("WARNING",))
+        )
         parts.append(
             f"""SELECT '{t}' AS table_name, {expected} AS n_expected, count(*) AS n_rows,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {t})) AS n_duplicates,
-  CAST(sum({nulls}) AS BIGINT) AS n_null_cells FROM {t}"""
+  CAST(sum({nulls}) AS BIGINT) AS n_null_cells, CAST({broken} AS INT) AS n_broken, {warned} > 0 AS warned FROM {t}"""
         )
     body = " UNION ALL ".join(parts)
-    return f"""gate AS (SELECT *, CASE WHEN n_rows = 0 THEN 'FAILED'
-  WHEN coalesce(n_rows < n_expected * 0.95, false) OR n_duplicates > 0 THEN 'WARNING' ELSE 'PASSED' END AS status
+    return f"""gate AS (SELECT * EXCLUDE (warned), CASE WHEN n_rows = 0 THEN 'FAILED'
+  WHEN coalesce(n_rows < n_expected * 0.95, false) OR n_duplicates > 0 OR warned THEN 'WARNING' ELSE 'PASSED' END AS status
   FROM ({body}))"""
 
 
 def gate(spark, d):
     tables = {t: table(spark, d, t).select(*[c.strip() for c in cols.split(",")]) for t, cols in GATE_TABLES.items()}
-    return quality.table_gate(tables, GATE_EXPECTED)
+    return quality.table_gate(tables, GATE_EXPECTED, required=GATE_REQUIRED)
 
 
 @query("q50_table_gate", f"WITH {gate_sql()} SELECT * FROM gate")

@@ -225,10 +225,7 @@ def consolidate_indicators(spark, d):
         .agg(F.sum(cents("o_totalprice")).alias("c"))
         .select(F.date_format("day", "yyyy-MM-dd").alias("ref_date"), br_text(F.col("c"), True).alias("amount"))
     )
-    sources = [
-        upsert.IndicatorSource(events.filter(F.col("event_type") == t), t.upper(), "% a.m.")
-        for t in ("click", "view", "signup", "purchase", "error")
-    ]
+    sources = [upsert.IndicatorSource(events, F.upper("event_type"), "% a.m.")]
     sources.append(upsert.IndicatorSource(orders, "ORDERS", "R$", value="amount", change=None))
     return upsert.consolidate_indicators(sources, "SGS")
 
@@ -269,7 +266,8 @@ def key_diff(spark, d):
 @query(
     "q70_row_checksum",
     """SELECT o_orderkey, 'O_' || o_orderstatus || '_' || strftime(o_orderdate, '%Y-%m') AS fact_id,
-       sha256(concat_ws(chr(31), o_custkey::VARCHAR, o_orderstatus, CAST(o_orderdate AS DATE)::VARCHAR, o_orderpriority))
+       sha256(concat_ws(',', length(o_custkey::VARCHAR) || ':' || o_custkey, length(o_orderstatus) || ':' || o_orderstatus,
+                        length(CAST(o_orderdate AS DATE)::VARCHAR) || ':' || CAST(o_orderdate AS DATE), length(o_orderpriority) || ':' || o_orderpriority))
        AS checksum FROM orders""",
 )
 def checksum(spark, d):

@@ -94,3 +94,27 @@ def test_month_labels_with_more_text_or_too_few_digits(spark):
     day = D
     want = [day(2024, 1, 1), day(2024, 12, 1), None, None, day(2024, 1, 1), None, None, None, day(2049, 3, 1), day(1950, 3, 1), None, None]
     assert apply(spark, texts, fn.parse_pt_month) == want
+
+
+def test_row_checksum_keeps_cells_apart(spark):
+    """Separators, lengths and missing cells inside the text of a cell can't imitate another row."""
+    cells = ["", "a", "b", "a\u001fb", ",", "1:a", "-", "1:a,1:b", "␀", None]
+    pairs = [(x, y) for x in cells for y in cells]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    assert df.select(fn.row_checksum(F.col("x"), F.col("y"))).distinct().count() == len(pairs)
+
+
+def test_row_hashes_follow_equality(spark):
+    """As many different hashes as different rows, for missing cells, shifted cells, both zeros, arrays, structs and maps."""
+    df = spark.sql(
+        """SELECT * FROM VALUES (NULL, 'a', 0.0D, array(1.0F, NULL), array('x'), named_struct('p', NULL, 'q', 1), map('k', 1, 'l', 2)),
+        ('a', NULL, -0.0D, array(NULL, 1.0F), array('x', NULL), named_struct('p', 1, 'q', NULL), map('l', 2, 'k', 1)),
+        ('ab', 'c', 1D, array(), array(), NULL, NULL), ('a', 'bc', 1D, array(), array(), NULL, NULL),
+        ('ab', 'c', 1D, NULL, array(), NULL, NULL), ('ab', 'c', 1D, array(), NULL, NULL, map()),
+        ('ab', 'c', double('nan'), array(), array(), NULL, NULL), (NULL, 'a', -0.0D, array(1.0F, NULL), array('x'), named_struct('p', NULL, 'q', 1), map('l', 2, 'k', 1))
+        AS t(a, b, c, d, e, f, g)"""
+    )
+    hashes = df.select(*fn.row_hashes(df.schema))
+    assert hashes.distinct().count() == 7 and hashes.select("_h1").distinct().count() == 7
+    zeros = spark.sql("SELECT * FROM VALUES (array(0.0D)), (array(-0.0D)) AS t(v)")
+    assert zeros.select(*fn.row_hashes(zeros.schema)).distinct().count() == 1

@@ -112,6 +112,21 @@ def test_gate_and_log(spark):
         assert quality.ingestion_log(res, "x").collect()[0]["run_status"] == want
 
 
+def test_gate_cardinalities_and_missing_tables(spark):
+    t = spark.createDataFrame([("SC", 1), ("SC", 2), ("SP", 3), (None, 4)], "uf string, n int")
+    rules = {
+        "exact": [quality.Cardinality(4, 4)], "few": [quality.Cardinality(3, where="uf = 'SC'")], "many": [quality.Cardinality(high=1, where="uf = 'SC'")],
+        "noted": [quality.Cardinality(27, 27, severity="NOTE"), quality.Cardinality(1, where="uf = 'SP'")], "empty": [quality.Cardinality(1)],
+    }
+    gate = quality.table_gate({**{k: t for k in rules if k != "empty"}, "empty": t.limit(0), "gone": None}, {}, required=rules)
+    got = {r["table_name"]: (r["n_rows"], r["n_broken"], r["status"]) for r in gate.collect()}
+    assert got == {
+        "exact": (4, 0, "PASSED"), "few": (4, 1, "WARNING"), "many": (4, 1, "WARNING"), "noted": (4, 1, "PASSED"),
+        "empty": (0, 1, "FAILED"), "gone": (None, 0, "FAILED"),
+    }
+    assert quality.verdict(gate).first()["verdict"] == "NO-GO"
+
+
 def test_redundancy_and_post_write(spark):
     a, b = spark.createDataFrame([(1,), (1,)], "k int"), spark.createDataFrame([(2,)], "k int")
     assert quality.redundancy(a.unionByName(b), [a, b]).collect()[0]["redundant_by_content"]
