@@ -28,7 +28,7 @@ def outliers_zscore(
     return out.withColumn("is_outlier", F.coalesce(F.col("zscore") > limit, F.lit(False)))
 
 
-def _mom_flagged(current: Column, previous: Column, change: Column, limit: float) -> Column:
+def mom_flagged(current: Column, previous: Column, change: Column, limit: float) -> Column:
     from_zero = (previous == 0) & (current != 0)
     return F.coalesce((F.abs(change) > limit) | from_zero, from_zero, F.lit(False))
 
@@ -44,7 +44,7 @@ def mom_violations(
     """Rows that moved more than the limit against the row before (any move from zero counts)."""
     lagged = windows.padded_lags(df, value, {"_prev": 1}, keys, order, chunk=chunk)
     out = lagged.withColumn("mom", windows.growth(F.col("_v"), F.col("_prev"), 1.0))
-    flagged = _mom_flagged(F.col("_v"), F.col("_prev"), F.col("mom"), limit)
+    flagged = mom_flagged(F.col("_v"), F.col("_prev"), F.col("mom"), limit)
     return out.filter(flagged).withColumn("mom_abs", F.abs("mom")).drop("_v", "_prev")
 
 
@@ -89,7 +89,7 @@ def quality_flags(
             F.format_string("z-score: %.2f, mean: %.2f", "_z", F.col("_avg").cast("double")),
         ),
         HIGH_MOM: flag(
-            _mom_flagged(F.col("_v"), F.col("_prev"), F.col("_mom"), MOM_LIMIT),
+            mom_flagged(F.col("_v"), F.col("_prev"), F.col("_mom"), MOM_LIMIT),
             HIGH_MOM,
             grade((F.abs("_mom") > MOM_HIGH) | F.col("_mom").isNull()),
             F.coalesce(F.format_string("change: %.2f%%", F.col("_mom") * 100), F.lit("change from zero")),

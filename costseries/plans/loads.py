@@ -23,7 +23,7 @@ from ..sources import (
     write_overwrite,
     write_upsert,
 )
-from ..streaming import merged_view, run_available, stream_changes, stream_dedup, stream_quality, stream_series, stream_upsert
+from ..streaming import current_flags, merged_view, run_available, stream_changes, stream_dedup, stream_quality, stream_series, stream_upsert
 from .common import br_text, cents, cents_sql, money_sql, month, nation_months, nation_months_sql
 from .registry import query
 
@@ -498,6 +498,6 @@ def streamed_changes(spark, d):
         return stream_changes(points, f"{base}/store", f"{base}/flags", f"{base}/progress", "event_type", "ts", "c", 0.5, by_day)
 
     run_in_slices(spark, d, base, start)
-    return spark.read.parquet(f"{base}/flags").select(
+    return current_flags(spark, f"{base}/flags", "event_type", "ts").select(
         "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "c", F.round("mom", 6).alias("mom")
     )

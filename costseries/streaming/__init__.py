@@ -1,5 +1,6 @@
 from .streams import (
     compact,
+    current_flags,
     merged_view,
     run_available,
     stream_changes,
@@ -11,6 +12,7 @@ from .streams import (
 
 __all__ = [
     "compact",
+    "current_flags",
     "merged_view",
     "run_available",
     "stream_changes",

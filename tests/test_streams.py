@@ -1,11 +1,17 @@
 import datetime as dt
 import json
+import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from costseries.operators import quality
 from costseries.session import workspace
+from costseries.streaming.streams import neighbour_periods
 from costseries.streaming import (
     compact,
+    current_flags,
     merged_view,
     run_available,
     stream_changes,
@@ -78,13 +84,43 @@ def test_changes_see_earlier_batches(spark, rows):
     land(spark, f"{base}/in", batches)
     writer = stream_changes(reader(spark, f"{base}/in"), f"{base}/s", f"{base}/f", f"{base}/c", "k", "ts", "v")
     run_available(writer)
-    flags = spark.read.parquet(f"{base}/f").withColumn("d", F.dayofmonth("ts"))
+    flags = current_flags(spark, f"{base}/f", "k", "ts").withColumn("d", F.dayofmonth("ts"))
     assert rows(flags, "k", "d") == [("a", 6), ("b", 2)]
+    assert len(list(Path(f"{base}/s/index").glob("batch_id=*"))) == 2
 
 
 def test_late_and_timely_rows_of_one_batch_meet_their_own_predecessors(spark, rows):
     base = workspace(spark, "t-late")
     land(spark, f"{base}/in", [[("a", 1, 100.0), ("a", 10, 200.0)], [("a", 5, 101.0), ("a", 11, 202.0)]])
     run_available(stream_changes(reader(spark, f"{base}/in"), f"{base}/s", f"{base}/f", f"{base}/c", "k", "ts", "v"))
-    flags = spark.read.parquet(f"{base}/f").withColumn("d", F.dayofmonth("ts"))
+    flags = current_flags(spark, f"{base}/f", "k", "ts").withColumn("d", F.dayofmonth("ts"))
     assert rows(flags, "k", "d") == [("a", 10)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_arrival_order_gives_the_batch_result(spark, rows, seed):
+    """Late rows, revisions and gaps over several months: the verdicts that stand are those over the whole table."""
+    rng, base = random.Random(seed), workspace(spark, "t-order")
+    arrivals = [(rng.choice("ab"), rng.randrange(150), float(rng.choice((0, 100, 105, 150)))) for _ in range(60)]
+    batches = [arrivals[k : k + 12] for k in range(0, 60, 12)]
+    final = {}
+    for batch in batches:
+        own = {}
+        for k, day, v in batch:
+            own[k, day] = max(v, own.get((k, day), v))
+        final |= own
+    for batch in batches:
+        df = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(day), v) for k, day, v in batch] + [("a", None, 1.0), ("a", dt.datetime(2024, 1, 1), None)], SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    files = sorted(Path(f"{base}/in").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(files) == len(batches)
+    run_available(stream_changes(reader(spark, f"{base}/in"), f"{base}/s", f"{base}/f", f"{base}/c", "k", "ts", "v"))
+    whole = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(day), v) for (k, day), v in final.items()], SCHEMA)
+    expected = quality.mom_violations(whole, ["k"], "ts", "v")
+    assert rows(current_flags(spark, f"{base}/f", "k", "ts"), "k", "ts", "v", "mom") == rows(expected, "k", "ts", "v", "mom")
+
+
+def test_a_late_row_reads_only_its_neighbours_periods(spark, rows):
+    index = spark.createDataFrame([(k, p) for k in "ab" for p in (202301, 202303, 202304, 202309)] + [(None, 202302)], "k string, period int")
+    batch = spark.createDataFrame([("a", 202305), ("b", 202303), ("c", 202301), (None, 202305)], "k string, period int")
+    assert rows(neighbour_periods(batch, index, "k")) == [(None, 202302), ("a", 202304), ("a", 202309), ("b", 202301), ("b", 202303), ("b", 202304)]
