@@ -28,8 +28,11 @@ def group_stats(
     return stats.withColumn("cv", rnd(F.try_divide(F.col("std_value"), F.col("avg_value")), 4))
 
 
-def multi_measure(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str]) -> DataFrame:
-    """``{column: aggregate}``; columns the table does not have are left out."""
+def multi_measure(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str], strict: bool = False) -> DataFrame:
+    """``{column: aggregate}``; columns the table does not have are left out, or refused if ``strict``."""
+    absent = sorted(set(spec) - set(df.columns))
+    if strict and absent:
+        raise ValueError(f"missing columns: {', '.join(absent)}")
     fns = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
     exprs = [fns[fn](c).alias(c) for c, fn in spec.items() if c in df.columns]
     return df.groupBy(*keys).agg(*exprs)

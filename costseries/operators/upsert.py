@@ -19,12 +19,16 @@ def _row_tie(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "last") -> DataFrame:
-    """Newest (or oldest) row per key.
+def dedup_latest(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "last", strict: bool = False
+) -> DataFrame:
+    """Newest (or oldest) row per key; a table without the key columns comes back as it is, or is refused if ``strict``.
 
     The rank filter lets Spark keep one row per key in each task before the shuffle, so a key
     repeated in a third of the table stays cheap.
     """
+    if strict:
+        require_columns(df, [*keys, *order])
     if not set(keys) <= set(df.columns):
         return df
     present = [c for c in order if c in df.columns]
@@ -96,13 +100,52 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> D
     return dedup_latest(fresh, keys)
 
 
+REACH = 12  # rows back that the yearly change looks
+
+
+def series_changes(target: DataFrame, batch: DataFrame, series: str, date: str, value: str) -> DataFrame:
+    """The rows that a batch of observations changes in a target with stored changes: ``fact_id``, observation, MoM and YoY.
+
+    These are the inserted and revised rows and the up to ``REACH`` rows behind each whose base is another one now. Only series of the batch
+    and, of those, rows from ``REACH`` known values before the first changed one on are read into the windows; a
+    revision that repeats the stored value changes nothing.
+    """
+    require_columns(batch, [series, date, value])
+    base = [series, date, value]
+    incoming = dedup_latest(batch.select(*base), [series, date])
+    stored = target.select(*base, "mom", "yoy")
+    touched = null_safe_join(stored, incoming.select(series).distinct(), [series], "left_semi")
+    own = touched.select(series, date, F.col(value).alias("_old"), F.col("mom").alias("_mom"), F.col("yoy").alias("_yoy"), F.lit(True).alias("_stored"))
+    fresh = null_safe_join(incoming, own, [series, date], "left")
+    differs = F.col("_stored").isNull() | ~F.col(value).eqNullSafe(F.col("_old"))
+    fresh = fresh.withColumn("_changed", differs)
+    # Bases before the first change: the last REACH known values, or all there are.
+    start = fresh.filter("_changed").groupBy(series).agg(F.min(date).alias("_from"))
+    before = null_safe_join(touched, start, [series])
+    old = before.filter(F.col(date) < F.col("_from")).filter(F.col(value).isNotNull())
+    w = Window.partitionBy(series).orderBy(F.desc(date))
+    lead_in = old.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= REACH)
+    edge = lead_in.groupBy(series).agg(F.min(date).alias("_edge"))
+    near = null_safe_join(before, edge, [series], "left")
+    near = near.filter(F.col("_edge").isNull() | (F.col(date) >= F.col("_edge")))
+    kept = null_safe_join(near, incoming.select(series, date), [series, date], "left_anti")
+    kept = kept.select(*base, F.col("mom").alias("_mom"), F.col("yoy").alias("_yoy"), F.lit(True).alias("_stored"), F.lit(False).alias("_changed"), "_from")
+    fresh = null_safe_join(fresh, start, [series]).select(*kept.columns)
+    rows = kept.unionByName(fresh)
+    judged = windows.mom_yoy(rows, [series], date, value).filter(F.col(date) >= F.col("_from"))
+    moved = ~F.col("mom").eqNullSafe(F.col("_mom")) | ~F.col("yoy").eqNullSafe(F.col("_yoy"))
+    out = judged.filter(F.col("_changed") | moved).withColumn("fact_id", business_key(F.col(series), F.col(date)))
+    return out.select("fact_id", *base, "mom", "yoy")
+
+
 def upsert_series(
     target: DataFrame, batch: DataFrame, series: str, date: str, value: str, recompute: str = "full"
 ) -> DataFrame:
     """Upsert observations of many series and compute MoM and YoY.
 
-    ``full`` computes the changes over the merged history, so the first row of a re-ingested
-    window keeps its base; ``batch`` computes them over the batch alone and leaves stored rows.
+    ``full`` gives the changes over the merged history, so the first row of a re-ingested window keeps its base. Where the
+    target has stored changes, only what the batch reaches is computed (``series_changes``) and takes the place of the stored rows.
+    ``batch`` computes them over the batch alone and leaves stored rows.
     Input has one row per series and date, so history per series is bounded by the calendar.
     """
     require_columns(batch, [series, date, value])
@@ -118,6 +161,10 @@ def upsert_series(
                 stored = stored.withColumn(c, F.lit(None).cast("double"))
         return upsert(stored.select(*fresh.columns), fresh, [series, date])
     base = [series, date, value]
+    if {"mom", "yoy"} <= set(target.columns):
+        changed = series_changes(target, batch, series, date, value)
+        kept = null_safe_join(keyed(target).select(*changed.columns), changed.select(series, date), [series, date], "left_anti")
+        return kept.unionByName(changed)
     merged = upsert(target.select(*base), batch.select(*base), [series, date])
     return windows.mom_yoy(keyed(merged), [series], date, value)
 

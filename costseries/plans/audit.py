@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, ranks, stats
 from ..session import table, workspace
-from ..sources import write_overwrite
+from ..sources import read_latest, write_overwrite
 from .common import cents, cents_sql
 from .registry import query
 
@@ -241,9 +241,9 @@ def post_write_check(spark, d):
     path = workspace(spark, "post-write")
     write_overwrite(orders, path, cols, ["o_orderkey"])
     key = F.col("o_orderkey")
-    broken = spark.read.parquet(path).filter(key.isNull() | (key % 7 != 0))
+    broken = read_latest(spark, path).filter(key.isNull() | (key % 7 != 0))
     write_overwrite(broken.withColumn("o_orderkey", F.when(key % 10 == 3, -key).otherwise(key)), path, cols, ["o_orderkey"])
-    return quality.post_write_check(orders.select(*cols), spark.read.parquet(path), ["o_orderkey"])
+    return quality.post_write_check(orders.select(*cols), read_latest(spark, path), ["o_orderkey"])
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import business_key, row_checksum
-from ..operators import dims, joins, upsert
+from ..operators import dims, joins, upsert, windows
 from ..operators.columns import changed_rows
 from ..session import table, workspace
 from ..sources import (
@@ -22,6 +22,7 @@ from ..sources import (
     write_insert_ignore,
     write_overwrite,
     write_upsert,
+    write_upsert_partitions,
 )
 from ..streaming import current_flags, merged_view, run_available, stream_changes, stream_dedup, stream_quality, stream_series, stream_upsert
 from .common import br_text, cents, cents_sql, money_sql, month, nation_months, nation_months_sql
@@ -80,6 +81,44 @@ def upsert_series(spark, d):
     return out.withColumns({"mom": F.round("mom", 4), "yoy": F.round("yoy", 4)})
 
 
+@query(
+    "q125_series_changes",
+    f"""WITH {nation_months_sql()},
+m AS (SELECT region, ref_date, value, CASE WHEN ref_date = DATE '1997-03-01' AND region < 'J' OR region = 'CHINA' AND ref_date >= DATE '2001-01-01'
+        THEN value + 100 ELSE value END AS revised FROM nm),
+g AS (SELECT region, ref_date, revised AS value, value AS old, (value / nullif(lag(value) OVER w, 0) - 1) * 100 AS mom0,
+        (value / nullif(lag(value, 12) OVER w, 0) - 1) * 100 AS yoy0, (revised / nullif(lag(revised) OVER w, 0) - 1) * 100 AS mom,
+        (revised / nullif(lag(revised, 12) OVER w, 0) - 1) * 100 AS yoy FROM m WINDOW w AS (PARTITION BY region ORDER BY ref_date))
+SELECT region || '_' || ref_date AS fact_id, region, ref_date, value, round(mom, 4) AS mom, round(yoy, 4) AS yoy FROM g
+WHERE value <> old OR mom IS DISTINCT FROM mom0 OR yoy IS DISTINCT FROM yoy0""",
+)
+def changed_series(spark, d):
+    """A few revisions in a stored fact with changes: what has to be written."""
+    stored = windows.mom_yoy(nation_months(spark, d), ["region"], "ref_date", "value")
+    day, region = F.col("ref_date"), F.col("region")
+    revised = ((day == "1997-03-01") & (region < "J")) | ((region == "CHINA") & (day >= "2001-01-01"))
+    same = (region == "BRAZIL") & (day >= "2001-01-01")  # delivered again, unchanged
+    batch = stored.filter(revised | same).withColumn("value", F.col("value") + F.when(revised, F.lit(100)).otherwise(F.lit(0)))
+    out = upsert.series_changes(stored, batch, "region", "ref_date", "value")
+    return out.withColumns({"mom": F.round("mom", 4), "yoy": F.round("yoy", 4)})
+
+
+@query(
+    "q126_partitioned_upsert",
+    """SELECT year(o_orderdate)::INTEGER AS y, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT) +
+         CASE WHEN year(o_orderdate) = 1997 AND o_orderstatus <> 'F' THEN 10000 ELSE 0 END) AS BIGINT) AS total_cents
+FROM orders GROUP BY ALL""",
+)
+def partitioned_upsert(spark, d):
+    """Orders by year; a batch reprices some of 1997 and adds others of that year."""
+    path, key = workspace(spark, "orders-by-year"), ["y", "o_orderkey"]
+    orders = table(spark, d, "orders").select(F.year("o_orderdate").alias("y"), "o_orderkey", "o_orderstatus", cents("o_totalprice").alias("c"))
+    in_year = (F.col("y") == 1997) & (F.col("o_orderstatus") != "F")
+    write_upsert_partitions(orders.filter(~in_year | (F.col("o_orderstatus") != "P")), path, key, ["y"])
+    write_upsert_partitions(orders.filter(in_year).withColumn("c", F.col("c") + 10000), path, key, ["y"])
+    return spark.read.parquet(path).groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("total_cents"))
+
+
 @query(
     "q20_dedup_latest",
     """SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship, l_extendedprice, l_partkey, l_suppkey FROM lineitem

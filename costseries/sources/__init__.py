@@ -15,6 +15,7 @@ from .sinks import (
     write_insert_ignore,
     write_overwrite,
     write_upsert,
+    write_upsert_partitions,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "write_insert_ignore",
     "write_overwrite",
     "write_upsert",
+    "write_upsert_partitions",
 ]

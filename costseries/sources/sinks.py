@@ -3,13 +3,13 @@ version folder, and readers take the newest complete version (the one with ``_SU
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..operators.upsert import dedup_counts, insert_ignore, upsert, upsert_counts
+from ..operators.upsert import dedup_counts, dedup_latest, insert_ignore, upsert, upsert_counts
 from ..session import hadoop_path
 
 
@@ -28,13 +28,17 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
     return sorted(done)
 
 
+KEPT = 2  # complete versions that stay: the current one and the one that readers may still have open
+
+
 def write_overwrite(
     df: DataFrame, path: str, cols: Sequence[str], sort: Sequence[str], partition_by: Sequence[str] = ()
-) -> None:
-    """Replace a table with fixed column order, sorted inside each file.
+) -> str:
+    """Replace a table with fixed column order, sorted inside each file; returns the new version's folder.
 
-    The new contents are written beside the table and take its place only when complete, so the
-    input may read the table itself, and a write that fails leaves the old contents.
+    The new contents are the table's next version (``read_latest`` finds it). A version counts once it is complete, so
+    nothing is renamed, readers always find a whole table, the input may read the table itself, and a write that fails
+    leaves it as it was. Versions older than the one before are deleted then. One writer at a time.
 
     With ``partition_by`` rows meet by partition value; the rebalance hint lets AQE split a
     large partition value over many writers and merge small ones.
@@ -43,17 +47,16 @@ def write_overwrite(
     if partition_by:
         out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     out = out.sortWithinPartitions(*partition_by, *sort)
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    staged, replaced = f"{path.rstrip('/')}__new_{mark}", f"{path.rstrip('/')}__old_{mark}"
-    (out.write.partitionBy(*partition_by) if partition_by else out.write).parquet(staged)
-    target, fs = hadoop_path(spark, path)
-    old = hadoop_path(spark, replaced)[0]
-    if fs.exists(target):
-        fs.rename(target, old)
-    if not fs.rename(hadoop_path(spark, staged)[0], target):
-        raise OSError(f"{staged} could not take the place of {path}")
-    fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    spark = df.sparkSession
+    done = [v for v in _versions(spark, path) if v.removeprefix("version=").isdigit()]
+    number = int(done[-1].removeprefix("version=")) + 1 if done else 0
+    folder = f"{path.rstrip('/')}/version={number:012d}"
+    writer = out.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+    for old in done[: len(done) + 1 - KEPT]:
+        p, fs = hadoop_path(spark, f"{path.rstrip('/')}/{old}")
+        fs.delete(p, True)
+    return folder
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -89,6 +92,32 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{versions[-1]}")
 
 
+def write_upsert_partitions(
+    batch: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], order: Sequence[str] = ()
+) -> None:
+    """Upsert into a table partitioned by ``partition_by``: only partitions with rows in the batch are read and rewritten.
+
+    The partition columns must be among the keys, so that a row never leaves its partition. The batch's partitions, a short list, prune
+    the read; dynamic overwrite swaps each of them when all are written, and the files of all others stay.
+    """
+    spark = batch.sparkSession
+    if not set(partition_by) <= set(keys):
+        raise ValueError("a row that may change its partition needs a whole rewrite (write_upsert)")
+    cols = [c for c in batch.columns if c not in partition_by] + list(partition_by)
+    incoming = batch.select(*cols)
+    touched = incoming.select(*partition_by).distinct().collect()
+    if not touched:
+        return
+    merged = dedup_latest(incoming, keys, order)
+    if _exists(spark, path):
+        mine = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c]).cast(incoming.schema[c].dataType)) for c in partition_by]) for r in touched]
+        stored = spark.read.schema(incoming.schema).parquet(path).filter(reduce(lambda a, b: a | b, mine))
+        merged = upsert(stored, incoming, keys, order)
+    out = merged.hint("rebalance", *[F.col(c) for c in partition_by]).sortWithinPartitions(*partition_by)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    spark.catalog.refreshByPath(path)
+
+
 def write_upsert(batch: DataFrame, path: str, keys: Sequence[str], version: str, order: Sequence[str] = ()) -> None:
     """Upsert into a versioned table: read the newest version, write the next one."""
     spark = batch.sparkSession

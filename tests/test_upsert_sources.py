@@ -1,15 +1,17 @@
 import datetime as dt
 import json
 import os
+import random
 import time
 import uuid
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from costseries import session, sources
-from costseries.operators import columns, upsert
+from costseries.operators import columns, upsert, windows
 from costseries.session import workspace
 
 D = dt.date
@@ -133,7 +135,7 @@ def test_overwrite_is_partitioned_and_ordered(spark):
     path = workspace(spark, "test-overwrite")
     df = spark.createDataFrame([(i % 3, i, "x") for i in range(30)], "p int, i int, z string")
     sources.write_overwrite(df, path, ["i", "p"], ["i"], ["p"])
-    back = spark.read.parquet(path)
+    back = sources.read_latest(spark, path)
     assert back.count() == 30 and set(back.columns) == {"i", "p"}
     assert back.filter("p = 1").count() == 10
 
@@ -141,12 +143,64 @@ def test_overwrite_is_partitioned_and_ordered(spark):
 def test_overwrite_from_itself_and_failing_write(spark, rows):
     path = workspace(spark, "test-replace")
     sources.write_overwrite(spark.createDataFrame([(i, "x") for i in range(6)], "i int, z string"), path, ["i", "z"], ["i"])
-    sources.write_overwrite(spark.read.parquet(path).filter("i < 3"), path, ["i", "z"], ["i"])
-    assert rows(spark.read.parquet(path), "i") == [(0,), (1,), (2,)]
-    broken = spark.read.parquet(path).withColumn("z", F.when(F.col("i") < 2, F.col("z")).otherwise(F.raise_error(F.lit("stop"))))
+    opened = sources.read_latest(spark, path)
+    sources.write_overwrite(opened.filter("i < 3"), path, ["i", "z"], ["i"])
+    assert rows(sources.read_latest(spark, path), "i") == [(0,), (1,), (2,)]
+    assert opened.count() == 6  # a reader of the version before is not disturbed
+    now = sources.read_latest(spark, path)
+    broken = now.withColumn("z", F.when(F.col("i") < 2, F.col("z")).otherwise(F.raise_error(F.lit("stop"))))
     with pytest.raises(Exception, match="stop"):
         sources.write_overwrite(broken, path, ["i", "z"], ["i"])
-    assert rows(spark.read.parquet(path), "i") == [(0,), (1,), (2,)]
+    assert rows(sources.read_latest(spark, path), "i") == [(0,), (1,), (2,)]
+    for n in (2, 1):
+        sources.write_overwrite(sources.read_latest(spark, path).limit(n), path, ["i", "z"], ["i"])
+    assert sources.read_latest(spark, path).count() == 1 and len(sources.sinks._versions(spark, path)) == sources.sinks.KEPT
+
+
+def files_by_folder(path):
+    return {p.parent.name: {f.name for f in p.parent.glob("*.parquet")} for p in Path(path).glob("*/*.parquet")}
+
+
+def test_partitioned_upsert_leaves_other_partitions_alone(spark, rows):
+    path = workspace(spark, "test-partitions")
+    schema = "p int, k int, v string"
+    sources.write_upsert_partitions(spark.createDataFrame([(p, k, "old") for p in (1, 2, None) for k in range(3)], schema), path, ["p", "k"], ["p"])
+    before = files_by_folder(path)
+    batch = spark.createDataFrame([(2, 1, "new"), (2, 9, "new"), (3, 0, "new"), (2, 1, "new")], schema)
+    sources.write_upsert_partitions(batch, path, ["p", "k"], ["p"])
+    after = files_by_folder(path)
+    assert after["p=1"] == before["p=1"] and after["p=2"] != before["p=2"] and "p=3" in after and len(after) == 4
+    want = [(p, k, "old") for p in (None, 1) for k in range(3)] + [(2, 0, "old"), (2, 1, "new"), (2, 2, "old"), (2, 9, "new"), (3, 0, "new")]
+    assert rows(spark.read.parquet(path), "p", "k", "v") == want
+    sources.write_upsert_partitions(spark.createDataFrame([(None, 1, "n")], schema), path, ["p", "k"], ["p"])
+    assert files_by_folder(path)["p=1"] == before["p=1"] and spark.read.parquet(path).filter("p IS NULL AND v = 'n'").count() == 1
+    sources.write_upsert_partitions(batch.where("false"), path, ["p", "k"], ["p"])
+    failing = batch.withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sources.write_upsert_partitions(failing, path, ["p", "k"], ["p"])
+    assert spark.read.parquet(path).count() == 11
+    with pytest.raises(ValueError):
+        sources.write_upsert_partitions(batch, path, ["k"], ["p"])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_series_changes_equal_a_full_recompute(spark, rows, seed):
+    """Inserted, revised, repeated, missing and first rows; longer gaps of missing values than the reach."""
+    rng = random.Random(seed)
+    schema = "s string, d date, v double"
+    day = lambda k: D(2000 + k // 12, k % 12 + 1, 1)
+    pick = lambda: rng.choice((None, None, 0.0, 1.0, 2.0, 5.0, 8.0))
+    stored = {(s, k): pick() if s != "gap" or k % 20 == 0 else None for s in ("a", "b", "gap", "idle", None) for k in range(60) if rng.random() < 0.8}
+    batch = {(rng.choice(("a", "b", "gap", "new", None)), rng.randrange(-3 if seed else 0, 64) + 5): pick() for _ in range(rng.choice((1, 4, 12)))}
+    batch |= dict(list(stored.items())[:3])  # delivered again, unchanged
+    frame = lambda rows: spark.createDataFrame([(s, day(k), v) for (s, k), v in rows.items()], schema)
+    target = windows.mom_yoy(frame(stored), ["s"], "d", "v")
+    whole = windows.mom_yoy(frame(stored | batch), ["s"], "d", "v")
+    got = upsert.upsert_series(target, frame(batch), "s", "d", "v")
+    assert rows(got, "s", "d", "v", "mom", "yoy") == rows(whole, "s", "d", "v", "mom", "yoy")
+    changed = upsert.series_changes(target, frame(batch), "s", "d", "v")
+    assert rows(changed, "s", "d", "v", "mom", "yoy") == rows(whole.exceptAll(target), "s", "d", "v", "mom", "yoy")
+    assert changed.filter("s = 'idle'").count() == 0
 
 
 def test_missing_keys_meet_in_all_comparisons(spark, rows):
