@@ -6,7 +6,9 @@ of any length, so values are carried downwards in blocks of rows (see ``windows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +23,7 @@ from ..functions import (
 from ..functions.dates import MONTHS
 from ..functions.text import ACCENTED, PLAIN
 from . import upsert, windows
+from .joins import null_safe_join
 
 SHEET = ("source", "sheet")
 BLOCK_ROWS = 500_000
@@ -85,19 +88,37 @@ def cell(i: int) -> Column:
     return F.nullif(F.trim(F.get("cells", F.lit(i))), F.lit(""))
 
 
-def is_noise(cells: Column, max_empty: float | None = None) -> Column:
+def is_noise(cells: Column, max_empty: float | None = None, anywhere: bool = False) -> Column:
+    """Blank rows, source notes and titles, told by the first cell; ``anywhere``: note words count inside it, too."""
     first = F.lower(F.trim(F.coalesce(F.get(cells, F.lit(0)), F.lit(""))))
     empty = F.size(F.filter(cells, lambda c: F.coalesce(F.trim(c), F.lit("")) == ""))
-    starts = "|".join([*NOISE_PREFIXES, *NOISE_MARKS])
-    noise = (empty == F.size(cells)) | first.rlike(f"^({starts})") | first.rlike("|".join(NOISE_PHRASES))
+    starts = "|".join(NOISE_MARKS if anywhere else [*NOISE_PREFIXES, *NOISE_MARKS])
+    inside = "|".join([*NOISE_PREFIXES, *NOISE_PHRASES] if anywhere else NOISE_PHRASES)
+    noise = (empty == F.size(cells)) | first.rlike(f"^({starts})") | first.rlike(inside)
     if max_empty is not None:
         noise = noise | (empty / F.size(cells) > max_empty)
     return noise
 
 
-def drop_noise_rows(grid: DataFrame, max_empty: float | None = None) -> DataFrame:
+def drop_noise_rows(grid: DataFrame, max_empty: float | None = None, anywhere: bool = False) -> DataFrame:
     """Remove blank rows, source notes and titles; optionally rows that are mostly empty."""
-    return grid.filter((F.size("cells") > 0) & ~is_noise(F.col("cells"), max_empty))
+    return grid.filter((F.size("cells") > 0) & ~is_noise(F.col("cells"), max_empty, anywhere))
+
+
+@dataclass(frozen=True)
+class Tidied:
+    """What a grid gave: its facts, and every row that gave none with the reason (``source, sheet, row_idx, cells, reason``)."""
+
+    facts: DataFrame
+    rejected: DataFrame
+
+
+def _tidied(rows: DataFrame, facts: DataFrame, reasons: Mapping[str, Column]) -> Tidied:
+    """``rows`` are all rows of the grid; the first reason that holds is told, else the row repeats an earlier one."""
+    reason = F.coalesce(*[F.when(holds, F.lit(name)) for name, holds in reasons.items()], F.lit("repeated"))
+    key = [*SHEET, "row_idx"]
+    left = null_safe_join(rows.select(*key, "cells", reason.alias("reason")), facts.select(*key).distinct(), key, "left_anti")
+    return Tidied(facts.drop("row_idx"), left)
 
 
 def _block() -> Column:
@@ -126,6 +147,16 @@ def year_of(text: Column, low: int, high: int) -> Column:
     return F.when(number.between(low, high), number)
 
 
+YEARS_AHEAD, LAST_YEAR = 10, 2100
+
+
+def last_year(as_of: dt.date | str | None, high: int | None) -> int:
+    """The last plausible year: ``high``, else ten years after the day of the run, else 2100."""
+    if high is not None:
+        return high
+    return int(str(as_of)[:4]) + YEARS_AHEAD if as_of else LAST_YEAR
+
+
 def detect_header(grid: DataFrame, labels: Sequence[str] = MONTHS) -> DataFrame:
     """Per sheet, the first row that contains any of the labels (``header_idx``, ``header``)."""
     wanted = F.array(*[F.lit(m) for m in labels])
@@ -154,34 +185,65 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], var: str, val: str, cols:
 
 
 def _first_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return upsert.dedup_latest(df, keys, ["row_idx"], keep="first").drop("row_idx")
+    return upsert.dedup_latest(df, keys, ["row_idx"], keep="first")
+
+
+def _marked(grid: DataFrame, max_empty: float | None = None) -> DataFrame:
+    """All rows, with ``_noise`` and, on the others, the number of a four-digit first cell (``_number``)."""
+    noise = F.coalesce((F.size("cells") <= 0) | is_noise(F.col("cells"), max_empty, anywhere=True), F.lit(True))
+    return grid.withColumn("_noise", noise).withColumn("_number", F.when(~F.col("_noise"), year_of(cell(0), 0, 9999)))
 
 
 def _year_filled(grid: DataFrame, low: int, high: int) -> DataFrame:
-    """Year written once per block of rows, carried down; noise rows are gone."""
-    marked = drop_noise_rows(grid).withColumn("year", year_of(cell(0), low, high))
-    return fill_down(marked, ["year"]).filter(F.col("year").isNotNull())
+    """All rows with the year written once per block of rows and carried down; an implausible year ends a block as well."""
+    filled = fill_down(_marked(grid), ["_number"])
+    return filled.withColumn("year", F.when(~F.col("_noise") & F.col("_number").between(low, high), F.col("_number")))
+
+
+def _year_reasons() -> dict[str, Column]:
+    return {
+        "blank or note": F.col("_noise"),
+        "no year": F.col("_number").isNull(),
+        "year out of range": F.col("year").isNull(),
+    }
 
 
-def tidy_monthly_index(grid: DataFrame, mode: str = "strip_dots", low: int = 1980, high: int = 2030) -> DataFrame:
-    """``YEAR, MONTH, INDEX, VAR_MONTH, VAR_YEAR, VAR_12M`` rows; one row per date."""
+def place_monthly_index(
+    grid: DataFrame, mode: str = "strip_dots", low: int = 1980, high: int | None = None, as_of: dt.date | str | None = None
+) -> Tidied:
+    """``YEAR, MONTH, INDEX, VAR_MONTH, VAR_YEAR, VAR_12M`` rows; one row per date, and the rows that gave none."""
     measures = {"value": 2, "var_month": 3, "var_year": 4, "var_12m": 5}
-    rows = _year_filled(grid, low, high).withColumn("month", month_name_to_num(cell(1)))
-    typed = rows.withColumns({m: br_number(cell(i), mode) for m, i in measures.items()})
+    rows = _year_filled(grid, low, last_year(as_of, high)).withColumn("month", month_name_to_num(cell(1)))
+    rows = rows.withColumns({m: br_number(cell(i), mode) for m, i in measures.items()})
     some = F.coalesce(*[F.col(m) for m in measures]).isNotNull()
-    kept = typed.filter(F.col("month").isNotNull() & some)
+    kept = rows.filter(F.col("year").isNotNull() & F.col("month").isNotNull() & some)
     dated = kept.withColumn("ref_date", period_to_date(F.col("year"), F.col("month")))
-    return _first_per(dated.select(*SHEET, "row_idx", "ref_date", *measures), [*SHEET, "ref_date"])
+    facts = _first_per(dated.select(*SHEET, "row_idx", "ref_date", *measures), [*SHEET, "ref_date"])
+    return _tidied(rows, facts, _year_reasons() | {"no month": F.col("month").isNull(), "no value": ~some})
 
 
-def tidy_annual(
-    grid: DataFrame, colmap: Mapping[str, int], mode: str = "strip_dots", low: int = 1950, high: int = 2030
+def tidy_monthly_index(
+    grid: DataFrame, mode: str = "strip_dots", low: int = 1980, high: int | None = None, as_of: dt.date | str | None = None
 ) -> DataFrame:
-    """Year rows to named measures; one row per year, at least one value."""
-    rows = drop_noise_rows(grid).withColumn("year", year_of(cell(0), low, high)).filter("year IS NOT NULL")
-    typed = rows.withColumns({m: br_number(cell(i), mode) for m, i in colmap.items()})
+    return place_monthly_index(grid, mode, low, high, as_of).facts
+
+
+def place_annual(
+    grid: DataFrame, colmap: Mapping[str, int], mode: str = "strip_dots", low: int = 1950, high: int | None = None, as_of: dt.date | str | None = None
+) -> Tidied:
+    """Year rows to named measures; one row per year, at least one value; and the rows that gave none."""
+    rows = _marked(grid).withColumn("year", F.when(F.col("_number").between(low, last_year(as_of, high)), F.col("_number")))
+    rows = rows.withColumns({m: br_number(cell(i), mode) for m, i in colmap.items()})
     some = F.coalesce(*[F.col(m) for m in colmap]).isNotNull()
-    return _first_per(typed.filter(some).select(*SHEET, "row_idx", "year", *colmap), [*SHEET, "year"])
+    kept = rows.filter(F.col("year").isNotNull() & some)
+    facts = _first_per(kept.select(*SHEET, "row_idx", "year", *colmap), [*SHEET, "year"])
+    return _tidied(rows, facts, _year_reasons() | {"no value": ~some})
+
+
+def tidy_annual(
+    grid: DataFrame, colmap: Mapping[str, int], mode: str = "strip_dots", low: int = 1950, high: int | None = None, as_of: dt.date | str | None = None
+) -> DataFrame:
+    return place_annual(grid, colmap, mode, low, high, as_of).facts
 
 
 def tidy_place_month(grid: DataFrame, year: int, kind: str, mode: str = "strip_dots") -> DataFrame:
@@ -202,22 +264,45 @@ def tidy_place_month(grid: DataFrame, year: int, kind: str, mode: str = "strip_d
     return out.filter(F.col("ref_date").isNotNull() & (F.col("value") > 0)).dropDuplicates()
 
 
-def tidy_region_matrix(
-    grid: DataFrame, mode: str = "strip_dots", default: str = "BRASIL", low: int = 1990, high: int = 2030
-) -> DataFrame:
-    """Region headings over year rows with twelve month cells to a region panel.
+def _sectioned(rows: DataFrame, headings: Mapping[str, Column], defaults: Mapping[str, str]) -> DataFrame:
+    """All rows with the section headings above them (``_heading`` marks the headings themselves)."""
+    marked = rows.withColumns({h: F.when(~F.col("_noise"), c) for h, c in headings.items()})
+    marked = marked.withColumn("_heading", F.coalesce(*[F.col(h) for h in headings]).isNotNull())
+    return fill_down(marked, list(headings)).withColumns({h: F.coalesce(F.col(h), F.lit(d)) for h, d in defaults.items()})
+
+
+def _month_cells(rows: DataFrame, ids: Sequence[str], mode: str) -> tuple[DataFrame, Column]:
+    """Month cells of the year rows to facts, and whether a row has none with a positive value."""
+    kept = rows.filter(F.col("year").isNotNull() & ~F.col("_heading") & F.coalesce(*[F.col(i) for i in ids]).isNotNull())
+    for i in ids:
+        kept = kept.filter(F.col(i).isNotNull())
+    long = unpivot_months(kept, [*SHEET, "row_idx", *ids], "year", mode=mode).drop("year")
+    worthless = ~F.coalesce(F.exists(F.slice("cells", 2, 12), lambda c: F.coalesce(br_number(c, mode) > 0, F.lit(False))), F.lit(False))
+    return _first_per(long, [*SHEET, *ids, "ref_date"]), worthless
+
+
+def place_region_matrix(
+    grid: DataFrame, mode: str = "strip_dots", default: str = "BRASIL", low: int = 1990, high: int | None = None, as_of: dt.date | str | None = None
+) -> Tidied:
+    """Region headings over year rows with twelve month cells to a region panel, and the rows that gave nothing.
 
     Rows before the first heading belong to the default region; hyphenated names stay whole.
     """
-    first = F.upper(cell(0))
-    plain = strip_accents(first)
+    plain = strip_accents(F.upper(cell(0)))
     is_heading = plain.rlike("CUB MEDIO|REGIAO")
     named = F.nullif(F.regexp_extract(plain, r"REGIAO\s+([A-Z-]+)", 1), F.lit(""))
     region = F.when(is_heading, F.coalesce(named, F.lit(default)))
-    rows = section_fill(drop_noise_rows(grid), {"region": region}, {"region": default})
-    rows = rows.withColumn("year", year_of(cell(0), low, high)).filter("year IS NOT NULL")
-    long = unpivot_months(rows, [*SHEET, "row_idx", "region"], "year", mode=mode)
-    return _first_per(long.drop("year"), [*SHEET, "region", "ref_date"])
+    rows = _sectioned(_marked(grid), {"region": region}, {"region": default})
+    rows = rows.withColumn("year", F.when(F.col("_number").between(low, last_year(as_of, high)), F.col("_number")))
+    facts, worthless = _month_cells(rows, ["region"], mode)
+    noise, *years = _year_reasons().items()
+    return _tidied(rows, facts, dict([noise, ("heading", F.col("_heading")), *years, ("no value", worthless)]))
+
+
+def tidy_region_matrix(
+    grid: DataFrame, mode: str = "strip_dots", default: str = "BRASIL", low: int = 1990, high: int | None = None, as_of: dt.date | str | None = None
+) -> DataFrame:
+    return place_region_matrix(grid, mode, default, low, high, as_of).facts
 
 
 def state_code(text: Column) -> Column:
@@ -229,29 +314,45 @@ def state_code(text: Column) -> Column:
     return F.try_element_at(F.create_map(*entries), name)
 
 
-def tidy_state_standard(
-    grid: DataFrame, mode: str = "strip_dots", default: str = "R8-N", low: int = 1990, high: int = 2030
-) -> DataFrame:
-    """``STATE (PADRÃO - x)`` headings over year rows to a state by standard panel."""
+def place_state_standard(
+    grid: DataFrame, mode: str = "strip_dots", default: str = "R8-N", low: int = 1990, high: int | None = None, as_of: dt.date | str | None = None
+) -> Tidied:
+    """``STATE (PADRÃO - x)`` headings over year rows to a state by standard panel, and the rows that gave nothing."""
     first = F.upper(cell(0))
     state = state_code(first)
     standard = F.nullif(F.trim(F.regexp_extract(first, r"\(PADRÃO\s*-\s*([^)]+)\)", 1)), F.lit(""))
     headings = {"state": state, "standard": F.when(state.isNotNull(), standard)}
-    rows = section_fill(drop_noise_rows(grid, 0.8), headings, {"standard": default})
-    rows = rows.withColumn("year", year_of(cell(0), low, high))
-    rows = rows.filter("year IS NOT NULL AND state IS NOT NULL")
-    long = unpivot_months(rows, [*SHEET, "row_idx", "state", "standard"], "year", mode=mode)
-    return _first_per(long.drop("year"), [*SHEET, "state", "standard", "ref_date"])
+    rows = _sectioned(_marked(grid, 0.8), headings, {"standard": default})
+    rows = rows.withColumn("year", F.when(F.col("_number").between(low, last_year(as_of, high)), F.col("_number")))
+    facts, worthless = _month_cells(rows, ["state", "standard"], mode)
+    noise, *years = _year_reasons().items()
+    reasons = [noise, ("heading", F.col("_heading")), *years, ("no state", F.col("state").isNull()), ("no value", worthless)]
+    return _tidied(rows, facts, dict(reasons))
+
+
+def tidy_state_standard(
+    grid: DataFrame, mode: str = "strip_dots", default: str = "R8-N", low: int = 1990, high: int | None = None, as_of: dt.date | str | None = None
+) -> DataFrame:
+    return place_state_standard(grid, mode, default, low, high, as_of).facts
 
 
-def tidy_mixed_period(grid: DataFrame, mode: str = "strip_dots", low: int = 2000, high: int = 2030) -> DataFrame:
-    """``YEAR, MONTH or QUARTER, RATE`` rows to one series; quarters sit on their central month."""
-    rows = _year_filled(grid, low, high)
+def place_mixed_period(
+    grid: DataFrame, mode: str = "strip_dots", low: int = 2000, high: int | None = None, as_of: dt.date | str | None = None
+) -> Tidied:
+    """``YEAR, MONTH or QUARTER, RATE`` rows to one series, and the rows that gave nothing; quarters sit on their central month."""
+    rows = _year_filled(grid, low, last_year(as_of, high))
     month = F.coalesce(month_name_to_num(cell(1)), quarter_to_month(cell(1)))
-    typed = rows.withColumns({"month": month, "value": br_number(cell(2), mode)})
-    kept = typed.filter("month IS NOT NULL AND value IS NOT NULL")
+    rows = rows.withColumns({"month": month, "value": br_number(cell(2), mode)})
+    kept = rows.filter("year IS NOT NULL AND month IS NOT NULL AND value IS NOT NULL")
     dated = kept.withColumn("ref_date", period_to_date(F.col("year"), F.col("month")))
-    return _first_per(dated.select(*SHEET, "row_idx", "ref_date", "value"), [*SHEET, "ref_date"])
+    facts = _first_per(dated.select(*SHEET, "row_idx", "ref_date", "value"), [*SHEET, "ref_date"])
+    return _tidied(rows, facts, _year_reasons() | {"no month or quarter": F.col("month").isNull(), "no value": F.col("value").isNull()})
+
+
+def tidy_mixed_period(
+    grid: DataFrame, mode: str = "strip_dots", low: int = 2000, high: int | None = None, as_of: dt.date | str | None = None
+) -> DataFrame:
+    return place_mixed_period(grid, mode, low, high, as_of).facts
 
 
 def tidy_state_sheets(grid: DataFrame, skip: int = 7, mode: str = "auto") -> DataFrame:

@@ -149,6 +149,28 @@ def tidy_annual(spark, d):
     return grid.tidy_annual(sheets, {"total": 1, "n": 2}).drop("source")
 
 
+@query(
+    "q127_rejected_rows",
+    """WITH y AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders)
+SELECT 'kept' AS reason, count(*) AS n FROM y WHERE y NOT IN (1996, 1998)
+UNION ALL SELECT 'year out of range', count(*) FILTER (WHERE y = 1998) FROM y
+UNION ALL SELECT 'no value', count(*) FILTER (WHERE y = 1996) FROM y
+UNION ALL SELECT 'no year', count(DISTINCT o_custkey) FROM y UNION ALL SELECT 'blank or note', count(DISTINCT o_custkey) FROM y""",
+)
+def rejected_rows(spark, d):
+    """Sheets of years as far ahead as 2031, one of them 2198 and one without values; every row is accounted for."""
+    day = F.col("o_orderdate").cast("date")
+    years = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("sheet"), F.year(day).alias("y")).distinct()
+    shown = F.when(F.col("y") == 1998, F.lit("2198")).otherwise((F.col("y") + 30).cast("string"))
+    rows = years.select("sheet", F.col("y").cast("bigint").alias("row_idx"), F.array(shown, F.when(F.col("y") == 1996, F.lit("...")).otherwise(F.lit("1,5"))).alias("cells"))
+    sheets = years.select("sheet").distinct()
+    for i, c in ((0, text_row("ANO", "TOTAL")), (9999, text_row("* Fonte: pedidos", ""))):
+        rows = rows.unionByName(sheets.select("sheet", F.lit(i).cast("bigint").alias("row_idx"), c.alias("cells")))
+    tidy = grid.place_annual(landed(rows.select(F.lit("orders").alias("source"), "*"), "reject-sheets"), {"total": 1}, as_of="2024-01-31")
+    told = tidy.rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return told.unionByName(tidy.facts.agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("reason"), "n"))
+
+
 @query(
     "q31_mixed_period",
     f"""WITH o AS (SELECT o_custkey, year(o_orderdate) AS y, month(o_orderdate) AS m, {cents_sql('o_totalprice')} AS c FROM orders),

@@ -103,3 +103,49 @@ def test_by_kind(spark, rows):
 def test_grid_from_text(spark):
     df = spark.createDataFrame([("s", "t", 0, "a\tb\t")], "source string, sheet string, row_idx bigint, line string")
     assert grid.grid_from_text(df).collect()[0]["cells"] == ["a", "b", ""]
+
+
+def test_note_words_inside_a_cell(spark):
+    lines = [["* Fonte: x", "1"], ["ver nota: y", "2"], ["Fonte: z", "3"], ["2020", "4"]]
+    assert grid.drop_noise_rows(sheet(spark, lines)).count() == 3
+    assert grid.drop_noise_rows(sheet(spark, lines), anywhere=True).count() == 1
+
+
+def reasons(tidied, n_rows):
+    """Reason by row; rows with facts and rejected rows are all rows read, each once."""
+    told = {r["row_idx"]: r["reason"] for r in tidied.rejected.collect()}
+    assert tidied.rejected.count() == len(told) and "row_idx" not in tidied.facts.columns
+    assert tidied.rejected.columns == ["source", "sheet", "row_idx", "cells", "reason"]
+    return told
+
+
+def test_years_ahead_are_kept_and_absurd_ones_rejected(spark, rows, block):
+    """2031 stays; 2199 neither vanishes nor takes the year above it, and ends that year's block."""
+    lines = [["ANO", "MÊS"], ["2030", "JAN", "1"], ["2031", "JAN", "2"], ["", "FEV", "3"], ["2199", "JAN", "4"], ["", "FEV", "5"], ["2031", "JAN", "6"],
+             ["2031", "XXX", "7"], ["", "MAR", "..."], ["Fonte: x"], ["", "ABR", "8"], []]
+    out = grid.place_monthly_index(sheet(spark, lines), as_of="2024-01-31")
+    assert rows(out.facts, "ref_date", "value") == [(D(2030, 1, 1), 1.0), (D(2031, 1, 1), 2.0), (D(2031, 2, 1), 3.0), (D(2031, 4, 1), 8.0)]
+    told = reasons(out, len(lines))
+    assert told == {0: "no year", 4: "year out of range", 5: "year out of range", 6: "repeated", 7: "no month", 8: "no value", 9: "blank or note", 11: "blank or note"}
+    early = grid.place_monthly_index(sheet(spark, lines), as_of="2020-12-31")
+    assert early.facts.count() == 1  # 2031 is more than ten years ahead then
+    assert grid.tidy_monthly_index(sheet(spark, lines), high=2030).count() == 1
+    assert grid.tidy_monthly_index(sheet(spark, lines)).count() == 4
+
+
+def test_every_row_is_kept_or_rejected(spark, block):
+    full = [str(i) for i in range(1, 13)]
+    blocks = {
+        "annual": (lambda g: grid.place_annual(g, {"a": 1}), [["x"], ["2031", "1"], ["2031", "2"], ["2199", "3"], ["2000", "-"], [" "]],
+                   {0: "no year", 2: "repeated", 3: "year out of range", 4: "no value", 5: "blank or note"}),
+        "region": (grid.place_region_matrix, [["2031", *full], ["REGIÃO SUL"], ["2031", "1"], ["2199", "1"], ["2020", "0", "-"], ["2031", "9"], ["texto", "1"], ["Nota: x"]],
+                   {1: "heading", 3: "year out of range", 4: "no value", 5: "repeated", 6: "no year", 7: "blank or note"}),
+        "state": (grid.place_state_standard, [["2020", *full], ["PARÁ (PADRÃO - R1-B)"], ["2031", *full], ["2199", *full], ["2021", *["0"] * 12], ["2022", "5", *[""] * 11]],
+                  {0: "no state", 1: "heading", 3: "year out of range", 4: "no value", 5: "blank or note"}),
+        "mixed": (grid.place_mixed_period, [["2031", "JAN", "1"], ["", "2T", "2"], ["2199", "1T", "3"], ["", "FEV", "4"], ["2031", "??", "1"], ["", "3T", "x"], ["2031", "JAN", "9"]],
+                  {2: "year out of range", 3: "year out of range", 4: "no month or quarter", 5: "no value", 6: "repeated"}),
+    }
+    for name, (place, lines, expected) in blocks.items():
+        out = place(sheet(spark, lines, name), as_of="2024-01-31") if name != "annual" else place(sheet(spark, lines, name))
+        assert reasons(out, len(lines)) == expected, name
+        assert out.facts.count() > 0
