@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
+import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from costseries.llm.common import fields
 
 CACHE = 200_000  # pieces remembered per task
+CACHED = 64  # longest remembered piece, in code points or units, so that the memory is bounded in bytes
+HEAP = 200  # units from which on merges are kept in a heap
+NEVER = 1 << 60
 
 
 def byte_letters() -> list[str]:
@@ -36,10 +43,12 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.results: list[int] = []  # token by rank
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.ids[a], self.ids[b]] = rank, self.ids[a + b]
+            self.ranks[self.ids[a], self.ids[b]] = rank
+            self.results.append(self.ids[a + b])
         letters = byte_letters()
         self.inner = [self.ids.get(c) for c in letters]
         self.last = [self.ids.get(c + self.end) for c in letters]
@@ -60,32 +69,52 @@ class Vocabulary:
 
     def fragments(self, units: list[int]) -> list[tuple[int, ...]]:
         """Cut wherever two neighbours stand side by side inside no token: no merge can ever cross."""
-        out, start = [], 0
-        for k in range(1, len(units)):
-            if (units[k - 1], units[k]) not in self.joined:
+        joined, out, start = self.joined, [], 0
+        for k, pair in enumerate(zip(units, units[1:]), 1):
+            if pair not in joined:
                 out.append(tuple(units[start:k]))
                 start = k
         out.append(tuple(units[start:]))
         return out
 
     def merged(self, units: tuple[int, ...]) -> list[int]:
-        """Apply the merges by rank, the leftmost first, until none is left."""
-        ids, merges = list(units), self.merges
-        while len(ids) > 1:
-            best = min((merges.get(p, (1 << 60, 0)) for p in zip(ids, ids[1:])))
-            if best[0] == 1 << 60:
-                break
-            new, out, k, n = best[1], [], 0, len(ids)
-            while k < n:
-                if k + 1 < n and merges.get((ids[k], ids[k + 1])) == best:
-                    out.append(new)
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
+        """Apply the merge of the least rank, the leftmost first, until none is left."""
+        ids = list(units)
+        if len(ids) >= HEAP:
+            return self._merged_long(ids)
+        get, results = self.ranks.get, self.results
+        ranks = [get(p, NEVER) for p in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NEVER:
+            k = ranks.index(best)
+            ids[k : k + 2] = [results[best]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = get((ids[k - 1], ids[k]), NEVER)
+            if k < len(ranks):
+                ranks[k] = get((ids[k], ids[k + 1]), NEVER)
         return ids
 
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same in n log n steps: a heap of merges by rank and place over a doubly linked list."""
+        get, n = self.ranks.get, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, k) for k, p in enumerate(zip(ids, ids[1:])) if (r := get(p)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, k = heapq.heappop(heap)
+            right = after[k]
+            if ids[k] < 0 or right >= n or get((ids[k], ids[right])) != rank:
+                continue  # one of the two has been merged away since
+            ids[k], ids[right] = self.results[rank], -1
+            after[k] = behind = after[right]
+            if behind < n:
+                before[behind] = k
+                if (r := get((ids[k], ids[behind]))) is not None:
+                    heapq.heappush(heap, (r, k))
+            if (ahead := before[k]) >= 0 and (r := get((ids[ahead], ids[k]))) is not None:
+                heapq.heappush(heap, (r, ahead))
+        return [i for i in ids if i >= 0]
+
 
 class Codec:
     """Encoder and decoder with bounded memories of pieces."""
@@ -93,6 +122,9 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.split = regex.compile(vocabulary.pattern)
+        plain = vocabulary.pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+        self.ascii = None if r"\p" in plain else re.compile(plain, re.ASCII)  # the same pieces of ASCII texts
+        self.table = [t.encode("utf-8", "surrogatepass") for t in (vocabulary.tokens.get(i, "") for i in range(max(vocabulary.tokens) + 1))]
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[tuple[int, ...], list[int]] = {}
@@ -105,12 +137,17 @@ class Codec:
 
     def piece(self, piece: str) -> bytes:
         ids: list[int] = []
+        parts = self.parts
         for part in self.v.fragments([u for u in self.v.units(piece.encode("utf-8")) if u is not None]):
-            got = self.parts.get(part)
+            got = parts.get(part)
             if got is None:
-                got = self.parts[part] = self.v.merged(part)
+                got = self.v.merged(part)
+                if len(part) <= CACHED:
+                    if len(parts) >= CACHE:
+                        parts.clear()
+                    parts[part] = got
             ids += got
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -120,21 +157,27 @@ class Codec:
             if k % 2:
                 out.append(np.array([self.v.special[run]], "<u4").tobytes())
                 continue
-            for piece in self.split.findall(self.normalised(run)):
-                got = known.get(piece)
-                if got is None:
+            body = self.normalised(run)
+            found = (self.ascii if self.ascii and body.isascii() else self.split).findall(body)
+            got = list(map(known.get, found))
+            at = -1
+            for _ in range(got.count(None)):
+                at = got.index(None, at + 1)
+                piece = found[at]
+                got[at] = ids = known.get(piece) or self.piece(piece)  # a new piece may come up again in the same text
+                if len(piece) <= CACHED:
                     if len(known) >= CACHE:
                         known.clear()
-                    if len(self.parts) >= CACHE:
-                        self.parts.clear()
-                    got = known[piece] = self.piece(piece)
-                out.append(got)
+                    known[piece] = ids
+            out += got
         return b"".join(out)
 
+    def decode_bytes(self, ids: bytes) -> bytes:
+        """The tokens joined by spaces, as a tokenizer without a decoder puts them, in UTF-8."""
+        return b" ".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def decode(self, ids: bytes) -> str:
-        """The tokens joined by spaces, as a tokenizer without a decoder puts them."""
-        table = self.v.tokens
-        return " ".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return self.decode_bytes(ids).decode("utf-8", "surrogatepass")
 
 
 def vocabulary_text(spark: SparkSession, path: str) -> bytes:
@@ -176,7 +219,7 @@ def encode(docs: DataFrame, vocabulary: str, doc: str = "doc_id", text: str = "t
                 one = codec.encode(body)
                 keys.append(key.as_py())
                 coded.append(one)
-                said.append(hashlib.sha256(codec.decode(one).encode("utf-8")).hexdigest())
+                said.append(hashlib.sha256(codec.decode_bytes(one)).hexdigest())
                 held += len(body)
                 if held > chars:
                     yield batch_of(keys, coded, said)

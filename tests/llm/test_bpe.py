@@ -70,3 +70,24 @@ def test_odd_rows(odd, no_docs):
     assert all(r.n_tokens == 0 and r.ids == [] and r.ids_sha256 == hashlib.sha256(b"").hexdigest() for r in empty)
     assert len({r.ids_sha256 for r in got if r.doc_id in (5, 6)}) == 1
     assert bpe.encode(no_docs, PATH).count() == 0
+
+
+def test_long_words_take_time_in_proportion(codec):
+    """A word of a megabyte in seconds, and the same ids from the heap as from the plain merges."""
+    import time
+
+    v = codec.v
+    start = time.process_time()
+    assert len(bpe.Codec(v).encode("etaoinshrdlu" * 90_000)) > 0
+    assert time.process_time() - start < 30
+    rng = random.Random(3)
+    for n in (1, 2, 3, 10, 199, 200, 500):
+        units = tuple(v.units("".join(rng.choices("etaonhs", k=n)).encode()))
+        plain = v.merged(units[:199]) if n > 199 else v.merged(units)
+        assert v._merged_long(list(units[:199])) == plain
+
+
+def test_long_pieces_are_not_remembered(codec):
+    codec = bpe.Codec(codec.v)
+    codec.encode("short words and " + "x" * 5000)
+    assert max(map(len, codec.pieces)) <= bpe.CACHED and max(map(len, codec.parts)) <= bpe.CACHED
