@@ -29,9 +29,12 @@ ENDS_P = set("address article aside blockquote center details div dl fieldset fi
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
+# An attribute's value is quoted only if the quote follows the equals sign; elsewhere quotes are letters like others.
+ATTRIBUTES = r"(?:[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))?+)*+"
+CONTENT = {"article", "main"}
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?:>.*?(?:</(?P=silent)\s*>|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT})(?=[\s/>]|\Z){ATTRIBUTES}(?:>.*?(?:</(?P=silent)\s*>|\Z)|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{ATTRIBUTES})(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -44,16 +47,24 @@ def leaves(page: str | None) -> list[Leaf]:
     """Text blocks of a page in order, with the path of open elements and the names these carry.
 
     Markup, comments and elements that hold no text vanish; references are decoded; white space becomes
-    one space; block elements and line breaks end a block, inline ones don't.
+    one space; block elements and line breaks end a block, inline ones don't. Class names of several parts
+    (``has-sidebar``, ``comments-open``) say how a page is laid out where they stand on or around its outermost article or
+    main element, and a header inside of that is the article's own: such names are left out of the path.
     """
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = []  # tag, its names, parts of compound names
     parts: list[str] = []
     linked = links = 0
     owner: tuple[str, ...] | None = None
 
     def path() -> tuple[str, ...]:
-        return tuple(t for _, names in stack for t in names)
+        heart = next((k for k, (tag, _, _) in enumerate(stack) if tag in CONTENT), -1)
+        tokens: list[str] = []
+        for k, (tag, names, compound) in enumerate(stack):
+            tokens += names[1:] if tag == "header" and -1 < heart < k else names
+            if k > heart:
+                tokens += compound
+        return tuple(tokens)
 
     def flush() -> None:
         nonlocal linked, owner
@@ -72,7 +83,7 @@ def leaves(page: str | None) -> list[Leaf]:
 
     def pop_to(depth: int) -> None:
         nonlocal links
-        links -= sum(tag == "a" for tag, _ in stack[depth:])
+        links -= sum(tag == "a" for tag, _, _ in stack[depth:])
         del stack[depth:]
 
     at = 0
@@ -108,11 +119,13 @@ def leaves(page: str | None) -> list[Leaf]:
                 if stack[k][0] in HOLDS[tag]:
                     break
         if tag not in VOID and not m["attrs"].endswith("/"):
-            names = [tag]
+            names, compound = [tag], []
             if "=" in m["attrs"]:
                 for got in NAMED.findall(m["attrs"]):
-                    names += ["." + n for n in NAME_PART.findall(" ".join(got).lower())]
-            stack.append((tag, tuple(names)))
+                    for name in "".join(got).split():
+                        found = ["." + n for n in NAME_PART.findall(name.lower())]
+                        (names if len(found) < 2 else compound).extend(found)
+            stack.append((tag, tuple(names), tuple(compound)))
             links += tag == "a"
     say(body[at:])
     flush()
@@ -255,7 +268,6 @@ ASIDE = {
 }
 IN_MAIN = [("p",), ("p",), ("p",), ("p", "b"), ("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("div",), ("table", "tr", "td"), ("pre",), ("p", "em"), ()]
 BOILER = {"nav", "footer", "header", "aside", "form", "button", "menu"} | {f".{n}" for n in "ad ads advert advertisement sponsored sponsor promo menu navigation breadcrumb navbar nav sidebar related widget share social cookie notice consent popup alert newsletter subscribe login signup comments comment commentlist replies reply discussion footer copyright masthead banner".split()}
-CONTENT = {"article", "main"}
 
 
 def weak_label(tokens: tuple[str, ...]) -> int | None:
@@ -328,7 +340,7 @@ def train(pages: list[list[Leaf]], seed: int = 7) -> Weights:
 def learn(pages: DataFrame) -> Weights | None:
     """Train on ``SAMPLE`` pages, those with the least hashes; of each some blocks of bounded size reach the driver."""
     hashed = pages.where("html is not null").withColumn("h", F.xxhash64("id", "html"))
-    least = hashed.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    least = hashed.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
     if least is None:
         return None
 
@@ -341,8 +353,8 @@ def learn(pages: DataFrame) -> Weights | None:
                     names=["paths", "texts", "linked"],
                 )
 
-    drawn = hashed.where(F.col("h") <= least).select("html", "h")
-    rows = drawn.select("html").mapInArrow(run, fields("paths array<array<string>>, texts array<string>, linked array<double>")).limit(2 * SAMPLE).collect()
+    drawn = hashed.where(F.col("h") <= least).select("html").distinct()  # copies of a page count once
+    rows = drawn.mapInArrow(run, fields("paths array<array<string>>, texts array<string>, linked array<double>")).collect()
     found = [[(tuple(p), t, s) for p, t, s in zip(r["paths"], r["texts"], r["linked"])] for r in rows]
     found = sorted((p for p in found if p), key=lambda p: [t for _, t, _ in p])
     return train(found) if found else None

@@ -75,3 +75,34 @@ def test_odd_rows(spark):
     assert len(got) == 5 and all(r.text == "" and r.n_chars == 0 for r in got if r.page_id != 3)
     assert html.extract(pages.where("false")).count() == 0
     assert html.extract(pages.where("html is null")).collect()[0].text == ""
+
+
+def test_quotes_outside_quoted_values():
+    page = "<p data-x=it's class=a>two</p><p>it's fine</p><p title=don't>Hello</p><p a=\"x>y\" b='>'>there</p><p c = 'd'e>end</p><p 'odd'>last</p>"
+    assert [t for _, t, _ in html.leaves(page)] == ["two", "it's fine", "Hello", "there", "end", "last"]
+    assert [t for _, t, _ in html.leaves("<scripted>a</scripted><script x='>'>no</script>b<p x=\"open>c")] == ["a", "b", "c"]
+
+
+FRAMES = [
+    "<body class='page has-sidebar'><nav><a href=/>Home</a></nav><article>{}</article><footer>Imprint</footer></body>",
+    "<div class='content-sidebar-wrap'><nav><a href=/>Home</a></nav><main class='content'><article>{}</article></main></div>",
+    "<header><a href=/>Home</a></header><article class='post comments-open'>{}</article><div class=comments><p>Nice one, thanks</p></div>",
+    "<nav><a href=/>Home</a></nav><main class='content related-width'>{}</main><aside>Other stories of today</aside>",
+    "<body class='with-footer no-banner'><nav><a href=/>Home</a></nav><main id=main-menu-target>{}</main><footer>Imprint</footer>",
+]
+
+
+def test_layout_names_around_the_article_do_not_hide_it(spark, table):
+    """Class names of several parts on body, wrappers and the article itself; headings in the article's own header."""
+    body = "<header><h1>A fine title</h1></header><p>The first sentence of the story is here.</p><p>And this is the second one, a bit longer than the first.</p>"
+    rows = [(-k, "u", frame.format(body)) for k, frame in enumerate(FRAMES, 1)]
+    more = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(table("pages").select("page_id", "url", "html").unionAll(more)).collect()}
+    want = "A fine title The first sentence of the story is here. And this is the second one, a bit longer than the first."
+    assert {k: got[k] for k in got if k < 0} == {-k: want for k in range(1, len(FRAMES) + 1)}
+
+
+def test_comment_articles_stay_comments():
+    page = "<main><p>Story</p><ol class='comment-list'><li class=comment><article class='comment-body'><p>Mine</p></article></ol></main><section class=comments><article class='comment-body'><p>Yours</p></article></section>"
+    paths = {t: p for p, t, _ in html.leaves(page)}
+    assert ".comment" in paths["Mine"] and ".comments" in paths["Yours"] and ".comment" not in paths["Story"]
