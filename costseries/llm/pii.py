@@ -194,10 +194,13 @@ class Transducers:
                 steps.append(Rewritten(now, edits))
                 now = steps[-1].text
         added = []
+        own = {k: ([x for j, x, _ in base if j == k], [y for j, _, y in base if j == k]) for k in KINDS}  # both ascend
         for kind, a, b in detect(now) if steps else ():
             for step in reversed(steps):
                 a, b = step.back(a), step.back(b, end=True)
-            if not any(k == kind and a < y and x < b for k, x, y in base):
+            starts, ends = own[kind]
+            first = bisect_right(ends, a)  # the first base span that ends behind the start
+            if first == len(starts) or starts[first] >= b:
                 added.append((kind, a, b))
         return base, sorted({*base, *added}, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

@@ -80,3 +80,13 @@ def test_odd_rows(odd, no_docs, docs):
     one = pii.find(docs((1, "x 1.2.3.4 a@b.co 1.2.3.4"))).collect()[0]
     assert one.spans == "email:10:16,ip:2:9,ip:17:24" and (one.n_email, one.n_ip) == (1, 2)
     assert pii.find(no_docs).count() == 0
+
+
+def test_many_addresses_take_time_in_proportion():
+    import time
+
+    chain = pii.Transducers()
+    start = time.process_time()
+    base, both = chain.spans("a@b.co " * 150_000 + "x [at] y.com")
+    assert len(base) == 150_000 and len(both) == 150_001
+    assert time.process_time() - start < 20
