@@ -14,7 +14,6 @@ from costseries.llm.common import fields
 
 DIMENSIONS = 4096  # hashed n-gram buckets
 SAMPLE = 400  # labelled documents per language that centroids are fitted on, at most about
-LANGUAGES = 500  # languages learned, the most frequent first
 CENTROIDS = 4  # clusters per language
 MARGIN = 1.25  # a text further from its centroid than this times the farthest one in training is rejected
 PART = 1 << 18  # code points counted at a time
@@ -104,16 +103,16 @@ def learn(docs: DataFrame, doc: str, text: str, lang: str, sample: int = SAMPLE)
     """Fit on about ``sample`` documents per language, chosen by a hash of the id among those not held out.
 
     A threshold on the hash takes the same share from every partition, so no window or sort is needed,
-    and only count vectors of fixed size reach the driver. None without any labelled text.
+    and only count vectors of fixed size reach the driver: about ``sample`` for each of the languages, all of which are learned.
+    None without any labelled text.
     """
     known = docs.select(docs[doc].alias("id"), docs[text].alias("text"), docs[lang].alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not sizes:
-        return None
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], -(-1_000_000 * sample // r["n"]))])
-    chosen = known.where(draw < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0)))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000_000))
+    # One row per language, as the model has. Equal rows are drawn together and count once, so the sample depends neither on their number nor on the order of tasks.
+    share = sizes.select("lang", F.ceil(F.lit(1_000_000_000.0) * sample / F.col("n")).alias("share"))
+    chosen = known.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("id", "text", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +125,7 @@ def learn(docs: DataFrame, doc: str, text: str, lang: str, sample: int = SAMPLE)
                 yield pa.RecordBatch.from_arrays([part.column(0).take(those), pa.array(vectors, pa.binary()), part.column(2).take(those)], names=["lang", "v", "h"])
 
     rows = chosen.select("lang", "text", F.xxhash64("id", "text").alias("h")).mapInArrow(run, fields("lang string, v binary, h long"))
-    got = sorted(rows.limit(2 * sample * len(sizes)).collect(), key=lambda r: (r["lang"], r["h"]))
+    got = sorted(rows.collect(), key=lambda r: (r["lang"], r["h"], r["v"]))
     return fit([(r["lang"], np.frombuffer(r["v"], np.float32)) for r in got]) if got else None
 
 

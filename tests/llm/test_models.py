@@ -75,3 +75,18 @@ def test_toxicity_of_odd_rows(spark, odd, no_docs, docs):
     got = {r.doc_id: r.toxic for r in toxicity.score(frame, labels, threshold=0.4).collect()}
     assert got[14] is False and len(got) == 45 and got[10] and got[12]
     assert toxicity.score(odd, labels).count() == odd.count() and toxicity.score(no_docs, labels).count() == 0
+
+
+def test_six_hundred_languages_and_any_row_order(spark):
+    """Every language is learned, and neither the order nor the copies of rows change the model."""
+    from costseries.llm import langid
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [letters[k % 26] + letters[k // 26 % 26] for k in range(600)]
+    rows = [(10 * k + j, f"{w * 4} {w * 6} {w * (j + 3)}", f"l{k:03d}") for k, w in enumerate(words) for j in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(frame, "doc_id", "text", "lang")
+    held = {r.lang for r in frame.where(~langid.held_out(frame.doc_id)).select("lang").distinct().collect()}
+    assert len(held) > 590 and set(model.names) == held
+    again = langid.learn(frame.unionAll(frame.where("doc_id < 100")).repartition(7), "doc_id", "text", "lang")
+    assert again.names == model.names and (again.centroids == model.centroids).all()
