@@ -264,21 +264,30 @@ def enrich_compare(spark, d):
 
 @query(
     "q97_scaffold_check",
-    """WITH s AS (
-  SELECT p_type AS method, n_name AS place, CASE WHEN n_name = 'NATION_0' THEN 1.0 ELSE 1.1 END AS factor
-  FROM (SELECT DISTINCT p_type FROM part) CROSS JOIN nation)
-SELECT * FROM (VALUES
-  ('all pairs present', 'error', 0.0::DOUBLE, true, NULL::VARCHAR),
-  ('pairs unique', 'error', 0.0::DOUBLE, true, NULL::VARCHAR),
-  ('baseline present', 'error', (SELECT CAST(count_if(place = 'NATION_0') AS DOUBLE) FROM s), true, NULL::VARCHAR),
-  ('baseline factor is one', 'error', 0.0::DOUBLE, true, NULL::VARCHAR),
-  ('keys not null', 'error', 0.0::DOUBLE, true, NULL::VARCHAR)) t("rule", severity, metric, passed, sample)""",
+    """WITH f AS (
+  SELECT p_type AS method, n_name AS place, CASE WHEN n_name = 'NATION_0' AND p_type NOT LIKE 'S%' THEN 1.0 ELSE 1.1 END AS factor, n_nationkey AS k
+  FROM (SELECT DISTINCT p_type FROM part) CROSS JOIN nation),
+s AS (SELECT method, CASE WHEN k = 3 AND method = 'PROMO' THEN NULL ELSE place END AS place, factor FROM f WHERE NOT (k = 7 AND method LIKE 'S%')
+      UNION ALL SELECT method, place, factor FROM f WHERE k = 9),
+m AS (SELECT count(*) AS n, count(DISTINCT method) * count(DISTINCT place) AS cells, count(DISTINCT (method, place)) FILTER (WHERE method IS NOT NULL AND place IS NOT NULL) AS pairs,
+        count(*) FILTER (WHERE place = 'NATION_0') AS base, count(*) FILTER (WHERE place = 'NATION_0' AND factor <> 1.0 OR place IS NULL) AS off,
+        min(place) FILTER (WHERE place = 'NATION_0' AND factor <> 1.0) AS off_sample, count(*) FILTER (WHERE method IS NULL OR place IS NULL) AS missing FROM s)
+SELECT 'all pairs present' AS "rule", 'error' AS severity, CAST(cells - pairs AS DOUBLE) AS metric, cells = pairs AS passed, NULL::VARCHAR AS sample FROM m
+UNION ALL SELECT 'pairs unique', 'error', CAST(n - pairs AS DOUBLE), n = pairs, NULL FROM m
+UNION ALL SELECT 'baseline present', 'error', CAST(base AS DOUBLE), base > 0, NULL FROM m
+UNION ALL SELECT 'baseline factor is one', 'error', CAST(off AS DOUBLE), off = 0, off_sample FROM m
+UNION ALL SELECT 'keys not null', 'error', CAST(missing AS DOUBLE), missing = 0, NULL FROM m""",
 )
 def scaffold_check(spark, d):
+    """A scaffold with pairs that are missing, repeated or without a place, and a baseline that is not one everywhere."""
     methods = table(spark, d, "part").select(F.col("p_type").alias("method")).distinct()
-    places = table(spark, d, "nation").select(F.col("n_name").alias("place"))
-    factor = F.when(F.col("place") == BASELINE, 1.0).otherwise(1.1)
-    grid = costs.joins.cross_product(methods, places).withColumn("factor", factor)
+    places = table(spark, d, "nation").select(F.col("n_name").alias("place"), F.col("n_nationkey").alias("k"))
+    special = F.col("method").startswith("S")
+    factor = F.when((F.col("place") == BASELINE) & ~special, 1.0).otherwise(1.1)
+    whole = costs.joins.cross_product(methods, places).withColumn("factor", factor)
+    unnamed = (F.col("k") == 3) & (F.col("method") == "PROMO")
+    grid = whole.filter(~((F.col("k") == 7) & special)).withColumn("place", F.when(~unnamed, F.col("place")))
+    grid = grid.unionByName(whole.filter("k = 9"))
     return quality.scaffold_check(grid, "method", "place", BASELINE, "factor")
 
 

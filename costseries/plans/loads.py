@@ -58,10 +58,15 @@ def upsert_orders(spark, d):
     "q106_upsert_dry_run",
     """SELECT count(*) FILTER (WHERE o_orderstatus IN ('F', 'O')) AS n_existing,
        count(*) FILTER (WHERE o_orderstatus = 'P') AS n_new, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_updated,
-       count(*) AS n_final, 0::BIGINT AS n_duplicates FROM orders""",
+       count(*) AS n_final, 0::BIGINT AS n_duplicates FROM orders
+UNION ALL SELECT CAST(sum(t) AS BIGINT), 0, count(*) FILTER (WHERE b > 0), CAST(sum(CASE WHEN b > 0 THEN 1 ELSE t END) AS BIGINT), CAST(sum(t - 1) AS BIGINT)
+FROM (SELECT count(*) AS t, count(*) FILTER (WHERE l_linenumber = 1) AS b FROM lineitem GROUP BY l_orderkey, l_suppkey)""",
 )
 def upsert_dry_run(spark, d):
-    return dry_run(order_target(spark, d), order_batch(spark, d), ["o_orderkey"])
+    """Orders by their key, and order lines by a key that some of them share."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    orders = dry_run(order_target(spark, d), order_batch(spark, d), ["o_orderkey"])
+    return orders.unionByName(dry_run(lines, lines.filter("l_linenumber = 1"), ["l_orderkey", "l_suppkey"]))
 
 
 @query(
@@ -84,7 +89,7 @@ def upsert_series(spark, d):
 @query(
     "q125_series_changes",
     f"""WITH {nation_months_sql()},
-m AS (SELECT region, ref_date, value, CASE WHEN ref_date = DATE '1997-03-01' AND region < 'J' OR region = 'CHINA' AND ref_date >= DATE '2001-01-01'
+m AS (SELECT region, ref_date, value, CASE WHEN ref_date = DATE '1997-03-01' AND region < 'NATION_2' OR region = 'NATION_5' AND ref_date >= DATE '2001-01-01'
         THEN value + 100 ELSE value END AS revised FROM nm),
 g AS (SELECT region, ref_date, revised AS value, value AS old, (value / nullif(lag(value) OVER w, 0) - 1) * 100 AS mom0,
         (value / nullif(lag(value, 12) OVER w, 0) - 1) * 100 AS yoy0, (revised / nullif(lag(revised) OVER w, 0) - 1) * 100 AS mom,
@@ -96,8 +101,8 @@ def changed_series(spark, d):
     """A few revisions in a stored fact with changes: what has to be written."""
     stored = windows.mom_yoy(nation_months(spark, d), ["region"], "ref_date", "value")
     day, region = F.col("ref_date"), F.col("region")
-    revised = ((day == "1997-03-01") & (region < "J")) | ((region == "CHINA") & (day >= "2001-01-01"))
-    same = (region == "BRAZIL") & (day >= "2001-01-01")  # delivered again, unchanged
+    revised = ((day == "1997-03-01") & (region < "NATION_2")) | ((region == "NATION_5") & (day >= "2001-01-01"))
+    same = (region == "NATION_7") & (day >= "2001-01-01")  # delivered again, unchanged
     batch = stored.filter(revised | same).withColumn("value", F.col("value") + F.when(revised, F.lit(100)).otherwise(F.lit(0)))
     out = upsert.series_changes(stored, batch, "region", "ref_date", "value")
     return out.withColumns({"mom": F.round("mom", 4), "yoy": F.round("yoy", 4)})

@@ -85,15 +85,17 @@ s AS (SELECT *, avg(value) OVER r AS m, stddev_pop(value) OVER r AS sp, stddev_s
       FROM net WINDOW r AS (PARTITION BY region)),
 z AS (SELECT *, CASE WHEN n >= 3 AND sp > 0 THEN abs((value - m) / sp) END AS z, value / nullif(p, 0) - 1 AS mom FROM s),
 f AS (
-  SELECT *, 'outlier_zscore' AS flag, CASE WHEN z > 4 THEN 'high' ELSE 'medium' END AS severity FROM z WHERE z > 3
-  UNION ALL SELECT *, 'high_mom_variation', CASE WHEN abs(mom) > 0.25 OR mom IS NULL THEN 'high' ELSE 'medium' END
+  SELECT *, 'outlier_zscore' AS flag, CASE WHEN z > 4 THEN 'high' ELSE 'medium' END AS severity,
+         printf('z-score: %.2f, mean: %.2f', z, m) AS details FROM z WHERE z > 3
+  UNION ALL SELECT *, 'high_mom_variation', CASE WHEN abs(mom) > 0.25 OR mom IS NULL THEN 'high' ELSE 'medium' END,
+            CASE WHEN mom IS NULL THEN 'change from zero' ELSE printf('change: %.2f%%', mom * 100) END
             FROM z WHERE abs(mom) > 0.10 OR (p = 0 AND value <> 0)
-  UNION ALL SELECT *, 'negative_value', 'high' FROM z WHERE value < 0)
-SELECT region AS series_id, ref_date, flag, severity, value AS observed, round(ss, 2) AS series_std FROM f""",
+  UNION ALL SELECT *, 'negative_value', 'high', printf('negative value: %.2f', value) FROM z WHERE value < 0)
+SELECT region AS series_id, ref_date, flag, severity, value AS observed, round(ss, 2) AS series_std, details FROM f""",
 )
 def quality_flags(spark, d):
     out = quality.quality_flags(net_months(spark, d), "region", "ref_date", "value")
-    return out.drop("details").withColumn("series_std", F.round("series_std", 2))
+    return out.withColumn("series_std", F.round("series_std", 2))
 
 
 @query(
