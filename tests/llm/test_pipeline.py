@@ -33,4 +33,4 @@ def test_all_operators_are_registered():
     import __spark_entry__ as driver
 
     names = driver.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
