@@ -55,9 +55,11 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False, to
     for own in groups:
         cells = []
         for i, c in enumerate(own):
-            one, two = row_hashes(df.select(c).schema)
-            cells.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("i"), one, two)))
-        distinct = df.select(F.inline(F.array_compact(F.array(*cells)))).distinct()
+            plain = not isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType, T.ArrayType, T.StructType, T.MapType))
+            one, two = (F.xxhash64(c), F.xxhash64(F.lit(1), c)) if plain else row_hashes(df.select(c).schema)
+            known = F.col(c).isNotNull()
+            cells.append(F.struct(F.lit(i).alias("i"), F.when(known, one).alias("_h1"), F.when(known, two).alias("_h2")))
+        distinct = df.select(F.inline(F.array(*cells))).filter("_h1 IS NOT NULL").distinct()
         counted.append(distinct.agg(*[F.count_if(F.col("i") == i).alias(f"n_{c}") for i, c in enumerate(own)]))
     first, *rest = counted
     for k, more in enumerate(rest, 1):
