@@ -57,10 +57,20 @@ def test_links_are_all_pairs_within_distance(spark):
         for k, a in enumerate(prints) for b in prints[k + 1 :] if (a ^ b).bit_count() <= 4
     }
     frame = spark.createDataFrame([(signed(p),) for p in prints], "f long")
-    for parts in (2, 3, 4):
+    for parts in (None, 2, 3, 4, 5):
         assert {tuple(r) for r in simhash.links(frame, 4, parts).collect()} == expected
 
 
+def test_segments_keep_chance_matches_in_proportion():
+    assert [simhash.segments(n) for n in (0, 10**3, 5 * 10**4, 10**6, 10**8, 10**9)] == [5, 5, 4, 3, 2, 2]
+    assert [simhash.segments(10**6, d) for d in (0, 1)] == [1, 2]
+    for n in (10**4, 10**6, 10**8, 10**9):
+        met = sum(
+            len(simhash._ball(width, radius)) * n / 2**width for width, radius in simhash._radii(4, simhash.segments(n)) if radius >= 0
+        )
+        assert met < 600
+
+
 def test_components_of_chains_stars_and_rings(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "u long, v long")).collect()}
