@@ -160,6 +160,15 @@ def estimate(votes: DataFrame) -> DataFrame:
     return rows.select(F.when(F.size("rows") > 0, let(F.col("rows"), fit)).alias("model"))
 
 
+def constant(model: DataFrame) -> Column:
+    """The one row of ``estimate`` (61 numbers, whatever the corpus) as a constant, so that no plan repeats the estimation."""
+    row = model.first()["model"]
+    if row is None:
+        return F.lit(None).cast(model.schema["model"].dataType)
+    chances = [F.array(*[F.lit(x) for x in row[side]]).alias(side) for side in ("good", "bad")]
+    return F.struct(F.lit(row["prior"]).alias("prior"), *chances)
+
+
 def rate(docs: DataFrame, doc: str = "doc_id", text: str = "text", rows: bool = False) -> DataFrame:
     """One row per document: id, counts, ``base_failed``, ``posterior`` and ``kept``; with ``rows``, the whole row as ``row``.
 
@@ -174,8 +183,7 @@ def rate(docs: DataFrame, doc: str = "doc_id", text: str = "text", rows: bool =
     measured = landed(measured.select(*["row"] * rows, "id", *plain), "quality")
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     voted = measured.withColumn("votes", F.array(*[vote(r) for r in RULES]))
-    model = estimate(voted.select("votes"))
-    judged = voted.withColumn("model", model.scalar()).withColumn("posterior", posterior(F.col("votes"), F.col("model")))
+    judged = voted.withColumn("posterior", posterior(F.col("votes"), constant(estimate(voted.select("votes")))))
     return judged.select(
         *["row"] * rows, F.col("id").alias(doc), *NUMBERS, failed.alias("base_failed"), F.round("posterior", 6).alias("posterior"),
         (~failed & (F.round("posterior", 6) >= 0.5)).alias("kept"),
@@ -183,7 +191,11 @@ def rate(docs: DataFrame, doc: str = "doc_id", text: str = "text", rows: bool =
 
 
 def keep_good(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
+    """The documents that the rules keep, with all their columns.
+
+    Nulls, empty texts, repeated rows and empty tables as in ``rate``: a null or empty text goes, of repeated rows
+    all stay or all go. Ties don't arise, as every row is judged on its own.
+    """
     return rate(docs, doc, text, rows=True).where("kept").select("row.*")
 
 
