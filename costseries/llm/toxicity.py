@@ -12,21 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costseries.llm.common import fields
+from costseries.session import landed
 
 SAMPLE = 3000  # labelled documents of either class that the chain is fitted on, at most about
 FEATURES = 1000  # selected word and prefix features
+LEAST = 2  # z-score of a selected feature
 FOLDS = 5
 STEPS = 150  # of gradient descent
 DECAY = 1e-4
 PREFIXES = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
 
-# Seed words of the categories, in the corpus languages.
-SEEDS = {
-    "insult": "idiot idiots moron morons stupid dumb fool fools clown clowns loser losers imbecile jerk dummkopf trottel idiota imbécil estúpido tonto imbécile crétin stupide",
-    "contempt": "trash garbage scum filth vermin worthless useless pathetic disgusting abschaum wertlos widerlich basura escoria inútil patético ordure déchet minable dégoûtant",
-}
-CHAIN = (*SEEDS, "other", "toxic")  # other: labelled toxic without a seed word; toxic: the label itself
+KINDS = 3  # categories before the last one: groups of toxic documents by their own words
+CHAIN = (*(f"kind_{k + 1}" for k in range(KINDS)), "toxic")  # toxic: the label itself
 
 
 def features(text: str | None) -> set[str]:
@@ -35,10 +33,37 @@ def features(text: str | None) -> set[str]:
     return found | {w[:k] + "*" for w in found for k in PREFIXES if len(w) >= k}
 
 
-def targets(found: set[str], toxic: int) -> list[int]:
-    """Labels along the chain of a labelled document."""
-    own = [int(bool(toxic) and not found.isdisjoint(words.split())) for words in SEEDS.values()]
-    return [*own, int(bool(toxic) and not any(own)), int(bool(toxic))]
+def kinds(x: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """Number of the group of each toxic document: k-means on unit vectors, the largest group first.
+
+    The labels tell toxic documents apart from others only, so what kinds of toxic documents there are is
+    learned from their features. A fixed seed and the order of the rows decide.
+    """
+    rng = np.random.default_rng(0)
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = x[:1]
+    while len(centres) < min(KINDS, len(x)):
+        far = np.maximum(0, 1 - (x @ centres.T).max(1)).astype(float)
+        if far.sum() < 1e-6:
+            break  # fewer different documents than kinds
+        centres = np.concatenate((centres, x[rng.choice(len(x), p=far / far.sum())][None]))
+    for _ in range(rounds):
+        own = (x @ centres.T).argmax(1)
+        means = np.stack([x[own == k].sum(0) if (own == k).any() else centres[k] for k in range(len(centres))])
+        centres = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+    own = (x @ centres.T).argmax(1)
+    order = np.argsort(-np.bincount(own, minlength=len(centres)), kind="stable")
+    return np.argsort(order)[own]
+
+
+def targets(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Labels along the chain, a row per document: its kind if it is toxic, then the label."""
+    y = np.zeros((len(x), len(CHAIN)), np.float32)
+    y[:, -1] = toxic
+    at = np.flatnonzero(toxic)
+    if len(at):
+        y[at, kinds(x[at])] = 1
+    return y
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -95,70 +120,73 @@ def predict_chain(models: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     return data[:, x.shape[1] :]
 
 
-def select(rows: list[np.ndarray], names: list[str], toxic: np.ndarray) -> list[int]:
-    """Numbers of the features that tell the classes apart best, by the z-score of their document shares."""
-    count, hits = np.zeros(len(names)), np.zeros(len(names))
-    for own, t in zip(rows, toxic):
-        count[own] += 1
-        if t:
-            hits[own] += 1
-    share = toxic.sum() / max(len(rows), 1)
-    score = np.abs(hits - count * share) / np.sqrt(count * share * (1 - share) + 0.5)
-    able = np.flatnonzero((count > 1) & (score >= 2)).tolist()
-    return sorted(able, key=lambda k: (-score[k], names[k]))[:FEATURES]
+def select(sample: DataFrame) -> list[str]:
+    """The features that tell the classes apart best, by the z-score of their document shares; ties by name.
 
+    ``sample`` has a row per document: toxic (0 or 1) and its distinct features ``found``.
+    """
+    n, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        return []
+    share = toxic / n
+    counts = sample.select("toxic", F.explode("found").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits"))
+    z = F.abs(F.col("hits") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) + 0.5)
+    best = counts.withColumn("z", z).where((F.col("n") > 1) & (F.col("z") >= LEAST)).orderBy(F.desc("z"), "name").limit(FEATURES)
+    return [r["name"] for r in best.select("name").collect()]
 
-def matrix(rows: list[np.ndarray], chosen: list[int], total: int) -> np.ndarray:
-    at = np.full(total, -1)
-    at[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    for r, own in enumerate(rows):
-        got = at[own]
-        x[r, got[got >= 0]] = 1
-    return x
 
+def drawn(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str) -> tuple[DataFrame, dict[int, int]]:
+    """At most about ``SAMPLE`` labelled documents of either class (id, toxic, found), and the number of labels of each.
 
-def learn(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str) -> tuple[list[str], list[np.ndarray]]:
-    """Select features and fit the chain on at most about ``SAMPLE`` labelled documents of either class.
-
-    Labels are drawn by a hash of the id, so that only their bounded sample is joined. Rows of a class stand
-    for all its labels through their weights. A document labelled both ways counts as toxic.
+    Labels are drawn by a hash of the id, so that only their bounded sample is joined. A document labelled both ways
+    counts as toxic; of repeated ids the least text counts, so that the order of rows doesn't matter.
     """
     known = labels.select(labels[doc].alias("id"), labels[label].alias("toxic")).where("id is not null and toxic is not null")
     known = known.groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    limit = F.when(F.col("toxic") == 1, F.lit(-(-1_000_000 * SAMPLE // max(1, sizes.get(1, 1))))).otherwise(F.lit(-(-1_000_000 * SAMPLE // max(1, sizes.get(0, 1)))))
-    chosen = known.where(draw < limit).orderBy(draw, "id").limit(4 * SAMPLE)
+    limits = [F.lit(-(-1_000_000 * SAMPLE // max(1, sizes.get(k, 1)))) for k in (0, 1)]
+    chosen = known.where(draw < F.when(F.col("toxic") == 1, limits[1]).otherwise(limits[0])).orderBy(draw, "id").limit(4 * SAMPLE)
     pairs = docs.select(docs[doc].alias("id"), docs[text].alias("text")).join(F.broadcast(chosen), "id")
+    pairs = pairs.groupBy("id", "toxic").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(features(v.as_py())) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))], names=["id", "toxic", "found"])
+            found = [sorted(features(v.as_py())) for v in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.string()))], names=["id", "toxic", "found"])
 
     kind = docs.schema[doc].dataType.simpleString()
-    got = pairs.mapInArrow(run, fields(f"id {kind}, toxic int, found array<string>")).toLocalIterator()
-    number: dict[str, int] = {}
-    rows, y, seen = [], [], set()
-    for r in got:
-        if r["id"] not in seen:  # of repeated ids one row counts
-            seen.add(r["id"])
-            rows.append((r["id"], np.array([number.setdefault(f, len(number)) for f in r["found"]], np.int32)))
-            y.append(targets(set(r["found"]), r["toxic"]))
-    order = sorted(range(len(rows)), key=lambda k: str(rows[k][0]))
-    found, names = [rows[k][1] for k in order], list(number)
-    folds = np.array([zlib.crc32(str(rows[k][0]).encode()) % FOLDS for k in order])
-    y = np.array([y[k] for k in order], np.float32).reshape(-1, len(CHAIN))
-    toxic = y[:, -1].astype(int)
-    chosen = select(found, names, toxic) if 0 < toxic.sum() < len(toxic) else []
-    if not chosen:  # nothing to tell apart: every document gets the share of toxic labels
+    return landed(pairs.mapInArrow(run, fields(f"id {kind}, toxic int, found array<string>")), "toxicity"), sizes
+
+
+def learn(docs: DataFrame, labels: DataFrame, doc: str, text: str, label: str) -> tuple[list[str], list[np.ndarray]]:
+    """Select features and fit the chain on the documents of ``drawn``.
+
+    Rows of a class stand for all its labels through their weights. Only numbers of selected features reach the
+    driver, at most ``FEATURES`` a document.
+    """
+    sample, sizes = drawn(docs, labels, doc, text, label)
+    names = select(sample)
+    if not names:  # nothing to tell apart: every document gets the share of toxic labels
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         return [], [np.append(np.zeros(k), bias).astype(np.float32) for k in range(len(CHAIN))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {f: k for k, f in enumerate(names)}
+        for batch in batches:
+            own = [[at[f] for f in found if f in at] for found in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32()))], names=["id", "toxic", "own"])
+
+    kind = sample.schema["id"].dataType.simpleString()
+    rows = sorted(sample.mapInArrow(run, fields(f"id {kind}, toxic int, own array<int>")).toLocalIterator(), key=lambda r: str(r["id"]))
+    x = np.zeros((len(rows), len(names)), np.float32)
+    for k, r in enumerate(rows):
+        x[k, r["own"]] = 1
+    toxic = np.array([r["toxic"] for r in rows])
+    folds = np.array([zlib.crc32(str(r["id"]).encode()) % FOLDS for r in rows])
     weight = np.where(toxic == 1, sizes.get(1, 0) / max(1, toxic.sum()), sizes.get(0, 0) / max(1, (1 - toxic).sum()))
-    models = fit_chain(matrix(found, chosen, len(names)), y, weight.astype(np.float32), folds)
-    return [names[k] for k in chosen], models
+    return names, fit_chain(x, targets(x, toxic), weight.astype(np.float32), folds)
 
 
 def score(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = 0.5) -> DataFrame:

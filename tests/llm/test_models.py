@@ -1,8 +1,10 @@
 """Language identification and toxicity: held-out accuracy and defined results on odd rows."""
 
+import os
 import zlib
 
 import numpy as np
+import pytest
 
 from costseries.llm import langid, toxicity
 
@@ -55,6 +57,35 @@ def test_toxic_documents(table):
     assert all(0 <= getattr(r, f"p_{c}") <= 1 for r in got.values() for c in toxicity.CHAIN)
 
 
+def test_toxic_documents_that_the_fit_has_not_seen(spark):
+    """Labels split by id: a third is held out."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("sample tables are not here")
+    documents, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    split = "pmod(crc32(string(doc_id)), 3) = 1"
+    truth = {r.doc_id: r.toxic for r in labels.where(split).collect()}
+    got = {r.doc_id: r.toxic for r in toxicity.score(documents, labels.where(f"NOT {split}")).collect() if r.doc_id in truth}
+    toxic = [d for d in got if truth[d]]
+    assert toxic and sum(got[d] for d in toxic) >= 0.85 * len(toxic)
+    assert sum(got[d] for d in got if not truth[d]) <= 0.01 * len(got)
+
+
+def test_toxicity_model_of_repeated_ids_in_any_order(spark, table):
+    documents, labels = table("documents").select("doc_id", "text"), table("labels")
+    first = labels.where("toxic > 0").first().doc_id
+    other = spark.createDataFrame([(first, "another text of this id")] * 50, documents.schema)
+    names, models = toxicity.learn(documents.unionAll(other), labels, "doc_id", "text", "toxic")
+    again, same = toxicity.learn(other.unionAll(documents).repartition(5), labels, "doc_id", "text", "toxic")
+    assert names == again and all(np.array_equal(a, b) for a, b in zip(models, same))
+
+
+def test_kinds_are_groups_of_like_documents():
+    x = np.array([[1, 1, 0, 0, 0, 0]] * 5 + [[0, 0, 1, 1, 0, 0]] * 3 + [[0, 0, 0, 0, 1, 1]] * 4, np.float32)
+    assert toxicity.kinds(x).tolist() == [0] * 5 + [2] * 3 + [1] * 4
+    assert toxicity.kinds(x[:2]).tolist() == [0, 0] and toxicity.kinds(np.zeros((3, 2), np.float32)).max() < toxicity.KINDS
+
+
 def test_chain_uses_out_of_fold_probabilities():
     rng = np.random.default_rng(2)
     x = (rng.random((400, 6)) > 0.5).astype(np.float32)
