@@ -92,7 +92,7 @@ def quality_flags(
             mom_flagged(F.col("_v"), F.col("_prev"), F.col("_mom"), MOM_LIMIT),
             HIGH_MOM,
             grade((F.abs("_mom") > MOM_HIGH) | F.col("_mom").isNull()),
-            F.coalesce(F.format_string("change: %.2f%%", F.col("_mom") * 100), F.lit("change from zero")),
+            F.when(F.col("_mom").isNull(), "change from zero").otherwise(F.format_string("change: %.2f%%", F.col("_mom") * 100)),
         ),
         NEGATIVE: flag(
             F.col(value) < 0,

@@ -52,6 +52,11 @@ def test_moves_from_zero_are_violations(spark):
     assert sorted(r["d"].month for r in out) == [2, 5]
 
 
+def test_flag_of_a_move_from_zero_says_so(spark):
+    out = quality.quality_flags(monthly(spark, [0.0, 5.0, 5.2]), "s", "d", "v", checks=[quality.HIGH_MOM]).collect()
+    assert [(r["ref_date"].month, r["severity"], r["details"]) for r in out] == [(2, "high", "change from zero")]
+
+
 def test_negative_columns(spark):
     df = spark.createDataFrame([(1.0, -1.0), (-1.0, -2.0), (1.0, 1.0), (None, None)], "a double, b double")
     assert sorted(r["negative_columns"] for r in quality.negative_values(df, ["a", "b"]).collect()) == [["a", "b"], ["b"]]
