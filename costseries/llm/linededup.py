@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from costseries.llm.common import let, words
 from costseries.session import landed
 
-BUCKETS = 1 << 15  # of the rarity table, whose size doesn't depend on the corpus
+BUCKETS = 1 << 16  # of the rarity table, whose size doesn't depend on the corpus
 MARKS = 1 << 23  # bits of a broadcast table that marks hashes (at most 131,072 rows); a full one costs time, never a line
+TOP = 127  # the highest rarity class; the JVM keeps one object for each of such small numbers, so the constant table stays small
 RANK_BIT = 53  # the key of a word has its rarity class from this bit on and its hash below
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -55,8 +56,10 @@ def _cell(h: str) -> Column:
 
 
 def _bit(h: str) -> Column:
-    at = F.col(h).bitwiseAND(F.lit(63)).cast("int")
-    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
+    """Three bits of the cell, by parts of the hash that don't choose the cell."""
+    places = [F.shiftright(F.col(h), at).bitwiseAND(F.lit(63)).cast("int") for at in (0, 24, 30)]
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), place) for place in places]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
 
 
 def marks(rows: DataFrame, h: str = "l1") -> DataFrame:
@@ -67,23 +70,23 @@ def marks(rows: DataFrame, h: str = "l1") -> DataFrame:
 def with_mark(rows: DataFrame, table: DataFrame, h: str = "l1") -> DataFrame:
     """Add ``mark``: false only if the hash is surely not in the table."""
     known = rows.join(F.broadcast(table), _cell(h) == F.col("cell"), "left")
-    return known.withColumn("mark", F.coalesce(F.col("bits").bitwiseAND(_bit(h)) != 0, F.lit(False))).drop("cell", "bits")
+    return known.withColumn("mark", F.coalesce(F.col("bits").bitwiseAND(_bit(h)) == _bit(h), F.lit(False))).drop("cell", "bits")
 
 
 def bucket(word_hash: Column) -> Column:
-    return word_hash.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    return word_hash.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
     """Class of each hash bucket by the number of its words in all texts: a constant array of ``BUCKETS`` numbers.
 
     Class 0 means a single occurrence. Rare words that share a bucket with frequent ones sort later than
-    they could; any fixed order gives the same result.
+    they could, and words next to a tab are counted with it; any fixed order gives the same result.
     """
-    found = docs.select(F.explode_outer(words(F.col("text"))).alias("word")).where("word is not null")
-    counted = found.groupBy(bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    found = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("word"))
+    counted = found.groupBy(bucket(F.xxhash64("word")).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     classes = ["0"] * BUCKETS
-    for r in counted.where("n > 1").select("bucket", F.floor(8 * F.log2("n")).alias("c")).collect():
+    for r in counted.where("n > 1").select("bucket", F.least(F.floor(4 * F.log2("n")), F.lit(TOP)).alias("c")).collect():
         classes[r["bucket"]] = str(r["c"])
     return F.split(F.lit(",".join(classes)), ",").cast("array<int>")
 
@@ -91,11 +94,13 @@ def rarity(docs: DataFrame) -> Column:
 def keys(line: Column, classes: Column) -> Column:
     """Keys of the distinct words of a line, the rarest word first."""
 
+    def low(word: Column) -> Column:
+        return F.xxhash64(word).bitwiseAND(F.lit((1 << RANK_BIT) - 1))
+
     def key(h: Column) -> Column:
-        rank = F.shiftleft(F.get(classes, bucket(h)).cast("long"), RANK_BIT)
-        return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << RANK_BIT) - 1)))
+        return h.bitwiseOR(F.shiftleft(F.get(classes, bucket(h)).cast("long"), RANK_BIT))
 
-    return F.sort_array(F.transform(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))), key))
+    return F.sort_array(F.transform(F.array_distinct(F.transform(words(line), low)), key))
 
 
 def prefixes(lines: DataFrame, classes: Column) -> DataFrame:
@@ -124,8 +129,9 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The left lines of those pairs whose whole sets of words are similar."""
     left = join(pairs, lines, "a.l1 = b.l1 AND a.l2 = b.l2").select("a.*", "b.line")
     both = join(left, lines, "a.m1 = b.l1 AND a.m2 = b.l2").select("a.l1", "a.l2", F.col("a.line").alias("x"), F.col("b.line").alias("y"))
-    sets = both.select(*LINE, F.array_distinct(words(F.col("x"))).alias("x"), F.array_distinct(words(F.col("y"))).alias("y"))
-    return sets.where("9 * size(array_intersect(x, y)) >= 4 * (size(x) + size(y))").select(*LINE).distinct()
+    sets = F.struct(*[F.array_distinct(words(F.col(c))).alias(c) for c in ("x", "y")])
+    near = let(sets, lambda s: 9 * F.size(F.array_intersect(s["x"], s["y"])) >= 4 * (F.size(s["x"]) + F.size(s["y"])))
+    return both.where(near).select(*LINE).distinct()
 
 
 def later_matches(lines: DataFrame, again: DataFrame, classes: Column) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import oracle
+from pyspark.sql import functions as F
 
 from costseries.llm import linededup, queries
 
@@ -85,3 +86,30 @@ def test_texts_of_null_and_repeated_ids_that_share_a_hash(docs, monkeypatch):
     lines = [line for _, text in found for line in text.split("\n") if line]
     assert sorted(lines) == sorted({line for _, text in rows for line in text.split("\n")})
     assert sum(r["n_removed"] for r in got) == 2
+
+
+def test_marks_keep_every_hash_and_few_others(spark):
+    """A table that is far from full lets almost no foreign hash through; one bit per hash let 1.2 % through."""
+    hashes = spark.range(0, 200_000, 1, 4).select(F.xxhash64("id").alias("l1"), (F.col("id") < 100_000).alias("own"))
+    told = linededup.with_mark(hashes, linededup.marks(hashes.where("own")))
+    got = {r["own"]: r["n"] for r in told.where("mark").groupBy("own").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got[True] == 100_000 and got.get(False, 0) < 200
+
+
+def test_words_of_a_pair_are_split_once(spark):
+    """The sets of a pair were built again at every use."""
+    lines = spark.createDataFrame([(1, 1, "a b c d e"), (2, 2, "e d c b a"), (3, 3, "a b c x y")], "l1 long, l2 long, line string")
+    pairs = spark.createDataFrame([(1, 1, 2, 2), (1, 1, 3, 3), (3, 3, 2, 2)], "l1 long, l2 long, m1 long, m2 long")
+    found = linededup.similar(pairs, lines)
+    assert [tuple(r) for r in found.collect()] == [(1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(") == 2
+
+
+def test_rare_words_are_told_from_frequent_ones(docs):
+    """Words of one frequency class each, more than a smaller table could keep apart."""
+    frame = docs((1, " ".join(f"r{k}" for k in range(6000))), (2, " ".join(f"f{k % 3000}" for k in range(48000))))
+    classes = linededup.rarity(frame.select("text"))
+    word = frame.sparkSession.range(6000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("w"))
+    rank = word.select(F.get(classes, linededup.bucket(F.xxhash64("w"))).alias("c"))
+    assert rank.where("c > 8").count() < 6000 * 0.06
