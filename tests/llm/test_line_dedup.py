@@ -113,3 +113,10 @@ def test_rare_words_are_told_from_frequent_ones(docs):
     word = frame.sparkSession.range(6000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("w"))
     rank = word.select(F.get(classes, linededup.bucket(F.xxhash64("w"))).alias("c"))
     assert rank.where("c > 8").count() < 6000 * 0.06
+
+
+def test_words_between_tabs_meet(docs):
+    """Words that only ever stand between other white space than spaces count as often as they occur."""
+    line = "\t".join(f"t{k}" for k in range(12))
+    rows = [(1, line), (2, line + "\tone more"), (3, line.replace("\t", "\r\x0b") + "\r"), (4, "t1\tt2")]
+    assert cleaned(docs(*rows)) == dict(zip([i for i, _ in rows], slow(rows)))
