@@ -1,8 +1,9 @@
 """Exact Jaccard join of word-shingle sets, skipping by relations between sets.
 
 Sets are indexed by the rare end of their shingles. Inside one index list, sets of equal size form a block ordered by position, so
-whatever lies too far back in both blocks is skipped without a look. Candidates are verified in groups of sets that
-look alike: the overlaps of a set are those of the set before it, corrected by the shingles the two do not share.
+whatever lies too far back in both blocks is skipped without a look. Candidates meet in groups of sets that look alike, first
+as parity bitmaps, then, where these leave a partner, as shingles: the overlaps of a set are those of the set before it,
+corrected by the shingles the two do not share.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from costseries.llm import graph
 from costseries.llm.common import fields
-from costseries.session import landed
+from costseries.session import landed_alone
 
 WORDS, PERCENT = 5, 80
 FREQUENT = 16  # sets from which on a shingle's frequency is known by number
@@ -28,7 +29,8 @@ CELL = 1 << 14  # sets of one index list handled together; longer lists are deal
 SHORT = 64  # sets of an index list up to which its pairs are simply tried
 PIECE = 1 << 18  # shingles of the sets verified together on either side
 SPREAD = 1 << 20  # shingles counted by one task; indexes and groups take a few times as many
-WANTED = 1 << 18  # texts fetched by a broadcast list of hashes; more are fetched by a shuffle
+WANTED = 1 << 18  # texts fetched by a broadcast list of hashes; more are fetched by a broadcast bit table
+MARKS = 1 << 26  # bits of that table, one for each hash; a full one costs time, never a text
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -60,6 +62,21 @@ def _set_key(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
+def _bitmap(found: np.ndarray) -> bytes:
+    """Parity of the shingles by the last bits of their hashes, one to two bits for every shingle, at least 64."""
+    bits = max(64, 1 << (len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _folded(bitmaps: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of fewer bits from larger ones, a row of 64-bit words each."""
+    while bitmaps.shape[1] > words:
+        half = bitmaps.shape[1] // 2
+        bitmaps = bitmaps[:, :half] ^ bitmaps[:, half:]
+    return bitmaps
+
+
 def _new_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[bytes, np.ndarray]]:
     """Key and shingles of every set, the first time that this task sees it: copies cost a look, not a row."""
     seen: set[bytes] = set()
@@ -73,18 +90,20 @@ def _new_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[by
 
 
 def members(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = WORDS) -> DataFrame:
-    """``(id, s, n, t)`` per document: key of its set (null for the empty one), size of the set, hash of the text."""
+    """``(id, s, n, t, bits)`` per document: key of its set (null for the empty one), size of the set, hash of the text, bitmap of the set."""
     kind = docs.schema[doc].dataType.simpleString()
-    schema = fields(f"id {kind}, s binary, n long, t long")
+    schema = fields(f"id {kind}, s binary, n long, t long, bits binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes = [], []
+            keys, sizes, bitmaps = [], [], []
             for value in batch.column(1):
                 found = shingles(value.as_py(), size)
                 keys.append(_set_key(found) if len(found) else None)
                 sizes.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), batch.column(2)], names=schema.names)
+                bitmaps.append(_bitmap(found) if len(found) else None)
+            columns = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), batch.column(2), pa.array(bitmaps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(docs[doc].alias("id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("t")).mapInArrow(run, schema)
 
@@ -510,17 +529,106 @@ def _verified(left: list[tuple], right: list[tuple] | None, percent: int) -> lis
     return out
 
 
-def _texts(docs: DataFrame, placed: DataFrame, text: str) -> DataFrame:
-    """Texts that hold the sets with candidates. Their hashes are broadcast if they are few, else texts are shuffled."""
-    wanted = landed(placed.select("t").distinct(), "wanted")
-    few = wanted.count() <= WANTED
-    return docs.select(docs[text].alias("text"), F.xxhash64(docs[text]).alias("t")).join(F.broadcast(wanted) if few else wanted, "t", "left_semi").select("text")
+def _alike(left: list[tuple], right: list[tuple] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets ``(key, size, bitmap)`` of either side may have a partner on the other side, or inside ``left``.
+
+    Every bit in which two bitmaps differ stands for a shingle that only one of the sets has, so no pair within reach is lost.
+    """
+    def by_length(side: list[tuple]) -> list[tuple]:
+        lengths, out = np.array([len(b) // 8 for _, _, b in side]), []
+        for words in np.unique(lengths):
+            at = np.flatnonzero(lengths == words)
+            out.append((at, np.array([side[k][1] for k in at]), np.frombuffer(b"".join(side[k][2] for k in at), "<u8").reshape(-1, words)))
+        return out
+
+    block = left if right is None else right
+    mine, theirs = np.zeros(len(left), bool), np.zeros(len(block), bool)
+    blocks = by_length(block)
+    for at, n, bitmaps in by_length(left):
+        for other, sizes, others in blocks:
+            words = min(bitmaps.shape[1], others.shape[1])
+            for size in np.unique(n):
+                need = needed(size, sizes, percent)
+                some = np.flatnonzero(need <= np.minimum(size, sizes))
+                if not len(some):
+                    continue
+                one, two, most = at[n == size], _folded(others[some], words), (size + sizes - 2 * need)[some]
+                bits, step = _folded(bitmaps[n == size], words), max(1, (1 << 20) // (len(some) * words))
+                for k in range(0, len(one), step):
+                    near = np.bitwise_count(bits[k : k + step, None] ^ two).sum(axis=2, dtype=np.int64) <= most
+                    if right is None:
+                        near &= one[k : k + step, None] != other[some]
+                    mine[one[k : k + step]] |= near.any(axis=1)
+                    theirs[other[some]] |= near.any(axis=0)
+    return mine, theirs
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple], list[tuple] | None]]:
+    """Groups of rows ``(g, right, ...)`` ordered by group, each with its left and right rows; None if it is one piece."""
+    def done() -> tuple[str, list[tuple], list[tuple] | None]:
+        a, b = group.split("|")
+        return group, sides[0], None if a == b else sides[1]
+
+    group, sides = None, ([], [])
+    for batch in batches:
+        for g, right, *row in zip(*[c.to_pylist() for c in batch.columns]):
+            if g != group:
+                if group is not None:
+                    yield done()
+                group, sides = g, ([], [])
+            sides[right].append(tuple(row))
+    if group is not None:
+        yield done()
+
+
+def sifted(met: DataFrame, placed: DataFrame, tasks: int, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``meetings`` without the sets whose bitmap leaves them no partner in the group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, left, right in _groups(batches):
+            mine, theirs = _alike(left, right, percent)
+            if right is None:
+                mine, theirs = mine | theirs, theirs[:0]
+            keys = [left[k][0] for k in np.flatnonzero(mine)] + [right[k][0] for k in np.flatnonzero(theirs)]
+            sides = np.arange(len(keys)) >= mine.sum()
+            yield pa.RecordBatch.from_arrays([pa.array([group] * len(keys), pa.string()), pa.array(sides), pa.array(keys, pa.binary())], names=["g", "right", "s"])
+
+    rows = met.join(placed.select("s", "n", "bits"), "s").select("g", "right", "s", "n", "bits")
+    return rows.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(run, "g string, right boolean, s binary")
+
+
+def _marks(wanted: DataFrame) -> np.ndarray:
+    """Bit table of the hashes in column ``t``, read as at most ``MARKS`` / 64 numbers."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t").bitwiseAND(F.lit(63)).cast("int"))
+    cell = F.shiftright(F.col("t").bitwiseAND(F.lit(MARKS - 1)), 6).alias("cell")
+    found = wanted.groupBy(cell).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(MARKS >> 6, np.int64)
+    table[found.column("cell").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """Texts with the hashes ``wanted``. Few hashes are broadcast, more as a bit table, which also lets through a few other texts."""
+    wanted = landed_alone(wanted.distinct(), "wanted")
+    rows = docs.select(docs[text].alias("text"), F.xxhash64(docs[text]).alias("t"))
+    if wanted.count() <= WANTED:
+        return rows.join(F.broadcast(wanted), "t", "left_semi").select("text")
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(wanted))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = batch.column(1).to_numpy().view(np.uint64)
+            cell = (t & np.uint64((len(shared.value) << 6) - 1)) >> np.uint64(6)
+            hit = (shared.value[cell] >> (t & np.uint64(63))) & np.uint64(1)
+            yield batch.select(["text"]).filter(pa.array(hit.astype(bool)))
+
+    return rows.mapInArrow(marked, "text string")
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """``(s, n, t, least, copies)`` per set that is not empty: one of its texts, its smallest id and its documents."""
+    """``(s, n, t, least, copies, bits)`` per set that is not empty: one of its texts, its smallest id, its documents and its bitmap."""
     found = rows.where("s IS NOT NULL").groupBy("s")
-    return found.agg(F.max("n").alias("n"), F.min("t").alias("t"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    return found.agg(F.max("n").alias("n"), F.min("t").alias("t"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("bits").alias("bits"))
 
 
 def links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -529,42 +637,36 @@ def links(docs: DataFrame, sets: DataFrame, text: str = "text", size: int = WORD
     Rows ``(u, v, null)`` are links that connect all that links connect; rows ``(u, null, w)`` add up to the documents that
     link with those of set u. ``sets`` is the landed table of ``classes``. Candidate sets gather around the least of
     their neighbours; sets of one neighbourhood are cut into pieces of about ``PIECE`` shingles, and two pieces with a candidate
-    pair between them are verified together. So a set travels once per piece it may have a partner in.
+    pair between them are verified together. A set travels there as a bitmap first, and as shingles only to pieces where a
+    bitmap is near its own: sets that share a chance shingle, ever more of them in larger corpora, fetch no text.
     """
     n_shingles = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts = landed(frequencies(docs, n_shingles, text, size), "frequencies")
-    entries = landed(index(docs, counts, n_shingles, text, size, percent), "index")
+    counts = landed_alone(frequencies(docs, n_shingles, text, size), "frequencies")
+    entries = landed_alone(index(docs, counts, n_shingles, text, size, percent), "index")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, found in _new_sets(batches, size):
             yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([found.tobytes()])], names=["s", "tokens"])
 
     near = entries.groupBy("s").agg(F.min("least").alias("least"))
-    homes = landed(near.join(sets, "s").select("s", "n", "t", "copies", F.least(near.s, near.least).alias("home")), "homes")
-    parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / F.lit(PIECE)).alias("parts"))
-    piece = F.concat_ws("-", F.hex("home"), F.pmod(F.xxhash64("s"), F.col("parts")).cast("string"))
-    placed = landed(homes.join(parts, "home").select("s", "t", "copies", piece.alias("piece")), "pieces")
+    homes = landed_alone(near.join(sets, "s").select("s", "n", "t", "copies", "bits", F.least(near.s, near.least).alias("home")), "homes")
+    parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / F.lit(PIECE)).alias("parts")).where("parts > 1")  # the few large neighbourhoods
+    piece = F.concat_ws("-", F.hex("home"), F.pmod(F.xxhash64("s"), F.coalesce("parts", F.lit(1))).cast("string"))
+    placed = landed_alone(homes.join(parts, "home", "left").select("s", "n", "t", "copies", "bits", piece.alias("piece")), "pieces")
     tasks = 1 << _bits(n_shingles, SPREAD * 4)
     met = meetings(entries.drop("least").join(placed.select("s", "piece"), "s"), tasks, percent)
-    full = _texts(docs, placed, text).mapInArrow(tokens, "s binary, tokens binary").dropDuplicates(["s"])
-    dealt = met.join(full.join(placed.select("s", "copies"), "s"), "s").select("g", "right", "s", "tokens", "copies")
+    kept = landed_alone(sifted(met, placed, tasks, percent), "sifted")
+    some = placed.join(kept.select("s").distinct(), "s", "left_semi")
+    full = _texts(docs, some.select("t"), text).mapInArrow(tokens, "s binary, tokens binary").dropDuplicates(["s"])
+    dealt = kept.join(full.join(some.select("s", "copies"), "s"), "s").select("g", "right", "s", "tokens", "copies")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(group: str, left: list, right: list) -> pa.RecordBatch:
-            a, b = group.split("|")
-            rows = _verified(left, None if a == b else right, percent)
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))], names=["u", "v", "w"])
+        def sets_of(side: list[tuple]) -> list[tuple]:
+            return [(key, np.frombuffer(raw, np.uint64), copies) for key, raw, copies in side]
 
-        group, sides = None, ([], [])
-        for batch in batches:
-            for g, right, key, raw, copies in zip(*[c.to_pylist() for c in batch.columns]):
-                if g != group:
-                    if group is not None:
-                        yield done(group, *sides)
-                    group, sides = g, ([], [])
-                sides[right].append((key, np.frombuffer(raw, np.uint64), copies))
-        if group is not None:
-            yield done(group, *sides)
+        for _, one, two in _groups(batches):
+            rows = _verified(sets_of(one), None if two is None else sets_of(two), percent)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))], names=["u", "v", "w"])
 
     return dealt.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(verify, "u binary, v binary, w long")
 
@@ -578,15 +680,15 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = W
     where a group has no other id. Repeated rows are documents of their own; other columns are not carried; an empty
     table gives an empty result. Shingles are compared by 64-bit, sets by 128-bit hashes.
     """
-    rows = landed(members(docs, doc, text, size), "members")
-    sets = landed(classes(rows), "sets")
-    found = landed(links(docs, sets, text, size, percent), "links")
+    rows = landed_alone(members(docs, doc, text, size), "members")
+    sets = landed_alone(classes(rows), "sets")
+    found = landed_alone(links(docs, sets, text, size, percent), "links")
     partners = found.where("w IS NOT NULL").groupBy("u").agg(F.sum("w").alias("partners"))
     roots = graph.components(found.where("v IS NOT NULL").select("u", "v"))
     rooted = sets.join(roots, sets.s == roots.node, "left").join(partners, sets.s == partners.u, "left")
     rooted = rooted.select("s", "least", F.coalesce("root", "s").alias("root"), (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
     reach = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = landed(rooted.join(reach, "root").select("s", "component", "n_links"), "named")
+    named = landed_alone(rooted.join(reach, "root").select("s", "component", "n_links"), "named")
     component = F.when(F.col("s").isNull(), F.col("id")).otherwise(F.col("component"))
     return rows.join(named, "s", "left").select(
         F.col("id").alias(doc), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")

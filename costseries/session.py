@@ -80,6 +80,17 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def landed_alone(df: DataFrame, label: str) -> DataFrame:
+    """``landed``, and the shuffle files of the write go with its end; else they stay until the driver's memory fills up."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        return landed(df.select("*"), label)  # a frame holds to the setting under which it was made
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut lineage on reliable storage; partition numbers of the result are stable on re-reads."""
     spark = df.sparkSession

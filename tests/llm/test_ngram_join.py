@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -111,6 +112,71 @@ def test_overlaps_are_derived_from_the_set_before():
         assert verifier.of(x).tolist() == [len(np.intersect1d(x, b)) for b in block]
 
 
+@pytest.mark.parametrize("percent", [80, 50, 100])
+def test_bitmaps_lose_no_pair_and_few_strangers_pass(percent):
+    """Sets of all sizes, so of bitmaps of all lengths, within a piece and between two."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in [1, 3, 40, 60, 64, 65, 70, 130, 250, 258, 500, 520, 900] * 3:
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        sets += [np.unique(base), np.unique(np.r_[base[rng.random(n) > 0.1], rng.integers(0, 1 << 63, n // 8 + 1).astype(np.uint64)])]
+    rows = [(ngramjoin._set_key(x), len(x), ngramjoin._bitmap(x)) for x in sets]
+    reach = lambda x, y: 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))
+    near = np.array([[a != b and reach(x, y) for b, y in enumerate(sets)] for a, x in enumerate(sets)])
+    mine, theirs = ngramjoin._alike(rows, None, percent)
+    assert (mine | theirs)[near.any(axis=1)].all()
+    mine, theirs = ngramjoin._alike(rows[::2], rows[1::2], percent)
+    assert mine[near[::2, 1::2].any(axis=1)].all() and theirs[near[::2, 1::2].any(axis=0)].all()
+    strangers = [rows[k] for k in range(0, len(rows), 2) if rows[k][1] > 60]
+    assert percent < 80 or not np.concatenate(ngramjoin._alike(strangers, None, percent)).any()
+
+
+def test_a_chance_passage_fetches_no_text(docs, spark, monkeypatch):
+    """Documents that share five words with others meet as bitmaps only; texts of partners travel without a shuffle of all texts."""
+    rng, fetched, texts = random.Random(6), [], ngramjoin._texts
+    passage = [" ".join(f"p{k}x{j}" for j in range(5)) for k in range(150)]
+    other = [" ".join(f"d{d}w{rng.randrange(1000)}" for _ in range(8)) for d in range(60)]
+    rows = [(d, " ".join(f"{p} q{d}" for p in rng.sample(passage, 30)) + " " + other[d]) for d in range(60)]
+    rows += [(100, rows[0][1] + " end"), (101, rows[0][1])]
+    monkeypatch.setattr(ngramjoin, "WANTED", 0)
+    monkeypatch.setattr(ngramjoin, "MARKS", 1 << 12)
+
+    def watched(documents, wanted, text):
+        fetched.append(wanted.select("t").distinct().count())
+        found = texts(documents, wanted, text)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {rows[0][1], rows[60][1]} <= {r["text"] for r in found.collect()}
+        return found
+
+    monkeypatch.setattr(ngramjoin, "_texts", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got(docs(*rows)) == slow(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert fetched == [2]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """What a landed table was made of does not stay until the driver's memory fills up."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(k).getName() for k in range(found.size())) if n.startswith("shuffle_")}
+
+    old = files()
+    shuffled = spark.range(1000).repartition(4, "id")
+    table = ngramjoin.landed_alone(shuffled, "t")
+    for _ in range(50):
+        if not any(n.endswith(".data") for n in files() - old):
+            break
+        time.sleep(0.2)
+    assert not any(n.endswith(".data") for n in files() - old)
+    assert table.count() == shuffled.count() == 1000 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_shingles_follow_the_definition():
     for text in ("A b\tC d e F", "a b c", "x", "", None, "Ünï ÜNÏ a b c d", "a b a b a b a b", "a\x1fb c d e f"):
         assert len(ngramjoin.shingles(text)) == len(slow_set(text))
